@@ -61,53 +61,58 @@ def pagerank(
     arcs = graph.select("src", "dst", "weight") if directed else both_ways(graph)
     placed, nodes = spread_arcs(arcs, edges_per_part)
     # The arcs are shuffled once; each round only moves one row per node to them. A lost cached block is
-    # recomputed from its inputs.
+    # recomputed from its inputs. Each node also has an arc of no weight to itself that carries its old rank
+    # along, so a round reads the ranks once and the plan grows by a constant step.
+    own = nodes.select(
+        "node",
+        F.lit(0).cast("bigint").alias("part"),
+        F.col("node").alias("dst"),
+        F.lit(0.0).alias("share"),
+        "parts",
+        (F.col("out_weight") == 0).alias("dangling"),
+    )
     links = (
-        placed.select(F.col("src").alias("node"), "part", "dst", (F.col("weight") / F.col("out_weight")).alias("share"))
+        placed.select(
+            F.col("src").alias("node"),
+            "part",
+            "dst",
+            (F.col("weight") / F.col("out_weight")).alias("share"),
+            F.lit(None).cast("bigint").alias("parts"),
+            F.lit(None).cast("boolean").alias("dangling"),
+        )
+        .unionByName(own)
         .repartition(partitions(spark), "node", "part")
         .persist()
     )
     try:
         n = nodes.count()
-        dangling_nodes = nodes.filter("out_weight = 0").limit(1).count() > 0
-        ranks = nodes.select("node", "parts", "out_weight", F.lit(1.0 / n if n else 0.0).alias("rank"))
+        if n == 0:
+            return nodes.select("node", F.lit(0.0).alias("pagerank"))
+        dangling = not nodes.filter("out_weight = 0").isEmpty()
+        ranks = nodes.select("node", "parts", (F.col("out_weight") == 0).alias("dangling"), F.lit(1.0 / n).alias("rank"))
         rounds = fixed_iter if fixed_iter is not None else max_iter
         for step in range(1, rounds + 1):
-            lost = 0.0
-            if dangling_nodes:
-                lost = ranks.filter("out_weight = 0").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).first()[0]
-            arriving = (
-                repeat_per_part(ranks.select("node", "parts", "rank"))
-                .join(links, ["node", "part"])
-                .select(
-                    F.col("dst").alias("node"),
-                    (F.col("rank") * F.col("share")).alias("mass"),
-                    F.lit(None).cast("double").alias("old"),
-                    F.lit(None).cast("bigint").alias("parts"),
-                    F.lit(None).cast("double").alias("out_weight"),
-                )
-            )
-            own = ranks.select("node", F.lit(0.0).alias("mass"), F.col("rank").alias("old"), "parts", F.col("out_weight").cast("double"))
+            lost = ranks.filter("dangling").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).first()[0] if dangling else 0.0
             base = (1.0 - alpha) / n + alpha * lost / n
             ranks = (
-                own.unionByName(arriving)
-                .groupBy("node")
+                repeat_per_part(ranks.select("node", "parts", "rank"))
+                .drop("parts")
+                .join(links, ["node", "part"])
+                .groupBy(F.col("dst").alias("node"))
                 .agg(
-                    F.sum("mass").alias("mass"),
-                    F.max("old").alias("old"),
+                    F.sum(F.col("rank") * F.col("share")).alias("mass"),
                     F.max("parts").alias("parts"),
-                    F.max("out_weight").alias("out_weight"),
+                    F.max("dangling").alias("dangling"),
+                    F.max(F.when(F.col("parts").isNotNull(), F.col("rank"))).alias("old"),
                 )
-                .select("node", "parts", "out_weight", (F.lit(alpha) * F.col("mass") + F.lit(base)).alias("rank"), "old")
+                .select("node", "parts", "dangling", (F.lit(alpha) * F.col("mass") + F.lit(base)).alias("rank"), "old")
             )
-            if fixed_iter is not None:
-                if step % 5 == 0 or step == rounds or dangling_nodes:
-                    ranks = cut(ranks)
-                continue
-            ranks = cut(ranks)
-            change = ranks.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
-            if change is None or change < n * tol:
-                break
+            if fixed_iter is None or dangling or step % 5 == 0 or step == rounds:
+                ranks = cut(ranks)
+            if fixed_iter is None:
+                change = ranks.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
+                if change < n * tol:
+                    break
         else:
             if fixed_iter is None:
                 raise RuntimeError(f"no convergence within {max_iter} rounds")

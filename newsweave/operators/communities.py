@@ -82,8 +82,8 @@ def _local_moves(arcs: DataFrame, score: float, whole: float, resolution: float,
     kept = None
     for step in range(max_passes):
         for half in (0, 1):
-            state = _round(between_nodes, state, whole, resolution, F.pmod(F.xxhash64("node", F.lit(step)), F.lit(2)) == half)
-        state = cut(state)
+            active = F.pmod(F.xxhash64("node", F.lit(step)), F.lit(2)) == half
+            state = cut(_round(between_nodes, state, whole, resolution, active))
         reached = _modularity(_by_community(arcs, state), resolution).first()[0]
         if reached < score + MIN_GAIN:
             break

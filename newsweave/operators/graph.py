@@ -29,7 +29,7 @@ def undirected_weighted(edges: DataFrame, weight: str = "last") -> DataFrame:
     ``last``: where both directions exist, the count of the pair that sorts later wins. ``sum``: both add up.
     """
     pairs = edge_weights(edges)
-    merged = F.sum("weight") if weight == "sum" else F.max_by("weight", F.struct("source", "target"))
+    merged = F.sum("weight") if weight == "sum" else F.max_by("weight", "source")
     return pairs.groupBy(F.least("source", "target").alias("src"), F.greatest("source", "target").alias("dst")).agg(
         merged.alias("weight")
     )

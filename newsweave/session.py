@@ -48,25 +48,42 @@ def local_session(app: str = "newsweave", cores: str = "8", partitions: int = 8,
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``, or a temporary one in local mode only."""
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="newsweave-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
+def application_folder(spark: SparkSession) -> str:
+    return os.path.join(shared_folder(spark), f"newsweave-{spark.sparkContext.applicationId}")
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for a table one job writes and a later one reads."""
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(application_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and go on from there with no lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and go on from there.
+
+    The lineage ends at reliable files, so lost executors cost no earlier round, and the next plan sees the
+    measured size. (A checkpointed frame would carry the size estimate of its whole history on: over the
+    rounds of a loop these products grow until planning takes longer than the work.)
+    """
+    spark = df.sparkSession
+    path = work_path(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder; frames returned earlier become unreadable."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scalar(df: DataFrame, value: Column) -> Column:

@@ -20,6 +20,7 @@ from newsweave.session import cut
 
 
 def stream_parquet(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 100) -> DataFrame:
+    """Parquet files arriving at a folder; a single file has to be named by a pattern."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
