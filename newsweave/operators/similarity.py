@@ -99,7 +99,7 @@ def similar_pairs(vectors: DataFrame, threshold: float, rows_per_block: int = RO
         "id", "embedding", "block", F.least("block", "meets").alias("low"), F.greatest("block", "meets").alias("high")
     )
 
-    def multiply(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def multiply(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         low, high = key
         left, right = rows[rows["block"] == low], rows[rows["block"] == high]
         if left.empty or right.empty:
