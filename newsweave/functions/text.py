@@ -16,8 +16,9 @@ RELATIONSHIPS = ["supports", "criticizes", "endorses", "opposes", "represents",
 SENTIMENTS = ["FRIENDLY", "HOSTILE", "NEUTRAL"]
 RATE_LIMIT_SIGNS = ["rate limit", "quota", "429"]
 
-# Unicode whitespace as a Python string method sees it; Java's plain \s is ASCII only.
-SPACE = r"\s\x0b\x1c-\x1f\x85\p{Z}"
+# Unicode whitespace including the four ASCII separators; Java's plain \s is ASCII only.
+UNICODE = "(?U)"
+SPACE = r"\s\x1c-\x1f"
 AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 
 
@@ -28,22 +29,22 @@ def publisher(url: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Trim Unicode whitespace on both sides."""
-    return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.regexp_replace(text, f"{UNICODE}^[{SPACE}]+|[{SPACE}]+$", "")
 
 
 def is_blank(text: Column) -> Column:
     """True for null or whitespace-only text."""
-    return F.coalesce(~text.rlike(f"[^{SPACE}]"), F.lit(True))
+    return F.coalesce(~text.rlike(f"{UNICODE}[^{SPACE}]"), F.lit(True))
 
 
 def tokens(text: Column) -> Column:
     """Whitespace-separated tokens; null for null."""
-    return F.filter(F.split(text, f"[{SPACE}]+"), lambda token: token != "")
+    return F.filter(F.split(text, f"{UNICODE}[{SPACE}]+"), lambda token: token != "")
 
 
 def text_length(text: Column) -> Column:
     """Token count, null for null text (profiling rule)."""
-    return F.when(text.isNotNull(), F.regexp_count(text, F.lit(f"[^{SPACE}]+")))
+    return F.when(text.isNotNull(), F.size(tokens(text)))
 
 
 def word_count(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsweave.operators.distribution import exact_percentiles
-from newsweave.session import scalar
+from newsweave.session import cut, scalar
 
 
 def column_counts(df: DataFrame) -> DataFrame:
@@ -57,12 +57,12 @@ def share_of_all(df: DataFrame, flags: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, column: str, width: int) -> DataFrame:
     """Counts per bin of fixed width from 0 to the maximum; bins are half-open, the last one closed."""
     known = df.select(F.col(column).alias("v")).filter("v is not null")
-    bins = F.greatest(F.ceil(F.max("v") / width), F.lit(1))
-    slots = known.agg(bins.alias("bins")).filter("bins is not null")
-    empty = slots.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bins") - 1)).alias("bin"), F.col("bins").alias("_b"))
-    # floor first, fold the closed end after counting: one row per bin is all that moves
-    counted = known.groupBy(F.floor(F.col("v") / width).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    folded = counted.groupBy(F.least("bin", scalar(known, bins) - 1).alias("bin")).agg(F.sum("n").alias("n"))
+    # one row per open bin is all that moves; the closed end is folded in afterwards
+    counted = cut(known.groupBy(F.floor(F.col("v") / width).alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("top")))
+    bins = F.greatest(F.ceil(F.max("top") / width), F.lit(1))
+    slots = counted.agg(bins.alias("bins"), F.max("top").alias("top")).filter("top is not null")
+    empty = slots.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bins") - 1)).alias("bin"))
+    folded = counted.groupBy(F.least("bin", scalar(counted, bins) - 1).alias("bin")).agg(F.sum("n").alias("n"))
     return empty.join(folded, "bin", "left").select(
         (F.col("bin") * width).alias("bin_start"),
         ((F.col("bin") + 1) * width).alias("bin_end"),

@@ -82,6 +82,7 @@ def pagerank(
         )
         .unionByName(own)
         .repartition(partitions(spark), "node", "part")
+        .sortWithinPartitions("node", "part")
         .persist()
     )
     try:
@@ -135,6 +136,7 @@ def betweenness(graph: DataFrame, batches: int = 1, edges_per_part: int = EDGES_
     links = (
         placed.select(F.col("src").alias("node"), "part", F.col("dst").alias("other"))
         .repartition(partitions(graph.sparkSession), "node", "part")
+        .sortWithinPartitions("node", "part")
         .persist()
     )
     node_parts = nodes.select("node", "parts")

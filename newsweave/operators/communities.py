@@ -98,7 +98,7 @@ def _round(arcs: DataFrame, state: DataFrame, whole: float, resolution: float, a
         arcs.join(movers, "src", "left_semi").join(seen, "dst").groupBy(F.col("src").alias("node"), "community")
         .agg(F.sum("weight").alias("w"))
     )
-    totals = state.groupBy("community").agg(F.sum("k").alias("total"))
+    totals = state.groupBy("community").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("members"))
     own = state.select("node", "k", F.col("community").alias("own"))
     stay = state.filter(active).select("node", "community", F.lit(0.0).alias("w"))
     options = (
@@ -108,12 +108,16 @@ def _round(arcs: DataFrame, state: DataFrame, whole: float, resolution: float, a
     home = F.col("community") == F.col("own")
     others = F.col("total") - F.when(home, F.col("k")).otherwise(0.0)
     gain = F.round(F.col("w") - resolution * F.col("k") * others / whole, 9)
-    chosen = (
-        options.select("node", "community", gain.alias("gain"), home.alias("home"))
-        .groupBy("node")
-        .agg(F.min_by("community", F.struct(-F.col("gain"), ~F.col("home"), F.col("community"))).alias("_to"))
+    rank = F.struct(-gain, ~home, F.col("community"))
+    # two nodes that are both alone would swap places for ever: of such a pair only the one with the larger name moves
+    no_swap = home | (F.col("members") > 1) | (F.col("community") < F.col("own"))
+    chosen = options.groupBy("node").agg(
+        F.min_by("community", rank).alias("_any"),
+        F.min_by("community", F.when(no_swap, rank)).alias("_safe"),
+        F.max(F.when(home, F.col("members"))).alias("_size"),
     )
-    return state.join(chosen, "node", "left").select("node", "k", F.coalesce("_to", "community").alias("community"))
+    moved = chosen.select("node", F.when(F.col("_size") > 1, F.col("_any")).otherwise(F.col("_safe")).alias("_to"))
+    return state.join(moved, "node", "left").select("node", "k", F.coalesce("_to", "community").alias("community"))
 
 
 def community_sizes(members: DataFrame, at_least: int = 3) -> DataFrame:

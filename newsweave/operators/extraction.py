@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsweave.functions import nested as nx
@@ -158,13 +158,14 @@ def count_lexicon(articles: DataFrame, lexicon: DataFrame, tag: str = "VERB", ke
     return articles.select(key).join(hits, key, "left").select(key, F.coalesce("count", F.lit(0)).cast("int").alias("count"))
 
 
-WORD = r"[^\s\x0b\x1c-\x1f\x85\p{Z}.,;:!?\"()\[\]]+"
+BREAK = rf"{tx.UNICODE}[{tx.SPACE}.,;:!?\"()\[\]]+"
 
 
 def sentence_words(articles: DataFrame) -> DataFrame:
     """(url, seq, sentence, words): lower-case words per sentence; sentences end at . ! ? or a line break."""
     sentences = articles.select("url", "seq", F.posexplode(F.split(F.lower("text"), r"[.!?\n]+")).alias("sentence", "body"))
-    return sentences.select("url", "seq", "sentence", F.regexp_extract_all("body", F.lit(WORD), F.lit(0)).alias("words"))
+    words = F.filter(F.split("body", BREAK), lambda word: word != "")
+    return sentences.select("url", "seq", "sentence", words.alias("words"))
 
 
 def gazetteer_mentions(articles: DataFrame, gazetteer: Sequence[tuple[str, str]]) -> DataFrame:
@@ -173,17 +174,24 @@ def gazetteer_mentions(articles: DataFrame, gazetteer: Sequence[tuple[str, str]]
     The dictionary is a parameter list, so it travels with the plan and no article text is shuffled.
     """
     table = F.create_map(*[F.lit(part) for surface, kind in gazetteer for part in (surface.lower(), kind)])
-    surfaces = [surface.lower() for surface, _ in gazetteer]
+    surfaces = {surface.lower() for surface, _ in gazetteer}
+    single = [surface for surface in surfaces if " " not in surface]
+    double = [surface for surface in surfaces if " " in surface]
     words = F.col("words")
-    at = F.sequence(F.lit(1), F.size(words))
-    one = F.transform(at, lambda i: F.struct(i.alias("position"), F.element_at(words, i).alias("entity")))
-    two = F.transform(
-        at, lambda i: F.struct(i.alias("position"), F.concat_ws(" ", F.slice(words, i, F.lit(2))).alias("entity"))
-    )
-    # the last word has no pair; its "pair" is the word itself and would be counted twice
-    two = F.slice(two, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
-    found = F.filter(F.concat(one, two), lambda m: m["entity"].isin(surfaces))
-    mentions = sentence_words(articles).filter(F.size(words) > 0).select("url", "seq", "sentence", F.explode(found).alias("m"))
+
+    def places(last: Column, heads: list[str]) -> Column:
+        """Positions whose word is one of the heads; the rest is never looked at again."""
+        at = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+        return F.filter(at, lambda i: F.element_at(words, i).isin(heads))
+
+    found = F.transform(places(F.size(words), single), lambda i: F.struct(i.alias("position"), F.element_at(words, i).alias("entity")))
+    if double:
+        pairs = F.transform(
+            places(F.size(words) - 1, sorted({surface.split(" ")[0] for surface in double})),
+            lambda i: F.struct(i.alias("position"), F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)).alias("entity")),
+        )
+        found = F.concat(found, F.filter(pairs, lambda m: m["entity"].isin(double)))
+    mentions = sentence_words(articles).select("url", "seq", "sentence", F.explode(found).alias("m"))
     return mentions.select("url", "seq", "sentence", "m.position", "m.entity", table[F.col("m.entity")].alias("entity_type"))
 
 

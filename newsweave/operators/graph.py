@@ -28,9 +28,10 @@ def undirected_weighted(edges: DataFrame, weight: str = "last") -> DataFrame:
 
     ``last``: where both directions exist, the count of the pair that sorts later wins. ``sum``: both add up.
     """
-    pairs = edge_weights(edges)
-    merged = F.sum("weight") if weight == "sum" else F.max_by("weight", "source")
-    return pairs.groupBy(F.least("source", "target").alias("src"), F.greatest("source", "target").alias("dst")).agg(
+    known = edges.filter("source is not null and target is not null")
+    forward, back = F.count_if(F.col("source") <= F.col("target")), F.count_if(F.col("source") > F.col("target"))
+    merged = forward + back if weight == "sum" else F.when(back > 0, back).otherwise(forward)
+    return known.groupBy(F.least("source", "target").alias("src"), F.greatest("source", "target").alias("dst")).agg(
         merged.alias("weight")
     )
 

@@ -21,18 +21,28 @@ FLAGS = ["is_us_election", "is_french_election", "is_german_election"]
 KINDS = (("thand", "analysis"), ("ander", "interview"))
 
 
-def english(spark, sf):
-    return fl.language_is(fx.articles(spark, sf))
+def english(spark, sf, heavy=False):
+    return fl.language_is(fx.articles(spark, sf, heavy))
 
 
 def unique(spark, sf):
     return keep_one(english(spark, sf), ["url"], "seq", "last")
 
 
+def latest(spark, sf, *columns):
+    """Some columns of the latest row per address: the others, the text above all, are not moved."""
+    return keep_one(english(spark, sf).select("seq", "url", *columns), ["url"], "seq", "last")
+
+
+def article_lengths(spark, sf):
+    """Words per article, counted before the latest rows are picked so that no text is shuffled."""
+    counted = english(spark, sf, heavy=True).select("seq", "url", tx.text_length(F.col("text")).alias("words"))
+    return keep_one(counted, ["url"], "seq", "last")
+
+
 def published(spark, sf):
-    slim = english(spark, sf).select("seq", "url", "relevance_text", "datetime")
-    latest = keep_one(slim, ["url"], "seq", "last")
-    return latest.withColumns({"publisher": tx.publisher(F.col("url")), "date": F.to_date("datetime")})
+    found = latest(spark, sf, "relevance_text", "datetime")
+    return found.withColumns({"publisher": tx.publisher(F.col("url")), "date": F.to_date("datetime")})
 
 
 def flag_union(spark, sf):
@@ -64,7 +74,7 @@ def some_text(spark, sf):
     """Texts with nulls, and odd blanks added to some."""
     odd = F.concat("text", F.lit(" x y\u0085z​w "))
     text = F.when(F.col("seq") % 50 == 0, F.lit(None)).when(F.col("seq") % 7 == 0, odd).otherwise(F.col("text"))
-    return fx.articles(spark, sf).select("seq", "url", text.alias("text"))
+    return fx.articles(spark, sf, heavy=True).select("seq", "url", text.alias("text"))
 
 
 SOME_TEXT = """some_text AS (
@@ -82,7 +92,7 @@ def token_sql(text: str) -> str:
 
 def features(spark, sf):
     lexicon = spark.createDataFrame(fx.LEXICON, "token string, tag string")
-    df = article_features(fx.articles(spark, sf), lexicon, fx.KEYWORDS, KINDS)
+    df = article_features(fx.articles(spark, sf, heavy=True), lexicon, fx.KEYWORDS, KINDS)
     return df.select(
         "seq", "news_org", "date", "day_of_week", "month", "is_weekend", "days_until_us_election",
         "days_until_french_election", "word_count", "verb_count", "mentions_election_keywords", "language", "article_type",
@@ -132,7 +142,7 @@ QUERIES = {
     "column_counts": lambda s, d: ag.column_counts(english(s, d)),
     "value_counts": lambda s, d: ag.value_counts(fx.articles(s, d), "language"),
     "value_ratios": lambda s, d: ag.value_ratios(
-        unique(s, d).select("relevance_description"), "relevance_description"
+        latest(s, d, "relevance_description"), "relevance_description"
     ).withColumn("ratio", F.round("ratio", 6)),
     "publisher_nunique": lambda s, d: ag.distinct_count(published(s, d), "publisher"),
     "publisher_counts": lambda s, d: ag.value_counts(published(s, d), "publisher"),
@@ -146,10 +156,8 @@ QUERIES = {
     "spike_days": lambda s, d: top(ag.mean_by(published(s, d), "date", "relevance_text"), 10, F.desc("mean"), F.col("date")).withColumn(
         "mean", F.round("mean", 6)
     ),
-    "relevant_share_by_flag": lambda s, d: ag.share_of_all(unique(s, d), FLAGS[:2]).withColumn("ratio", F.round("ratio", 6)),
-    "length_histogram": lambda s, d: ag.histogram(
-        unique(s, d).select(tx.text_length(F.col("text")).alias("words")), "words", 500
-    ),
+    "relevant_share_by_flag": lambda s, d: ag.share_of_all(latest(s, d, "relevance_text", *FLAGS[:2]), FLAGS[:2]).withColumn("ratio", F.round("ratio", 6)),
+    "length_histogram": lambda s, d: ag.histogram(article_lengths(s, d), "words", 500),
     "dedupe_keep_last": lambda s, d: keep_one(english(s, d).select("seq", "url", "relevance_text"), ["url"], "seq", "last"),
     "publisher": lambda s, d: url_variants(s, d).select("seq", tx.publisher(F.col("url")).alias("publisher")),
     "word_count": lambda s, d: some_text(s, d).select(
@@ -169,8 +177,8 @@ QUERIES = {
     "pending_articles": lambda s, d: pending(
         fx.articles(s, d).select("seq", "url"), fx.articles(s, d).filter("seq % 3 = 0").select("url")
     ).select("seq", "url"),
-    "gazetteer_entities": lambda s, d: ex.gazetteer_entities(fx.articles(s, d), fx.GAZETTEER),
-    "cooccurrence_edges": lambda s, d: ex.cooccurrence_edges(fx.articles(s, d), fx.GAZETTEER),
+    "gazetteer_entities": lambda s, d: ex.gazetteer_entities(fx.articles(s, d, heavy=True), fx.GAZETTEER),
+    "cooccurrence_edges": lambda s, d: ex.cooccurrence_edges(fx.articles(s, d, heavy=True), fx.GAZETTEER),
     "csv_roundtrip": csv_roundtrip,
     "appended_results": appended_results,
 }

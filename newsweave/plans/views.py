@@ -186,24 +186,27 @@ def eda_profile(articles: DataFrame) -> dict[str, DataFrame]:
     """The tables of the exploratory profile, by name."""
     english = fl.language_is(articles)
     unique = keep_one(english, ["url"], "seq", "last")
-    published = unique.withColumns({"publisher": tx.publisher(F.col("url")), "date": F.to_date("datetime")})
+    # texts are measured before the latest rows are picked: only their lengths are shuffled
+    measured = english.withColumn("text_length", tx.text_length(F.col("text"))).drop("text")
+    slim = keep_one(measured, ["url"], "seq", "last")
+    published = slim.withColumns({"publisher": tx.publisher(F.col("url")), "date": F.to_date("datetime")})
     daily = ag.mean_by(published, "date", "relevance_text")
     return {
         "languages": ag.value_counts(articles, "language"),
         "column_counts": ag.column_counts(english),
         "duplicates": duplicate_count(english.drop("seq")),
         "duplicate_rows": duplicate_rows(english.drop("seq")),
-        "description_ratios": ag.value_ratios(unique, "relevance_description"),
-        "label_ratios": ag.value_ratios(unique, "relevance_text"),
+        "description_ratios": ag.value_ratios(slim, "relevance_description"),
+        "label_ratios": ag.value_ratios(slim, "relevance_text"),
         "nulls": ag.null_profile(unique),
         "label_queue": fl.label_queue(unique),
         "publishers": ag.distinct_count(published, "publisher"),
         "publisher_counts": ag.value_counts(published, "publisher"),
         "relevance_by_publisher": ag.mean_by(published, "publisher", "relevance_text").orderBy(F.desc("mean"), "publisher"),
-        "text_lengths": ag.histogram(unique.select(tx.text_length(F.col("text")).alias("n")), "n", 500),
+        "text_lengths": ag.histogram(slim, "text_length", 500),
         "daily_relevance": daily,
         "spike_days": daily.orderBy(F.desc("mean"), "date").limit(10),
-        "relevant_share": ag.share_of_all(unique, ["is_us_election", "is_french_election"]),
+        "relevant_share": ag.share_of_all(slim, ["is_us_election", "is_french_election"]),
     }
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsweave.session import scalar
+from newsweave.sources.tables import spread
 
 KEYWORDS = ["the", "with", "from"]
 # token, tag
@@ -25,8 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def articles(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    """``heavy`` spreads a small input over all cores before costly text expressions."""
     documents = table(spark, sf_dir, "documents")
+    if heavy:
+        documents = spread(documents)
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), F.col("url").alias("page_url"))
     labels = table(spark, sf_dir, "labels")
     made_up = F.format_string("https://%s.example.com/%s/%d", "source", "lang", F.col("n_chars") % 97)

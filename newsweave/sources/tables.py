@@ -43,6 +43,12 @@ def load_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return table.select(*columns) if columns else table
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give every core a share of a scan that has fewer partitions than there are cores; others pass unchanged."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header whose quoted cells may hold line breaks; any path Spark's file systems can open.
 
