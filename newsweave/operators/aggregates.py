@@ -97,10 +97,12 @@ def clusters_by_canonical(mapping: DataFrame, names_per_part: int = 10_000) -> D
     A cluster of any size is listed whole: one with more than ``names_per_part`` names is spread over
     several rows numbered by ``part``, so that no cell and no task holds an unbounded list.
     """
-    sizes = mapping.groupBy("canonical").agg(F.count(F.lit(1)).alias("number_of_names_in_cluster"))
+    sizes = cut(
+        mapping.groupBy("canonical").agg(F.count(F.lit(1)).alias("number_of_names_in_cluster")).filter("number_of_names_in_cluster > 1")
+    )
     parts = F.ceil(F.col("number_of_names_in_cluster") / names_per_part)
     grouped = (
-        mapping.join(sizes.filter("number_of_names_in_cluster > 1"), "canonical")
+        mapping.join(sizes, "canonical")
         .withColumn("part", F.pmod(F.xxhash64("alias"), parts))
         .groupBy("canonical", "part", "number_of_names_in_cluster")
         .agg(F.sort_array(F.collect_list("alias")).alias("aliases"))

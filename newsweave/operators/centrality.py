@@ -29,11 +29,16 @@ def both_ways(graph: DataFrame) -> DataFrame:
 
 def spread_arcs(arcs: DataFrame, edges_per_part: int = EDGES_PER_PART) -> tuple[DataFrame, DataFrame]:
     """(arcs with ``part``, nodes with ``parts`` and their outgoing weight)."""
-    out = arcs.groupBy(F.col("src").alias("node")).agg(
-        F.sum("weight").alias("out_weight"), F.ceil(F.count(F.lit(1)) / edges_per_part).alias("parts")
-    )
-    targets = arcs.select(F.col("dst").alias("node")).distinct()
-    nodes = cut(targets.join(out, "node", "full").fillna({"out_weight": 0, "parts": 1}))
+    ends = arcs.select(
+        F.explode(
+            F.array(
+                F.struct(F.col("src").alias("node"), F.col("weight").cast("double").alias("w"), F.lit(1).alias("arcs")),
+                F.struct(F.col("dst").alias("node"), F.lit(0.0).alias("w"), F.lit(0).alias("arcs")),
+            )
+        ).alias("e")
+    ).select("e.*")
+    parts = F.greatest(F.ceil(F.sum("arcs") / edges_per_part), F.lit(1))
+    nodes = cut(ends.groupBy("node").agg(F.sum("w").alias("out_weight"), parts.alias("parts")))
     sized = nodes.select(F.col("node").alias("src"), "out_weight", "parts")
     placed = arcs.join(sized, "src").withColumn("part", F.pmod(F.xxhash64("dst"), "parts"))
     return placed, nodes
@@ -58,7 +63,8 @@ def pagerank(
     ``fixed_iter`` runs an exact number of rounds instead.
     """
     spark = graph.sparkSession
-    arcs = graph.select("src", "dst", "weight") if directed else both_ways(graph)
+    graph = cut(graph.select("src", "dst", "weight"))
+    arcs = graph if directed else both_ways(graph)
     placed, nodes = spread_arcs(arcs, edges_per_part)
     # The arcs are shuffled once; each round only moves one row per node to them. A lost cached block is
     # recomputed from its inputs. Each node also has an arc of no weight to itself that carries its old rank
@@ -86,6 +92,8 @@ def pagerank(
         .persist()
     )
     try:
+        # filled now: only a filled cache tells the planner of the rounds how it is partitioned and sorted
+        links.count()
         n = nodes.count()
         if n == 0:
             return nodes.select("node", F.lit(0.0).alias("pagerank"))
@@ -128,6 +136,7 @@ def betweenness(graph: DataFrame, batches: int = 1, edges_per_part: int = EDGES_
     Level-synchronous search keyed by (root, node), then dependency sums from the deepest level back. The
     state has one row per reached (root, node); ``batches`` handles the roots in several passes to bound it.
     """
+    graph = cut(graph.select("src", "dst"))
     simple = graph.filter("src <> dst").select("src", "dst", F.lit(1).alias("weight"))
     placed, _ = spread_arcs(both_ways(simple), edges_per_part)
     all_nodes = cut(graph.select(F.explode(F.array("src", "dst")).alias("node")).distinct())
@@ -141,6 +150,8 @@ def betweenness(graph: DataFrame, batches: int = 1, edges_per_part: int = EDGES_
     )
     node_parts = nodes.select("node", "parts")
     try:
+        # filled now: only a filled cache tells the planner of the rounds how it is partitioned and sorted
+        links.count()
         n = nodes.count()
         totals = []
         for batch in range(batches):

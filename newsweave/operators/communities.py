@@ -25,12 +25,11 @@ def symmetric(graph: DataFrame) -> DataFrame:
 
 def modularity(graph: DataFrame, communities: DataFrame, resolution: float = 1.0) -> DataFrame:
     """Weighted modularity of a partition (node, community), as one row."""
-    arcs = symmetric(graph)
-    return _modularity(_by_community(arcs, communities), resolution)
+    return _modularity(_by_community(symmetric(graph), cut(communities)), resolution)
 
 
 def _by_community(arcs: DataFrame, members: DataFrame) -> DataFrame:
-    """Weights between communities."""
+    """Weights between communities; ``members`` is a written table, so the arcs of a hub can be split."""
     source = members.select(F.col("node").alias("src"), F.col("community").alias("a"))
     target = members.select(F.col("node").alias("dst"), F.col("community").alias("b"))
     return (
@@ -69,7 +68,7 @@ def communities(graph: DataFrame, resolution: float = 1.0, max_levels: int = 10,
         if gained < MIN_GAIN:
             break
     # name each community after its smallest node
-    names = members.groupBy("community").agg(F.min("node").alias("_name"))
+    names = cut(members.groupBy("community").agg(F.min("node").alias("_name")))
     return cut(members.join(names, "community").select("node", F.col("_name").alias("community")))
 
 
@@ -98,7 +97,8 @@ def _round(arcs: DataFrame, state: DataFrame, whole: float, resolution: float, a
         arcs.join(movers, "src", "left_semi").join(seen, "dst").groupBy(F.col("src").alias("node"), "community")
         .agg(F.sum("weight").alias("w"))
     )
-    totals = state.groupBy("community").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("members"))
+    # written out, so that the options of a community holding much of the graph can be split in the join below
+    totals = cut(state.groupBy("community").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("members")))
     own = state.select("node", "k", F.col("community").alias("own"))
     stay = state.filter(active).select("node", "community", F.lit(0.0).alias("w"))
     options = (

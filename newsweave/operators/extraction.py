@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from newsweave.functions import nested as nx
 from newsweave.functions import text as tx
 from newsweave.operators.filters import nonblank_text
+from newsweave.session import cut
 
 Extractor = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 RESPONSE_SCHEMA = "url string, response_text string, error string"
@@ -154,7 +155,7 @@ def count_lexicon(articles: DataFrame, lexicon: DataFrame, tag: str = "VERB", ke
     counted = (
         articles.select(key, F.explode(tx.tokens(F.lower("text"))).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
     )
-    hits = counted.join(words, "token").groupBy(key).agg(F.sum("n").alias("count"))
+    hits = counted.join(cut(words), "token").groupBy(key).agg(F.sum("n").alias("count"))
     return articles.select(key).join(hits, key, "left").select(key, F.coalesce("count", F.lit(0)).cast("int").alias("count"))
 
 

@@ -112,7 +112,7 @@ def ego_search(graph: DataFrame, term: str) -> DataFrame:
 
 def khop(graph: DataFrame, seeds: DataFrame, k: int = 2) -> DataFrame:
     """Nodes within k steps of the seeds, either direction, with their nearest ring."""
-    reached = seeds.toDF("node").distinct().withColumn("hop", F.lit(0))
+    reached = cut(seeds.toDF("node").distinct().withColumn("hop", F.lit(0)))
     both = graph.select(F.explode(F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))))
     both = both.select("col.src", "col.dst").filter("src <> dst")
     for step in range(1, k + 1):

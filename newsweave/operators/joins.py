@@ -1,7 +1,9 @@
 """Joins.
 
-Lookup sides have one row per key, so a hot key only makes the probe side uneven; the adaptive planner
-splits such partitions, and broadcasts a lookup side only when its measured size is below the threshold.
+Lookup sides have one row per key, so a hot key only makes the probe side uneven. A lookup side that was
+computed by grouping on the join key is written out first (``cut``): joined directly, it would keep the
+partitioning of its grouping, and the adaptive planner only splits a hot key where both sides come straight
+from a shuffle. Written out, its size is measured as well, and it is broadcast only below the threshold.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsweave.operators.ordering import keep_one
+from newsweave.session import cut
 
 
 def join_on_key(left: DataFrame, right: DataFrame, key: str = "url") -> DataFrame:
@@ -70,4 +73,5 @@ def edge_sentiment(graph: DataFrame, edges: DataFrame) -> DataFrame:
 
 def induced_subgraph(edges: DataFrame, nodes: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Edges whose two ends are both in the one-column node table."""
+    nodes = cut(nodes)
     return with_keys(with_keys(edges, src, nodes), dst, nodes)

@@ -12,7 +12,7 @@ from newsweave.functions import vectors as vx
 from newsweave.operators.filters import drop_self_loops
 from newsweave.operators.joins import replace_by_map
 from newsweave.operators.ordering import keep_one
-from newsweave.operators.similarity import ROWS_PER_BLOCK, similar_pairs
+from newsweave.operators.similarity import ROWS_PER_BLOCK, pairs_above
 from newsweave.session import cut
 
 
@@ -59,16 +59,19 @@ def cluster_names(vectors: DataFrame, threshold: float = 0.88, rows_per_block: i
     # a zero vector is similar to nothing, not even to its copies
     own_key = F.when(vx.norm(F.col("embedding")) == 0, F.col("seq")).otherwise(F.lit(-1))
     keyed = vectors.select("name", "seq", "embedding", own_key.alias("_zero"))
-    firsts = keyed.groupBy("embedding", "_zero").agg(F.min("seq").alias("rep"))
-    names = cut(keyed.join(firsts, ["embedding", "_zero"]).select("name", "seq", "rep", "embedding"))
-    reps = names.filter("seq = rep").select("name", "seq", "embedding")
-    pairs = cut(similar_pairs(reps, threshold, rows_per_block).select("left_seq", "right_seq"))
+    firsts = cut(keyed.groupBy("embedding", "_zero").agg(F.min("seq").alias("rep")))
+    names = cut(keyed.join(firsts, ["embedding", "_zero"]).select("name", "seq", "rep"))
+    pairs = cut(
+        pairs_above(firsts.select(F.col("rep").alias("id"), "embedding"), threshold, rows_per_block).select(
+            F.col("a").alias("left_seq"), F.col("b").alias("right_seq")
+        )
+    )
 
     taken = None
     active = pairs
     while not active.isEmpty():
-        leading = active.select("left_seq").distinct().join(
-            active.select(F.col("right_seq").alias("left_seq")), "left_seq", "left_anti"
+        leading = cut(
+            active.select("left_seq").distinct().join(active.select(F.col("right_seq").alias("left_seq")), "left_seq", "left_anti")
         )
         newly = cut(active.join(leading, "left_seq", "left_semi").select(F.col("right_seq").alias("seq")).distinct())
         taken = newly if taken is None else cut(taken.unionByName(newly))
@@ -76,15 +79,16 @@ def cluster_names(vectors: DataFrame, threshold: float = 0.88, rows_per_block: i
             active.join(newly.toDF("left_seq"), "left_seq", "left_anti").join(newly.toDF("right_seq"), "right_seq", "left_anti")
         )
 
-    leaders = reps.select("seq") if taken is None else reps.select("seq").join(taken, "seq", "left_anti")
+    leaders = firsts.select(F.col("rep").alias("seq"))
+    if taken is not None:
+        leaders = cut(leaders.join(taken, "seq", "left_anti"))
     # leaders similar to each representative, itself included when it leads
     as_left = pairs.join(leaders.toDF("left_seq"), "left_seq", "left_semi").select(F.col("right_seq").alias("rep"), F.col("left_seq").alias("leader"))
     as_right = pairs.join(leaders.toDF("right_seq"), "right_seq", "left_semi").select(F.col("left_seq").alias("rep"), F.col("right_seq").alias("leader"))
     itself = leaders.select(F.col("seq").alias("rep"), F.col("seq").alias("leader"))
     near = as_left.unionByName(as_right).unionByName(itself)
     chosen = (
-        names.select("name", "seq", "rep")
-        .join(near, "rep")
+        names.join(near, "rep")
         .filter("leader <= seq")
         .groupBy("seq")
         .agg(F.first("name").alias("alias"), F.max("leader").alias("leader"))
@@ -94,11 +98,11 @@ def cluster_names(vectors: DataFrame, threshold: float = 0.88, rows_per_block: i
 
 
 def build_resolution_map(clusters: DataFrame, overrides: DataFrame) -> DataFrame:
-    """(alias, canonical): cluster results, replaced or extended by hand-made corrections."""
+    """(alias, canonical): cluster results, replaced or extended by hand-made corrections, as a written table."""
     ranked = clusters.select("alias", "canonical", F.lit(0).alias("rank")).unionByName(
         overrides.select("alias", "canonical", F.lit(1).alias("rank"))
     )
-    return ranked.groupBy("alias").agg(F.max_by("canonical", "rank").alias("canonical"))
+    return cut(ranked.groupBy("alias").agg(F.max_by("canonical", "rank").alias("canonical")))
 
 
 def follow_chains(mapping: DataFrame, max_hops: int = 20) -> DataFrame:

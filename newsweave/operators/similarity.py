@@ -87,15 +87,10 @@ def _fields(df: DataFrame) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
-def similar_pairs(vectors: DataFrame, threshold: float, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """All pairs (left, right, left_seq, right_seq, cosine) with cosine above the threshold, left_seq < right_seq.
-
-    ``vectors``: name, seq (unique), embedding.
-    """
-    slim = vectors.select(F.col("seq").alias("id"), "embedding")
-    # a zero vector is at a right angle to everything: widen the limit only if such pairs could qualify
+def pairs_above(vectors: DataFrame, threshold: float, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """All pairs (a, b, cosine), a < b, of ``vectors`` (id, embedding) with cosine above the threshold."""
     limit = math.pi if threshold < 0 else math.acos(min(threshold, 1.0))
-    blocked = _blocks(slim, limit, rows_per_block).select(
+    blocked = _blocks(vectors, limit, rows_per_block).select(
         "id", "embedding", "block", F.least("block", "meets").alias("low"), F.greatest("block", "meets").alias("high")
     )
 
@@ -111,7 +106,15 @@ def similar_pairs(vectors: DataFrame, threshold: float, rows_per_block: int = RO
         a, b = left["id"].to_numpy()[i], right["id"].to_numpy()[j]
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "cosine": cosines[i, j]})
 
-    pairs = blocked.groupBy("low", "high").applyInPandas(multiply, "a bigint, b bigint, cosine double")
+    return blocked.groupBy("low", "high").applyInPandas(multiply, "a bigint, b bigint, cosine double")
+
+
+def similar_pairs(vectors: DataFrame, threshold: float, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """All pairs (left, right, left_seq, right_seq, cosine) with cosine above the threshold, left_seq < right_seq.
+
+    ``vectors``: name, seq (unique), embedding.
+    """
+    pairs = pairs_above(vectors.select(F.col("seq").alias("id"), "embedding"), threshold, rows_per_block)
     names = vectors.select("seq", "name")
     return (
         pairs.join(names.toDF("a", "left"), "a")

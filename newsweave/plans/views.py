@@ -45,8 +45,11 @@ def filtered_edges(edges: DataFrame, by: Filters) -> DataFrame:
 
 
 def view_nodes(edges: DataFrame, entities: DataFrame) -> DataFrame:
-    """First entity row of every entity that is an end of an edge."""
-    return keep_one(with_keys(entities, "entity", gr.graph_nodes(edges)), ["entity"])
+    """First entity row of every entity that is an end of an edge.
+
+    Entities are reduced to their first rows before the join, which then meets one row per name on both sides.
+    """
+    return with_keys(keep_one(entities, ["entity"]), "entity", gr.graph_nodes(edges))
 
 
 def graph_view(edges: DataFrame, entities: DataFrame, by: Filters = Filters(), keep_untyped: bool = False):

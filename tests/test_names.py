@@ -61,8 +61,8 @@ def test_clusters_equal_the_sequential_scan(spark, seed, threshold):
 
 def test_copies_add_no_pairs(spark, monkeypatch):
     seen = []
-    original = rs.similar_pairs
-    monkeypatch.setattr(rs, "similar_pairs", lambda v, *a: seen.append(v.count()) or original(v, *a))
+    original = rs.pairs_above
+    monkeypatch.setattr(rs, "pairs_above", lambda v, *a: seen.append(v.count()) or original(v, *a))
     matrix = np.vstack([np.tile([1.0, 0.0], (50, 1)), [[0.0, 1.0]]])
     found = rs.cluster_names(vectors_of(spark, matrix), 0.88).collect()
     assert seen == [2]
