@@ -400,8 +400,8 @@ UNION ALL SELECT DISTINCT 'entity_type', entity_type FROM entities""",
         f"SELECT {p}::DOUBLE AS share, round({PERCENTILE.format(p)}, 6) AS threshold" for p in ("0.9", "0.97")
     ),
     "node_sizes_minmax": BASE
-    + """SELECT node, round(10 + 20 * (degree_centrality - (SELECT min(degree_centrality) FROM central))
-  / (SELECT max(degree_centrality) - min(degree_centrality) FROM central), 6) AS scaled FROM central""",
+    + """SELECT node, round(10 + 20 * coalesce((degree_centrality - (SELECT min(degree_centrality) FROM central))
+  / nullif((SELECT max(degree_centrality) - min(degree_centrality) FROM central), 0), 0), 6) AS scaled FROM central""",
     "in_out_degree": BASE
     + """, ends AS (
   SELECT source AS node, 0 AS i, 1 AS o, 0 AS ri, weight AS ro FROM weights
