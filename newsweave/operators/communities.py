@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from newsweave.session import cut, scalar
 
 MIN_GAIN = 1e-7
+# a pass that gains less than this ends its level: contraction then moves whole groups at once
+PASS_GAIN = 1e-3
 
 
 def symmetric(graph: DataFrame) -> DataFrame:
@@ -86,7 +88,9 @@ def _local_moves(arcs: DataFrame, score: float, whole: float, resolution: float,
         reached = _modularity(_by_community(arcs, state), resolution).first()[0]
         if reached < score + MIN_GAIN:
             break
-        kept, score = state, reached
+        gained, kept, score = reached - score, state, reached
+        if gained < PASS_GAIN:
+            break
     return (kept.select("node", "community") if kept is not None else None), score
 
 
