@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
-Each query is run once for warm-up of code paths it shares with others (the first query pays the JVM start)
-and timed on a full write to the ``noop`` sink.
+One query runs untimed first, so that none pays for the session start; each is then timed once, from building
+the plan to a full write to the ``noop`` sink.
 """
 
 from __future__ import annotations

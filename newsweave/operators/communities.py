@@ -14,6 +14,7 @@ from newsweave.session import cut, scalar
 MIN_GAIN = 1e-7
 # a pass that gains less than this ends its level: contraction then moves whole groups at once
 PASS_GAIN = 1e-3
+PARTS = 8
 
 
 def symmetric(graph: DataFrame) -> DataFrame:
@@ -101,13 +102,17 @@ def _round(arcs: DataFrame, state: DataFrame, whole: float, resolution: float, a
         arcs.join(movers, "src", "left_semi").join(seen, "dst").groupBy(F.col("src").alias("node"), "community")
         .agg(F.sum("weight").alias("w"))
     )
-    # written out, so that the options of a community holding much of the graph can be split in the join below
-    totals = cut(state.groupBy("community").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("members")))
+    # a community may hold much of the graph: its total is repeated per part, its options are spread over the parts
+    totals = (
+        state.groupBy("community").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("members"))
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    )
     own = state.select("node", "k", F.col("community").alias("own"))
     stay = state.filter(active).select("node", "community", F.lit(0.0).alias("w"))
     options = (
         links.unionByName(stay).groupBy("node", "community").agg(F.sum("w").alias("w"))
-        .join(totals, "community").join(own, "node")
+        .withColumn("part", F.pmod(F.hash("node"), F.lit(PARTS)))
+        .join(totals, ["community", "part"]).join(own, "node")
     )
     home = F.col("community") == F.col("own")
     others = F.col("total") - F.when(home, F.col("k")).otherwise(0.0)

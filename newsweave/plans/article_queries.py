@@ -46,9 +46,9 @@ def published(spark, sf):
 
 
 def flag_union(spark, sf):
-    plain = fx.articles(spark, sf).drop(*FLAGS)
-    us = tb.flag_source(plain.filter("seq % 2 = 0"), {FLAGS[0]: 1, FLAGS[1]: 0, FLAGS[2]: 0})
-    french = tb.flag_source(plain.filter("seq % 2 = 1"), {FLAGS[0]: 0, FLAGS[1]: 1, FLAGS[2]: 0})
+    whole = fx.articles(spark, sf)
+    us = tb.flag_source(whole.filter("is_us_election = 1").drop(*FLAGS), {FLAGS[0]: 1, FLAGS[1]: 0, FLAGS[2]: 0})
+    french = tb.flag_source(whole.filter("is_french_election = 1").drop(*FLAGS), {FLAGS[0]: 0, FLAGS[1]: 1, FLAGS[2]: 0})
     return tb.stack_tables([us, french]).select("seq", "url", "language", *FLAGS)
 
 
@@ -125,9 +125,10 @@ def csv_roundtrip(spark, sf):
 
 def appended_results(spark, sf):
     """Two batches appended to one table, with a stamped copy of each."""
-    rows = fx.articles(spark, sf).select("seq", "url")
+    rows = fx.articles(spark, sf).select("seq", "url", "is_us_election")
     path = work_path(spark, "results")
-    for batch, stamp in ((rows.filter("seq % 2 = 0"), "20240601_0000"), (rows.filter("seq % 2 = 1"), "20240601_0005")):
+    for flag, stamp in ((1, "20240601_0000"), (0, "20240601_0005")):
+        batch = rows.filter(F.col("is_us_election") == flag).select("seq", "url")
         tb.append_results(batch, f"{path}/master")
         tb.snapshot(batch, f"{path}/backups", stamp)
     kept = tb.load_parquet(spark, f"{path}/backups").select("seq", F.col("batch_stamp").cast("string").alias("batch_stamp"))
@@ -175,7 +176,7 @@ QUERIES = {
     "lexicon_count": lambda s, d: ex.count_lexicon(some_text(s, d), s.createDataFrame(fx.LEXICON, "token string, tag string")),
     "article_features": features,
     "pending_articles": lambda s, d: pending(
-        fx.articles(s, d).select("seq", "url"), fx.articles(s, d).filter("seq % 3 = 0").select("url")
+        fx.articles(s, d).select("seq", "url"), fx.articles(s, d).filter("relevance_description is not null").select("url")
     ).select("seq", "url"),
     "gazetteer_entities": lambda s, d: ex.gazetteer_entities(fx.articles(s, d, heavy=True), fx.GAZETTEER),
     "cooccurrence_edges": lambda s, d: ex.cooccurrence_edges(fx.articles(s, d, heavy=True), fx.GAZETTEER),
@@ -281,7 +282,7 @@ FROM articles""",
   {KEYWORD_TEST} AS mentions_election_keywords, language, {TYPE_CASE} AS article_type
 FROM articles""",
     "pending_articles": with_(ARTICLES)
-    + "SELECT seq, url FROM articles WHERE url NOT IN (SELECT url FROM articles WHERE seq % 3 = 0)",
+    + "SELECT seq, url FROM articles WHERE url NOT IN (SELECT url FROM articles WHERE relevance_description IS NOT NULL)",
     "gazetteer_entities": with_(ARTICLES, SENTENCES)
     + f""", mentions AS (
   SELECT url, seq, unnest(words) AS entity FROM worded
@@ -300,5 +301,5 @@ SELECT url, seq, source, target, count(*) AS n, 'partners with' AS relationship,
 FROM steps WHERE source <> target GROUP BY url, seq, source, target""",
     "csv_roundtrip": with_(ARTICLES) + "SELECT seq, url, text, relevance_text FROM articles",
     "appended_results": with_(ARTICLES)
-    + "SELECT seq, url, CASE seq % 2 WHEN 0 THEN '20240601_0000' ELSE '20240601_0005' END AS batch_stamp FROM articles",
+    + "SELECT seq, url, CASE is_us_election WHEN 1 THEN '20240601_0000' ELSE '20240601_0005' END AS batch_stamp FROM articles",
 }

@@ -24,20 +24,16 @@ from newsweave.streaming import jobs
 
 VIEW = views.Filters(sentiment="HOSTILE", start="2024-01-05", end="2024-01-20", search="e1", article_source="US")
 TERM = "e14"
+CROWDED = 88
 
 
 def weighted(spark, sf):
     return gr.undirected_weighted(fx.edges(spark, sf))
 
 
-def endorsements(spark, sf):
-    """The undirected graph of one relationship."""
-    return gr.undirected_weighted(fx.edges(spark, sf).filter("relationship = 'endorses'"))
-
-
-def sparse(spark, sf):
-    """Few enough edges for low degrees to occur."""
-    return gr.undirected_weighted(fx.edges(spark, sf).filter("relationship = 'endorses' and sentiment = 'HOSTILE'"))
+def named_like(spark, sf):
+    """Nodes whose name contains the term."""
+    return gr.graph_nodes(fx.edges(spark, sf)).filter(style.matches(F.col("node"), TERM))
 
 
 def padded(spark, sf):
@@ -64,7 +60,7 @@ def request_dates(spark, sf):
 
 def properties(spark, sf):
     types = fl.nodes_by_property(jn.first_types(fx.entities(spark, sf)), "entity_type", ["people", "locations"])
-    ends = fl.endpoints_by_property(fx.edges(spark, sf).filter("seq % 10 = 0"), "sentiment", ["HOSTILE"])
+    ends = fl.endpoints_by_property(fx.edges(spark, sf), "sentiment", ["HOSTILE"])
     return types.select(F.lit("node").alias("item"), F.col("entity").alias("node")).unionByName(
         ends.select(F.lit("edge").alias("item"), "node")
     )
@@ -158,11 +154,11 @@ def rank_rounds(graph):
 
 
 def brokers(spark, sf):
-    return ce.betweenness(endorsements(spark, sf))
+    return ce.betweenness(weighted(spark, sf))
 
 
 def metrics(spark, sf):
-    found = ce.node_metrics(endorsements(spark, sf), fixed_iter=10)
+    found = ce.node_metrics(weighted(spark, sf), fixed_iter=10)
     return found.withColumns({c: F.round(c, 6) for c in ("degree", "pagerank", "betweenness")})
 
 
@@ -228,11 +224,11 @@ QUERIES = {
     "degree_centrality": lambda s, d: centralities(weighted(s, d)).select("node", "degree", "degree_centrality"),
     "in_out_centrality": lambda s, d: centralities(gr.directed_simple(fx.edges(s, d).select("seq", "source", "target"))),
     "modularity": lambda s, d: co.modularity(*type_partition(s, d)).select(F.round("modularity", 6).alias("modularity")),
-    "degree_subgraph": lambda s, d: gr.min_degree_subgraph(sparse(s, d)),
-    "ego_search": lambda s, d: gr.ego_search(sparse(s, d), TERM),
-    "khop": lambda s, d: gr.khop(sparse(s, d), fx.table(s, d, "events").filter("event_id = 0").select(F.concat(F.lit("E"), "user_id"))),
+    "degree_subgraph": lambda s, d: gr.min_degree_subgraph(weighted(s, d), CROWDED),
+    "ego_search": lambda s, d: gr.ego_search(weighted(s, d), TERM),
+    "khop": lambda s, d: gr.khop(weighted(s, d), named_like(s, d)),
     "label_nodes": lambda s, d: gr.label_nodes(gr.degree_centrality(weighted(s, d))).select("node", "degree"),
-    "labels_above": lambda s, d: gr.labels_above(gr.degree_centrality(endorsements(s, d)), "degree_centrality", 0.2).select(
+    "labels_above": lambda s, d: gr.labels_above(gr.degree_centrality(weighted(s, d)), "degree_centrality", 0.6).select(
         "node", "degree"
     ),
     "daily_edges": lambda s, d: gr.daily_edges(fx.edges(s, d)),
@@ -246,14 +242,14 @@ QUERIES = {
     "graph_view_documents": lambda s, d: views.graph_documents(*views.graph_view(fx.edges(s, d), fx.entities(s, d), VIEW)),
     "explorer_edges": lambda s, d: views.explorer_edges(explorer(s, d)),
     "explorer_nodes": explorer_nodes,
-    "pagerank": lambda s, d: rank_rounds(endorsements(s, d)),
+    "pagerank": lambda s, d: rank_rounds(weighted(s, d)),
     "betweenness": lambda s, d: brokers(s, d).select("node", F.round("betweenness", 6).alias("betweenness")),
     "top_brokers": lambda s, d: ce.top_brokers(
         brokers(s, d).select(F.col("node").alias("entity"), F.round("betweenness", 6).alias("betweenness"))
     ),
     "node_metrics": metrics,
-    "communities": lambda s, d: co.communities(endorsements(s, d)),
-    "community_sizes": lambda s, d: co.community_sizes(co.communities(endorsements(s, d))),
+    "communities": lambda s, d: co.communities(weighted(s, d)),
+    "community_sizes": lambda s, d: co.community_sizes(co.communities(weighted(s, d))),
     "bipartite_weights": lambda s, d: gr.edge_weights(fx.bipartite_edges(s, d)),
     "bipartite_degrees": lambda s, d: centralities(bipartite(s, d)).select("node", "degree", "degree_centrality"),
     "bipartite_pagerank": lambda s, d: rank_rounds(bipartite(s, d)),
@@ -284,17 +280,6 @@ TYPES = """types AS (
 )"""
 BASE = with_(EDGES, ENTITIES, WEIGHTS, GRAPH, DEGREES.format("graph"), TYPES)
 
-
-def subset(condition: str) -> str:
-    """The weighted undirected graph of some of the edges."""
-    return with_(
-        EDGES.replace("edges AS (", "all_edges AS (", 1), f"edges AS (SELECT * FROM all_edges WHERE {condition})", ENTITIES, WEIGHTS, GRAPH,
-        DEGREES.format("graph"), TYPES,
-    )
-
-
-ENDORSED = subset("relationship = 'endorses'")
-SPARSE = subset("relationship = 'endorses' AND sentiment = 'HOSTILE'")
 SHOWN = f"""shown AS (
   SELECT * FROM edges
   WHERE lower(article_source) = 'us' AND sentiment = 'HOSTILE' AND date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
@@ -372,7 +357,7 @@ UNION ALL SELECT seq, 'all' FROM hits WHERE s OR t""",
     "edge_source_list": with_(EDGES) + "SELECT seq, article_source FROM edges WHERE article_source IN ('french', 'german')",
     "drop_self_loops": with_(EDGES) + "SELECT seq, source, target FROM edges WHERE source <> target",
     "nodes_by_property": with_(EDGES, ENTITIES, TYPES)
-    + """, ends AS (SELECT * FROM edges WHERE seq % 10 = 0 AND sentiment = 'HOSTILE')
+    + """, ends AS (SELECT * FROM edges WHERE sentiment = 'HOSTILE')
 SELECT 'node' AS item, entity AS node FROM types WHERE entity_type IN ('people', 'locations')
 UNION ALL SELECT 'edge', node FROM (SELECT source AS node FROM ends UNION SELECT target FROM ends)""",
     "view_nodes": with_(EDGES, ENTITIES, SHOWN)
@@ -462,22 +447,22 @@ FROM ranked""",
   FROM arcs LEFT JOIN types a ON a.entity = src LEFT JOIN types b ON b.entity = dst
 ), per AS (SELECT a, sum(CASE WHEN a = b THEN weight ELSE 0 END)::DOUBLE AS inside, sum(weight)::DOUBLE AS total FROM placed GROUP BY a)
 SELECT round(sum(inside / (SELECT sum(total) FROM per) - (total / (SELECT sum(total) FROM per)) ** 2), 6) AS modularity FROM per""",
-    "degree_subgraph": SPARSE
-    + """SELECT src, dst, weight FROM graph WHERE src IN (SELECT node FROM degrees WHERE degree > 2)
-AND dst IN (SELECT node FROM degrees WHERE degree > 2)""",
-    "ego_search": SPARSE
+    "degree_subgraph": BASE
+    + f"""SELECT src, dst, weight FROM graph WHERE src IN (SELECT node FROM degrees WHERE degree > {CROWDED})
+AND dst IN (SELECT node FROM degrees WHERE degree > {CROWDED})""",
+    "ego_search": BASE
     + f""", touched AS (SELECT src, dst FROM graph WHERE contains(lower(src), '{TERM}') OR contains(lower(dst), '{TERM}')
 ), near AS (SELECT src AS node FROM touched UNION SELECT dst FROM touched)
 SELECT src, dst, weight FROM graph WHERE src IN (SELECT node FROM near) AND dst IN (SELECT node FROM near)""",
-    "khop": SPARSE
-    + """, arcs AS (SELECT src, dst FROM graph UNION SELECT dst, src FROM graph
-), h0 AS (SELECT 'E' || CAST(user_id AS VARCHAR) AS node FROM events WHERE event_id = 0
+    "khop": BASE
+    + f""", arcs AS (SELECT src, dst FROM graph UNION SELECT dst, src FROM graph
+), h0 AS (SELECT node FROM degrees WHERE contains(lower(node), '{TERM}')
 ), h1 AS (SELECT dst AS node FROM arcs WHERE src IN (SELECT node FROM h0)
 ), h2 AS (SELECT dst AS node FROM arcs WHERE src IN (SELECT node FROM h1)
 ), rings AS (SELECT node, 0 AS hop FROM h0 UNION ALL SELECT node, 1 FROM h1 UNION ALL SELECT node, 2 FROM h2)
 SELECT node, min(hop) AS hop FROM rings GROUP BY node""",
     "label_nodes": BASE + f"SELECT node, degree FROM central WHERE degree_centrality >= {PERCENTILE.format('0.9')}",
-    "labels_above": ENDORSED + "SELECT node, degree FROM central WHERE degree_centrality >= 0.2::DOUBLE",
+    "labels_above": BASE + "SELECT node, degree FROM central WHERE degree_centrality >= 0.6::DOUBLE",
     "daily_edges": with_(EDGES) + "SELECT date, relationship, count(*) AS n FROM edges GROUP BY 1, 2",
     "daily_windows": with_(EDGES) + "SELECT date, relationship, count(*) AS n FROM edges GROUP BY 1, 2",
     "stream_dedupe": with_(EDGES) + "SELECT DISTINCT url FROM edges",
@@ -498,12 +483,12 @@ FROM central JOIN types ON entity = node""",
   CAST(min(date) AS VARCHAR) AS min_date, CAST(max(date) AS VARCHAR) AS max_date FROM shown""",
     "explorer_edges": with_(EDGES, EXPLORER)
     + f"SELECT src, dst, sentiment, relationship, url, date, {SENTIMENT_CASE} AS color FROM directed",
-    "pagerank": pagerank_sql(ENDORSED) + "SELECT node, round(rank, 6) AS pagerank FROM r10",
-    "betweenness": paths_sql(ENDORSED) + "SELECT node, round(betweenness, 6) AS betweenness FROM between_all",
-    "top_brokers": paths_sql(ENDORSED)
+    "pagerank": pagerank_sql(BASE) + "SELECT node, round(rank, 6) AS pagerank FROM r10",
+    "betweenness": paths_sql(BASE) + "SELECT node, round(betweenness, 6) AS betweenness FROM between_all",
+    "top_brokers": paths_sql(BASE)
     + """SELECT node AS entity, round(betweenness, 6) AS betweenness FROM between_all
 ORDER BY round(betweenness, 6) DESC, node LIMIT 5""",
-    "node_metrics": paths_sql(pagerank_sql(ENDORSED).replace("arcs AS (", "both_ways AS (").replace("FROM arcs", "FROM both_ways"))
+    "node_metrics": paths_sql(pagerank_sql(BASE).replace("arcs AS (", "both_ways AS (").replace("FROM arcs", "FROM both_ways"))
     + """SELECT c.node AS entity, round(degree_centrality, 6) AS degree, round(rank, 6) AS pagerank, round(betweenness, 6) AS betweenness
 FROM central c JOIN r10 ON r10.node = c.node JOIN between_all b ON b.node = c.node""",
     "bipartite_weights": """SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS source, 'P' || CAST(l_partkey AS VARCHAR) AS target,

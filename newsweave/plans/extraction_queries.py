@@ -51,7 +51,7 @@ def features(spark, sf):
 
 def joined(spark, sf):
     articles = fx.articles(spark, sf).select("seq", "url", "language")
-    replies = parsed(spark, sf).filter("seq % 2 = 0").select("seq", "url", "extracted_entities")
+    replies = parsed(spark, sf).select("seq", "url", "extracted_entities")
     return join_on_key(articles, replies)
 
 
@@ -146,7 +146,7 @@ FROM parsed p JOIN words USING (seq) LEFT JOIN per ON per.seq = p.seq""",
 FROM (SELECT seq, unnest(['object', 'array']) AS kind FROM parsed) GROUP BY 1""",
     "join_features_extractions": with_(RESPONSES_SQL)
     + """SELECT a.url, a.seq AS seq_x, a.language, p.seq AS seq_y, p.extracted_entities
-FROM articles a JOIN parsed p ON p.url = a.url WHERE p.seq % 2 = 0""",
+FROM articles a JOIN parsed p ON p.url = a.url""",
     "graph_table_edges": with_(RESPONSES_SQL, GRAPH_KEPT, RELATIONS) + EDGE_ROWS,
     "graph_table_entities": with_(RESPONSES_SQL, GRAPH_KEPT, CATEGORIES) + ENTITY_ROWS,
 }
