@@ -36,7 +36,6 @@ def local_session(app: str = "newsweave", cores: str = "8", partitions: int = 8,
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in SQL_SETTINGS.items():
         builder = builder.config(key, value)
