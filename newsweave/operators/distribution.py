@@ -15,17 +15,21 @@ from pyspark.sql import functions as F
 from newsweave.session import cut, scalar
 
 SLICES = 64
+# distinct values one task may sum on its own
+ONE_SLICE = 100_000
 
 
 def running_totals(values: DataFrame, order: str, sums: Sequence[str], descending: bool = False) -> DataFrame:
     """Add ``cum_<c>`` for each summed column: the total up to and including the row.
 
     ``values`` must have one row per value of ``order``. The ranges come from approximate quantiles, which
-    only balance the work: any cut points give the same totals.
+    only balance the work: any cut points give the same totals. A counted, small number of values stays in
+    one range.
     """
     values = cut(values)
-    probabilities = [i / SLICES for i in range(1, SLICES)]
-    points = sorted(set(values.approxQuantile(order, probabilities, 0.005)))
+    points = []
+    if values.count() > ONE_SLICE:
+        points = sorted(set(values.approxQuantile(order, [i / SLICES for i in range(1, SLICES)], 0.005)))
     below = F.lit(0)
     if points:
         below = F.size(F.filter(F.array(*[F.lit(float(p)) for p in points]), lambda p: p < F.col(order)))

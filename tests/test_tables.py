@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsweave.operators import aggregates as ag
+from newsweave.operators import distribution
 from newsweave.operators import filters as fl
 from newsweave.operators import joins as jn
 from newsweave.operators import ordering as od
@@ -112,7 +113,9 @@ def test_long_alias_lists_are_split_whole(spark):
     assert [r["aliases"] for r in found if r["canonical"] == "b"] == [["a", "c"]]
 
 
-def test_percentiles_and_totals_under_skew(spark):
+@pytest.mark.parametrize("one_slice", [100_000, 0])
+def test_percentiles_and_totals_under_skew(spark, monkeypatch, one_slice):
+    monkeypatch.setattr(distribution, "ONE_SLICE", one_slice)
     generator = np.random.default_rng(7)
     values = np.concatenate([np.full(400, 0.25), generator.normal(size=797), [0.25, 5.0, 5.0]])
     df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(5)
