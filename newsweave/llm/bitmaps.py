@@ -17,8 +17,8 @@ def bitmap(keys: DataFrame, column: str) -> Broadcast:
     slot = F.pmod(F.col(column), F.lit(1 << bits))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(63).cast("int"))
     found = np.zeros(1 << (bits - 6), np.uint64)
-    for row in keys.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toLocalIterator():
-        found[row["word"]] = np.uint64(row["bits"] & (1 << 64) - 1)
+    words = keys.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    found[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
     return spark.sparkContext.broadcast(found)
 
 

@@ -10,10 +10,11 @@ two lines with equal variants for the same place differ by a replacement there;
 line differs from it by a deletion. Groups of equal keys keep their earliest members only, so nothing is paired within
 a group. The matches found are verified by edit distance on the texts.
 
-Most lines have no neighbour, and a line has as many variants as characters. So a first pass hashes each line without
-one of its ``PIECES`` pieces, for the two lengths a neighbour can share with it; keys that only one line has are
-forgotten, and those left become a bitmap of at most 2**30 bits. The second pass emits variants only for the places
-within pieces that the bitmap holds. A full bitmap would cost work but lose nothing.
+Most lines have no neighbour, and a line has as many variants as characters. So passes of coarser variants go before:
+each line without one of its pieces, for the two lengths a neighbour can share with it, then without one of the pieces
+of such a piece. Keys that only one line has are forgotten, and those left become a bitmap of at most 2**30 bits; the
+next pass divides only pieces that the bitmap holds, the last emits variants for the places within them. A full
+bitmap would cost work but lose nothing.
 
 Edge cases: null texts have no lines; rows that repeat a doc_id count as the same document; lines of rows without a
 doc_id have no place in the order and stay; texts of any length are handled whole.
@@ -22,11 +23,12 @@ doc_id have no place in the order and stay; texts of any length are handled whol
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsweave.llm.bitmaps import bitmap, holds
@@ -34,13 +36,25 @@ from newsweave.llm.texts import joined_hash, mix, prefix_hashes, slabs, small_ba
 from newsweave.session import cut
 
 MIN_CHARS = 20
-PIECES = 4
+PIECES = (4, 8)  # a line is divided into so many pieces, each of these into so many
 _LINE = "line bigint, doc_id bigint, place int"
 _SHARE = "part bigint, tag int"
-_VARIANT = "variant bigint, role int, line bigint, doc_id bigint, place int, text string"
+_VARIANT = "variant bigint, role int, line bigint, text string"
 REPLACED, WHOLE, SHORTENED, TEXT = 0, 1, 2, 3
 
 
+class _Spans(NamedTuple):
+    """Spans of lines (places in the array of characters); shorter: 1 if they stand for a neighbour of one character less."""
+
+    which: np.ndarray
+    shorter: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+
+    def where(self, mask: np.ndarray) -> _Spans:
+        return _Spans(*(x[mask] for x in self))
+
+
 class _Lines:
     """The compared lines of a slab of texts as one array of characters."""
 
@@ -69,16 +83,34 @@ class _Lines:
         salt = np.asarray(salt).astype(np.uint64)
         return np.where(salt == 0, found, mix(found ^ salt * np.uint64(0xC2B2AE3D27D4EB4F)))
 
-    def parts(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-        """For each piece and each shared length: shorter (0 or 1), the key, and the piece's span in the line."""
-        sizes = self.ends - self.starts
-        everything = np.arange(len(sizes))
-        for shorter in (0, 1):
-            shared = sizes - shorter
-            for piece in range(PIECES):
-                begin = self.starts + shared * piece // PIECES
-                end = self.ends - (shared - shared * (piece + 1) // PIECES)
-                yield piece, shorter, self.without(everything, begin, end, 1 + shared * PIECES + piece), begin, end
+    def once(self) -> np.ndarray:
+        """One of each group of equal lines."""
+        return np.unique(self.hashes, return_index=True)[1]
+
+    def divided(self, spans: _Spans, pieces: int) -> _Spans:
+        """The pieces of the given spans."""
+        which, shorter, begin, end = (np.repeat(x, pieces) for x in (spans.which, spans.shorter, spans.begin, spans.end))
+        piece = np.tile(np.arange(pieces), len(spans.which))
+        base = end - begin - shorter
+        return _Spans(which, shorter, begin + base * piece // pieces, begin + base * (piece + 1) // pieces + shorter)
+
+    def keys(self, spans: _Spans) -> np.ndarray:
+        """Equal for lines that agree outside of a span of the same place and the same shared length."""
+        start = self.starts[spans.which]
+        shared = self.ends[spans.which] - start - spans.shorter
+        size = spans.end - spans.begin - spans.shorter
+        return self.without(spans.which, spans.begin, spans.end, 1 + (shared << 32) + ((spans.begin - start) << 8) + size)
+
+    def narrowed(self, found: list[Broadcast], pieces: tuple[int, ...]) -> _Spans:
+        """The spans, divided once more than there are bitmaps, that lie within spans whose keys the bitmaps hold."""
+        once = self.once()
+        which, shorter = np.tile(once, 2), np.repeat([0, 1], len(once))
+        spans = _Spans(which, shorter, self.starts[which], self.ends[which])
+        for level, count in enumerate(pieces[: len(found) + 1]):
+            spans = self.divided(spans, count)
+            if level < len(found):
+                spans = spans.where(holds(found[level].value, self.keys(spans)))
+        return spans
 
 
 def _read(batch: pd.DataFrame) -> list[str]:
@@ -106,71 +138,73 @@ def line_table(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return _compared(docs).mapInPandas(lines, _LINE)
 
 
-def shared_parts(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Keys of lines without a piece that at least two different lines have."""
+def shared_parts(docs: DataFrame, found: list[Broadcast], min_chars: int = MIN_CHARS) -> DataFrame:
+    """Keys of lines without a piece that at least two different lines have; pieces of those in the bitmaps found before."""
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = _read(batch)
             for lo, hi in _slabs(texts):
-                found = _Lines(texts[lo:hi], min_chars)
-                _, once = np.unique(found.hashes, return_index=True)
-                tag = (found.hashes[once] >> np.uint64(33)).astype(np.int32)
-                for _, _, keys, _, _ in found.parts():
-                    yield pd.DataFrame({"part": keys[once].view(np.int64), "tag": tag})
+                lines = _Lines(texts[lo:hi], min_chars)
+                spans = lines.narrowed(found, PIECES)
+                tag = (lines.hashes[spans.which] >> np.uint64(33)).astype(np.int32)
+                yield pd.DataFrame({"part": lines.keys(spans).view(np.int64), "tag": tag})
 
     rows = _compared(docs).mapInPandas(parts, _SHARE)
     return rows.groupBy("part").agg(F.min("tag").alias("low"), F.max("tag").alias("high")).where("low < high").select("part")
 
 
-def variants(docs: DataFrame, parts: Broadcast, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Deletion variants of the lines that share all but one piece with another; their texts as rows of role TEXT."""
+def variants(docs: DataFrame, found: list[Broadcast], min_chars: int = MIN_CHARS) -> DataFrame:
+    """Deletion variants of the lines that agree with another outside of a small piece; their texts as rows of role TEXT."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts, ids = _read(batch), batch["doc_id"].to_numpy()
+            texts = _read(batch)
             for lo, hi in _slabs(texts):
                 lines = _Lines(texts[lo:hi], min_chars)
-                some = np.zeros(len(lines.text), bool)
-                for _, shorter, keys, begin, end in lines.parts():
-                    hit = np.flatnonzero(holds(parts.value, keys))
-                    some[hit] = True
-                    each = end[hit] - begin[hit]
-                    which = np.repeat(hit, each)
-                    at = begin[which] + np.arange(len(which)) - np.repeat(np.cumsum(each) - each, each)
-                    salt = 0 if shorter else 1 + at - lines.starts[which]
-                    yield _rows(lines.without(which, at, at + 1, salt), SHORTENED if shorter else REPLACED, lines, which, ids[lo + lines.owner[which]])
-                hit = np.flatnonzero(some)
+                spans = lines.narrowed(found, PIECES)
+                each = spans.end - spans.begin
+                which, shorter = np.repeat(spans.which, each), np.repeat(spans.shorter, each)
+                at = np.repeat(spans.begin, each) + np.arange(len(which)) - np.repeat(np.cumsum(each) - each, each)
+                # with a character less it equals a whole line, else it equals its like without the same place
+                salt = np.where(shorter == 1, 0, 1 + at - lines.starts[which])
+                yield _rows(lines.without(which, at, at + 1, salt), np.where(shorter == 1, SHORTENED, REPLACED), lines, which)
+                hit = np.unique(spans.which)
                 for role in (WHOLE, TEXT):
-                    yield _rows(lines.hashes[hit], role, lines, hit, ids[lo + lines.owner[hit]])
+                    yield _rows(lines.hashes[hit], np.full(len(hit), role), lines, hit, role == TEXT)
 
     return _compared(docs).mapInPandas(emit, _VARIANT)
 
 
-def _rows(keys: np.ndarray, role: int, lines: _Lines, which: np.ndarray, ids: np.ndarray) -> pd.DataFrame:
-    text = [lines.text[i] for i in which] if role == TEXT else None
-    return pd.DataFrame(
-        {"variant": keys.view(np.int64), "role": role, "line": lines.hashes[which].view(np.int64), "doc_id": ids, "place": lines.place[which], "text": text}
-    )
+def _rows(keys: np.ndarray, role: np.ndarray, lines: _Lines, which: np.ndarray, with_text: bool = False) -> pd.DataFrame:
+    text = [lines.text[i] for i in which] if with_text else None
+    return pd.DataFrame({"variant": keys.view(np.int64), "role": role, "line": lines.hashes[which].view(np.int64), "text": text})
 
 
-def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def near_lines(docs: DataFrame, firsts: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(line, earlier): hashes of different lines with a verified edit distance of one whose second one comes earlier."""
-    found = cut(variants(docs, bitmap(cut(shared_parts(docs, min_chars)), "part"), min_chars))
-    first = F.struct("doc_id", "place")
-    rows = found.where(F.col("role") != TEXT).groupBy("variant", "role", "line").agg(F.min(first).alias("at"))
-    rows = cut(rows.withColumn("side", F.when(F.col("role") == SHORTENED, SHORTENED).when(F.col("role") == WHOLE, WHOLE).otherwise(REPLACED)))
+    maps: list[Broadcast] = []
+    for _ in PIECES:
+        maps.append(bitmap(cut(shared_parts(docs, maps, min_chars)), "part"))
+    found = cut(variants(docs, maps, min_chars))
+    rows = found.where(F.col("role") != TEXT).select("variant", "role", "line").distinct()
+    rows = cut(rows.join(firsts, "line").select("variant", F.col("role").alias("side"), "line", F.col("first").alias("at")))
     best = rows.groupBy("variant", "side").agg(F.min(F.struct("at", "line")).alias("best"))
     # a shortened line meets whole lines and the other way round; replaced ones meet their like
     facing = F.when(F.col("side") == SHORTENED, WHOLE).when(F.col("side") == WHOLE, SHORTENED).otherwise(REPLACED)
     best = best.select("variant", facing.alias("side"), "best")
     pairs = rows.join(best, ["variant", "side"]).where((F.col("best.at") < F.col("at")) & (F.col("best.line") != F.col("line")))
     pairs = cut(pairs.select("line", F.col("best.line").alias("earlier")).distinct())
-    texts = found.where(F.col("role") == TEXT).groupBy("line").agg(F.min("text").alias("text"))
+    texts = found.where(F.col("role") == TEXT).groupBy("line").agg(F.first("text").alias("text"))
     both = pairs.join(texts, "line").join(texts.select(F.col("line").alias("earlier"), F.col("text").alias("other")), "earlier")
     return both.where(F.levenshtein("text", "other", 1) == 1).select("line", "earlier")
 
 
+def _position() -> Column:
+    """(doc_id, place) as one number of the same order, which a hash aggregate can keep."""
+    return F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("place")
+
+
 def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, places, near): the line numbers (from 0) that go in each document, and how many of them had only near matches.
 
@@ -178,10 +212,10 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     lines = cut(line_table(docs, min_chars))
-    firsts = lines.groupBy("line").agg(F.min(F.struct("doc_id", "place")).alias("first"))
-    near = near_lines(docs, min_chars).select("line").distinct().withColumn("near", F.lit(True))
+    firsts = cut(lines.groupBy("line").agg(F.min(_position()).alias("first")))
+    near = near_lines(docs, firsts, min_chars).select("line").distinct().withColumn("near", F.lit(True))
     firsts = cut(firsts.join(near, "line", "left").withColumn("near", F.coalesce("near", F.lit(False))))
-    later = F.struct("doc_id", "place") > F.col("first")
+    later = _position() > F.col("first")
     marked = lines.join(firsts, "line").where(F.col("near") | later)
     return marked.groupBy("doc_id").agg(F.collect_set("place").alias("places"), F.count_if(~later).alias("near"))
 
