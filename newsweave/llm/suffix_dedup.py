@@ -178,15 +178,16 @@ def _stretch_table(docs: DataFrame, wanted: Broadcast, length: int, gram: int) -
 
 
 def _window_table(docs: DataFrame, wanted: Broadcast, length: int, gram: int) -> DataFrame:
-    """Stretches with the hashes of all their windows, for those that may be asked for."""
+    """Stretches with the hashes of all their windows, for the places that may be asked for."""
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             key = frame["row_key"].to_numpy()
             for found, text, place in _scan(plain(frame["text"]), length, gram):
-                hit = np.flatnonzero(holds(wanted.value, found.stretch))
+                stretch = found.stretch.view(np.int64)
+                hit = np.flatnonzero(holds(wanted.value, (stretch ^ key[text] ^ place).view(np.uint64)))
                 yield pd.DataFrame({
-                    "stretch": found.stretch[hit].view(np.int64), "row_key": key[text[hit]], "first": place[hit], "windows": [found.window_hashes(i) for i in hit],
+                    "stretch": stretch[hit], "row_key": key[text[hit]], "first": place[hit], "windows": [found.window_hashes(i) for i in hit],
                 })
 
     return rows_of(docs).mapInPandas(read, "stretch bigint, row_key bigint, first bigint, windows binary")
@@ -196,8 +197,9 @@ def _edge_spans(docs: DataFrame, kinds: DataFrame, length: int, gram: int) -> Da
     """Spans covered by repeated windows in stretches that do not repeat as a whole."""
     mixed = kinds.groupBy("beginning").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1")
     asked = cut(kinds.join(mixed.select("beginning", F.ceil(F.col("kinds") / GROUP).alias("parts")), "beginning"))
-    windows = _window_table(docs, bitmap(asked, "stretch"), length, gram)
     rows = asked.select("beginning", "stretch", "n", "parts", F.col("at.row_key").alias("row_key"), F.col("at.first").alias("first"))
+    place = F.col("stretch").bitwiseXOR(F.col("row_key")).bitwiseXOR(F.col("first"))
+    windows = _window_table(docs, bitmap(rows.select(place.alias("place")), "place"), length, gram)
     rows = windows.join(rows, ["stretch", "row_key", "first"])
 
     def divide(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -212,8 +214,10 @@ def _edge_spans(docs: DataFrame, kinds: DataFrame, length: int, gram: int) -> Da
             yield pd.DataFrame(out, columns=["beginning", "part", "single", "row_key", "starts", "windows"])
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        """Runs of repeated windows in the single stretches among whole groups of rows."""
         sizes = [len(s) for s in rows["starts"]]
-        hashes = np.frombuffer(b"".join(rows["windows"]), np.uint64)
+        group = np.repeat(rows["beginning"].to_numpy().view(np.uint64), sizes)
+        hashes = mix(np.frombuffer(b"".join(rows["windows"]), np.uint64) ^ mix(group))
         starts = np.concatenate([np.asarray(s, np.int64) for s in rows["starts"]])
         _, inverse, count = np.unique(hashes, return_inverse=True, return_counts=True)
         again = np.flatnonzero((count[inverse] > 1) & np.repeat(rows["single"].to_numpy(bool), sizes))
@@ -224,8 +228,25 @@ def _edge_spans(docs: DataFrame, kinds: DataFrame, length: int, gram: int) -> Da
         last = np.append(begin[1:], len(row)) - 1 if len(row) else begin
         return pd.DataFrame({"row_key": rows["row_key"].to_numpy()[row[begin]], "first": starts[begin], "end": starts[last] + length})
 
+    def by_group(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Compare as soon as the last group of what has come is complete; rows come ordered by group."""
+        held: list[pd.DataFrame] = []
+        for frame in frames:
+            keys = frame[["beginning", "part"]].to_numpy()
+            change = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            if held and (held[-1][["beginning", "part"]].to_numpy()[-1] != keys[0]).any():
+                yield compare(pd.concat(held))
+                held = []
+            if len(change):
+                yield compare(pd.concat([*held, frame.iloc[: change[-1]]]))
+                held, frame = [], frame.iloc[change[-1] :]
+            held.append(frame)
+        if held:
+            yield compare(pd.concat(held))
+
     parts = rows.mapInPandas(divide, "beginning bigint, part bigint, single boolean, row_key bigint, starts array<bigint>, windows binary")
-    return parts.groupBy("beginning", "part").applyInPandas(compare, "row_key bigint, first bigint, end bigint")
+    ordered = parts.repartition("beginning", "part").sortWithinPartitions("beginning", "part")
+    return ordered.mapInPandas(by_group, "row_key bigint, first bigint, end bigint")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
