@@ -35,7 +35,7 @@ SYMBOLS = 1 << BITS
 PER_LANGUAGE = 2000
 #: A text that costs more bits a symbol than the uniform code is not in any learned language.
 REJECT_BITS = float(BITS)
-_SLAB = 1 << 19
+_SLAB = 1 << 18
 _LETTER = regex.compile(r"\p{L}")
 _ANSWER = "lang_pred string, score double, bits double"
 

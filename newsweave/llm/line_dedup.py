@@ -118,7 +118,7 @@ def _read(batch: pd.DataFrame) -> list[str]:
 
 
 def _slabs(texts: list[str]) -> Iterator[tuple[int, int]]:
-    return slabs(texts, 1 << 20)  # type: ignore[arg-type]
+    return slabs(texts, 1 << 18)  # type: ignore[arg-type]
 
 
 def _compared(docs: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ from newsweave.session import cut, work_path
 LENGTH, GRAM = 200, 100
 BATCHES = 4
 _PLACE_BITS = np.uint64(22)
-_SLICE = 1 << 20  # windows of one text handled at once
+_SLICE = 1 << 18  # windows of one text handled at once
 GROUP = 5000  # different stretches of one beginning compared in one task
 _STRETCH = "beginning bigint, stretch bigint, row_key bigint, first bigint, n_windows int"
 
@@ -105,7 +105,7 @@ def _slices(raw: list[bytes], length: int) -> tuple[list[bytes], np.ndarray, np.
 def _scan(raw: list[bytes], length: int, gram: int) -> Iterator[tuple[Stretches, np.ndarray, np.ndarray]]:
     """The stretches of all texts, with the number of the text and the place in it of each."""
     parts, owner, place = _slices(raw, length)
-    for lo, hi in slabs(parts, 1 << 21):
+    for lo, hi in slabs(parts):
         found = Stretches(parts[lo:hi], length, gram)
         yield found, owner[lo + found.text], place[lo + found.text] + found.offset
 

@@ -17,7 +17,7 @@ NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
 WORD_BYTE = np.zeros(256, bool)
 WORD_BYTE[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
-SLAB = 1 << 21  # bytes handled at once, so that work arrays stay small whatever the batch holds
+SLAB = 1 << 19  # bytes handled at once, so that work arrays stay small whatever the batch holds
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _VALUES = np.random.default_rng(20240611).integers(1, 1 << 63, 256, np.uint64)
 _powers: dict[str, np.ndarray] = {}
