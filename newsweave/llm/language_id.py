@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsweave.llm.texts import plain, slabs, small_batches
+from newsweave.llm.texts import objects, plain, slabs, small_batches
 
 UNKNOWN = "und"
 ORDER = 3
@@ -95,7 +95,7 @@ class Trees:
         self.rows = np.zeros(1 << BITS * ORDER, np.int32)
         chances = np.full((1, len(self.languages), SYMBOLS), 1.0 / SYMBOLS)
         parents = np.zeros(1, np.int64)  # context code of the order below to its row
-        for order in range(ORDER + 1):
+        for order in range(ORDER + 1 if counts else 0):
             per = []
             for lang in self.languages:
                 codes, n = counts[lang]
@@ -121,7 +121,7 @@ class Trees:
             inherit = parents[np.arange(size) & ((size >> BITS) - 1)] if order else parents
             parents = np.where(lookup < 0, inherit, lookup)
             chances = np.concatenate([chances, found])
-        self.rows[:] = parents
+        self.rows[:] = parents if counts else 0
         self.bits = np.ascontiguousarray(-np.log2(chances).transpose(0, 2, 1), np.float32)
 
     def code_lengths(self, raw: list[bytes]) -> np.ndarray:
@@ -172,7 +172,7 @@ def identify(text: Column, trees: Broadcast) -> Column:
     @F.pandas_udf(_ANSWER)
     def answer(texts: pd.Series) -> pd.DataFrame:
         names, score, bits = trees.value.answer(texts)
-        return pd.DataFrame({"lang_pred": names, "score": score, "bits": bits})
+        return pd.DataFrame({"lang_pred": objects(names), "score": score, "bits": bits})
 
     return answer(text)
 

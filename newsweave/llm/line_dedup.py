@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsweave.llm.bitmaps import bitmap, holds
-from newsweave.llm.texts import joined_hash, mix, prefix_hashes, slabs, small_batches, span_hash
+from newsweave.llm.texts import joined_hash, mix, objects, prefix_hashes, slabs, small_batches, span_hash
 from newsweave.session import cut
 
 MIN_CHARS = 20
@@ -177,7 +177,7 @@ def variants(docs: DataFrame, found: list[Broadcast], min_chars: int = MIN_CHARS
 
 
 def _rows(keys: np.ndarray, role: np.ndarray, lines: _Lines, which: np.ndarray, with_text: bool = False) -> pd.DataFrame:
-    text = [lines.text[i] for i in which] if with_text else None
+    text = objects(lines.text[i] if with_text else None for i in which)
     return pd.DataFrame({"variant": keys.view(np.int64), "role": role, "line": lines.hashes[which].view(np.int64), "text": text})
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsweave.llm.bitmaps import bitmap, holds
-from newsweave.llm.texts import mix, plain, powers, prefix_hashes, slabs, small_batches, span_hash
+from newsweave.llm.texts import mix, objects, plain, powers, prefix_hashes, slabs, small_batches, span_hash
 from newsweave.session import cut, work_path
 
 LENGTH, GRAM = 200, 100
@@ -187,7 +187,7 @@ def _window_table(docs: DataFrame, wanted: Broadcast, length: int, gram: int) ->
                 stretch = found.stretch.view(np.int64)
                 hit = np.flatnonzero(holds(wanted.value, (stretch ^ key[text] ^ place).view(np.uint64)))
                 yield pd.DataFrame({
-                    "stretch": stretch[hit], "row_key": key[text[hit]], "first": place[hit], "windows": [found.window_hashes(i) for i in hit],
+                    "stretch": stretch[hit], "row_key": key[text[hit]], "first": place[hit], "windows": objects(found.window_hashes(i) for i in hit),
                 })
 
     return rows_of(docs).mapInPandas(read, "stretch bigint, row_key bigint, first bigint, windows binary")

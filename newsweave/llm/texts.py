@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import SparkSession
 
 #: Words are runs of bytes outside space, tab, line feed, vertical tab, form feed and carriage return.
@@ -33,6 +34,11 @@ def plain(texts) -> list[bytes]:
     return [t.encode("utf-8", "replace") if isinstance(t, str) else b"" for t in texts]
 
 
+def objects(values) -> pd.Series:
+    """A column of Python objects; an empty plain list would become numbers."""
+    return pd.Series(list(values), dtype=object)
+
+
 def slabs(raw: list[bytes], limit: int = SLAB) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring texts of about ``limit`` bytes together; a longer text has a range of its own."""
     start, size = 0, 0
