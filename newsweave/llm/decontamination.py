@@ -98,13 +98,12 @@ class _Index:
         text = words.text[word]
         inside = (start >= words.first[text]) & (start + self.sizes[window] <= words.first[text + 1])  # position and length
         window, start = window[inside], start[inside]
-        for size in np.unique(self.sizes[window]):
-            of_size = np.flatnonzero(self.sizes[window] == size)
-            found = words.hashes[start[of_size]]
-            spans = np.stack([words.hashes[start[of_size] + j] for j in range(size)]) if len(of_size) else np.zeros((size, 0), np.uint64)
-            found = ngram_rows(spans)
-            window[of_size[found != self.whole[window[of_size]]]] = -1
-        return window[window >= 0], start[window >= 0]
+        sizes, equal = self.sizes[window], np.zeros(len(window), bool)
+        for size in np.unique(sizes):
+            of_size = np.flatnonzero(sizes == size)
+            found = ngram_rows(np.stack([words.hashes[start[of_size] + j] for j in range(size)]))
+            equal[of_size] = found == self.whole[window[of_size]]
+        return window[equal], start[equal]
 
 
 def ngram_rows(spans: np.ndarray) -> np.ndarray:

@@ -8,9 +8,10 @@ similarity with the concentration of independent samples. Sets that share a band
 candidates: at a similarity of 0.8 a pair without a common band has a chance of 3e-6, at 0.85 of 7e-9.
 
 Documents with equal sets are one node from the start (128 bits of the set's hashes). Candidates of a band are not
-paired with each other: all meet the band's least node, then its greatest, and only what is then still in different
-components meets in blocks of bounded size. Candidates whose sketches make the wanted similarity all but impossible
-(``SLACK`` standard deviations) end there; the rest are verified on the full sets with whole numbers.
+paired with each other: all meet the band's least and greatest node, and only what is then still in different
+components meets in blocks of bounded size, inside a task that returns a row per node and not its pairs. Candidates of
+the first kind whose sketches make the wanted similarity all but impossible (``SLACK`` standard deviations) end there; all
+others are verified on the full sets with whole numbers.
 
 Edge cases: null texts and texts without words have the empty set and are linked with nothing; fewer words than a
 shingle make one shingle of the whole sequence; rows with a null doc_id link like others but name no component: a group
@@ -123,38 +124,63 @@ def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     return both.where(_alike(percent, F.col("a_size"), F.col("b_size"), F.pandas_udf(_estimate, "double")("a_sketch", "b_sketch"))).select("a", "b")
 
 
-def _verify(docs: DataFrame, candidates: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+def _verify(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The candidates that are similar by their full sets."""
-    wanted = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node"))).distinct()
-    nodes = classes.join(wanted, "node").select("row_key", "node")
-    sets = cut(_sets(docs, nodes, width))
     both = candidates.join(sets.select(F.col("node").alias("a"), F.col("members").alias("left")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("members").alias("right")), "b")
     return cut(both.where(F.pandas_udf(_verified, "boolean")("left", "right", F.lit(percent))).select("a", "b"))
 
 
-def _blocks(members: DataFrame, roots: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Candidates between members of a band that are still in different components, block against block."""
-    least = percent / 100 - SLACK * (percent / 100 * (1 - percent / 100) / (ROWS * BANDS)) ** 0.5
+def similar_roots(first: list[np.ndarray], second: list[np.ndarray] | None, percent: int) -> np.ndarray:
+    """Least number joined with each set by similar pairs, numbers running through ``first`` and then ``second``.
+
+    Pairs are those between the two lists, or all within ``first`` if there is no second. A set is marked once in an
+    array over the block's shingles, and its intersections with all others are sums over that array.
+    """
+    sets = [*first, *(second or ())]
+    sizes = np.array([len(s) for s in sets])
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    others = slice(len(first), None) if second is not None else slice(0, None)
+    marks = np.zeros(int(flat.max()) + 1, np.int32)
+    root = np.arange(len(sets))
+    base = starts[others][0]
+    for i in range(len(first)):
+        own = flat[starts[i] : starts[i] + sizes[i]]
+        marks[own] = 1
+        both = np.add.reduceat(marks[flat[base:]], starts[others] - base)
+        marks[own] = 0
+        alike = np.flatnonzero(100 * both >= percent * (sizes[i] + sizes[others] - both)) + (len(first) if second is not None else 0)
+        joined = np.unique(root[np.append(alike, i)])
+        if len(joined) > 1:
+            root[np.isin(root, joined)] = joined[0]
+    return root
+
+
+def _blocks(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members of a band that are still in different components, block against block.
+
+    All pairs of two blocks are compared exactly inside a task; what comes out is a row per node at most, joining it to
+    the least node it belongs with there.
+    """
     open_ = members.where("size > 3").select("bucket", "node", "size").join(roots, "node", "left")
     open_ = cut(open_.withColumn("root", F.coalesce("root", "node")))
     mixed = open_.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
-    rows = open_.join(mixed, "bucket").join(classes.select("node", "n_shingles", "sketch"), "node")
+    rows = open_.join(mixed, "bucket").join(sets, "node")
     blocks = F.ceil(F.col("size") / BLOCK)
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "root", "n_shingles", "sketch")
+    rows = rows.select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "members")
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        nodes, roots = rows["node"].to_numpy(), rows["root"].to_numpy()
-        sizes, own = rows["n_shingles"].to_numpy(), rows["own"].to_numpy()
-        marks = np.frombuffer(b"".join(rows["sketch"]), "<u2").reshape(len(rows), -1)
-        found = []
-        for i in np.flatnonzero(own == key[1]):
-            like = (own == key[2]) & (roots != roots[i]) & (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i]))
-            like = np.flatnonzero(like & (nodes > nodes[i]) if key[1] == key[2] else like)
-            like = like[(marks[like] == marks[i]).mean(1) >= least]
-            found.append(np.stack([np.minimum(nodes[like], nodes[i]), np.maximum(nodes[like], nodes[i])], 1))
-        return pd.DataFrame(np.concatenate(found) if found else np.zeros((0, 2), np.int64), columns=["a", "b"])
+        rows = rows.sort_values(["own", "node"])
+        own, nodes = rows["own"].to_numpy(), rows["node"].to_numpy()
+        found = [np.frombuffer(m, np.uint64) for m in rows["members"]]
+        split = int((own == key[1]).sum())
+        if not split or (key[1] != key[2] and split == len(rows)):
+            return pd.DataFrame(np.zeros((0, 2), np.int64), columns=["a", "b"])
+        root = similar_roots(found[:split], found[split:] if key[1] != key[2] else None, percent)
+        joined = np.flatnonzero(root != np.arange(len(root)))
+        return pd.DataFrame({"a": nodes[root[joined]], "b": nodes[joined]})
 
     return rows.groupBy("bucket", "lo", "hi").applyInPandas(compare, "a bigint, b bigint").distinct()
 
@@ -180,11 +206,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     buckets = bands.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high")
     members = cut(bands.join(buckets, "bucket"))
     stars = _ordered(members, "low").unionByName(_ordered(members, "high")).distinct()
-    links = _verify(docs, cut(_candidates(stars, classes, percent)), classes, width, percent)
-    roots = connected(links)
-    rest = cut(_blocks(members, roots, classes, percent))
-    if not rest.isEmpty():
-        roots = connected(links.unionByName(_verify(docs, rest, classes, width, percent)))
+    candidates = cut(_candidates(stars, classes, percent))
+    wanted = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node")))
+    wanted = wanted.unionByName(members.where("size > 3").select("node")).distinct()
+    sets = cut(_sets(docs, classes.join(wanted, "node").select("row_key", "node"), width))
+    links = _verify(candidates, sets, percent)
+    rest = cut(_blocks(members, connected(links), sets, percent))
+    roots = connected(links.unionByName(rest))
     named = cut(classes.join(roots, "node", "left").select("node", "doc", F.coalesce("root", "node").alias("root")))
     least = named.groupBy("root").agg(F.min("doc").alias("least"))
     named = cut(named.join(least, "root").select("node", "least"))
