@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 US_ELECTION = "2024-11-05"
 FRENCH_ELECTION = "2024-07-07"
 DAY_MICROS = 86_400_000_000
+MOST_MILLIS = 9_223_372_036_854  # what 64-bit nanoseconds hold
 
 
 def parse_lenient(value: Column) -> Column:
@@ -42,8 +43,9 @@ def days_until(ts: Column, day: str) -> Column:
 
 
 def request_date(value: Column) -> Column:
-    """Numeric text is epoch milliseconds and becomes a UTC date text; other text passes unchanged."""
-    millis = F.floor(value.try_cast("double")).try_cast("bigint")
+    """Numeric text is epoch milliseconds and becomes a UTC date text; other text, numbers beyond 1677 to 2262 too, passes unchanged."""
+    number = value.try_cast("double")
+    millis = F.when(F.abs(number) <= MOST_MILLIS, F.floor(number).try_cast("bigint"))
     return F.coalesce(F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd"), value)
 
 

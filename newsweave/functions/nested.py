@@ -5,19 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsweave.functions.text import strip
+
+# Keys a relationship must have.
 RELATIONSHIP_KEYS = ["source", "target", "relationship", "sentiment"]
 LENIENT_JSON = {"allowSingleQuotes": "true"}
 
 
+#: Up to a Python constant that stands outside of quotes, from where the last match ended.
+OUTSIDE = r"""\G((?:[^'"NTF]++|"(?:[^"\\]++|\\.)*+"|'(?:[^'\\]++|\\.)*+'|(?!\b(?:None|True|False)\b)[NTF])*+)"""
+
+
+def as_json(value: Column) -> Column:
+    """A stored cell as JSON: white space around it goes, Python's constants outside of quotes become JSON's."""
+    found = strip(value)
+    for python, json in (("None", "null"), ("True", "true"), ("False", "false")):
+        # the other constants count as plain letters here
+        outside = OUTSIDE.replace("(?:None|True|False)", python)
+        found = F.when(found.contains(python), F.regexp_replace(found, rf"{outside}\b{python}\b", f"$1{json}")).otherwise(found)
+    return found
+
+
 def text_map(value: Column) -> Column:
     """``map<string,string>`` whose values keep their raw JSON; anything unreadable gives an empty map."""
-    readable = F.when(F.ltrim(value).startswith("{"), value)
+    value = as_json(value)
+    readable = F.when(value.startswith("{"), value)
     return F.coalesce(F.from_json(readable, "map<string,string>", LENIENT_JSON), F.expr("cast(map() as map<string,string>)"))
 
 
 def text_list(value: Column) -> Column:
     """``array<string>`` whose elements keep their raw JSON; anything unreadable gives an empty array."""
-    readable = F.when(F.ltrim(value).startswith("["), value)
+    value = as_json(value)
+    readable = F.when(value.startswith("["), value)
     return F.coalesce(F.from_json(readable, "array<string>", LENIENT_JSON), F.expr("cast(array() as array<string>)"))
 
 

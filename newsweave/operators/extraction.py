@@ -67,7 +67,16 @@ def parse_responses(responses: DataFrame) -> DataFrame:
     A missing field gives its empty default; a reply that cannot be read gives an error and empty fields.
     """
     block = tx.json_block(F.col("response_text"))
-    parsed = F.from_json(block, "map<string,string>")
+    # as the only element of a list: anything behind the object makes the whole unreadable
+    strict = {"allowSingleQuotes": "false"}
+    listed = F.from_json(F.concat(F.lit("["), block, F.lit("]")), "array<map<string,string>>", strict)
+    parsed = F.when(F.size(listed) == 1, listed[0])
+
+    def last(key: str) -> Column:
+        """The value of a key; of repeated keys the last one counts."""
+        values = F.filter(F.map_entries("parsed"), lambda e: e["key"] == key)
+        return F.try_element_at(values, F.lit(-1))["value"]
+
     replied = F.coalesce(F.col("response_text") != "", F.lit(False))
     error = (
         F.when(~replied, F.col("error"))
@@ -79,8 +88,8 @@ def parse_responses(responses: DataFrame) -> DataFrame:
         .withColumn("parsed", parsed)
         .select(
             *[c for c in responses.columns if c not in ("response_text", "error")],
-            F.coalesce(F.try_element_at("parsed", F.lit("entities")), F.lit("{}")).alias("extracted_entities"),
-            F.coalesce(F.try_element_at("parsed", F.lit("entity_relationships")), F.lit("[]")).alias("entity_relationships"),
+            F.coalesce(last("entities"), F.lit("{}")).alias("extracted_entities"),
+            F.coalesce(last("entity_relationships"), F.lit("[]")).alias("entity_relationships"),
             error.alias("error"),
         )
     )
@@ -169,31 +178,41 @@ def sentence_words(articles: DataFrame) -> DataFrame:
     return sentences.select("url", "seq", "sentence", words.alias("words"))
 
 
-def gazetteer_mentions(articles: DataFrame, gazetteer: Sequence[tuple[str, str]]) -> DataFrame:
-    """Mentions (url, seq, sentence, position, entity, entity_type) of dictionary entries of one or two words.
+def mentions_in(words: Column, gazetteer: Sequence[tuple[str, str]]) -> Column:
+    """Array of (position, size, entity) in a word array: every place of every dictionary entry, whatever its number of words."""
+    by_size: dict[int, list[str]] = {}
+    for surface in sorted({" ".join(surface.lower().split()) for surface, _ in gazetteer}):
+        by_size.setdefault(len(surface.split(" ")), []).append(surface)
 
-    The dictionary is a parameter list, so it travels with the plan and no article text is shuffled.
-    """
-    table = F.create_map(*[F.lit(part) for surface, kind in gazetteer for part in (surface.lower(), kind)])
-    surfaces = {surface.lower() for surface, _ in gazetteer}
-    single = [surface for surface in surfaces if " " not in surface]
-    double = [surface for surface in surfaces if " " in surface]
-    words = F.col("words")
-
-    def places(last: Column, heads: list[str]) -> Column:
-        """Positions whose word is one of the heads; the rest is never looked at again."""
+    def places(size: int) -> Column:
+        """Positions whose word begins an entry; the rest is never looked at again."""
+        last = F.size(words) - (size - 1)
         at = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+        heads = sorted({surface.split(" ")[0] for surface in by_size[size]})
         return F.filter(at, lambda i: F.element_at(words, i).isin(heads))
 
-    found = F.transform(places(F.size(words), single), lambda i: F.struct(i.alias("position"), F.element_at(words, i).alias("entity")))
-    if double:
-        pairs = F.transform(
-            places(F.size(words) - 1, sorted({surface.split(" ")[0] for surface in double})),
-            lambda i: F.struct(i.alias("position"), F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)).alias("entity")),
+    def found(size: int) -> Column:
+        entries = F.transform(
+            places(size),
+            lambda i: F.struct(
+                i.alias("position"), F.lit(size).alias("size"), F.concat_ws(" ", *[F.element_at(words, i + j) for j in range(size)]).alias("entity")
+            ),
         )
-        found = F.concat(found, F.filter(pairs, lambda m: m["entity"].isin(double)))
-    mentions = sentence_words(articles).select("url", "seq", "sentence", F.explode(found).alias("m"))
-    return mentions.select("url", "seq", "sentence", "m.position", "m.entity", table[F.col("m.entity")].alias("entity_type"))
+        return entries if size == 1 else F.filter(entries, lambda m: m["entity"].isin(by_size[size]))
+
+    none = F.array().cast("array<struct<position:int,size:int,entity:string>>")
+    return F.concat(none, *[found(size) for size in by_size])
+
+
+def gazetteer_mentions(articles: DataFrame, gazetteer: Sequence[tuple[str, str]]) -> DataFrame:
+    """Mentions (url, seq, sentence, position, entity, entity_type) of dictionary entries of any number of words.
+
+    The dictionary is a parameter list, so it travels with the plan and no article text is shuffled.
+    """
+    parts = [F.lit(part) for surface, kind in gazetteer for part in (" ".join(surface.lower().split()), kind)]
+    table = F.create_map(*parts) if parts else F.expr("cast(map() as map<string,string>)")
+    found = sentence_words(articles).select("url", "seq", "sentence", F.explode(mentions_in(F.col("words"), gazetteer)).alias("m"))
+    return found.select("url", "seq", "sentence", "m.position", "m.entity", table[F.col("m.entity")].alias("entity_type"))
 
 
 def gazetteer_entities(articles: DataFrame, gazetteer: Sequence[tuple[str, str]]) -> DataFrame:
@@ -206,10 +225,10 @@ def cooccurrence_edges(
 ) -> DataFrame:
     """Edges between successive, different mentions of a sentence, with the number of times each occurs.
 
-    Linking neighbours only keeps the output linear in the number of mentions.
+    Mentions follow each other by their first word, shorter ones first. Linking neighbours only keeps the output
+    linear in the number of mentions.
     """
-    surfaces = [surface.lower() for surface, _ in gazetteer if " " not in surface]
-    named = F.filter("words", lambda w: w.isin(surfaces))
+    named = F.transform(F.array_sort(mentions_in(F.col("words"), gazetteer)), lambda m: m["entity"])
     mentions = sentence_words(articles).select("url", "seq", named.alias("names")).filter(F.size("names") > 1)
     steps = F.transform(
         F.sequence(F.lit(1), F.size("names") - 1),

@@ -105,14 +105,28 @@ def build_resolution_map(clusters: DataFrame, overrides: DataFrame) -> DataFrame
     return cut(ranked.groupBy("alias").agg(F.max_by("canonical", "rank").alias("canonical")))
 
 
-def follow_chains(mapping: DataFrame, max_hops: int = 20) -> DataFrame:
-    """Mapping followed to its end; a name met again on the way stops the walk."""
+def follow_chains(mapping: DataFrame) -> DataFrame:
+    """Mapping followed to its end, however long; a name met again on the way stops the walk.
+
+    Each round doubles the steps made, so chains end after the logarithm of their length. Only names that run into a
+    cycle are walked step by step.
+    """
+    mapping = cut(mapping.select("alias", "canonical"))
+    current = mapping
+    for _ in range(mapping.count().bit_length()):
+        ahead = current.select(F.col("alias").alias("canonical"), F.col("canonical").alias("_next"))
+        end = F.coalesce("_next", "canonical")
+        current = cut(current.join(ahead, "canonical", "left").select("alias", end.alias("canonical"), (end != F.col("canonical")).alias("moved")))
+        if current.filter("moved").isEmpty():
+            break
     step = mapping.select(F.col("alias").alias("canonical"), F.col("canonical").alias("_next"))
-    current = mapping.withColumn("path", F.array("alias", "canonical"))
-    for _ in range(max_hops):
-        moved = current.join(step, "canonical", "left")
+    cyclic = current.join(step, "canonical").filter("_next <> canonical").select("alias")
+    ended = current.join(cyclic, "alias", "left_anti").select("alias", "canonical")
+    walked = cut(mapping.join(cyclic, "alias", "left_semi").withColumn("path", F.array("alias", "canonical")))
+    while not walked.isEmpty():
+        moved = walked.join(step, "canonical", "left")
         free = F.col("_next").isNotNull() & ~F.array_contains("path", F.col("_next"))
-        current = cut(
+        walked = cut(
             moved.select(
                 "alias",
                 F.when(free, F.col("_next")).otherwise(F.col("canonical")).alias("canonical"),
@@ -120,10 +134,9 @@ def follow_chains(mapping: DataFrame, max_hops: int = 20) -> DataFrame:
                 free.alias("moved"),
             )
         )
-        if current.filter("moved").isEmpty():
-            break
-        current = current.drop("moved")
-    return current.select("alias", "canonical")
+        done = walked.filter("NOT moved").select("alias", "canonical")
+        ended, walked = ended.unionByName(done), walked.filter("moved").drop("moved")
+    return ended
 
 
 def apply_resolution(

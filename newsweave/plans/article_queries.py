@@ -187,7 +187,6 @@ QUERIES = {
 COLUMNS = ["seq", "url", "text", "datetime", "language", "relevance_text", "relevance_description", *FLAGS]
 VERBS = "[" + ", ".join(quote(token) for token, tag in fx.LEXICON if tag == "VERB") + "]"
 SURFACES = "[" + ", ".join(quote(surface) for surface, _ in fx.GAZETTEER) + "]"
-SINGLE = "[" + ", ".join(quote(surface) for surface, _ in fx.GAZETTEER if " " not in surface) + "]"
 MENTION_TYPE = "CASE entity " + " ".join(f"WHEN {quote(s)} THEN {quote(k)}" for s, k in fx.GAZETTEER) + " END"
 KEYWORD_TEST = f"coalesce(regexp_matches(text, '(?i)({'|'.join(fx.KEYWORDS)})'), false)"
 TYPE_CASE = f"CASE WHEN contains(lower(text), '{KINDS[0][0]}') THEN '{KINDS[0][1]}' WHEN contains(lower(text), '{KINDS[1][0]}') THEN '{KINDS[1][1]}' ELSE 'other' END"
@@ -293,7 +292,11 @@ SELECT url, seq, entity, {MENTION_TYPE} AS entity_type, count(*) AS mentions
 FROM mentions WHERE list_contains({SURFACES}, entity) GROUP BY url, seq, entity""",
     "cooccurrence_edges": with_(ARTICLES, SENTENCES)
     + f""", named AS (
-  SELECT url, seq, sentence, list_filter(words, lambda w: list_contains({SINGLE}, w)) AS names FROM worded
+  SELECT url, seq, list(entity ORDER BY i, n) AS names FROM (
+    SELECT url, seq, sentence, i, 1 AS n, words[i] AS entity FROM (SELECT *, unnest(range(1, len(words) + 1)) AS i FROM worded)
+    UNION ALL
+    SELECT url, seq, sentence, i, 2 AS n, words[i] || ' ' || words[i + 1] AS entity FROM (SELECT *, unnest(range(1, len(words))) AS i FROM worded)
+  ) WHERE list_contains({SURFACES}, entity) GROUP BY url, seq, sentence
 ), steps AS (
   SELECT url, seq, names[i] AS source, names[i + 1] AS target FROM (SELECT *, unnest(range(1, len(names))) AS i FROM named)
 )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+INDEX_NAMES = ("", "_c0", "Unnamed: 0")
 CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
 
 EDGE_SCHEMA = T.StructType(
@@ -56,13 +57,20 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     name is a row index some writer added, and is dropped.
     """
     reader = spark.read.options(**CSV_OPTIONS)
-    df = reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", True).csv(path)
-    first = df.columns[0]
-    return df.drop(first) if first.strip() in ("", "_c0", "Unnamed: 0") else df
+    if schema is None:
+        df = reader.option("inferSchema", True).csv(path)
+        return df.drop(df.columns[0]) if df.columns[0].strip() in INDEX_NAMES else df
+    fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    first = reader.csv(path).columns[0]  # from the header alone
+    if first.strip() not in INDEX_NAMES or first in fields.names:
+        return reader.schema(fields).csv(path)
+    return reader.schema(T.StructType([T.StructField(first, T.StringType()), *fields])).csv(path).drop(first)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+    """White space at the edges of cells is kept; nulls and empty cells are written alike."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, quote='"', escape='"', **keep).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -91,7 +91,7 @@ def test_gazetteer(spark):
     mentions = sorted((r["sentence"], r["entity"], r["position"]) for r in ex.gazetteer_mentions(df, GAZETTEER).collect())
     assert mentions == [(0, "ann", 1), (0, "berlin", 7), (0, "green party", 4), (1, "ann", 2), (1, "ann", 4), (1, "berlin", 1)]
     linked = sorted((r["source"], r["target"], r["n"]) for r in ex.cooccurrence_edges(df, GAZETTEER).collect())
-    assert linked == [("ann", "berlin", 1), ("berlin", "ann", 1)]
+    assert linked == [("ann", "green party", 1), ("berlin", "ann", 1), ("green party", "berlin", 1)]  # entries of two words are linked too
     reply = {r["url"]: json.loads(r["response_text"]) for r in ex.gazetteer_extractor(GAZETTEER)(df).collect()}
     assert reply["a"]["entities"] == {"locations": ["berlin"], "people": ["ann"], "political_parties": ["green party"]}
     assert reply["b"] == {}
