@@ -72,4 +72,25 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE: dict[str, str] = {
+    "op9_decontamination": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+cut AS (SELECT item_id, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, k, array_to_string(w[s:s + k - 1], ' ') AS g FROM cut),
+places AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d JOIN (SELECT DISTINCT k FROM windows) ON len(w) >= k),
+hits AS (
+  SELECT doc_id, s, p.k AS k, item FROM (SELECT doc_id, k, s, array_to_string(w[s:s + k - 1], ' ') AS g FROM places) p
+  JOIN windows v ON p.k = v.k AND p.g = v.g
+),
+hit_words AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + k)) AS word FROM hits) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words h ON d.doc_id = h.doc_id LEFT JOIN found f ON d.doc_id = f.doc_id""",
+}
