@@ -53,14 +53,12 @@ def pagerank(
     alpha: float = 0.85,
     tol: float = 1e-6,
     max_iter: int = 100,
-    fixed_iter: int | None = None,
     directed: bool = False,
     edges_per_part: int = EDGES_PER_PART,
 ) -> DataFrame:
     """Weighted PageRank with uniform teleport and uniformly spread dangling mass.
 
-    Stops when the summed change is below n*tol, and fails after ``max_iter`` rounds without that;
-    ``fixed_iter`` runs an exact number of rounds instead.
+    Stops when the summed change is below n*tol, and fails after ``max_iter`` rounds without that.
     """
     spark = graph.sparkSession
     graph = cut(graph.select("src", "dst", "weight"))
@@ -99,11 +97,10 @@ def pagerank(
             return nodes.select("node", F.lit(0.0).alias("pagerank"))
         dangling = not nodes.filter("out_weight = 0").isEmpty()
         ranks = nodes.select("node", "parts", (F.col("out_weight") == 0).alias("dangling"), F.lit(1.0 / n).alias("rank"))
-        rounds = fixed_iter if fixed_iter is not None else max_iter
-        for step in range(1, rounds + 1):
+        for _ in range(max_iter):
             lost = ranks.filter("dangling").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).first()[0] if dangling else 0.0
             base = (1.0 - alpha) / n + alpha * lost / n
-            ranks = (
+            ranks = cut(
                 repeat_per_part(ranks.select("node", "parts", "rank"))
                 .drop("parts")
                 .join(links, ["node", "part"])
@@ -116,15 +113,11 @@ def pagerank(
                 )
                 .select("node", "parts", "dangling", (F.lit(alpha) * F.col("mass") + F.lit(base)).alias("rank"), "old")
             )
-            if fixed_iter is None or dangling or step % 5 == 0 or step == rounds:
-                ranks = cut(ranks)
-            if fixed_iter is None:
-                change = ranks.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
-                if change < n * tol:
-                    break
+            change = ranks.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
+            if change < n * tol:
+                break
         else:
-            if fixed_iter is None:
-                raise RuntimeError(f"no convergence within {max_iter} rounds")
+            raise RuntimeError(f"no convergence within {max_iter} rounds")
         return ranks.select("node", F.col("rank").alias("pagerank"))
     finally:
         links.unpersist()
@@ -207,10 +200,10 @@ def _dependencies(roots: DataFrame, node_parts: DataFrame, links: DataFrame) ->
     return total
 
 
-def node_metrics(graph: DataFrame, fixed_iter: int | None = None) -> DataFrame:
+def node_metrics(graph: DataFrame) -> DataFrame:
     """entity, degree, pagerank, betweenness of an undirected weighted graph."""
     degrees = degree_centrality(graph).select("node", F.col("degree_centrality").alias("degree"))
-    ranks = pagerank(graph, fixed_iter=fixed_iter)
+    ranks = pagerank(graph)
     brokers = betweenness(graph)
     return degrees.join(ranks, "node").join(brokers, "node").withColumnRenamed("node", "entity")
 

@@ -106,8 +106,8 @@ def daily_windows(spark, sf):
         "click": "supports", "view": "criticizes", "error": "opposes", "purchase": "partners with", "signup": "endorses"
     }, "unknown").alias("relationship"))
     sink = work_path(spark, "daily")
-    jobs.daily_counts(named, "ts", ["relationship"], "2 days", sink, work_path(spark, "daily-state")).awaitTermination()
-    return jobs.latest(spark.read.parquet(sink), ["date", "relationship"])
+    jobs.daily_counts(named, "ts", ["relationship"], sink, work_path(spark, "daily-state")).awaitTermination()
+    return jobs.total_counts(jobs.read_sink(spark, sink, "date date, relationship string, n bigint"), ["relationship"])
 
 
 def stream_dedupe(spark, sf):
@@ -115,11 +115,10 @@ def stream_dedupe(spark, sf):
     path = f"{sf}/events.parquet"
     stream = jobs.stream_parquet(spark, f"{path}*", spark.read.parquet(path).schema)
     url = F.format_string("https://src%d.example.com/%s", F.col("event_id") % 20, F.get_json_object("props", "$.k"))
+    arrived = stream.select(F.col("ts").cast("timestamp").alias("ts"), url.alias("url"))
     sink = work_path(spark, "urls")
-    jobs.first_arrivals(
-        stream.select(F.col("ts").cast("timestamp").alias("ts"), url.alias("url")), ["url"], "ts", "60 days", sink, work_path(spark, "urls-state")
-    ).awaitTermination()
-    return spark.read.parquet(sink).select("url")
+    jobs.first_arrivals(arrived, ["url"], "ts", sink, work_path(spark, "urls-state")).awaitTermination()
+    return jobs.earliest(jobs.read_sink(spark, sink, "ts timestamp, url string").drop("batch"), ["url"], "ts").select("url")
 
 
 def view(spark, sf, part):
@@ -149,8 +148,8 @@ def thresholds(spark, sf):
     return exact_percentiles(nodes, "degree_centrality", [0.9, 0.97]).select("share", F.round("value", 6).alias("threshold"))
 
 
-def rank_rounds(graph):
-    return ce.pagerank(graph, fixed_iter=10).select("node", F.round("pagerank", 6).alias("pagerank"))
+def ranked(graph):
+    return ce.pagerank(graph).select("node", F.round("pagerank", 6).alias("pagerank"))
 
 
 def brokers(spark, sf):
@@ -158,7 +157,7 @@ def brokers(spark, sf):
 
 
 def metrics(spark, sf):
-    found = ce.node_metrics(weighted(spark, sf), fixed_iter=10)
+    found = ce.node_metrics(weighted(spark, sf))
     return found.withColumns({c: F.round(c, 6) for c in ("degree", "pagerank", "betweenness")})
 
 
@@ -242,7 +241,7 @@ QUERIES = {
     "graph_view_documents": lambda s, d: views.graph_documents(*views.graph_view(fx.edges(s, d), fx.entities(s, d), VIEW)),
     "explorer_edges": lambda s, d: views.explorer_edges(explorer(s, d)),
     "explorer_nodes": explorer_nodes,
-    "pagerank": lambda s, d: rank_rounds(weighted(s, d)),
+    "pagerank": lambda s, d: ranked(weighted(s, d)),
     "betweenness": lambda s, d: brokers(s, d).select("node", F.round("betweenness", 6).alias("betweenness")),
     "top_brokers": lambda s, d: ce.top_brokers(
         brokers(s, d).select(F.col("node").alias("entity"), F.round("betweenness", 6).alias("betweenness"))
@@ -252,7 +251,7 @@ QUERIES = {
     "community_sizes": lambda s, d: co.community_sizes(co.communities(weighted(s, d))),
     "bipartite_weights": lambda s, d: gr.edge_weights(fx.bipartite_edges(s, d)),
     "bipartite_degrees": lambda s, d: centralities(bipartite(s, d)).select("node", "degree", "degree_centrality"),
-    "bipartite_pagerank": lambda s, d: rank_rounds(bipartite(s, d)),
+    "bipartite_pagerank": lambda s, d: ranked(bipartite(s, d)),
 }
 
 WEIGHTS = """weights AS (
@@ -295,20 +294,27 @@ EXPLORER = (
 )
 
 
-def pagerank_sql(source: str, rounds: int = 10) -> str:
-    """Unrolled power iteration over the table ``graph``."""
+def pagerank_sql(source: str) -> str:
+    """Power iteration over the table ``graph`` until the summed change is below a millionth per node."""
     steps = [
         "arcs AS (SELECT src, dst, weight FROM graph UNION ALL SELECT dst, src, weight FROM graph WHERE src <> dst)",
         "outs AS (SELECT src AS node, sum(weight) AS w FROM arcs GROUP BY 1)",
-        "links AS MATERIALIZED (SELECT a.src, a.dst, CAST(a.weight AS DOUBLE) / CAST(o.w AS DOUBLE) AS share FROM arcs a JOIN outs o ON o.node = a.src)",
-        "r0 AS (SELECT node, 1.0::DOUBLE / (SELECT count(*) FROM outs) AS rank FROM outs)",
+        """links AS MATERIALIZED (
+  SELECT a.src, a.dst, CAST(a.weight AS DOUBLE) / CAST(o.w AS DOUBLE) AS share, false AS own FROM arcs a JOIN outs o ON o.node = a.src
+  UNION ALL SELECT node, node, 0, true FROM outs
+)""",
+        """rounds AS (
+  SELECT 0 AS step, node, 1.0::DOUBLE / (SELECT count(*) FROM outs) AS rank, 1.0::DOUBLE AS change FROM outs
+  UNION ALL
+  SELECT step, node, rank, sum(abs(rank - old)) OVER () FROM (
+    SELECT r.step + 1 AS step, l.dst AS node, max(CASE WHEN l.own THEN r.rank END) AS old,
+      0.85::DOUBLE * sum(r.rank * l.share) + (1 - 0.85::DOUBLE) / (SELECT count(*) FROM outs) AS rank
+    FROM links l JOIN rounds r ON r.node = l.src WHERE r.change >= 1e-6::DOUBLE * (SELECT count(*) FROM outs) GROUP BY r.step, l.dst
+  )
+)""",
+        "ranked AS (SELECT node, rank FROM rounds WHERE step = (SELECT max(step) FROM rounds))",
     ]
-    for i in range(1, rounds + 1):
-        steps.append(
-            f"r{i} AS MATERIALIZED (SELECT l.dst AS node, 0.85::DOUBLE * sum(r.rank * l.share) + (1 - 0.85::DOUBLE) / (SELECT count(*) FROM outs) AS rank"
-            f" FROM links l JOIN r{i - 1} r ON r.node = l.src GROUP BY l.dst)"
-        )
-    return source.rstrip() + ",\n" + ",\n".join(steps) + "\n"
+    return source.rstrip().replace("WITH ", "WITH RECURSIVE ", 1) + ",\n" + ",\n".join(steps) + "\n"
 
 
 def paths_sql(source: str, levels: int = 8) -> str:
@@ -483,14 +489,14 @@ FROM central JOIN types ON entity = node""",
   CAST(min(date) AS VARCHAR) AS min_date, CAST(max(date) AS VARCHAR) AS max_date FROM shown""",
     "explorer_edges": with_(EDGES, EXPLORER)
     + f"SELECT src, dst, sentiment, relationship, url, date, {SENTIMENT_CASE} AS color FROM directed",
-    "pagerank": pagerank_sql(BASE) + "SELECT node, round(rank, 6) AS pagerank FROM r10",
+    "pagerank": pagerank_sql(BASE) + "SELECT node, round(rank, 6) AS pagerank FROM ranked",
     "betweenness": paths_sql(BASE) + "SELECT node, round(betweenness, 6) AS betweenness FROM between_all",
     "top_brokers": paths_sql(BASE)
     + """SELECT node AS entity, round(betweenness, 6) AS betweenness FROM between_all
 ORDER BY round(betweenness, 6) DESC, node LIMIT 5""",
     "node_metrics": paths_sql(pagerank_sql(BASE).replace("arcs AS (", "both_ways AS (").replace("FROM arcs", "FROM both_ways"))
     + """SELECT c.node AS entity, round(degree_centrality, 6) AS degree, round(rank, 6) AS pagerank, round(betweenness, 6) AS betweenness
-FROM central c JOIN r10 ON r10.node = c.node JOIN between_all b ON b.node = c.node""",
+FROM central c JOIN ranked r ON r.node = c.node JOIN between_all b ON b.node = c.node""",
     "bipartite_weights": """SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS source, 'P' || CAST(l_partkey AS VARCHAR) AS target,
   count(*) AS weight FROM lineitem GROUP BY 1, 2""",
 }
@@ -499,4 +505,4 @@ BIPARTITE = with_(
     WEIGHTS, GRAPH, DEGREES.format("graph"),
 )
 ORACLE["bipartite_degrees"] = BIPARTITE + "SELECT node, degree, round(degree_centrality, 6) AS degree_centrality FROM central"
-ORACLE["bipartite_pagerank"] = pagerank_sql(BIPARTITE) + "SELECT node, round(rank, 6) AS pagerank FROM r10"
+ORACLE["bipartite_pagerank"] = pagerank_sql(BIPARTITE) + "SELECT node, round(rank, 6) AS pagerank FROM ranked"

@@ -63,53 +63,43 @@ def incremental_extract(
     )
 
 
-def first_arrivals(stream: DataFrame, keys: list[str], time: str, delay: str, sink: str, checkpoint: str) -> StreamingQuery:
-    """Keep the first arrival per key among rows not later than ``delay``."""
-    unique = stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+def _each_batch(stream: DataFrame, reduce: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str) -> StreamingQuery:
+    """Write ``reduce`` of every micro-batch until the available input is used up."""
     return (
-        unique.writeStream.format("parquet")
-        .option("path", sink)
+        stream.writeStream.foreachBatch(lambda batch, number: write_batch(reduce(batch), sink, number))
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
 
 
-def daily_counts(stream: DataFrame, time: str, keys: list[str], delay: str, sink: str, checkpoint: str) -> StreamingQuery:
-    """Rows per day and key; each batch writes the days it changed."""
-    counts = (
-        stream.withWatermark(time, delay)
-        .groupBy(F.window(time, "1 day").alias("day"), *keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.to_date("day.start").alias("date"), *keys, "n")
-    )
-    return (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, number: write_batch(batch, sink, number))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def earliest(rows: DataFrame, keys: list[str], time: str) -> DataFrame:
+    """The row of the earliest time per key, rows without a time last; of rows alike in time the least in the other columns."""
+    rest = [c for c in rows.columns if c not in keys]
+    others = [F.col(c) for c in rest if c != time]
+    first = F.min(F.struct(F.col(time).isNull().alias("missing"), F.col(time), *others)).alias("first")
+    return rows.groupBy(*keys).agg(first).select(*[F.col(c) if c in keys else F.col(f"first.{c}") for c in rows.columns])
 
 
-def daily_means(stream: DataFrame, time: str, value: str, delay: str, sink: str, checkpoint: str) -> StreamingQuery:
-    """Mean of a value per day; each batch writes the days it changed."""
-    means = (
-        stream.withWatermark(time, delay)
-        .groupBy(F.window(time, "1 day").alias("day"))
-        .agg(F.avg(value).alias("mean"))
-        .select(F.to_date("day.start").alias("date"), "mean")
-    )
-    return (
-        means.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, number: write_batch(batch, sink, number))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def first_arrivals(stream: DataFrame, keys: list[str], time: str, sink: str, checkpoint: str) -> StreamingQuery:
+    """Each batch writes its earliest row per key; ``earliest`` of the sink is that of all rows, however late some came."""
+    return _each_batch(stream, lambda batch: earliest(batch, keys, time), sink, checkpoint)
+
+
+def daily_counts(stream: DataFrame, time: str, keys: list[str], sink: str, checkpoint: str) -> StreamingQuery:
+    """Each batch writes its rows per day and key; ``total_counts`` adds them up, so late rows count like others."""
+    return _each_batch(stream, lambda batch: batch.groupBy(F.to_date(time).alias("date"), *keys).agg(F.count(F.lit(1)).alias("n")), sink, checkpoint)
+
+
+def total_counts(written: DataFrame, keys: list[str]) -> DataFrame:
+    return written.groupBy("date", *keys).agg(F.sum("n").alias("n"))
+
+
+def daily_means(stream: DataFrame, time: str, value: str, sink: str, checkpoint: str) -> StreamingQuery:
+    """Each batch writes sum and number of the values of a day; ``total_means`` makes the means of them."""
+    parts = (F.sum(value).alias("total"), F.count(value).alias("n"))
+    return _each_batch(stream, lambda batch: batch.groupBy(F.to_date(time).alias("date")).agg(*parts), sink, checkpoint)
 
 
-def latest(written: DataFrame, keys: list[str]) -> DataFrame:
-    """Current value per key of a sink written in update mode."""
-    return keep_one(written, keys, "batch", "last").drop("batch")
+def total_means(written: DataFrame) -> DataFrame:
+    return written.groupBy("date").agg((F.sum("total") / F.nullif(F.sum("n"), F.lit(0))).alias("mean"))

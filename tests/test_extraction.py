@@ -116,7 +116,9 @@ def test_incremental_runs_resume(spark):
 
 
 def test_streamed_days_equal_the_batch(spark):
-    rows = [(dt.datetime(2024, 1, 1 + i % 5, i % 24), f"k{i % 2}", float(i)) for i in range(200)]
+    """Days far apart in any order of files, so that most rows come late; rows without a day or value too."""
+    rows = [(dt.datetime(2024, 1 + i % 11, 1 + i % 5, i % 24), f"k{i % 2}", float(i)) for i in range(200)]
+    rows += [(None, "k0", 1.0), (dt.datetime(2024, 1, 1), None, None), (dt.datetime(2025, 1, 1), "k0", None)]
     batch = spark.createDataFrame(rows, "ts timestamp, kind string, value double")
     source = work_path(spark, "days")
     batch.repartition(6).write.parquet(source)
@@ -125,24 +127,31 @@ def test_streamed_days_equal_the_batch(spark):
         return jobs.stream_parquet(spark, source, batch.schema, files_per_batch=2)
 
     counts, means = work_path(spark, "counts"), work_path(spark, "means")
-    jobs.daily_counts(stream(), "ts", ["kind"], "30 days", counts, work_path(spark, "s")).awaitTermination()
-    jobs.daily_means(stream(), "ts", "value", "30 days", means, work_path(spark, "s")).awaitTermination()
-    found = jobs.latest(spark.read.parquet(counts), ["date", "kind"])
+    jobs.daily_counts(stream(), "ts", ["kind"], counts, work_path(spark, "s")).awaitTermination()
+    jobs.daily_means(stream(), "ts", "value", means, work_path(spark, "s")).awaitTermination()
+    found = jobs.total_counts(spark.read.parquet(counts), ["kind"])
     expected = batch.selectExpr("to_date(ts) as date", "kind").groupBy("date", "kind").count()
-    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
     assert spark.read.parquet(counts).select("batch").distinct().count() > 1
-    mean = {r["date"]: r["mean"] for r in jobs.latest(spark.read.parquet(means), ["date"]).collect()}
-    assert mean == pytest.approx({r[0]: r[1] for r in batch.groupBy(batch.ts.cast("date")).avg("value").collect()})
+    mean = {r["date"]: r["mean"] for r in jobs.total_means(spark.read.parquet(means)).collect()}
+    wanted = {r[0]: r[1] for r in batch.groupBy(batch.ts.cast("date")).avg("value").collect()}
+    assert mean.keys() == wanted.keys() and mean.pop(dt.date(2025, 1, 1)) is None and wanted.pop(dt.date(2025, 1, 1)) is None
+    assert mean == pytest.approx(wanted)
 
 
 def test_first_arrivals(spark):
-    rows = [(dt.datetime(2024, 1, 1, i), f"u{i % 3}") for i in range(12)]
+    """Late rows take the place of later ones, whatever file they came in; a row without a time stays only if it is alone."""
+    rows = [(dt.datetime(2024, 12 - i % 12, 1, i % 24), f"u{i % 5}", i) for i in range(60)] + [(None, "u0", 60), (None, "v", 61)]
     source, sink = work_path(spark, "arrivals"), work_path(spark, "unique")
-    batch = spark.createDataFrame(rows, "ts timestamp, url string")
-    batch.write.parquet(source)
-    stream = jobs.stream_parquet(spark, source, batch.schema)
-    jobs.first_arrivals(stream, ["url"], "ts", "10 days", sink, work_path(spark, "s")).awaitTermination()
-    assert sorted(r["url"] for r in spark.read.parquet(sink).collect()) == ["u0", "u1", "u2"]
+    batch = spark.createDataFrame(rows, "ts timestamp, url string, n int")
+    batch.repartition(5).write.parquet(source)
+    stream = jobs.stream_parquet(spark, source, batch.schema, files_per_batch=1)
+    jobs.first_arrivals(stream, ["url"], "ts", sink, work_path(spark, "s")).awaitTermination()
+    written = spark.read.parquet(sink)
+    assert written.select("batch").distinct().count() > 1
+    found = {(r["url"], r["ts"], r["n"]) for r in jobs.earliest(written.drop("batch"), ["url"], "ts").collect()}
+    first = {u: min((t, n) for t, v, n in rows if v == u and t) for u in {u for _, u, _ in rows} - {"v"}}
+    assert found == {(u, t, n) for u, (t, n) in first.items()} | {("v", None, 61)}
 
 
 def test_pending(spark):
