@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsweave.operators.distribution import exact_percentiles
@@ -16,6 +16,11 @@ def column_counts(df: DataFrame) -> DataFrame:
     return df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], list(df.columns), "column", "n")
 
 
+def presence(column: str) -> Column:
+    """An empty text where the column is filled, null where it is not: all that counting nulls needs to move."""
+    return F.when(F.col(column).isNotNull(), F.lit(""))
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """Null count per column."""
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]).unpivot([], list(df.columns), "column", "n")

@@ -47,8 +47,9 @@ def view_edge_dedupe(edges: DataFrame, order: str = "seq") -> DataFrame:
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row in every column."""
-    counts = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows that repeat an earlier row in every column; of strings the SHA-256 digests are compared and moved."""
+    columns = [F.sha2(name, 256) if kind == "string" else F.col(name) for name, kind in df.dtypes]
+    counts = df.groupBy(*[c.alias(f"_{i}") for i, c in enumerate(columns)]).agg(F.count(F.lit(1)).alias("_n"))
     return counts.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
 
 

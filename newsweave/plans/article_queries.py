@@ -21,12 +21,13 @@ FLAGS = ["is_us_election", "is_french_election", "is_german_election"]
 KINDS = (("thand", "analysis"), ("ander", "interview"))
 
 
-def english(spark, sf, heavy=False):
-    return fl.language_is(fx.articles(spark, sf, heavy))
+def english(spark, sf, heavy=False, text=None):
+    return fl.language_is(fx.articles(spark, sf, heavy, text))
 
 
-def unique(spark, sf):
-    return keep_one(english(spark, sf), ["url"], "seq", "last")
+def unfilled(spark, sf):
+    """English articles for counting nulls: an empty text stands for any text."""
+    return english(spark, sf, text=ag.presence("text"))
 
 
 def latest(spark, sf, *columns):
@@ -36,8 +37,8 @@ def latest(spark, sf, *columns):
 
 def article_lengths(spark, sf):
     """Words per article, counted before the latest rows are picked so that no text is shuffled."""
-    counted = english(spark, sf, heavy=True).select("seq", "url", tx.text_length(F.col("text")).alias("words"))
-    return keep_one(counted, ["url"], "seq", "last")
+    counted = english(spark, sf, heavy=True, text=tx.text_length(F.col("text")))
+    return keep_one(counted.select("seq", "url", F.col("text").alias("words")), ["url"], "seq", "last")
 
 
 def published(spark, sf):
@@ -71,10 +72,14 @@ def url_variants(spark, sf):
 
 
 def some_text(spark, sf):
+    return with_odd_texts(fx.texts(spark, sf))
+
+
+def with_odd_texts(articles):
     """Texts with nulls, and odd blanks added to some."""
     odd = F.concat("text", F.lit(" x y\u0085z​w "))
     text = F.when(F.col("seq") % 50 == 0, F.lit(None)).when(F.col("seq") % 7 == 0, odd).otherwise(F.col("text"))
-    return fx.articles(spark, sf, heavy=True).select("seq", "url", text.alias("text"))
+    return articles.withColumn("text", text)
 
 
 SOME_TEXT = """some_text AS (
@@ -140,14 +145,14 @@ QUERIES = {
     "filter_lang": lambda s, d: english(s, d).select("seq", "url", "language"),
     "relevant_only": lambda s, d: fl.relevant_only(fx.articles(s, d)).select("seq", "url", "relevance_text"),
     "label_queue": lambda s, d: fl.label_queue(fx.articles(s, d)).select("seq", "url"),
-    "column_counts": lambda s, d: ag.column_counts(english(s, d)),
+    "column_counts": lambda s, d: ag.column_counts(unfilled(s, d)),
     "value_counts": lambda s, d: ag.value_counts(fx.articles(s, d), "language"),
     "value_ratios": lambda s, d: ag.value_ratios(
         latest(s, d, "relevance_description"), "relevance_description"
     ).withColumn("ratio", F.round("ratio", 6)),
     "publisher_nunique": lambda s, d: ag.distinct_count(published(s, d), "publisher"),
     "publisher_counts": lambda s, d: ag.value_counts(published(s, d), "publisher"),
-    "null_profile": lambda s, d: ag.null_profile(unique(s, d)),
+    "null_profile": lambda s, d: ag.null_profile(keep_one(unfilled(s, d), ["url"], "seq", "last")),
     "duplicate_count": lambda s, d: duplicate_count(copies(s, d)),
     "duplicate_rows": lambda s, d: duplicate_rows(copies(s, d)),
     "relevance_by_publisher": lambda s, d: ag.mean_by(published(s, d), "publisher", "relevance_text")
@@ -172,7 +177,7 @@ QUERIES = {
         dx.days_until(F.col("datetime"), dx.US_ELECTION).alias("days_until_us_election"),
         dx.days_until(F.col("datetime"), dx.FRENCH_ELECTION).alias("days_until_french_election"),
     ),
-    "build_prompt": lambda s, d: ex.with_prompts(some_text(s, d)).select("url", "prompt"),
+    "build_prompt": lambda s, d: ex.with_prompts(with_odd_texts(fx.articles(s, d, heavy=True))).select("url", "prompt"),
     "lexicon_count": lambda s, d: ex.count_lexicon(some_text(s, d), s.createDataFrame(fx.LEXICON, "token string, tag string")),
     "article_features": features,
     "pending_articles": lambda s, d: pending(

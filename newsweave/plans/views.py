@@ -201,7 +201,7 @@ def eda_profile(articles: DataFrame) -> dict[str, DataFrame]:
         "duplicate_rows": duplicate_rows(english.drop("seq")),
         "description_ratios": ag.value_ratios(slim, "relevance_description"),
         "label_ratios": ag.value_ratios(slim, "relevance_text"),
-        "nulls": ag.null_profile(unique),
+        "nulls": ag.null_profile(keep_one(english.withColumn("text", ag.presence("text")), ["url"], "seq", "last")),
         "label_queue": fl.label_queue(unique),
         "publishers": ag.distinct_count(published, "publisher"),
         "publisher_counts": ag.value_counts(published, "publisher"),

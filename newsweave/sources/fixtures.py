@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsweave.session import scalar
@@ -26,11 +26,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def articles(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
-    """``heavy`` spreads a small input over all cores before costly text expressions."""
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers and texts of the articles, straight from the scan."""
+    return spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), "text"))
+
+
+def articles(spark: SparkSession, sf_dir: str, heavy: bool = False, text: Column | None = None) -> DataFrame:
+    """``heavy`` spreads a small input over all cores before costly text expressions.
+
+    ``text`` is put in place of the text on the scan, so that what is made of it goes through the joins, not the text.
+    """
     documents = table(spark, sf_dir, "documents")
     if heavy:
         documents = spread(documents)
+    if text is not None:
+        documents = documents.withColumn("text", text)
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), F.col("url").alias("page_url"))
     labels = table(spark, sf_dir, "labels")
     made_up = F.format_string("https://%s.example.com/%s/%d", "source", "lang", F.col("n_chars") % 97)
