@@ -150,12 +150,9 @@ def test_filters(spark):
 
 def test_duplicates_and_nulls_without_moving_texts(spark):
     """Null and empty strings differ; a repeated row counts once less than its copies, in any column type."""
-    from newsweave.operators.aggregates import null_profile, presence
-    from newsweave.operators.ordering import duplicate_count
-
     rows = [("a", 1, 0.5), ("a", 1, 0.5), ("a", 1, 0.5), (None, 1, None), (None, 1, None), ("", 1, None), ("a", 2, 0.5)]
     df = spark.createDataFrame(rows, "text string, n int, x double")
-    assert duplicate_count(df).first()[0] == len(rows) - len(set(rows)) == 3
-    assert duplicate_count(df.limit(0)).first()[0] == 0
-    shown = df.withColumn("text", presence("text"))
-    assert {tuple(r) for r in null_profile(shown).collect()} == {("text", 2), ("n", 0), ("x", 3)}
+    assert od.duplicate_count(df).first()[0] == len(rows) - len(set(rows)) == 3
+    assert od.duplicate_count(df.limit(0)).first()[0] == 0
+    shown = df.withColumn("text", ag.presence("text"))
+    assert {tuple(r) for r in ag.null_profile(shown).collect()} == {("text", 2), ("n", 0), ("x", 3)}
