@@ -13,8 +13,8 @@ beginnings; arrays left at different ranks are scanned against each other when m
 
 Matches are then made exact. The windows whose anchor is a given place form one stretch. Equal stretches repeat as a
 whole; stretches that share the beginning but differ elsewhere, the edges of passages, are compared window by window.
-Groups with many different stretches are divided by window hash. Stretches carry at least 128 bits of hash
-(beginning and stretch, or beginning and window).
+Their windows are counted by (beginning, hash), whatever the number of stretches. Stretches carry at least 128 bits of
+hash (beginning and stretch, or beginning and window).
 
 Edge cases: null and empty texts, and texts shorter than a window, keep all bytes; a row that stands twice in the
 table repeats itself; ``doc_id`` may be null or repeated, rows are told apart by doc_id and text. Texts of any length are
@@ -40,7 +40,7 @@ LENGTH, GRAM = 200, 100
 BATCHES = 4
 _PLACE_BITS = np.uint64(22)
 _SLICE = 1 << 18  # windows of one text handled at once
-GROUP = 5000  # different stretches of one beginning compared in one task
+GROUP = 5000  # neighbouring places of a text whose windows are put together at once
 _STRETCH = "beginning bigint, stretch bigint, row_key bigint, first bigint, n_windows int"
 
 
@@ -194,59 +194,64 @@ def _window_table(docs: DataFrame, wanted: Broadcast, length: int, gram: int) ->
 
 
 def _edge_spans(docs: DataFrame, kinds: DataFrame, length: int, gram: int) -> DataFrame:
-    """Spans covered by repeated windows in stretches that do not repeat as a whole."""
+    """Spans covered by repeated windows in stretches that do not repeat as a whole.
+
+    Windows are counted by a partially aggregated sum, and only those of single stretches that may repeat meet the
+    counts again, so a window that all stretches of a beginning share is never gathered.
+    """
     mixed = kinds.groupBy("beginning").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1")
-    asked = cut(kinds.join(mixed.select("beginning", F.ceil(F.col("kinds") / GROUP).alias("parts")), "beginning"))
-    rows = asked.select("beginning", "stretch", "n", "parts", F.col("at.row_key").alias("row_key"), F.col("at.first").alias("first"))
+    asked = cut(kinds.join(mixed.select("beginning"), "beginning", "left_semi"))
+    rows = asked.select("beginning", "stretch", "n", F.col("at.row_key").alias("row_key"), F.col("at.first").alias("first"))
     place = F.col("stretch").bitwiseXOR(F.col("row_key")).bitwiseXOR(F.col("first"))
     windows = _window_table(docs, bitmap(rows.select(place.alias("place")), "place"), length, gram)
-    rows = windows.join(rows, ["stretch", "row_key", "first"])
+    rows = cut(windows.join(rows, ["stretch", "row_key", "first"]).select("beginning", "n", "row_key", "first", "windows"))
 
-    def divide(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = []
-            for row in frame.itertuples():
-                found = np.frombuffer(row.windows, np.uint64)
-                part = ((found >> np.uint64(32)) % np.uint64(row.parts)).astype(np.int64)
-                for p in np.unique(part):
-                    own = np.flatnonzero(part == p)
-                    out.append((row.beginning, p, row.n == 1, row.row_key, (row.first + own).tolist(), found[own].tobytes()))
-            yield pd.DataFrame(out, columns=["beginning", "part", "single", "row_key", "starts", "windows"])
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        """Runs of repeated windows in the single stretches among whole groups of rows."""
-        sizes = [len(s) for s in rows["starts"]]
-        group = np.repeat(rows["beginning"].to_numpy().view(np.uint64), sizes)
-        hashes = mix(np.frombuffer(b"".join(rows["windows"]), np.uint64) ^ mix(group))
-        starts = np.concatenate([np.asarray(s, np.int64) for s in rows["starts"]])
-        _, inverse, count = np.unique(hashes, return_inverse=True, return_counts=True)
-        again = np.flatnonzero((count[inverse] > 1) & np.repeat(rows["single"].to_numpy(bool), sizes))
-        row = np.repeat(np.arange(len(rows)), sizes)[again]
-        starts = starts[again]
-        fresh = np.concatenate([[True], (row[1:] != row[:-1]) | (starts[1:] != starts[:-1] + 1)]) if len(row) else np.zeros(0, bool)
-        begin = np.flatnonzero(fresh)
-        last = np.append(begin[1:], len(row)) - 1 if len(row) else begin
-        return pd.DataFrame({"row_key": rows["row_key"].to_numpy()[row[begin]], "first": starts[begin], "end": starts[last] + length})
-
-    def by_group(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Compare as soon as the last group of what has come is complete; rows come ordered by group."""
-        held: list[pd.DataFrame] = []
+            beginning, window, _ = _exploded(frame)
+            yield pd.DataFrame({"beginning": beginning, "window": window})
+
+    counts = rows.select("beginning", "windows").mapInPandas(count, "beginning bigint, window bigint")
+    again = counts.groupBy("beginning", "window").agg(F.count(F.lit(1)).alias("places")).where("places > 1").select("beginning", "window")
+    again = cut(again)
+    both = F.col("beginning").bitwiseXOR(F.col("window"))
+    wanted = bitmap(again.select(both.alias("both")), "both")
+
+    def single(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            beginning, window, at = _exploded(frame)
+            hit = np.flatnonzero(holds(wanted.value, (beginning ^ window).view(np.uint64)))
+            yield pd.DataFrame({"beginning": beginning[hit], "window": window[hit], "row_key": frame["row_key"].to_numpy()[at[0][hit]], "start": at[1][hit]})
+
+    alone = rows.where("n = 1").select("beginning", "row_key", "first", "windows")
+    alone = alone.mapInPandas(single, "beginning bigint, window bigint, row_key bigint, start bigint")
+    hits = alone.join(again, ["beginning", "window"], "left_semi")
+    # runs of neighbouring windows are put together in bounded stretches of a text
+    hits = hits.groupBy("row_key", F.floor(F.col("start") / GROUP).alias("part")).agg(F.collect_set("start").alias("starts"))
+
+    def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            keys = frame[["beginning", "part"]].to_numpy()
-            change = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
-            if held and (held[-1][["beginning", "part"]].to_numpy()[-1] != keys[0]).any():
-                yield compare(pd.concat(held))
-                held = []
-            if len(change):
-                yield compare(pd.concat([*held, frame.iloc[: change[-1]]]))
-                held, frame = [], frame.iloc[change[-1] :]
-            held.append(frame)
-        if held:
-            yield compare(pd.concat(held))
-
-    parts = rows.mapInPandas(divide, "beginning bigint, part bigint, single boolean, row_key bigint, starts array<bigint>, windows binary")
-    ordered = parts.repartition("beginning", "part").sortWithinPartitions("beginning", "part")
-    return ordered.mapInPandas(by_group, "row_key bigint, first bigint, end bigint")
+            keys, firsts, ends = [], [], []
+            for key, found in zip(frame["row_key"], frame["starts"], strict=True):
+                found = np.sort(np.asarray(found, np.int64))
+                fresh = np.flatnonzero(np.diff(found, prepend=found[0] - 2) != 1)
+                keys.append(np.full(len(fresh), key, np.int64))
+                firsts.append(found[fresh])
+                ends.append(found[np.append(fresh[1:], len(found)) - 1] + length)
+            if keys:
+                yield pd.DataFrame({"row_key": np.concatenate(keys), "first": np.concatenate(firsts), "end": np.concatenate(ends)})
+
+    return hits.select("row_key", "starts").mapInPandas(runs, "row_key bigint, first bigint, end bigint")
+
+
+def _exploded(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Beginning and hash of all windows of the stretches, with the row and (where rows have ``first``) the place of each."""
+    sizes = np.array([len(w) // 8 for w in rows["windows"]], np.int64)
+    row = np.repeat(np.arange(len(rows)), sizes)
+    window = np.frombuffer(b"".join(rows["windows"]), np.int64)
+    ahead = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    start = rows["first"].to_numpy()[row] + ahead if "first" in rows else ahead
+    return rows["beginning"].to_numpy(np.int64)[row], window, (row, start)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:

@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from newsweave.llm import embedding_dedup, line_dedup, minhash_dedup, suffix_dedup
 from newsweave.llm.components import connected
@@ -134,6 +135,29 @@ def test_suffix_groups_are_divided_and_texts_sliced(docs_of, monkeypatch):
     test_suffix_dedup_like_brute_force(docs_of, 2)
 
 
+def test_shared_passage_is_not_gathered_in_one_task(spark, docs_of, monkeypatch):
+    rng = random.Random(11)
+    some = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = some(60)
+    rows = [(i, some(80) + passage + some(80)) for i in range(200)]
+    edges, tasks = suffix_dedup._edge_spans, []
+
+    def watched(*args):
+        spans = edges(*args)
+        tasks.append(Counter(r[0] for r in spans.select(F.spark_partition_id()).collect()))
+        return spans
+
+    monkeypatch.setattr(suffix_dedup, "_edge_spans", watched)
+    docs = docs_of(rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = suffix_dedup.without_repeats(docs, length=40, gram=16).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == repeats(rows, 40)
+    assert max(tasks[0].values()) < 0.3 * tasks[0].total()
+
+
 def test_suffix_index_merges_like_a_counter(spark, docs_of):
     index = suffix_dedup.SuffixIndex(spark, 40, 16)
     for i in range(5):
