@@ -1,9 +1,10 @@
 """Line deduplication within one edit, by a deletion-neighbourhood join over the whole collection.
 
-A line is compared by its text without surrounding white space; lines of fewer than ``MIN_CHARS`` characters (blank
-lines, brackets, list marks) are no statements that could repeat by copying and always stay. Of the others a line
-goes if an earlier line, by (doc_id, line number), is equal or differs by one inserted, deleted or replaced
-character. The relation is direct: whether the earlier line goes itself does not matter.
+A line is compared by its text without surrounding white space; blank lines stay. A line goes if an earlier line, by
+(doc_id, line number), is equal or, where both have ``min_chars`` characters, differs by one inserted, deleted or replaced
+character. The relation is direct: whether the earlier line goes itself does not matter. Lines of ``equal_chars``
+characters and more are compared for equality; by default only those of ``min_chars``, and shorter ones stay. The
+registered query compares all lines (1) and takes one edit for a near copy from ``NEAR_CHARS`` on.
 
 Equal lines meet by their hash. For the rest, every variant of a line with one character deleted is a hashed key:
 two lines with equal variants for the same place differ by a replacement there; a variant that equals another whole
@@ -36,6 +37,7 @@ from newsweave.llm.texts import joined_hash, mix, objects, prefix_hashes, slabs,
 from newsweave.session import cut
 
 MIN_CHARS = 20
+NEAR_CHARS = 11  # fewest characters at which, as measured, one edit left the letters of a line as they were
 PIECES = (4, 8)  # a line is divided into so many pieces, each of these into so many
 _LINE = "line bigint, doc_id bigint, place int"
 _SHARE = "part bigint, tag int"
@@ -205,13 +207,13 @@ def _position() -> Column:
     return F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("place")
 
 
-def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, equal_chars: int | None = None) -> DataFrame:
     """(doc_id, places, near): the line numbers (from 0) that go in each document, and how many of them had only near matches.
 
     Documents that keep all lines have no row.
     """
     small_batches(docs.sparkSession)
-    lines = cut(line_table(docs, min_chars))
+    lines = cut(line_table(docs, min_chars if equal_chars is None else min(equal_chars, min_chars)))
     firsts = cut(lines.groupBy("line").agg(F.min(_position()).alias("first")))
     near = near_lines(docs, firsts, min_chars).select("line").distinct().withColumn("near", F.lit(True))
     firsts = cut(firsts.join(near, "line", "left").withColumn("near", F.coalesce("near", F.lit(False))))
@@ -230,9 +232,9 @@ def _rest(texts: pd.Series, places: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-def with_rest(docs: DataFrame, prefix: str, min_chars: int = MIN_CHARS) -> DataFrame:
+def with_rest(docs: DataFrame, prefix: str, min_chars: int = MIN_CHARS, equal_chars: int | None = None) -> DataFrame:
     """``docs`` with columns named by ``prefix``: the text that stays, lines removed, and of those the near ones."""
-    dropped = dropped_lines(docs.select("doc_id", "text"), min_chars)
+    dropped = dropped_lines(docs.select("doc_id", "text"), min_chars, equal_chars)
     dropped = dropped.select(F.col("doc_id").alias(f"{prefix}_id"), F.col("places").alias(f"{prefix}_places"), F.col("near").alias(f"{prefix}_near"))
     both = docs.join(dropped, F.col("doc_id").cast("bigint") == F.col(f"{prefix}_id"), "left")
     return both.select(
@@ -243,9 +245,9 @@ def with_rest(docs: DataFrame, prefix: str, min_chars: int = MIN_CHARS) -> DataF
     )
 
 
-def line_report(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_report(docs: DataFrame, min_chars: int = MIN_CHARS, equal_chars: int | None = None) -> DataFrame:
     """doc_id, n_lines, n_removed, n_near (removed for near matches only), kept_sha256 of the text that stays, per document."""
-    found = with_rest(docs.select("doc_id", "text"), "kept", min_chars)
+    found = with_rest(docs.select("doc_id", "text"), "kept", min_chars, equal_chars)
     lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)
     return found.select(
         "doc_id", lines.cast("bigint").alias("n_lines"), F.col("kept_removed").alias("n_removed"), F.col("kept_near").alias("n_near"),
@@ -253,13 +255,13 @@ def line_report(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     )
 
 
-def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, equal_chars: int | None = None) -> DataFrame:
     """The documents without their repeated lines, columns as they came; ``n_chars`` follows where it is a column.
 
     A document of which nothing but white space stays, though lines went, goes itself.
     """
     prefix = "_".join(["line", *docs.columns])  # a name no column has
-    found = with_rest(docs, prefix, min_chars)
+    found = with_rest(docs, prefix, min_chars, equal_chars)
     text, removed = F.col(f"{prefix}_text"), F.col(f"{prefix}_removed")
     found = found.where((removed == 0) | text.rlike(r"\S"))
     size = F.when(removed == 0, F.col("n_chars")).otherwise(F.length(text)) if "n_chars" in docs.columns else None

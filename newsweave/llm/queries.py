@@ -43,7 +43,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"), line_dedup.NEAR_CHARS, 1)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,7 +60,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The powers of the hash base modulo 2**64 and their inverses, ``n`` of each."""
-    if len(_powers.get("up", ())) < n:
+    if len(_powers.get("up", ())) < max(n, 1):
         size = max(n, SLAB + 4096)
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         for name, base in (("up", _BASE), ("down", inverse)):

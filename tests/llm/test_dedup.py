@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from newsweave.llm import embedding_dedup, line_dedup, minhash_dedup, suffix_dedup
+from newsweave.llm import embedding_dedup, line_dedup, minhash_dedup, queries, suffix_dedup
 from newsweave.llm.components import connected
 from newsweave.llm.minhash_dedup import fast_sketch
 
@@ -210,6 +210,19 @@ def test_lines_like_brute_force(docs_of):
     assert texts == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in rest.items()}
 
 
+def test_registered_query_compares_short_lines(spark, docs_of, monkeypatch):
+    rng = random.Random(6)
+    words = ["Les.", "Lis.", "}", "Read more", "Share this", "Share thi", "With, to to.", "With to to.", "a line of 19 chars.", "a line of 19 chars.!", "", "  "]
+    rows = [(i, "\n".join(rng.choice(words) for _ in range(rng.randint(1, 6)))) for i in range(25)]
+    lines = [(i, j, s.strip()) for i, t in rows for j, s in enumerate(t.split("\n")) if s.strip()]
+    gone = Counter()
+    for i, j, s in lines:
+        gone[i] += any((a, b) < (i, j) and (s == o or min(len(s), len(o)) >= 11 and distance(s, o) == 1) for a, b, o in lines)
+    monkeypatch.setattr(queries, "_table", lambda *_: docs_of(rows))
+    found = {r.doc_id: (r.n_lines, r.n_removed) for r in queries.op7_line_dedup(spark, "").collect()}
+    assert found == {i: (t.count("\n") + 1, gone[i]) for i, t in rows}
+
+
 def test_documents_without_repeated_lines(spark):
     line, other = "a line that stands in many documents", "a text of its own, quite long"
     rows = [(1, f"{line}\n{other}", 5), (2, f"{line}\nshort\n{line}!", 6), (3, line, 7), (None, line, 8), (4, None, 9), (5, "", 1)]
