@@ -11,8 +11,10 @@ Links are counted and joined to components inside the tasks: a shard gives one c
 group of alike vectors gives as many rows as it has members. A pair in several shards counts in the first one they share.
 Shards of more than ``BLOCK`` nodes are divided; each part has a graph, which is searched by the nodes of every part.
 
-A sample of at most ``AUDIT`` nodes is compared with all nodes; should the links found fall short of ``RECALL`` of the true
-ones, shards overlap more and the search is repeated, until at last every node is in every shard.
+After every search a sample of at most ``AUDIT`` nodes is compared with all nodes. The recall is the least of three: the
+share of all links, the mean of the nodes' shares, and that mean over nodes of at most ``SPARSE`` links, which hot
+groups cannot hide. Below ``RECALL`` overlap, beam and degree are doubled and the search is repeated; should it fall
+short with every node in every shard, blocks are compared exactly.
 
 Edge cases: vectors that are null, zero, or hold nulls, NaN or infinities link with nothing; so do rows without a vec_id;
 vectors of different length are never compared. Rows that repeat a vec_id are judged by their vectors.
@@ -21,6 +23,7 @@ vectors of different length are never compared. Rows that repeat a vec_id are ju
 from __future__ import annotations
 
 import heapq
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,12 +35,14 @@ from newsweave.llm.components import connected
 from newsweave.llm.texts import small_batches
 from newsweave.session import cut
 
+_log = logging.getLogger(__name__)
+
 COSINE = 0.9
 SHARD, BLOCK = 1500, 4000
 MOST_SHARDS, SAMPLE = 1024, 20_000
 OVERLAP = 3
 NEAREST, FAR, DEGREE, ALPHA, BEAM = 48, 16, 24, 1.2, 24
-AUDIT, RECALL = 200, 0.97
+AUDIT, RECALL, SPARSE = 1000, 0.97, 20
 
 
 def usable(vector: Column) -> Column:
@@ -97,7 +102,7 @@ def prune(alike: np.ndarray, own: np.ndarray, degree: int = DEGREE, alpha: float
     return kept
 
 
-def neighbours(vectors: np.ndarray, seed: int) -> list[np.ndarray]:
+def neighbours(vectors: np.ndarray, seed: int, degree: int = DEGREE) -> list[np.ndarray]:
     """Pruned list of each row among the rows: near candidates and some anywhere."""
     count = len(vectors)
     rng = np.random.default_rng(seed)
@@ -105,20 +110,20 @@ def neighbours(vectors: np.ndarray, seed: int) -> list[np.ndarray]:
     for lo in range(0, count, 1024):
         alike = vectors[lo : lo + 1024] @ vectors.T
         alike[np.arange(len(alike)), np.arange(lo, lo + len(alike))] = -2
-        take = min(NEAREST, count - 1)
+        take = min(max(NEAREST, 2 * degree), count - 1)
         near = np.argpartition(-alike, take - 1, axis=1)[:, :take] if take else np.zeros((len(alike), 0), np.int64)
         for i, row in enumerate(near):
             other = rng.integers(0, count, FAR)
             these = np.unique(np.concatenate([row, other[other != lo + i]]))
             these = these[np.argsort(-alike[i, these], kind="stable")]
-            kept = prune(vectors[these] @ vectors[these].T, alike[i, these])
+            kept = prune(vectors[these] @ vectors[these].T, alike[i, these], degree)
             # chains into a pruned list always include the nearest long edges, so that groups stay reachable
             far = these[-2:] if len(these) > 2 else these[:0]
             out.append(np.unique(np.concatenate([these[kept], far])))
     return out
 
 
-def range_search(vectors: np.ndarray, lists: list[np.ndarray], start: int, query: np.ndarray, least: float) -> np.ndarray:
+def range_search(vectors: np.ndarray, lists: list[np.ndarray], start: int, query: np.ndarray, least: float, beam: int = BEAM) -> np.ndarray:
     """Rows with a cosine of at least ``least``: beam walk from ``start``, then everything in range expanded together."""
     seen = np.zeros(len(vectors), bool)
     seen[start] = True
@@ -129,14 +134,14 @@ def range_search(vectors: np.ndarray, lists: list[np.ndarray], start: int, query
         alike, node = heapq.heappop(waiting)
         if -alike >= least:  # in range: expanded below together with the others
             break
-        if len(best) == BEAM and -alike < best[0]:
+        if len(best) == beam and -alike < best[0]:
             break
         new = lists[node][~seen[lists[node]]]
         seen[new] = True
         for value, other in zip((vectors[new] @ query).tolist(), new.tolist(), strict=True):
             if value >= least:
                 inside.append(other)
-            if len(best) < BEAM:
+            if len(best) < beam:
                 heapq.heappush(best, value)
             elif value > best[0]:
                 heapq.heapreplace(best, value)
@@ -166,21 +171,24 @@ def roots_of(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return root
 
 
-def _graphs(placed: DataFrame) -> DataFrame:
+def _graphs(placed: DataFrame, degree: int = DEGREE) -> DataFrame:
     """(node, lists): the united neighbour lists of every node, as node keys."""
 
     def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("node")
         keys = rows["node"].to_numpy()
-        lists = neighbours(unit(rows["vector"]), int(key[0]))
+        lists = neighbours(unit(rows["vector"]), int(key[0]), degree)
         return pd.DataFrame({"node": keys, "near": [keys[own] for own in lists]})
 
     found = placed.groupBy("shard", "block").applyInPandas(build, "node bigint, near array<bigint>")
     return found.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("lists"))
 
 
-def _search(placed: DataFrame, least: float) -> DataFrame:
-    """(node, root, links): per task and node, the copies of its linked nodes and the least node joined with it there."""
+def _search(placed: DataFrame, least: float, beam: int | None = BEAM) -> DataFrame:
+    """(node, root, links): per task and node, the copies of its linked nodes and the least node joined with it there.
+
+    Without a beam all vectors are compared.
+    """
 
     def search(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         shard, lo, hi = key
@@ -195,7 +203,7 @@ def _search(placed: DataFrame, least: float) -> DataFrame:
         if len(graph):
             start = int((inner @ inner.mean(0)).argmax())
             for i in np.flatnonzero(block == lo):
-                found = graph[range_search(inner, lists, start, vectors[i], least)]
+                found = graph[inner @ vectors[i] >= least if beam is None else range_search(inner, lists, start, vectors[i], least, beam)]
                 found = found[found != i]
                 pairs.append(np.stack([np.minimum(found, i), np.maximum(found, i)], 1))
         links = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
@@ -217,7 +225,7 @@ def _search(placed: DataFrame, least: float) -> DataFrame:
 
 
 def audit_recall(nodes: DataFrame, found: DataFrame, least: float, sample: int = AUDIT) -> float:
-    """Share of the true links of at most ``sample`` nodes (of least hash) that were found."""
+    """Recall of the links of at most ``sample`` nodes (of least hash): of all links, per node, or per sparse node, the least."""
     spark = nodes.sparkSession
     asked = nodes.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(sample).select("node", "vector").toPandas()
     if not len(asked):
@@ -226,32 +234,44 @@ def audit_recall(nodes: DataFrame, found: DataFrame, least: float, sample: int =
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, queries = sent.value
+        total = np.zeros(len(keys), np.int64)
         for batch in batches:
             alike = (unit(batch["vector"]) @ queries.T >= least) & (batch["node"].to_numpy()[:, None] != keys)
-            yield pd.DataFrame({"node": keys, "n": (alike * batch["copies"].to_numpy()[:, None]).sum(0)})
+            total += batch["copies"].to_numpy(np.int64) @ alike
+        yield pd.DataFrame({"node": keys, "n": total})
 
     true = nodes.mapInPandas(compare, "node bigint, n bigint").groupBy("node").agg(F.sum("n").alias("n"))
-    both = true.join(found.groupBy("node").agg(F.sum("links").alias("links")), "node", "left").agg(F.sum("n"), F.sum(F.coalesce("links", F.lit(0))))
-    total, got = both.first()
-    return 1.0 if not total else got / total
+    both = true.where("n > 0").join(found.groupBy("node").agg(F.sum("links").alias("links")), "node", "left")
+    both = both.select("n", F.coalesce("links", F.lit(0)).alias("links")).toPandas()  # at most ``sample`` rows
+    if not len(both):
+        return 1.0
+    total, own = both["links"].sum() / both["n"].sum(), both["links"] / both["n"]
+    sparse = own[both["n"] <= SPARSE]
+    return float(min([total, own.mean(), *([sparse.mean()] if len(sparse) else [])]))
 
 
 def _links(nodes: DataFrame, least: float, overlap: int) -> DataFrame:
-    """(node, root, links) of all nodes with links, from the graph search; repeated with more overlap where the audit asks for it."""
+    """(node, root, links) of all nodes with links, from the graph search; repeated with more effort where the audit asks for it."""
     count = nodes.count()
     shards = max(1, min(MOST_SHARDS, -(-count // SHARD)))
     middle = centroids(nodes, shards)
+    beam, degree = BEAM, DEGREE
     while True:
         placed = place(nodes, middle, overlap)
         placed = cut(placed.withColumn("shard", F.explode("shards")))
         sizes = placed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
         placed = placed.join(F.broadcast(sizes), "shard")  # at most MOST_SHARDS rows
         placed = cut(placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
-        lists = cut(_graphs(placed))
-        found = cut(_search(placed.join(lists, "node"), least))
-        if overlap >= len(middle) or audit_recall(nodes, found, least) >= RECALL:
+        lists = cut(_graphs(placed, degree))
+        found = cut(_search(placed.join(lists, "node"), least, beam))
+        recall = audit_recall(nodes, found, least)
+        _log.info("recall %.4f of %d nodes, overlap %d of %d shards, beam %s", recall, count, overlap, len(middle), beam)
+        if beam is None or recall >= RECALL:
             return found
-        overlap = min(len(middle), 2 * overlap)
+        if overlap >= len(middle):
+            middle, beam, degree = middle[:1], None, DEGREE
+        else:
+            overlap, beam, degree = min(len(middle), 2 * overlap), 2 * beam, 2 * degree
 
 
 def near_vectors(vectors: DataFrame, least: float = COSINE, overlap: int = OVERLAP) -> DataFrame:

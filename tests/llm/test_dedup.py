@@ -252,6 +252,25 @@ def test_embeddings_like_brute_force(spark, monkeypatch, shard, block):
     assert {(r.vec_id, r.n_links, r.component_id, r.kept) for r in found} == {(i, n[i], least[i], least[i] == i) for i, _ in rows}
 
 
+def test_poor_search_of_a_small_table_is_audited(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "range_search", lambda *_: np.zeros(0, np.int64))
+    found = embedding_dedup.near_vectors(spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 1.0])], "vec_id bigint, embedding array<float>"))
+    assert {(r.vec_id, r.n_links, r.component_id) for r in found.collect()} == {(1, 1, 1), (2, 1, 1), (3, 0, 3)}
+
+
+def test_audit_sees_lost_links_of_small_groups(spark):
+    nodes, found = [], []
+    for i in range(60):  # a group of alike vectors, whose links are all found
+        nodes.append((i, [1.0, 0.001 * i, 0.0, 0.0], 1))
+        found.append((i, 0, 59))
+    nodes += [(100, [0.0, 0.0, 1.0, 0.0], 1), (101, [0.0, 0.0, 1.0, 0.1], 1)]  # a pair, whose link is lost
+    nodes = spark.createDataFrame(nodes, "node bigint, vector array<double>, copies bigint")
+    links = spark.createDataFrame(found, "node bigint, root bigint, links bigint")
+    assert embedding_dedup.audit_recall(nodes, links, 0.9) == 0
+    whole = links.unionByName(spark.createDataFrame([(100, 100, 1), (101, 100, 1)], links.schema))
+    assert embedding_dedup.audit_recall(nodes, whole, 0.9) == 1
+
+
 def test_no_embeddings(spark):
     assert embedding_dedup.near_vectors(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).count() == 0
     found = embedding_dedup.near_vectors(spark.createDataFrame([(None, [1.0]), (2, [1.0])], "vec_id bigint, embedding array<float>")).collect()
