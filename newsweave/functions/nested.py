@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,28 +18,35 @@ LENIENT_JSON = {"allowSingleQuotes": "true"}
 OUTSIDE = r"""\G((?:[^'"NTF]++|"(?:[^"\\]++|\\.)*+"|'(?:[^'\\]++|\\.)*+'|(?!\b(?:None|True|False)\b)[NTF])*+)"""
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value computed once, however often ``use`` mentions it: as the only element of a list it is a variable, not an expression."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _replace_outside(value: Column, python: str, json: str) -> Column:
+    # the other constants count as plain letters here
+    pattern = rf"""{OUTSIDE.replace("(?:None|True|False)", python)}\b{python}\b"""
+    return bound(value, lambda v: F.when(v.contains(python), F.regexp_replace(v, pattern, f"$1{json}")).otherwise(v))
+
+
 def as_json(value: Column) -> Column:
     """A stored cell as JSON: white space around it goes, Python's constants outside of quotes become JSON's."""
-    found = strip(value)
-    for python, json in (("None", "null"), ("True", "true"), ("False", "false")):
-        # the other constants count as plain letters here
-        outside = OUTSIDE.replace("(?:None|True|False)", python)
-        found = F.when(found.contains(python), F.regexp_replace(found, rf"{outside}\b{python}\b", f"$1{json}")).otherwise(found)
-    return found
+    return _replace_outside(_replace_outside(_replace_outside(strip(value), "None", "null"), "True", "true"), "False", "false")
+
+
+def _read(value: Column, opening: str, kind: str) -> Column:
+    """A cell that begins with ``opening`` read as ``kind``; null if it cannot be."""
+    return bound(as_json(value), lambda v: F.from_json(F.when(v.startswith(opening), v), kind, LENIENT_JSON))
 
 
 def text_map(value: Column) -> Column:
     """``map<string,string>`` whose values keep their raw JSON; anything unreadable gives an empty map."""
-    value = as_json(value)
-    readable = F.when(value.startswith("{"), value)
-    return F.coalesce(F.from_json(readable, "map<string,string>", LENIENT_JSON), F.expr("cast(map() as map<string,string>)"))
+    return F.coalesce(_read(value, "{", "map<string,string>"), F.expr("cast(map() as map<string,string>)"))
 
 
 def text_list(value: Column) -> Column:
     """``array<string>`` whose elements keep their raw JSON; anything unreadable gives an empty array."""
-    value = as_json(value)
-    readable = F.when(value.startswith("["), value)
-    return F.coalesce(F.from_json(readable, "array<string>", LENIENT_JSON), F.expr("cast(array() as array<string>)"))
+    return F.coalesce(_read(value, "[", "array<string>"), F.expr("cast(array() as array<string>)"))
 
 
 def entity_lists(value: Column) -> Column:

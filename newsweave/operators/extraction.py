@@ -121,7 +121,8 @@ def parse_nested(df: DataFrame) -> DataFrame:
 
 def explode_relationships(parsed: DataFrame, key: str = "url", date: str = "date") -> DataFrame:
     """One edge per list element that has all four keys; ``seq`` is (article order, position)."""
-    exploded = parsed.select(F.col("seq").alias("_article"), key, date, F.posexplode("relationships").alias("position", "element"))
+    # the outer form: for the plain one the planner adds a filter that parses every cell again
+    exploded = parsed.select(F.col("seq").alias("_article"), key, date, F.posexplode_outer("relationships").alias("position", "element"))
     return exploded.filter(nx.has_relationship_keys(F.col("element"))).select(
         *[F.col("element")[k].alias(k) for k in nx.RELATIONSHIP_KEYS],
         key,
@@ -132,7 +133,7 @@ def explode_relationships(parsed: DataFrame, key: str = "url", date: str = "date
 
 def explode_entities(parsed: DataFrame, key: str = "url", date: str = "date") -> DataFrame:
     """One row per (category, name); a category that is not a list is skipped."""
-    categories = parsed.select(F.col("seq").alias("_article"), key, date, F.posexplode("entities").alias("_place", "entity_type", "_names"))
+    categories = parsed.select(F.col("seq").alias("_article"), key, date, F.posexplode_outer("entities").alias("_place", "entity_type", "_names"))
     return categories.select("*", F.posexplode("_names").alias("_at", "entity")).select(
         key, date, "entity", "entity_type", F.struct(F.col("_article").alias("article"), F.col("_place"), F.col("_at")).alias("seq")
     )
@@ -220,6 +221,13 @@ def gazetteer_entities(articles: DataFrame, gazetteer: Sequence[tuple[str, str]]
     return gazetteer_mentions(articles, gazetteer).groupBy("url", "seq", "entity", "entity_type").agg(F.count(F.lit(1)).alias("mentions"))
 
 
+def _steps(names: Column) -> Column:
+    """Each name with the one that follows; the last has none."""
+    return nx.bound(
+        names, lambda n: F.zip_with(n, F.slice(n, F.lit(2), F.size(n)), lambda one, other: F.struct(one.alias("source"), other.alias("target")))
+    )
+
+
 def cooccurrence_edges(
     articles: DataFrame, gazetteer: Sequence[tuple[str, str]], relationship: str = "partners with", sentiment: str = "NEUTRAL"
 ) -> DataFrame:
@@ -228,14 +236,9 @@ def cooccurrence_edges(
     Mentions follow each other by their first word, shorter ones first. Linking neighbours only keeps the output
     linear in the number of mentions.
     """
-    named = F.transform(F.array_sort(mentions_in(F.col("words"), gazetteer)), lambda m: m["entity"])
-    mentions = sentence_words(articles).select("url", "seq", named.alias("names")).filter(F.size("names") > 1)
-    steps = F.transform(
-        F.sequence(F.lit(1), F.size("names") - 1),
-        lambda i: F.struct(F.element_at("names", i).alias("source"), F.element_at("names", i + 1).alias("target")),
-    )
+    found = nx.bound(F.array_sort(mentions_in(F.col("words"), gazetteer)), lambda m: _steps(F.transform(m, lambda x: x["entity"])))
     return (
-        mentions.select("url", "seq", F.explode(steps).alias("s"))
+        sentence_words(articles).select("url", "seq", F.explode_outer(found).alias("s"))
         .select("url", "seq", "s.source", "s.target")
         .filter("source <> target")
         .groupBy("url", "seq", "source", "target")
