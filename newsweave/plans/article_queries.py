@@ -209,6 +209,14 @@ SENTENCES = r"""sentences AS (
 ), worded AS (
   SELECT url, seq, sentence, regexp_extract_all(body, '[^\s\x0b\x1c-\x1f\x{85}\pZ.,;:!?"()\[\]]+') AS words FROM sentences
 )"""
+# the entries of the dictionary per sentence, in order
+MENTIONED = f""", named AS (
+  SELECT url, seq, list(entity ORDER BY i, n) AS names FROM (
+    SELECT url, seq, sentence, i, 1 AS n, words[i] AS entity FROM (SELECT *, unnest(range(1, len(words) + 1)) AS i FROM worded)
+    UNION ALL
+    SELECT url, seq, sentence, i, 2 AS n, words[i] || ' ' || words[i + 1] AS entity FROM (SELECT *, unnest(range(1, len(words))) AS i FROM worded)
+  ) WHERE list_contains({SURFACES}, entity) GROUP BY url, seq, sentence
+)"""
 
 ORACLE = {
     "flag_union": with_(ARTICLES) + f"SELECT seq, url, language, {', '.join(FLAGS)} FROM articles",
@@ -296,13 +304,7 @@ FROM articles""",
 SELECT url, seq, entity, {MENTION_TYPE} AS entity_type, count(*) AS mentions
 FROM mentions WHERE list_contains({SURFACES}, entity) GROUP BY url, seq, entity""",
     "cooccurrence_edges": with_(ARTICLES, SENTENCES)
-    + f""", named AS (
-  SELECT url, seq, list(entity ORDER BY i, n) AS names FROM (
-    SELECT url, seq, sentence, i, 1 AS n, words[i] AS entity FROM (SELECT *, unnest(range(1, len(words) + 1)) AS i FROM worded)
-    UNION ALL
-    SELECT url, seq, sentence, i, 2 AS n, words[i] || ' ' || words[i + 1] AS entity FROM (SELECT *, unnest(range(1, len(words))) AS i FROM worded)
-  ) WHERE list_contains({SURFACES}, entity) GROUP BY url, seq, sentence
-), steps AS (
+    + f"""{MENTIONED}, steps AS (
   SELECT url, seq, names[i] AS source, names[i + 1] AS target FROM (SELECT *, unnest(range(1, len(names))) AS i FROM named)
 )
 SELECT url, seq, source, target, count(*) AS n, 'partners with' AS relationship, 'NEUTRAL' AS sentiment

@@ -11,9 +11,11 @@ from newsweave.operators import filters as fl
 from newsweave.operators.joins import join_on_key
 from newsweave.operators.ordering import keep_one
 from newsweave.plans import views
+from newsweave.plans.article_queries import MENTION_TYPE, MENTIONED, SENTENCES
 from newsweave.plans.fixture_sql import CATEGORIES, RELATIONS, RESPONSES_SQL, with_
 from newsweave.session import work_path
 from newsweave.sources import fixtures as fx
+from newsweave.sources.tables import stack_tables
 from newsweave.streaming import jobs
 
 
@@ -71,16 +73,23 @@ def flat_edges(edges):
 
 
 def run_stream(spark, sf):
-    """Extraction over the document files as a stream; returns the results written."""
-    path = f"{sf}/documents.parquet"
-    stream = jobs.stream_parquet(spark, f"{path}*", spark.read.parquet(path).schema).select(
-        F.col("doc_id").alias("seq"),
-        F.format_string("https://%s.example.com/%s/%d", "source", "lang", F.col("n_chars") % 97).alias("url"),
-        "text",
-    )
-    sink, errors, state = (work_path(spark, name) for name in ("results", "errors", "extract-state"))
-    jobs.incremental_extract(stream, ex.gazetteer_extractor(fx.GAZETTEER), sink, errors, state).awaitTermination()
-    return jobs.read_sink(spark, sink, jobs.RESULTS).drop("batch")
+    """Extraction over the documents arriving as files, in several batches and two runs, the second of which brings all of them again.
+
+    Returns what the written results say per address: names by type, and pairs of names that follow each other.
+    """
+    folder, sink, errors, state = (work_path(spark, name) for name in ("arrivals", "results", "errors", "extract-state"))
+    url = F.format_string("https://%s.example.com/%s/%d", "source", "lang", F.col("n_chars") % 97)
+    documents = fx.table(spark, sf, "documents").select(F.col("doc_id").alias("seq"), url.alias("url"), "text").repartition(4, "url")
+    for _ in range(2):
+        documents.write.mode("append").parquet(folder)
+        stream = jobs.stream_parquet(spark, folder, documents.schema, files_per_batch=2)
+        jobs.incremental_extract(stream, ex.gazetteer_extractor(fx.GAZETTEER), sink, errors, state).awaitTermination()
+    found = ex.parse_nested(jobs.read_sink(spark, sink, jobs.RESULTS).drop("batch"))
+    names = found.select("url", F.explode_outer("entities").alias("what", "names")).select("url", "what", F.explode("names").alias("one"))
+    pairs = found.select("url", F.explode("relationships").alias("r")).select("url", F.col("r")["source"].alias("one"), F.col("r")["target"].alias("other"))
+    articles = found.select("url", F.lit("article").alias("what"))
+    rows = [articles, names, pairs.withColumn("what", F.lit("pair"))]
+    return stack_tables(rows).select("url", "what", "one", "other")
 
 
 QUERIES = {
@@ -149,4 +158,18 @@ FROM (SELECT seq, unnest(['object', 'array']) AS kind FROM parsed) GROUP BY 1"""
 FROM articles a JOIN parsed p ON p.url = a.url""",
     "graph_table_edges": with_(RESPONSES_SQL, GRAPH_KEPT, RELATIONS) + EDGE_ROWS,
     "graph_table_entities": with_(RESPONSES_SQL, GRAPH_KEPT, CATEGORIES) + ENTITY_ROWS,
+    "incremental_extract": with_(
+        r"""last AS (
+  SELECT doc_id AS seq, 'https://' || source || '.example.com/' || lang || '/' || CAST(n_chars % 97 AS VARCHAR) AS url, text
+  FROM documents QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id DESC) = 1
+)""",
+        r"""articles AS (SELECT * FROM last WHERE regexp_matches(text, '[^\s\x0b\x1c-\x1f\x{85}\pZ]'))""",
+        SENTENCES,
+    )
+    + f"""{MENTIONED}, pairs AS (
+  SELECT url, names[i] AS one, names[i + 1] AS other FROM (SELECT *, unnest(range(1, len(names))) AS i FROM named)
+)
+SELECT url, 'article' AS what, CAST(NULL AS VARCHAR) AS one, CAST(NULL AS VARCHAR) AS other FROM articles
+UNION ALL SELECT DISTINCT url, {MENTION_TYPE}, entity, NULL FROM (SELECT url, unnest(names) AS entity FROM named)
+UNION ALL SELECT DISTINCT url, 'pair', one, other FROM pairs WHERE one <> other""",
 }

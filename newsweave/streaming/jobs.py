@@ -17,6 +17,7 @@ from newsweave.operators.extraction import extraction_errors, extraction_results
 from newsweave.operators.joins import pending
 from newsweave.operators.ordering import keep_one
 from newsweave.session import cut
+from newsweave.sources.keyed import ROWS_PER_BUCKET, KeyTable
 
 
 def stream_parquet(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 100) -> DataFrame:
@@ -43,20 +44,35 @@ ERRORS = "url string, error string, rate_limited boolean"
 
 
 def incremental_extract(
-    stream: DataFrame, extract: Callable[[DataFrame], DataFrame], sink: str, errors: str, checkpoint: str, retry_failed: bool = False
+    stream: DataFrame,
+    extract: Callable[[DataFrame], DataFrame],
+    sink: str,
+    errors: str,
+    checkpoint: str,
+    retry_failed: bool = False,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> StreamingQuery:
     """Extract the articles that arrive and were not handled in an earlier batch or run.
 
-    ``extract`` maps articles to (url, response_text, error). Runs until the available input is used up.
+    ``extract`` maps articles to (url, response_text, error). Runs until the available input is used up. Of articles of one
+    address the last of the first batch that holds it counts. What was handled is looked up in a ``KeyTable`` beside the
+    sink, of which a batch reads only the folders of its own addresses; for a sink without one it is made from the sink.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        done = read_sink(spark, sink, RESULTS).filter(F.col("batch") != number)
+        handled = KeyTable(spark, f"{sink}-keys", "url", rows_per_bucket)
+        if handled.bits() is None:
+            handled.start(batch, number)
+            if number:
+                handled.add(read_sink(spark, sink, RESULTS).filter(F.col("batch") < number), number - 1)
+        done = handled.known(handled.start(batch, number))
         replies = extract(pending(keep_one(batch, ["url"], "seq", "last"), done))
         parsed = cut(parse_responses(replies))
-        write_batch(extraction_results(parsed, retry_failed), sink, number)
+        results = extraction_results(parsed, retry_failed)
+        write_batch(results, sink, number)
         write_batch(extraction_errors(parsed), errors, number)
+        handled.add(results, number)
 
     return (
         stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
