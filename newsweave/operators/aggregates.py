@@ -126,3 +126,9 @@ def cluster_sizes(mapping: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("number_of_clusters"))
         .orderBy("number_of_names_in_cluster")
     )
+
+
+def resolution_totals(mapping: DataFrame) -> DataFrame:
+    """(names, canonicals, merged): how many names there are, into how many they went, and how many were not their own."""
+    merged = F.count_if(F.col("alias") != F.col("canonical"))
+    return mapping.agg(F.count(F.lit(1)).alias("names"), F.count_distinct("canonical").alias("canonicals"), merged.alias("merged"))

@@ -11,10 +11,12 @@ from newsweave.functions import text as tx
 from newsweave.functions import vectors as vx
 from newsweave.operators.filters import drop_self_loops
 from newsweave.operators.joins import replace_by_map
+from newsweave.operators.numbering import numbered
 from newsweave.operators.ordering import keep_one
-from newsweave.operators.similarity import ROWS_PER_BLOCK, pairs_above
+from newsweave.operators.similarity import ROWS_PER_BLOCK, pairs_above, pairs_between
 from newsweave.session import cut
 
+FIRST_BATCH = 8192
 
 def unique_names(edges: DataFrame, entities: DataFrame, normalize: bool = True) -> DataFrame:
     """Distinct non-null names (name, seq) ordered as first seen over all sources, then targets, then entities.
@@ -48,27 +50,22 @@ def name_embedding(names: DataFrame, dims: int = 256) -> DataFrame:
     return scaled.withColumn("embedding", vector_to_array("_unit", "float32")).drop("_grams", "_tf", "_unit")
 
 
-def cluster_names(vectors: DataFrame, threshold: float = 0.88, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """Greedy leader clusters (alias, canonical, is_leader) over (name, seq, embedding).
+def letter_embedding(names: DataFrame, letters: str = "abcdefghijklmnopqrstuvwxyz0123456789 ") -> DataFrame:
+    """Vectors of how often each letter stands in the lower-case name."""
+    lowered = F.lower("name")
+    counts = F.transform(F.array(*map(F.lit, letters)), lambda c: (F.length(lowered) - F.length(F.replace(lowered, c, F.lit("")))).cast("float"))
+    return names.withColumn("embedding", counts)
+
+
+def ranked_names(edges: DataFrame, entities: DataFrame, normalize: bool = True) -> DataFrame:
+    """``unique_names`` with ``seq`` as one number, from 0 in the order first seen, as ``cluster_names`` takes it."""
+    names = unique_names(edges, entities, normalize).withColumnRenamed("seq", "first")
+    return numbered(names, "seq", F.asc("first.part"), F.asc("first.row"), F.asc("name")).select("name", "seq")
 
-    Names are taken in order; one that no earlier leader is similar to leads, and a name similar to several
-    leaders goes to the last of them. The leaders are the lexicographically first maximal independent set of
-    the similarity graph, found in rounds. Names with equal vectors have equal neighbours, so only the first
-    of them enters the similarity join: copies add no pairs.
-    """
-    # a zero vector is similar to nothing, not even to its copies
-    own_key = F.when(vx.norm(F.col("embedding")) == 0, F.col("seq")).otherwise(F.lit(-1))
-    keyed = vectors.select("name", "seq", "embedding", own_key.alias("_zero"))
-    firsts = cut(keyed.groupBy("embedding", "_zero").agg(F.min("seq").alias("rep")))
-    names = cut(keyed.join(firsts, ["embedding", "_zero"]).select("name", "seq", "rep"))
-    pairs = cut(
-        pairs_above(firsts.select(F.col("rep").alias("id"), "embedding"), threshold, rows_per_block).select(
-            F.col("a").alias("left_seq"), F.col("b").alias("right_seq")
-        )
-    )
 
-    taken = None
-    active = pairs
+def _leaders(reps: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(seq) of the rows of ``reps`` (id) that no earlier leader is paired with: in rounds, those without an earlier open partner lead."""
+    taken, active = None, pairs
     while not active.isEmpty():
         leading = cut(
             active.select("left_seq").distinct().join(active.select(F.col("right_seq").alias("left_seq")), "left_seq", "left_anti")
@@ -78,21 +75,51 @@ def cluster_names(vectors: DataFrame, threshold: float = 0.88, rows_per_block: i
         active = cut(
             active.join(newly.toDF("left_seq"), "left_seq", "left_anti").join(newly.toDF("right_seq"), "right_seq", "left_anti")
         )
+    leaders = reps.select(F.col("id").alias("seq"))
+    return leaders if taken is None else leaders.join(taken, "seq", "left_anti")
+
+
+def cluster_names(vectors: DataFrame, threshold: float = 0.88, rows_per_block: int = ROWS_PER_BLOCK, first_batch: int = FIRST_BATCH) -> DataFrame:
+    """Greedy leader clusters (alias, canonical, is_leader) over (name, seq, embedding).
+
+    Names are taken in order; one that no earlier leader is similar to leads, and a name similar to several
+    leaders goes to the last of them. The leaders are the lexicographically first maximal independent set of
+    the similarity graph. They are found batch by batch, each as large as all before it: a batch first meets the leaders so
+    far, and only the names that none of them is similar to are paired with each other, so that a large cluster makes
+    no pairs beyond the batch it begins in. Names with equal vectors have equal neighbours, so only the first of them takes part.
+    """
+    # a zero vector is similar to nothing, not even to its copies
+    own_key = F.when(vx.norm(F.col("embedding")) == 0, F.col("seq")).otherwise(F.lit(-1))
+    keyed = vectors.select("name", "seq", "embedding", own_key.alias("_zero"))
+    firsts = cut(keyed.groupBy("embedding", "_zero").agg(F.min("seq").alias("rep")))
+    names = cut(keyed.join(firsts, ["embedding", "_zero"]).select("name", "seq", "rep"))
+    reps, total = firsts.select(F.col("rep").alias("id"), "embedding"), firsts.count()
+    if total > first_batch:
+        reps = cut(numbered(reps, "place", F.asc("id")))
+
+    leaders, done = None, 0
+    while leaders is None or done < total:
+        batch = reps if total <= first_batch else reps.where(F.col("place").between(done, max(2 * done, first_batch) - 1)).drop("place")
+        if leaders is not None:
+            led = pairs_between(batch, leaders, threshold, rows_per_block).select(F.col("a").alias("id")).distinct()
+            batch = cut(batch.join(led, "id", "left_anti"))
+        pairs = cut(pairs_above(batch, threshold, rows_per_block).select(F.col("a").alias("left_seq"), F.col("b").alias("right_seq")))
+        new = batch.join(_leaders(batch, pairs).toDF("id"), "id", "left_semi")
+        leaders = cut(new if leaders is None else leaders.unionByName(new))
+        done = max(2 * done, first_batch)
 
-    leaders = firsts.select(F.col("rep").alias("seq"))
-    if taken is not None:
-        leaders = cut(leaders.join(taken, "seq", "left_anti"))
     # leaders similar to each representative, itself included when it leads
-    as_left = pairs.join(leaders.toDF("left_seq"), "left_seq", "left_semi").select(F.col("right_seq").alias("rep"), F.col("left_seq").alias("leader"))
-    as_right = pairs.join(leaders.toDF("right_seq"), "right_seq", "left_semi").select(F.col("left_seq").alias("rep"), F.col("right_seq").alias("leader"))
-    itself = leaders.select(F.col("seq").alias("rep"), F.col("seq").alias("leader"))
-    near = as_left.unionByName(as_right).unionByName(itself)
-    chosen = (
-        names.join(near, "rep")
-        .filter("leader <= seq")
-        .groupBy("seq")
-        .agg(F.first("name").alias("alias"), F.max("leader").alias("leader"))
-    )
+    itself = leaders.select(F.col("id").alias("rep"), F.col("id").alias("leader"))
+    if total <= first_batch:
+        both = pairs.toDF("rep", "leader").unionByName(pairs.toDF("leader", "rep"))
+        near = both.join(itself.select("leader"), "leader", "left_semi").unionByName(itself)
+    else:
+        near = pairs_between(reps.drop("place"), leaders, threshold, rows_per_block).select(F.col("a").alias("rep"), F.col("b").alias("leader"))
+        near = near.unionByName(itself).distinct()
+    # leaders are not similar to each other, so few of them surround a name
+    lists = near.groupBy("rep").agg(F.collect_list("leader").alias("leaders"))
+    last = F.array_max(F.filter("leaders", lambda leader: leader <= F.col("seq")))
+    chosen = names.join(lists, "rep").select("seq", F.col("name").alias("alias"), last.alias("leader"))
     titles = names.select(F.col("seq").alias("leader"), F.col("name").alias("canonical"))
     return chosen.join(titles, "leader").select("alias", "canonical", (F.col("leader") == F.col("seq")).alias("is_leader"))
 

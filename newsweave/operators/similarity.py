@@ -1,112 +1,47 @@
-"""Exact similarity join and nearest neighbours over vectors.
-
-Vectors are placed in cells around a bounded set of pivot vectors. The angle between unit vectors is a
-metric, so by the triangle inequality a vector can only be within ``limit`` of some vector of a cell if its
-angle to the cell's pivot is at most the cell's radius plus ``limit``: all other cells are skipped without
-losing a pair. Cells are divided into blocks of bounded size whatever their population, and two blocks meet
-in one task that multiplies them; only qualifying rows leave it.
-"""
+"""Exact similarity join and nearest neighbours over vectors, on the tree of cells in ``cells``."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsweave.operators.cells import ROWS_PER_BLOCK, angles, cells, constant_limit, euclidean, meet, unit_rows
 from newsweave.session import cut
 
-ROWS_PER_BLOCK = 2048
-MAX_PIVOTS = 256
-ROUNDING = 1e-6
-
-
-def unit_rows(column: pd.Series) -> np.ndarray:
-    """Rows of unit length; zero vectors stay zero."""
-    matrix = np.array(column.tolist(), dtype=np.float64)
-    lengths = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-    return np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
-
-
-def _angles(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.arccos(np.clip(rows @ pivots.T, -1.0, 1.0))
-
-
-def _blocks(vectors: DataFrame, limit: float, rows_per_block: int) -> DataFrame:
-    """Vectors (id, embedding) with their block and one row per block they have to meet."""
-    n = vectors.count()
-    # pivots only steer the pruning; at most MAX_PIVOTS vectors reach the driver
-    pivot_count = max(1, min(MAX_PIVOTS, math.ceil(n / rows_per_block)))
-    sample = vectors.orderBy(F.xxhash64("id"), "id").limit(pivot_count).select("embedding").toPandas()
-    if sample.empty:
-        return vectors.select("id", "embedding", F.lit(0).alias("block"), F.lit(0).alias("meets"))
-    pivots = unit_rows(sample["embedding"])
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                angles = _angles(unit_rows(batch["embedding"]), pivots)
-                cell = angles.argmin(axis=1)
-                yield batch.assign(cell=cell.astype("int32"), far=angles[np.arange(len(batch)), cell])
-
-    placed = cut(vectors.mapInPandas(place, f"{_fields(vectors)}, cell int, far double"))
-    # at most one row per pivot
-    cells = {r["cell"]: r for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("radius")).collect()}
-    first, radius, sizes = [], np.full(len(pivots), -np.inf), []
-    total = 0
-    for c in range(len(pivots)):
-        count = math.ceil(cells[c]["n"] / rows_per_block) if c in cells else 0
-        first.append(total)
-        sizes.append(count)
-        total += count
-        if c in cells:
-            radius[c] = cells[c]["radius"]
-
-    def reachable(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                near = _angles(unit_rows(batch["embedding"]), pivots) <= radius + limit + ROUNDING
-                yield batch.assign(cells=[np.flatnonzero(row).astype("int32") for row in near])
-
-    starts, counts = F.array(*map(F.lit, first)), F.array(*map(F.lit, sizes))
-    own = starts[F.col("cell")] + F.pmod(F.xxhash64("id"), counts[F.col("cell")])
-    return (
-        placed.withColumn("block", own.cast("int"))
-        .drop("far")
-        .mapInPandas(reachable, f"{_fields(vectors)}, cell int, block int, cells array<int>")
-        .withColumn("_cell", F.explode("cells"))
-        .withColumn("meets", F.explode(F.sequence(starts[F.col("_cell")], starts[F.col("_cell")] + counts[F.col("_cell")] - 1)))
-        .select("id", "embedding", "block", "meets")
-    )
+NO_PAIRS = {"a": "int64", "b": "int64", "cosine": "float64"}
 
 
-def _fields(df: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+def reach(threshold: float) -> float:
+    """The angle of pairs at the threshold."""
+    return math.pi if threshold < 0 else math.acos(min(threshold, 1.0))
 
 
-def pairs_above(vectors: DataFrame, threshold: float, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """All pairs (a, b, cosine), a < b, of ``vectors`` (id, embedding) with cosine above the threshold."""
-    limit = math.pi if threshold < 0 else math.acos(min(threshold, 1.0))
-    blocked = _blocks(vectors, limit, rows_per_block).select(
-        "id", "embedding", "block", F.least("block", "meets").alias("low"), F.greatest("block", "meets").alias("high")
-    )
+def pairs_between(left: DataFrame, right: DataFrame, threshold: float, rows_per_block: int = ROWS_PER_BLOCK, ordered: bool = False) -> DataFrame:
+    """All pairs (a, b, cosine) of a row of ``left`` and one of ``right`` (id, embedding each) with cosine above the threshold.
 
-    def multiply(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        low, high = key
-        left, right = rows[rows["block"] == low], rows[rows["block"] == high]
-        if left.empty or right.empty:
-            return pd.DataFrame({"a": [], "b": [], "cosine": []}).astype({"a": "int64", "b": "int64"})
-        cosines = unit_rows(left["embedding"]) @ unit_rows(right["embedding"]).T
-        if low == high:
-            cosines[np.tril_indices(len(left))] = -2.0
-        i, j = np.nonzero(cosines > threshold)
-        a, b = left["id"].to_numpy()[i], right["id"].to_numpy()[j]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "cosine": cosines[i, j]})
+    With ``ordered`` only pairs with a < b. The cells are those of ``right``.
+    """
+    pool, guests = cells(right, constant_limit(left, reach(threshold)), angles, rows_per_block)
+
+    def multiply(asking: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+        cosines = unit_rows(asking["embedding"]) @ unit_rows(there["embedding"]).T
+        a, b = asking["id"].to_numpy(), there["id"].to_numpy()
+        near = cosines > threshold
+        if ordered:
+            near &= a[:, None] < b[None, :]
+        i, j = np.nonzero(near)
+        return pd.DataFrame({"a": a[i], "b": b[j], "cosine": cosines[i, j]}).astype(NO_PAIRS)
+
+    return meet(pool, guests, multiply, "a bigint, b bigint, cosine double", rows_per_block)
 
-    return blocked.groupBy("low", "high").applyInPandas(multiply, "a bigint, b bigint, cosine double")
+
+def pairs_above(vectors: DataFrame, threshold: float, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """All pairs (a, b, cosine), a < b, of ``vectors`` (id, embedding) with cosine above the threshold."""
+    return pairs_between(vectors, vectors, threshold, rows_per_block, ordered=True)
 
 
 def similar_pairs(vectors: DataFrame, threshold: float, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
@@ -123,41 +58,45 @@ def similar_pairs(vectors: DataFrame, threshold: float, rows_per_block: int = RO
     )
 
 
+FOUND = "id bigint, neighbour bigint, distance double"
+
+
+def _best(k: int):
+    """The k nearest of the rows there for each row asking, ties to the lesser id."""
+
+    def best(asking: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+        there = there.sort_values("id")
+        ids, others = asking["id"].to_numpy(), there["id"].to_numpy()
+        found = euclidean(asking["embedding"], there["embedding"])
+        found[ids[:, None] == others[None, :]] = np.inf
+        order = np.argsort(found, axis=1, kind="stable")[:, :k]
+        rows = pd.DataFrame({"id": np.repeat(ids, order.shape[1]), "neighbour": others[order].ravel(), "distance": np.take_along_axis(found, order, 1).ravel()})
+        return rows[np.isfinite(rows["distance"])]
+
+    return best
+
+
+def neighbourhoods(vectors: DataFrame, k: int, rows_per_block: int = ROWS_PER_BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Blocks of ``vectors`` and the blocks each row has to meet for its k nearest others.
+
+    A row's k-th distance within its own block bounds the radius it has to look in; with fewer rows there it looks everywhere.
+    """
+    nowhere = constant_limit(vectors, 0.0).limit(0)
+    pool = cut(cells(vectors, nowhere, euclidean, rows_per_block)[0])
+    near = meet(pool, pool, _best(k), FOUND, rows_per_block)
+    bound = near.groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("limit"))
+    everywhere = F.coalesce("limit", F.lit(float("inf")))
+    guests = cut(vectors.select("id", "embedding").join(bound, "id", "left").select("id", "embedding", everywhere.alias("limit")))
+    return cells(vectors, guests, euclidean, rows_per_block)
+
+
 def nearest(vectors: DataFrame, k: int, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """The k nearest other rows by Euclidean distance, exact: (id, neighbour, distance).
+    """The k nearest other rows by Euclidean distance, exact, ties to the lesser id: (id, neighbour, distance).
 
-    ``vectors``: id (unique), embedding. Every block meets every block; each meeting keeps its k best per
-    row, and the k best of those are merged per row.
+    ``vectors``: id (unique), embedding.
     """
-    n = vectors.count()
-    blocks = max(1, math.ceil(n / rows_per_block))
-    slim = vectors.select("id", "embedding", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"))
-    # every row is a query in each meeting of its block and a candidate in each meeting it is visited in
-    asked = slim.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("asks", F.lit(True))
-    visited = asked.select("id", "embedding", F.col("other").alias("block"), F.col("block").alias("other"), F.lit(False).alias("asks"))
-
-    def best(rows: pd.DataFrame) -> pd.DataFrame:
-        queries, pool = rows[rows["asks"]], rows[~rows["asks"]]
-        if queries.empty or pool.empty:
-            return pd.DataFrame({"id": [], "neighbour": [], "distance": []}).astype({"id": "int64", "neighbour": "int64"})
-        q = np.array(queries["embedding"].tolist(), dtype=np.float64)
-        p = np.array(pool["embedding"].tolist(), dtype=np.float64)
-        squared = (q * q).sum(1)[:, None] + (p * p).sum(1)[None, :] - 2.0 * (q @ p.T)
-        ids, others = queries["id"].to_numpy(), pool["id"].to_numpy()
-        squared[ids[:, None] == others[None, :]] = np.inf
-        order = np.argsort(squared, axis=1, kind="stable")[:, :k]
-        found = pd.DataFrame(
-            {
-                "id": np.repeat(ids, order.shape[1]),
-                "neighbour": others[order].ravel(),
-                "distance": np.sqrt(np.maximum(np.take_along_axis(squared, order, axis=1), 0.0)).ravel(),
-            }
-        )
-        return found[np.isfinite(found["distance"])]
-
-    met = asked.unionByName(visited).groupBy("block", "other").applyInPandas(
-        lambda rows: best(rows), "id bigint, neighbour bigint, distance double"
-    )
-    # k rows per meeting and per row: the list merged below has k * blocks entries
+    pool, guests = neighbourhoods(vectors, k, rows_per_block)
+    met = meet(pool, guests, _best(k), FOUND, rows_per_block)
+    # k rows per block a row met
     ranked = met.groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct("distance", "neighbour"))), 1, k).alias("best"))
     return ranked.select("id", F.explode("best").alias("b")).select("id", "b.neighbour", "b.distance")

@@ -9,7 +9,8 @@ from newsweave.functions import vectors as vx
 from newsweave.operators import aggregates as ag
 from newsweave.operators import resolution as rs
 from newsweave.operators.similarity import similar_pairs
-from newsweave.plans.fixture_sql import CLUSTERS, PAIRS, TITLED, VECTORS, edges, entities, with_
+from newsweave.plans import views
+from newsweave.plans.fixture_sql import CLUSTERS, PAIRS, TITLED, VECTORS, edges, entities, quote, with_
 from newsweave.sources import fixtures as fx
 
 THRESHOLD = 0.35
@@ -54,7 +55,20 @@ def encoded_names(spark, sf):
     return found.select("seq", F.size("embedding").alias("dims"), F.round(vx.norm(F.col("embedding")), 4).alias("length"))
 
 
+CORRECTIONS = [("E3", "E4"), ("unused", "E1")]
+
+
+def from_names(spark, sf):
+    """Edges, entities and map, from edges whose sources carry honorifics to the graph resolved by the letters of the names."""
+    edges = fx.edges(spark, sf).withColumn("source", F.concat(fx.title(F.col("seq")), "source"))
+    corrections = spark.createDataFrame(CORRECTIONS, "alias string, canonical string")
+    return views.resolve_names(edges, fx.entities(spark, sf), corrections, rs.letter_embedding)
+
+
 QUERIES = {
+    "resolved_from_names": lambda s, d: from_names(s, d)[0],
+    "resolved_entities_from_names": lambda s, d: from_names(s, d)[1].select("seq", "url", "entity", "entity_type"),
+    "resolution_totals": lambda s, d: ag.resolution_totals(from_names(s, d)[2]),
     "cosine": neighbours,
     "similar_pairs": lambda s, d: similar_pairs(fx.name_vectors(s, d), THRESHOLD).withColumn("cosine", F.round("cosine", 6)),
     "normalize_names": lambda s, d: fx.titled_names(s, d).select("seq", tx.normalize_title(F.col("name")).alias("name")),
@@ -85,7 +99,56 @@ RESOLVED = (
 )"""
 )
 
+TITLE_CASE = "CASE seq % 10 " + " ".join(f"WHEN {i} THEN {quote(t) if chr(9) not in t else quote(t.strip()) + ' || chr(9)'}" for i, t in enumerate(fx.TITLES)) + " END"
+LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
+FROM_NAMES = (
+    edges("E", "plain_edges")
+    + f""", raw_edges AS (SELECT * REPLACE ({TITLE_CASE} || source AS source) FROM plain_edges), """
+    + entities("E", "raw_entities")
+    + rf""", sightings AS (
+  SELECT source AS name, 0 AS part, seq FROM raw_edges UNION ALL SELECT target, 1, seq FROM raw_edges UNION ALL SELECT entity, 2, seq FROM raw_entities
+), firsts AS (
+  SELECT regexp_replace(regexp_replace(name, '\b(Mr|Ms|Mrs|Dr|Prof|President|Chancellor|Prime Minister)\.?\s+', '', 'g'), '^\s+|\s+$', '', 'g') AS name,
+         min((part, seq)) AS first
+  FROM sightings WHERE name IS NOT NULL GROUP BY 1
+), vectors AS (
+  SELECT name, row_number() OVER (ORDER BY first, name) - 1 AS seq,
+         list_transform(string_split('{LETTERS}', ''), lambda c: CAST(length(name) - length(replace(lower(name), c, '')) AS DOUBLE)) AS v
+  FROM firsts
+), pairs AS (
+  SELECT a.seq AS left_seq, b.seq AS right_seq FROM vectors a JOIN vectors b ON a.seq < b.seq
+  WHERE list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) > 0.88
+), earlier AS (SELECT right_seq AS seq, list(left_seq) AS before FROM pairs GROUP BY right_seq
+), steps AS (SELECT v.seq, coalesce(e.before, CAST([] AS BIGINT[])) AS before FROM vectors v LEFT JOIN earlier e ON e.seq = v.seq
+), walk AS (
+  SELECT seq, [seq] AS leaders FROM steps WHERE seq = 0
+  UNION ALL
+  SELECT s.seq, CASE WHEN list_has_any(w.leaders, s.before) THEN w.leaders ELSE list_append(w.leaders, s.seq) END
+  FROM walk w JOIN steps s ON s.seq = w.seq + 1
+), leaders AS (SELECT unnest(leaders) AS seq FROM (SELECT leaders FROM walk ORDER BY seq DESC LIMIT 1)
+), chosen AS (
+  SELECT v.seq, max(l.seq) AS leader FROM vectors v JOIN leaders l
+    ON l.seq = v.seq OR l.seq IN (SELECT left_seq FROM pairs p WHERE p.right_seq = v.seq)
+  GROUP BY v.seq
+), corrections AS (SELECT * FROM (VALUES {", ".join(f"({quote(a)}, {quote(c)})" for a, c in CORRECTIONS)}) t(alias, canonical)
+), mapping AS (
+  SELECT coalesce(o.alias, a.name) AS alias, coalesce(o.canonical, c.name) AS canonical
+  FROM chosen x JOIN vectors a ON a.seq = x.seq JOIN vectors c ON c.seq = x.leader FULL JOIN corrections o ON o.alias = a.name
+), edges AS (
+  SELECT e.* REPLACE (coalesce(a.canonical, e.source) AS source, coalesce(b.canonical, e.target) AS target)
+  FROM raw_edges e LEFT JOIN mapping a ON a.alias = e.source LEFT JOIN mapping b ON b.alias = e.target
+), entities AS (
+  SELECT e.* REPLACE (coalesce(m.canonical, e.entity) AS entity) FROM raw_entities e LEFT JOIN mapping m ON m.alias = e.entity
+)"""
+)
+
 ORACLE = {
+    "resolved_from_names": with_(FROM_NAMES, recursive=True)
+    + "SELECT DISTINCT source, target, relationship, sentiment, date, article_source, url FROM edges WHERE source <> target",
+    "resolved_entities_from_names": with_(FROM_NAMES, recursive=True)
+    + "SELECT seq, url, entity, entity_type FROM entities QUALIFY row_number() OVER (PARTITION BY url, entity ORDER BY seq) = 1",
+    "resolution_totals": with_(FROM_NAMES, recursive=True)
+    + "SELECT count(*) AS names, count(DISTINCT canonical) AS canonicals, count_if(alias <> canonical) AS merged FROM mapping",
     "cosine": with_(VECTORS)
     + """SELECT a.seq, round(list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))), 6) AS cosine
 FROM vectors a JOIN vectors b ON b.seq = a.seq + 1""",

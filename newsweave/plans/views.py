@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -19,6 +19,7 @@ from newsweave.operators import resolution as rs
 from newsweave.operators.communities import communities
 from newsweave.operators.joins import add_entity_type, join_on_key, with_keys
 from newsweave.operators.ordering import duplicate_count, duplicate_rows, keep_one
+from newsweave.session import cut
 from newsweave.sources.tables import default_column
 
 
@@ -228,3 +229,11 @@ def resolve(edges: DataFrame, entities: DataFrame, vectors: DataFrame, overrides
         rs.apply_resolution(edges, ["source", "target"], mapping), rs.apply_resolution(entities, ["entity"], mapping)
     )
     return new_edges, new_entities, mapping
+
+
+def resolve_names(
+    edges: DataFrame, entities: DataFrame, overrides: DataFrame, encode: Callable[[DataFrame], DataFrame] = rs.name_embedding, threshold: float = 0.88
+):
+    """``resolve`` from the names themselves: numbered as first seen without honorifics, encoded by ``encode``, clustered, corrected, rewritten."""
+    names = cut(encode(rs.ranked_names(edges, entities)).select("name", "seq", "embedding"))
+    return resolve(edges, entities, names, overrides, threshold)

@@ -167,12 +167,16 @@ def overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
 TITLES = ["Mr. ", "Mrs ", "Dr. ", "Prime Minister ", "President ", "Prof. Dr. ", "Drake ", "", "Chancellor\t", "Ms.  "]
 
 
+def title(number: Column) -> Column:
+    """One of the ten honorifics."""
+    return F.element_at(F.array(*[F.lit(t) for t in TITLES]), (number % 10 + 1).cast("int"))
+
+
 def titled_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer names with honorifics before, inside and after them."""
     key = F.col("c_custkey")
-    title = F.element_at(F.array(*[F.lit(t) for t in TITLES]), (key % 10 + 1).cast("int"))
     inside = F.when(key % 3 == 0, F.lit(" Mr. X  ")).when(key % 3 == 1, F.lit("")).otherwise(F.lit(" "))
-    return table(spark, sf_dir, "customer").select(key.alias("seq"), F.concat(title, F.col("c_name"), inside).alias("name"))
+    return table(spark, sf_dir, "customer").select(key.alias("seq"), F.concat(title(key), F.col("c_name"), inside).alias("name"))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from newsweave.operators import cells, similarity
 from newsweave.operators import resolution as rs
 from newsweave.operators.similarity import nearest, similar_pairs
 
@@ -59,6 +60,49 @@ def test_clusters_equal_the_sequential_scan(spark, seed, threshold):
     assert all(r["is_leader"] == (r["alias"] == r["canonical"]) for r in found) and len(found) == len(matrix)
 
 
+def test_clusters_in_batches_equal_the_sequential_scan(spark):
+    matrix = sample(5, 200)
+    found = rs.cluster_names(vectors_of(spark, matrix), 0.8, rows_per_block=25, first_batch=20).collect()
+    assert {r["alias"]: r["canonical"] for r in found} == sequential_clusters(matrix, 0.8)
+
+
+def test_a_large_cluster_makes_pairs_in_its_first_batch_only(spark, monkeypatch):
+    """640 near copies: the first batch of 20 pairs them, later ones meet the one leader."""
+    generator = np.random.default_rng(3)
+    matrix = np.abs(generator.normal(size=8)) + generator.normal(scale=0.01, size=(640, 8))
+    paired = []
+    original = rs.pairs_above
+    monkeypatch.setattr(rs, "pairs_above", lambda v, *a: paired.append(v.count()) or original(v, *a))
+    found = rs.cluster_names(vectors_of(spark, matrix), 0.9, first_batch=20).collect()
+    assert {r["canonical"] for r in found} == {"v0"} and len(found) == 640
+    assert paired[0] == 20 and sum(paired[1:]) == 0 and len(paired) == 6
+
+
+def near_copies(groups, each, dims=24, seed=7):
+    """Groups of near copies around random centres, the number of groups growing with the rows."""
+    generator = np.random.default_rng(seed)
+    centres = generator.normal(size=(groups, dims))
+    return np.repeat(centres, each, axis=0) + generator.normal(scale=0.05, size=(groups * each, dims))
+
+
+def test_pairs_compared_per_vector_stay_flat(spark):
+    per = []
+    for groups in (50, 400):
+        vectors = vectors_of(spark, near_copies(groups, 10)).select(F.col("seq").alias("id"), "embedding")
+        pool, guests = cells.cells(vectors, cells.constant_limit(vectors, similarity.reach(0.88)), cells.angles, 64, rows_per_cell=4)
+        per.append(cells.compared(pool, guests) / (groups * 10))
+        assert pool.count() == groups * 10 and pool.groupBy("block").count().agg(F.max("count")).first()[0] <= 128
+    assert per[1] <= 1.5 * per[0] and per[1] < 100
+
+
+def test_rows_that_division_cannot_part(spark):
+    """A thousand equal vectors and some others, in blocks of ten."""
+    matrix = np.vstack([np.ones((1000, 3)), np.eye(3)])
+    rows = vectors_of(spark, matrix).select(F.col("seq").alias("id"), "embedding")
+    pool, _ = cells.cells(rows, cells.constant_limit(rows, 0.1), cells.angles, 10)
+    assert pool.count() == 1003 and pool.groupBy("block").count().agg(F.max("count")).first()[0] <= 40
+
+
 def test_copies_add_no_pairs(spark, monkeypatch):
     seen = []
     original = rs.pairs_above
