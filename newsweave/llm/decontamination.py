@@ -10,7 +10,8 @@ The windows are the query set: they go to the scan of the documents in blocks of
 block's size is bounded whatever the benchmark's size; the documents' texts are never shuffled.
 
 Edge cases: null or empty texts have no words and are clean; an item of fewer than ``width`` words is one window, an
-item without words has none; repeated items count each; rows with a null or repeated ``doc_id`` are handled one by one;
+item without words has none; repeated items count each; items without an ``item_id`` mark words like others, count as one
+item and leave no name in the digest; rows with a null or repeated ``doc_id`` are handled one by one;
 an empty benchmark leaves every document clean. Further columns are ignored.
 """
 
@@ -44,7 +45,7 @@ def item_windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
             for i, item in enumerate(batch["item_id"]):
                 own = signed[words.first[i] : words.first[i + 1]]
                 size = min(width, len(own))
-                if size and item is not None:
+                if size:
                     rows += [(item, size, own[s : s + size]) for s in range(len(own) - size + 1)]
             yield pd.DataFrame(rows, columns=["item_id", "size", "words"])
 
@@ -128,7 +129,7 @@ def _scan(text: Column, index) -> Column:
                 own = slice(bounds[i], bounds[i + 1])
                 begin = start[own] - words.first[i]
                 runs = merge(begin, begin + windows.sizes[window[own]])
-                out.append((words.first[i + 1] - words.first[i], *runs, sorted({windows.items[w] for w in window[own]})))
+                out.append((words.first[i + 1] - words.first[i], *runs, sorted({windows.items[w] for w in window[own]}, key=lambda n: (n is None, n))))
         return pd.DataFrame(out, columns=["n_words", "starts", "ends", "items"])
 
     return scan(text)
@@ -150,8 +151,8 @@ def _united(starts: pd.Series, ends: pd.Series, items: pd.Series) -> pd.DataFram
         begin, end = np.asarray(s, np.int64), np.asarray(e, np.int64)
         order = np.argsort(begin, kind="stable")
         runs = merge(begin[order], end[order])
-        names = sorted(set(found))
-        out.append((int((runs[1] - runs[0]).sum()), len(names), hashlib.sha256(",".join(names).encode()).hexdigest()))
+        names = sorted({n for n in found if n is not None})
+        out.append((int((runs[1] - runs[0]).sum()), len(set(found)), hashlib.sha256(",".join(names).encode()).hexdigest()))
     return pd.DataFrame(out, columns=["n_hit", "n_items", "items_sha256"])
 
 
