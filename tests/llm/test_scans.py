@@ -58,7 +58,8 @@ def test_secrets_like_regular_expressions(docs_of):
 
 def test_entropy_by_full_counts(docs_of):
     rng = random.Random(8)
-    values = ["".join(rng.choice(a) for _ in range(rng.randint(20, 60))) + "7" for a in ("abc123", "0123456789abcdef", secret_scan._ALPHABET, "aZ9") for _ in range(8)]
+    alphabets = ("abc123", "0123456789abcdef", secret_scan._ALPHABET.replace("=", ""), "aZ9", "abcdefghijklmnopqrstuvwxyz")
+    values = ["".join(rng.choice(a) for _ in range(rng.randint(20, 60))) + rng.choice("7q") for a in alphabets for _ in range(8)]
     found = {r.doc_id: r.spans for r in secret_scan.secret_report(docs_of(list(enumerate(values)))).collect()}
     window = secret_scan.WINDOW
     for i, value in enumerate(values):
@@ -73,12 +74,30 @@ def test_entropy_by_full_counts(docs_of):
                     spans.append([s, s + window])
         if any(re.search(p, value) for p in secret_scan.ALLOWED):
             spans = []
+        spans = [s for s in spans if not any(re.search(p, value[s[0] : s[1]]) for p in secret_scan.ALLOWED_INSIDE)]
         assert [x for x in found[i].split(",") if x.startswith("entropy")] == [f"entropy:{s}:{e}" for s, e in spans]
     assert sum("entropy" in x for x in found.values()) > 8
     allowed = {r.doc_id: r.n_entropy for r in secret_scan.secret_report(docs_of(list(enumerate(SECRETS)))).collect()}
     assert allowed[10] == 1 and allowed[11] == allowed[13] == 0
 
 
+def test_names_do_not_hide_values(docs_of):
+    secret = "Zx8Qp2LmV7rTn4WcYb9KdHs3GfJ6uEa1"
+    texts = [f"sample_key={secret}", "QxZvBnMkLpWsDrTgHyJuKiOlPaSfCeXq", f"example {secret}", "sample-example-placeholder-99", "ann-bob-carl-dora-emil-fritz-7", f"{secret}=="]
+    found = {r.doc_id: r.spans for r in secret_scan.secret_report(docs_of(list(enumerate(texts)))).collect()}
+    assert found == {0: "entropy:11:43", 1: "entropy:0:32", 2: "entropy:8:40", 3: "", 4: "", 5: "entropy:0:34"}
+
+
+def test_long_runs_and_many_matches(docs_of):
+    rng = random.Random(4)
+    run = "".join(rng.choice(secret_scan._ALPHABET[:62]) for _ in range(200_000))
+    matches = "token=abcdefghijkl " * 40_000
+    texts = ["a_" * 50_000 + "1", run, matches, "a" * 300_000, "deadbeef01234567 " * 30_000]
+    found = {r.doc_id: r for r in secret_scan.secret_report(docs_of(list(enumerate(texts)))).collect()}
+    assert found[0].spans == "" and found[1].n_entropy >= 1 and found[2].n_assign == 40_000 and found[4].n_hex == 30_000
+    assert found[2].base_sha256 == hashlib.sha256(",".join(f"assign:{i * 19}:{i * 19 + 18}" for i in range(40_000)).encode()).hexdigest()
+
+
 def test_secret_scan_runs_no_python(docs_of):
     plan = secret_scan.secret_report(docs_of([(1, "x")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
@@ -185,7 +204,7 @@ def contaminated(texts, items, width):
         words = re.findall(pattern, lower(text))
         size = min(width, len(words))
         for s in range(len(words) - size + 1) if size else ():
-            windows[tuple(words[s : s + size])].add(str(i))
+            windows[tuple(words[s : s + size])].add(None if i is None else str(i))
     out = set()
     for i, text in texts:
         words, hit, names = re.findall(pattern, lower(text)), set(), set()
@@ -194,7 +213,7 @@ def contaminated(texts, items, width):
                 if found := windows.get(tuple(words[s : s + size])):
                     hit |= set(range(s, s + size))
                     names |= found
-        out.add((i, len(words), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit)))
+        out.add((i, len(words), len(hit), len(names), hashlib.sha256(",".join(sorted(n for n in names if n is not None)).encode()).hexdigest(), bool(hit)))
     return out
 
 
@@ -202,8 +221,8 @@ def contaminated(texts, items, width):
 def test_contamination_like_brute_force(spark, docs_of, monkeypatch, block):
     rng = random.Random(2)
     word = lambda: rng.choice(["a", "B", "c9", "é", "the", "x", "dog", "Straße"])
-    items = [(i, " ".join(word() for _ in range(rng.randint(4, 14)))) for i in range(12)] + [(50, None), (51, "..."), (52, "tiny-one"), (10, "a a a a a")]
-    texts = [(i, rng.choice([" ", ", ", "\n"]).join(word() for _ in range(rng.randint(0, 300)))) for i in range(30)]
+    items = [(i, " ".join(word() for _ in range(rng.randint(4, 14)))) for i in range(12)] + [(50, None), (51, "..."), (52, "tiny-one"), (10, "a a a a a"), (None, "nobody knows this item"), (None, "nor this")]
+    texts = [(200, "but nobody knows this item, nor this"), (201, "nobody knows this")] + [(i, rng.choice([" ", ", ", "\n"]).join(word() for _ in range(rng.randint(0, 300)))) for i in range(30)]
     texts += [(100, None), (101, ""), (102, "Tiny\x00one"), (None, items[0][1]), (103, f"zz {items[1][1].upper()} zz"), (103, items[2][1])]
     table = spark.createDataFrame(items, "item_id bigint, text string")
     found = decontamination.find_contamination(docs_of(texts), table, 5, block)
