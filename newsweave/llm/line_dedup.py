@@ -1,10 +1,10 @@
 """Line deduplication within one edit, by a deletion-neighbourhood join over the whole collection.
 
 A line is compared by its text without surrounding white space; blank lines stay. A line goes if an earlier line, by
-(doc_id, line number), is equal or, where both have ``min_chars`` characters, differs by one inserted, deleted or replaced
+(doc_id, hash of the text, line number), is equal or, where both have ``min_chars`` characters, differs by one inserted, deleted or replaced
 character. The relation is direct: whether the earlier line goes itself does not matter. Lines of ``equal_chars``
-characters and more are compared for equality; by default only those of ``min_chars``, and shorter ones stay. The
-registered query compares all lines (1) and takes one edit for a near copy from ``NEAR_CHARS`` on.
+characters and more are compared for equality, shorter ones stay. The
+default is all lines (1), with one edit for a near copy from ``NEAR_CHARS`` on.
 
 Equal lines meet by their hash. For the rest, every variant of a line with one character deleted is a hashed key:
 two lines with equal variants for the same place differ by a replacement there; a variant that equals another whole
@@ -17,7 +17,8 @@ of such a piece. Keys that only one line has are forgotten, and those left becom
 next pass divides only pieces that the bitmap holds, the last emits variants for the places within them. A full
 bitmap would cost work but lose nothing.
 
-Edge cases: null texts have no lines; rows that repeat a doc_id count as the same document; lines of rows without a
+Edge cases: null texts have no lines; rows that share a doc_id are documents of their own unless their texts are equal too,
+which makes them one document that is not compared with itself; lines of rows without a
 doc_id have no place in the order and stay; texts of any length are handled whole.
 """
 
@@ -36,13 +37,13 @@ from newsweave.llm.bitmaps import bitmap, holds
 from newsweave.llm.texts import joined_hash, mix, objects, prefix_hashes, slabs, small_batches, span_hash
 from newsweave.session import cut
 
-MIN_CHARS = 20
+EQUAL_CHARS = 1
 NEAR_CHARS = 11  # fewest characters at which, as measured, one edit left the letters of a line as they were
 PIECES = (4, 8)  # a line is divided into so many pieces, each of these into so many
-_LINE = "line bigint, doc_id bigint, place int"
+_LINE = "line bigint, doc_id bigint, row_hash bigint, place int"
 _SHARE = "part bigint, tag int"
-_VARIANT = "variant bigint, role int, line bigint, text string"
-REPLACED, WHOLE, SHORTENED, TEXT = 0, 1, 2, 3
+_VARIANT = "variant bigint, role int, line bigint"
+REPLACED, WHOLE, SHORTENED = 0, 1, 2
 
 
 class _Spans(NamedTuple):
@@ -124,23 +125,24 @@ def _slabs(texts: list[str]) -> Iterator[tuple[int, int]]:
 
 
 def _compared(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint"), "text").where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("row_hash"), "text")
+    return rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
 
 
-def line_table(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_table(docs: DataFrame, min_chars: int = NEAR_CHARS) -> DataFrame:
     """Every compared line: its hash, document and place."""
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts, ids = _read(batch), batch["doc_id"].to_numpy()
+            texts, ids, rows = _read(batch), batch["doc_id"].to_numpy(), batch["row_hash"].to_numpy()
             for lo, hi in _slabs(texts):
                 found = _Lines(texts[lo:hi], min_chars)
-                yield pd.DataFrame({"line": found.hashes.view(np.int64), "doc_id": ids[lo + found.owner], "place": found.place})
+                yield pd.DataFrame({"line": found.hashes.view(np.int64), "doc_id": ids[lo + found.owner], "row_hash": rows[lo + found.owner], "place": found.place})
 
     return _compared(docs).mapInPandas(lines, _LINE)
 
 
-def shared_parts(docs: DataFrame, found: list[Broadcast], min_chars: int = MIN_CHARS) -> DataFrame:
+def shared_parts(docs: DataFrame, found: list[Broadcast], min_chars: int = NEAR_CHARS) -> DataFrame:
     """Keys of lines without a piece that at least two different lines have; pieces of those in the bitmaps found before."""
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,14 +158,28 @@ def shared_parts(docs: DataFrame, found: list[Broadcast], min_chars: int = MIN_C
     return rows.groupBy("part").agg(F.min("tag").alias("low"), F.max("tag").alias("high")).where("low < high").select("part")
 
 
-def variants(docs: DataFrame, found: list[Broadcast], min_chars: int = MIN_CHARS) -> DataFrame:
-    """Deletion variants of the lines that agree with another outside of a small piece; their texts as rows of role TEXT."""
+def candidates(docs: DataFrame, found: list[Broadcast], min_chars: int) -> DataFrame:
+    """(line, text): one row for each different line that agrees with another outside of a small piece."""
 
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def hit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = _read(batch)
             for lo, hi in _slabs(texts):
                 lines = _Lines(texts[lo:hi], min_chars)
+                which = np.unique(lines.narrowed(found, PIECES).which)
+                yield pd.DataFrame({"line": lines.hashes[which].view(np.int64), "text": objects(lines.text[i] for i in which)})
+
+    return _compared(docs).mapInPandas(hit, "line bigint, text string").groupBy("line").agg(F.first("text").alias("text"))
+
+
+def variants(lines: DataFrame, found: list[Broadcast]) -> DataFrame:
+    """Deletion variants of different lines (line, text) within the pieces whose rest another line shares, and their whole hashes."""
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = _read(batch)
+            for lo, hi in _slabs(texts):
+                lines = _Lines(texts[lo:hi], 0)
                 spans = lines.narrowed(found, PIECES)
                 each = spans.end - spans.begin
                 which, shorter = np.repeat(spans.which, each), np.repeat(spans.shorter, each)
@@ -171,25 +187,23 @@ def variants(docs: DataFrame, found: list[Broadcast], min_chars: int = MIN_CHARS
                 # with a character less it equals a whole line, else it equals its like without the same place
                 salt = np.where(shorter == 1, 0, 1 + at - lines.starts[which])
                 yield _rows(lines.without(which, at, at + 1, salt), np.where(shorter == 1, SHORTENED, REPLACED), lines, which)
-                hit = np.unique(spans.which)
-                for role in (WHOLE, TEXT):
-                    yield _rows(lines.hashes[hit], np.full(len(hit), role), lines, hit, role == TEXT)
+                every = np.arange(len(lines.hashes))
+                yield _rows(lines.hashes, np.full(len(every), WHOLE), lines, every)
 
-    return _compared(docs).mapInPandas(emit, _VARIANT)
+    return lines.mapInPandas(emit, _VARIANT)
 
 
-def _rows(keys: np.ndarray, role: np.ndarray, lines: _Lines, which: np.ndarray, with_text: bool = False) -> pd.DataFrame:
-    text = objects(lines.text[i] if with_text else None for i in which)
-    return pd.DataFrame({"variant": keys.view(np.int64), "role": role, "line": lines.hashes[which].view(np.int64), "text": text})
+def _rows(keys: np.ndarray, role: np.ndarray, lines: _Lines, which: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"variant": keys.view(np.int64), "role": role, "line": lines.hashes[which].view(np.int64)})
 
 
-def near_lines(docs: DataFrame, firsts: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def near_lines(docs: DataFrame, firsts: DataFrame, min_chars: int = NEAR_CHARS) -> DataFrame:
     """(line, earlier): hashes of different lines with a verified edit distance of one whose second one comes earlier."""
     maps: list[Broadcast] = []
     for _ in PIECES:
         maps.append(bitmap(cut(shared_parts(docs, maps, min_chars)), "part"))
-    found = cut(variants(docs, maps, min_chars))
-    rows = found.where(F.col("role") != TEXT).select("variant", "role", "line").distinct()
+    texts = cut(candidates(docs, maps, min_chars))
+    rows = variants(texts, maps).distinct()
     rows = cut(rows.join(firsts, "line").select("variant", F.col("role").alias("side"), "line", F.col("first").alias("at")))
     best = rows.groupBy("variant", "side").agg(F.min(F.struct("at", "line")).alias("best"))
     # a shortened line meets whole lines and the other way round; replaced ones meet their like
@@ -197,29 +211,29 @@ def near_lines(docs: DataFrame, firsts: DataFrame, min_chars: int = MIN_CHARS) -
     best = best.select("variant", facing.alias("side"), "best")
     pairs = rows.join(best, ["variant", "side"]).where((F.col("best.at") < F.col("at")) & (F.col("best.line") != F.col("line")))
     pairs = cut(pairs.select("line", F.col("best.line").alias("earlier")).distinct())
-    texts = found.where(F.col("role") == TEXT).groupBy("line").agg(F.first("text").alias("text"))
     both = pairs.join(texts, "line").join(texts.select(F.col("line").alias("earlier"), F.col("text").alias("other")), "earlier")
     return both.where(F.levenshtein("text", "other", 1) == 1).select("line", "earlier")
 
 
 def _position() -> Column:
-    """(doc_id, place) as one number of the same order, which a hash aggregate can keep."""
-    return F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("place")
+    """(doc_id, 28 bits of the row's hash, place) as one number of the same order, which a hash aggregate can keep."""
+    row = F.col("row_hash").bitwiseAND((1 << 28) - 1) * F.lit(1 << 31) + F.col("place")
+    return F.col("doc_id").cast("decimal(19,0)") * F.lit(1 << 59).cast("decimal(18,0)") + row
 
 
-def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, equal_chars: int | None = None) -> DataFrame:
-    """(doc_id, places, near): the line numbers (from 0) that go in each document, and how many of them had only near matches.
+def dropped_lines(docs: DataFrame, min_chars: int = NEAR_CHARS, equal_chars: int = EQUAL_CHARS) -> DataFrame:
+    """(doc_id, row_hash, places, near): the line numbers (from 0) that go in each document, and how many of them had only near matches.
 
     Documents that keep all lines have no row.
     """
     small_batches(docs.sparkSession)
-    lines = cut(line_table(docs, min_chars if equal_chars is None else min(equal_chars, min_chars)))
+    lines = cut(line_table(docs, min(equal_chars, min_chars)))
     firsts = cut(lines.groupBy("line").agg(F.min(_position()).alias("first")))
     near = near_lines(docs, firsts, min_chars).select("line").distinct().withColumn("near", F.lit(True))
     firsts = cut(firsts.join(near, "line", "left").withColumn("near", F.coalesce("near", F.lit(False))))
     later = _position() > F.col("first")
     marked = lines.join(firsts, "line").where(F.col("near") | later)
-    return marked.groupBy("doc_id").agg(F.collect_set("place").alias("places"), F.count_if(~later).alias("near"))
+    return marked.groupBy("doc_id", "row_hash").agg(F.collect_set("place").alias("places"), F.count_if(~later).alias("near"))
 
 
 def _rest(texts: pd.Series, places: pd.Series) -> pd.Series:
@@ -232,11 +246,12 @@ def _rest(texts: pd.Series, places: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-def with_rest(docs: DataFrame, prefix: str, min_chars: int = MIN_CHARS, equal_chars: int | None = None) -> DataFrame:
+def with_rest(docs: DataFrame, prefix: str, min_chars: int = NEAR_CHARS, equal_chars: int = EQUAL_CHARS) -> DataFrame:
     """``docs`` with columns named by ``prefix``: the text that stays, lines removed, and of those the near ones."""
     dropped = dropped_lines(docs.select("doc_id", "text"), min_chars, equal_chars)
-    dropped = dropped.select(F.col("doc_id").alias(f"{prefix}_id"), F.col("places").alias(f"{prefix}_places"), F.col("near").alias(f"{prefix}_near"))
-    both = docs.join(dropped, F.col("doc_id").cast("bigint") == F.col(f"{prefix}_id"), "left")
+    dropped = dropped.select(*(F.col(c).alias(f"{prefix}_{n}") for c, n in (("doc_id", "id"), ("row_hash", "row"), ("places", "places"), ("near", "near"))))
+    same = (F.col("doc_id").cast("bigint") == F.col(f"{prefix}_id")) & (F.xxhash64(docs["text"]) == F.col(f"{prefix}_row"))
+    both = docs.join(dropped, same, "left")
     return both.select(
         *(docs[c] for c in docs.columns),
         F.pandas_udf(_rest, "string")(docs["text"], F.col(f"{prefix}_places")).alias(f"{prefix}_text"),
@@ -245,7 +260,7 @@ def with_rest(docs: DataFrame, prefix: str, min_chars: int = MIN_CHARS, equal_ch
     )
 
 
-def line_report(docs: DataFrame, min_chars: int = MIN_CHARS, equal_chars: int | None = None) -> DataFrame:
+def line_report(docs: DataFrame, min_chars: int = NEAR_CHARS, equal_chars: int = EQUAL_CHARS) -> DataFrame:
     """doc_id, n_lines, n_removed, n_near (removed for near matches only), kept_sha256 of the text that stays, per document."""
     found = with_rest(docs.select("doc_id", "text"), "kept", min_chars, equal_chars)
     lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)
@@ -255,7 +270,7 @@ def line_report(docs: DataFrame, min_chars: int = MIN_CHARS, equal_chars: int |
     )
 
 
-def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, equal_chars: int | None = None) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_chars: int = NEAR_CHARS, equal_chars: int = EQUAL_CHARS) -> DataFrame:
     """The documents without their repeated lines, columns as they came; ``n_chars`` follows where it is a column.
 
     A document of which nothing but white space stays, though lines went, goes itself.

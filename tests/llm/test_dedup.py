@@ -202,10 +202,10 @@ def test_lines_like_brute_force(docs_of):
     for i, j, s in lines:
         if any((a, b) < (i, j) and abs(len(s) - len(o)) < 2 and distance(s, o) <= 1 for a, b, o in lines):
             expected[i].add(j)
-    found = line_dedup.dropped_lines(docs_of([*rows, (None, rows[3][1]), (900, None), (901, "")])).collect()
+    found = line_dedup.dropped_lines(docs_of([*rows, (None, rows[3][1]), (900, None), (901, "")]), 20, 20).collect()
     assert {r.doc_id: set(r.places) for r in found} == dict(expected)
     assert sum(r.near for r in found) > 5
-    texts = {r.doc_id: r.kept_sha256 for r in line_dedup.line_report(docs_of(rows)).collect()}
+    texts = {r.doc_id: r.kept_sha256 for r in line_dedup.line_report(docs_of(rows), 20, 20).collect()}
     rest = {i: "\n".join(s for j, s in enumerate(t.split("\n")) if j not in expected[i]) for i, t in rows}
     assert texts == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in rest.items()}
 
@@ -223,6 +223,14 @@ def test_registered_query_compares_short_lines(spark, docs_of, monkeypatch):
     assert found == {i: (t.count("\n") + 1, gone[i]) for i, t in rows}
 
 
+def test_rows_that_share_an_id_lose_their_own_lines_only(spark):
+    a, b = "a line that stands in many documents", "a text of its own, quite long"
+    rows = [(1, a), (5, a), (5, b), (6, f"{b}\n{a}"), (7, "x y z"), (7, "x y z")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = Counter((r.doc_id, r.text) for r in line_dedup.drop_repeated_lines(docs).collect())
+    assert found == Counter([(1, a), (5, b), (7, "x y z"), (7, "x y z")])
+
+
 def test_documents_without_repeated_lines(spark):
     line, other = "a line that stands in many documents", "a text of its own, quite long"
     rows = [(1, f"{line}\n{other}", 5), (2, f"{line}\nshort\n{line}!", 6), (3, line, 7), (None, line, 8), (4, None, 9), (5, "", 1)]

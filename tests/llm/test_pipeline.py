@@ -11,11 +11,13 @@ from test_scans import check_packed, contaminated
 
 def plain_lines(rows):
     first, near, gone = {}, set(), defaultdict(set)
-    lines = [(i, j, s.strip()) for i, t in rows for j, s in enumerate(t.split("\n")) if len(s.strip()) >= 20]
+    lines = [(i, j, s.strip()) for i, t in rows for j, s in enumerate(t.split("\n")) if s.strip()]
     for i, j, s in sorted(lines):
         first.setdefault(s, (i, j))
     groups = defaultdict(set)
     for s in first:
+        if len(s) < 11:
+            continue
         for size in (len(s) // 2, (len(s) - 1) // 2):
             groups[s[:size], size].add(s)
             groups[size, s[len(s) - size :]].add(s)
