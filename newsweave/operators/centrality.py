@@ -7,13 +7,17 @@ has a single part. Sums per target are combined before the shuffle.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsweave.operators.graph import degree_centrality
-from newsweave.session import cut, partitions
+from newsweave.session import cut, discarding, partitions
 
 EDGES_PER_PART = 100_000
+STATE_ROWS = 200_000_000
 
 
 def both_ways(graph: DataFrame) -> DataFrame:
@@ -123,11 +127,12 @@ def pagerank(
         links.unpersist()
 
 
-def betweenness(graph: DataFrame, batches: int = 1, edges_per_part: int = EDGES_PER_PART) -> DataFrame:
+def betweenness(graph: DataFrame, state_rows: int = STATE_ROWS, edges_per_part: int = EDGES_PER_PART) -> DataFrame:
     """Normalised shortest-path betweenness of an undirected, unweighted graph, all roots, exact.
 
     Level-synchronous search keyed by (root, node), then dependency sums from the deepest level back. The
-    state has one row per reached (root, node); ``batches`` handles the roots in several passes to bound it.
+    state has one row per reached (root, node), so a root has at most one per node; the roots go in batches whose
+    state is at most about ``state_rows``. A batch leaves one row per node, and its levels are deleted.
     """
     graph = cut(graph.select("src", "dst"))
     simple = graph.filter("src <> dst").select("src", "dst", F.lit(1).alias("weight"))
@@ -146,13 +151,13 @@ def betweenness(graph: DataFrame, batches: int = 1, edges_per_part: int = EDGES_
         # filled now: only a filled cache tells the planner of the rounds how it is partitioned and sorted
         links.count()
         n = nodes.count()
+        batches = max(1, math.ceil(n * n / state_rows))
         totals = []
         for batch in range(batches):
-            roots = nodes.filter(F.pmod(F.xxhash64("node"), F.lit(batches)) == batch)
-            totals.append(_dependencies(roots, node_parts, links))
-        partial = totals[0]
-        for more in totals[1:]:
-            partial = partial.unionByName(more)
+            with discarding(graph.sparkSession) as keep:
+                roots = nodes.filter(F.pmod(F.xxhash64("node"), F.lit(batches)) == batch)
+                totals.append(keep(_dependencies(roots, node_parts, links).groupBy("node").agg(F.sum("delta").alias("delta"))))
+        partial = reduce(DataFrame.unionByName, totals)
         scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
         summed = partial.groupBy("node").agg(F.sum("delta").alias("delta"))
         result = nodes.join(summed, "node", "left").select(

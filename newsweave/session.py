@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -60,9 +63,34 @@ def application_folder(spark: SparkSession) -> str:
     return os.path.join(shared_folder(spark), f"newsweave-{spark.sparkContext.applicationId}")
 
 
+#: Folder, below the application's, of the innermost ``discarding`` block.
+_scope: ContextVar[str] = ContextVar("scope", default="")
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for a table one job writes and a later one reads."""
-    return os.path.join(application_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(application_folder(spark), _scope.get(), f"{name}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def discarding(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables cut within the block go when it ends; what is to stay is written by the function it gives."""
+    outer = _scope.get()
+    token = _scope.set(os.path.join(outer, f"scope-{uuid.uuid4().hex}"))
+
+    def keep(df: DataFrame) -> DataFrame:
+        inner = _scope.set(outer)
+        try:
+            return cut(df)
+        finally:
+            _scope.reset(inner)
+
+    try:
+        yield keep
+    finally:
+        folder = os.path.join(application_folder(spark), _scope.get())
+        _scope.reset(token)
+        _delete(spark, folder)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -78,11 +106,14 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def clean_up(spark: SparkSession) -> None:
     """Delete what this application wrote to the shared folder; frames returned earlier become unreadable."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(application_folder(spark))
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, application_folder(spark))
 
 
 def scalar(df: DataFrame, value: Column) -> Column:

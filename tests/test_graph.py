@@ -2,9 +2,12 @@ import itertools
 import random
 from collections import deque
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from newsweave import session
 from newsweave.operators import centrality as ce
 from newsweave.operators import communities as co
 from newsweave.operators import graph as gr
@@ -108,11 +111,19 @@ def test_pagerank_reports_missing_convergence(spark):
         ce.pagerank(graph_of(spark, random_edges(2, 10, 10)), tol=1e-15, max_iter=2)
 
 
-@pytest.mark.parametrize(("batches", "edges_per_part"), [(1, 100_000), (3, 4)])
-def test_betweenness(spark, batches, edges_per_part):
+@pytest.mark.parametrize(("state_rows", "edges_per_part"), [(10**6, 100_000), (100, 4)])
+def test_betweenness(spark, monkeypatch, state_rows, edges_per_part):
     edges = [*random_edges(3, 14, 12), ("x", "y"), ("y", "z"), ("z", "w")]
-    found = {r[0]: r[1] for r in ce.betweenness(graph_of(spark, edges), batches, edges_per_part).collect()}
+    states, written, original = [], [], ce._dependencies
+    monkeypatch.setattr(ce, "_dependencies", lambda roots, *rest: states.append(roots.count()) or original(roots, *rest))
+    monkeypatch.setattr(ce, "cut", lambda df: written.append(session.cut(df)) or written[-1])
+    found = {r[0]: r[1] for r in ce.betweenness(graph_of(spark, edges), state_rows, edges_per_part).collect()}
     assert found == pytest.approx(brute_betweenness(edges))
+    nodes = len({n for e in edges for n in e[:2]})
+    assert sum(states) == nodes and len(states) == max(1, -(-nodes * nodes // state_rows))
+    assert max(states) * nodes <= 2.5 * state_rows
+    levels = [f for df in written for f in df.inputFiles() if "scope-" in f]
+    assert levels and not any(os.path.exists(f.removeprefix("file://")) for f in levels)  # no batch leaves its levels
 
 
 def test_betweenness_of_tiny_graphs(spark):
