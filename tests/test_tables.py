@@ -113,18 +113,17 @@ def test_long_alias_lists_are_split_whole(spark):
     assert [r["aliases"] for r in found if r["canonical"] == "b"] == [["a", "c"]]
 
 
-@pytest.mark.parametrize("one_slice", [100_000, 0])
-def test_percentiles_and_totals_under_skew(spark, monkeypatch, one_slice):
-    monkeypatch.setattr(distribution, "ONE_SLICE", one_slice)
+@pytest.mark.parametrize("rows_per_range", [100_000, 50])
+def test_percentiles_and_totals_under_skew(spark, rows_per_range):
     generator = np.random.default_rng(7)
     values = np.concatenate([np.full(400, 0.25), generator.normal(size=797), [0.25, 5.0, 5.0]])
     df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(5)
     shares = [0.0, 0.1, 0.333, 0.5, 0.9, 0.97, 1.0]
-    found = [r["value"] for r in exact_percentiles(df, "v", shares).orderBy("share").collect()]
+    found = [r["value"] for r in exact_percentiles(df, "v", shares, rows_per_range).orderBy("share").collect()]
     assert found == pytest.approx(list(np.percentile(values, [100 * s for s in shares])))
     counts = df.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
     for descending in (False, True):
-        rows = running_totals(counts, "v", ["n"], descending).orderBy(F.desc("v") if descending else "v").collect()
+        rows = running_totals(counts, "v", ["n"], descending, rows_per_range).orderBy(F.desc("v") if descending else "v").collect()
         assert [r["cum_n"] for r in rows] == list(np.cumsum([r["n"] for r in rows]))
 
 
