@@ -27,6 +27,7 @@ from newsweave.operators.similarity import ROWS_PER_BLOCK, nearest
 from newsweave.session import cut
 
 HASH_BUCKETS = 65_536
+GAPS = 1 << 20  # places between a row and its neighbour
 
 
 def hash_key(identifier: str, seed: int) -> Column:
@@ -176,6 +177,11 @@ def run_model(name: str, data: DataFrame, stages: Sequence[Estimator], grid: lis
     return model, scored, report(scored, name)
 
 
+def drawn_number(start: int) -> Column:
+    """Eight hex digits of ``draw`` as a number."""
+    return F.conv(F.substring("draw", start, 8), 16, 10).cast("bigint")
+
+
 def smote(
     df: DataFrame,
     features: str = "features",
@@ -213,8 +219,9 @@ def smote(
         minority.withColumn("copies", copies)
         .filter("copies > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .withColumn("rank", F.pmod(F.xxhash64("id", "copy", F.lit(seed)), F.lit(available)).cast("int"))
-        .withColumn("gap", F.pmod(F.xxhash64("id", "copy", F.lit(seed + 1)), F.lit(1_000_000)) / F.lit(1e6))
+        .withColumn("draw", F.md5(F.concat_ws(":", F.lit(seed), "id", "copy")))
+        .withColumn("rank", (drawn_number(1) % available).cast("int"))
+        .withColumn("gap", (drawn_number(9) % GAPS) / F.lit(float(GAPS)))
     )
     others = minority.select(F.col("id").alias("neighbour"), F.col("embedding").alias("other"))
     between = F.zip_with("embedding", "other", lambda a, b: a + (b - a) * F.col("gap"))

@@ -10,7 +10,8 @@ from newsweave.functions import text as tx
 from newsweave.functions import dates as dx
 from newsweave.operators import modelling as md
 from newsweave.operators import scoring as sc
-from newsweave.plans.fixture_sql import SCORED, with_
+from newsweave.plans.article_queries import _days, token_sql
+from newsweave.plans.fixture_sql import ARTICLES, SCORED, with_
 from newsweave.session import cut
 from newsweave.sources import fixtures as fx
 from newsweave.sources.tables import stack_tables
@@ -178,4 +179,24 @@ FROM scored, (VALUES ('a', 0.75::DOUBLE), ('b', 0.875::DOUBLE), ('c', 0.25::DOUB
 ), quotas AS (SELECT y, base + CASE WHEN place <= w - (SELECT sum(base) FROM shares) THEN 1 ELSE 0 END AS quota FROM shares
 ), ranked AS (SELECT id, y, row_number() OVER (PARTITION BY y ORDER BY md5('42:' || CAST(id AS VARCHAR))) AS r FROM scored)
 SELECT id, ranked.y, CASE WHEN r <= quota THEN 'valid' ELSE 'train' END AS split FROM ranked JOIN quotas ON quotas.y = ranked.y""",
+    "smote": with_(ARTICLES + ", " + f"""features AS (
+  SELECT seq AS id, CAST(relevance_text AS INTEGER) AS y, [
+    CAST(coalesce({_days("2024-11-05")}, 0) AS DOUBLE), CAST(coalesce(len({token_sql('text')}), 0) AS DOUBLE),
+    CAST(length(text) AS DOUBLE), CAST(is_us_election AS DOUBLE)] AS f
+  FROM articles WHERE relevance_text IS NOT NULL
+), sizes AS (SELECT y, count(*) AS n FROM features GROUP BY y
+), rare AS (SELECT y, n, (SELECT max(n) FROM sizes) - n AS needed FROM sizes ORDER BY n, y LIMIT 1
+), minority AS (SELECT id, f, row_number() OVER (ORDER BY md5('42:' || CAST(id AS VARCHAR))) AS place FROM features WHERE y = (SELECT y FROM rare)
+), near AS (
+  SELECT a.id, b.id AS neighbour, b.f AS other,
+    row_number() OVER (PARTITION BY a.id ORDER BY list_sum(list_transform(list_zip(a.f, b.f), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), b.id) - 1 AS rank
+  FROM minority a JOIN minority b ON a.id <> b.id
+), copies AS (
+  SELECT id, f, unnest(range(1, CAST(needed // n + CASE WHEN place <= needed % n THEN 1 ELSE 0 END + 1 AS BIGINT))) AS copy, least(5, n - 1) AS available FROM minority, rare
+), drawn AS (SELECT *, md5('42:' || CAST(id AS VARCHAR) || ':' || CAST(copy AS VARCHAR)) AS d FROM copies
+), made AS (
+  SELECT d.id, list_transform(list_zip(f, other), lambda p: p[1] + (p[2] - p[1]) * (CAST(CAST('0x' || d.d[9:16] AS BIGINT) % 1048576 AS DOUBLE) / 1048576)) AS f
+  FROM drawn d JOIN near n ON n.id = d.id AND n.rank = CAST('0x' || d.d[1:8] AS BIGINT) % available
+), everything AS (SELECT id, y, f, false AS synthetic FROM features UNION ALL SELECT id, (SELECT y FROM rare), f, true FROM made)
+SELECT id, y, array_to_string(list_transform(f, lambda v: round(v, 4)), ',') AS features, synthetic FROM everything"""),
 }

@@ -47,6 +47,6 @@ def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", ["graph_view_documents", "explorer_nodes", "smote"])
+@pytest.mark.parametrize("name", ["graph_view_documents", "explorer_nodes"])
 def test_other_queries_give_rows(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
