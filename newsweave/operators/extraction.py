@@ -169,6 +169,40 @@ def count_lexicon(articles: DataFrame, lexicon: DataFrame, tag: str = "VERB", ke
     return articles.select(key).join(hits, key, "left").select(key, F.coalesce("count", F.lit(0)).cast("int").alias("count"))
 
 
+#: Gives the tags of the tokens of each text of a batch.
+Tagger = Callable[[Sequence[str]], Sequence[Sequence[str]]]
+_started: dict[str, Tagger] = {}
+
+
+def count_tags(articles: DataFrame, name: str, start: Callable[[], Tagger], tag: str = "VERB", key: str = "seq", texts_per_batch: int = 500) -> DataFrame:
+    """(key, count) of tokens with the tag, by any tagger.
+
+    ``start`` makes the tagger, loading what it needs; each Python worker calls it once for each ``name`` and keeps it for the tasks
+    it runs later. The tagger gets whole texts, ``texts_per_batch`` at most at a time. A null text has no tokens.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if name not in _started:
+            _started[name] = start()
+        for batch in batches:
+            for lo in range(0, len(batch), texts_per_batch):
+                part = batch.iloc[lo : lo + texts_per_batch]
+                tags = _started[name](["" if text is None else text for text in part["text"]])
+                yield pd.DataFrame({key: part[key], "count": [sum(t == tag for t in own) for own in tags]})
+
+    return articles.select(key, "text").mapInPandas(count, f"{key} {dict(articles.dtypes)[key]}, count int")
+
+
+def lexicon_tagger(lexicon: Sequence[tuple[str, str]]) -> Callable[[], Tagger]:
+    """Start of a tagger that looks lower-case tokens up; unknown ones have the tag ``X``."""
+
+    def start() -> Tagger:
+        tags = {token.lower(): tag for token, tag in lexicon}
+        return lambda texts: [[tags.get(token, "X") for token in text.lower().split()] for text in texts]
+
+    return start
+
+
 BREAK = rf"{tx.UNICODE}[{tx.SPACE}.,;:!?\"()\[\]]+"
 
 

@@ -179,6 +179,7 @@ QUERIES = {
     ),
     "build_prompt": lambda s, d: ex.with_prompts(with_odd_texts(fx.articles(s, d, heavy=True))).select("url", "prompt"),
     "lexicon_count": lambda s, d: ex.count_lexicon(some_text(s, d), s.createDataFrame(fx.LEXICON, "token string, tag string")),
+    "tagged_counts": lambda s, d: ex.count_tags(some_text(s, d), "lexicon", ex.lexicon_tagger(fx.LEXICON)),
     "article_features": features,
     "pending_articles": lambda s, d: pending(
         fx.articles(s, d).select("seq", "url"), fx.articles(s, d).filter("relevance_description is not null").select("url")
@@ -209,6 +210,8 @@ SENTENCES = r"""sentences AS (
 ), worded AS (
   SELECT url, seq, sentence, regexp_extract_all(body, '[^\s\x0b\x1c-\x1f\x{85}\pZ.,;:!?"()\[\]]+') AS words FROM sentences
 )"""
+VERB_COUNTS = f"""SELECT seq, CAST(coalesce(len(list_filter({token_sql('lower(text)')}, lambda t: list_contains({VERBS}, t))), 0) AS INTEGER)
+  AS count FROM some_text"""
 # the entries of the dictionary per sentence, in order
 MENTIONED = f""", named AS (
   SELECT url, seq, list(entity ORDER BY i, n) AS names FROM (
@@ -282,9 +285,8 @@ FROM (SELECT seq, CASE WHEN seq % 13 <> 0 THEN datetime END AS t FROM articles)"
 FROM articles""",
     "build_prompt": with_(ARTICLES, SOME_TEXT)
     + f"SELECT url, {quote(tx.prompt_head())} || text AS prompt FROM some_text WHERE regexp_matches(text, '[^{BLANK}]')",
-    "lexicon_count": with_(ARTICLES, SOME_TEXT)
-    + f"""SELECT seq, CAST(coalesce(len(list_filter({token_sql('lower(text)')}, lambda t: list_contains({VERBS}, t))), 0) AS INTEGER)
-  AS count FROM some_text""",
+    "lexicon_count": with_(ARTICLES, SOME_TEXT) + VERB_COUNTS,
+    "tagged_counts": with_(ARTICLES, SOME_TEXT) + VERB_COUNTS,
     "article_features": with_(ARTICLES)
     + f"""SELECT seq, {PUBLISHER.format('url')} AS news_org, CAST(datetime AS DATE) AS date, dayname(datetime) AS day_of_week,
   CAST(month(datetime) AS INTEGER) AS month, coalesce(isodow(datetime) >= 6, false) AS is_weekend,

@@ -121,6 +121,17 @@ def stream_dedupe(spark, sf):
     return jobs.earliest(jobs.read_sink(spark, sink, "ts timestamp, url string").drop("batch"), ["url"], "ts").select("url")
 
 
+def latest_events(spark, sf):
+    """The last interaction of each user, from a stream over the events arriving as twelve files, four batches of three."""
+    folder = work_path(spark, "event-files")
+    events = fx.table(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "event_type")
+    events.repartition(12, "event_id").write.parquet(folder)
+    stream = jobs.stream_parquet(spark, folder, events.schema, files_per_batch=3)
+    sink = jobs.last_arrivals(stream, ["user_id"], "ts", work_path(spark, "last"), fan=2)
+    jobs.reduced(stream, sink, work_path(spark, "last-state")).awaitTermination()
+    return sink.read().select("user_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "event_id", "event_type")
+
+
 def view(spark, sf, part):
     return views.graph_view(fx.edges(spark, sf), fx.entities(spark, sf), VIEW)[part]
 
@@ -232,6 +243,7 @@ QUERIES = {
     ),
     "daily_edges": lambda s, d: gr.daily_edges(fx.edges(s, d)),
     "daily_windows": daily_windows,
+    "latest_events": latest_events,
     "stream_dedupe": stream_dedupe,
     "sentiment_relationship": lambda s, d: gr.by_sentiment_and_relationship(fx.edges(s, d)),
     "edges_by_sentiment": lambda s, d: gr.edges_by(fx.edges(s, d), "sentiment"),
@@ -470,6 +482,8 @@ SELECT node, min(hop) AS hop FROM rings GROUP BY node""",
     "label_nodes": BASE + f"SELECT node, degree FROM central WHERE degree_centrality >= {PERCENTILE.format('0.9')}",
     "labels_above": BASE + "SELECT node, degree FROM central WHERE degree_centrality >= 0.6::DOUBLE",
     "daily_edges": with_(EDGES) + "SELECT date, relationship, count(*) AS n FROM edges GROUP BY 1, 2",
+    "latest_events": """SELECT user_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, event_id, event_type FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC, event_type DESC) = 1""",
     "daily_windows": with_(EDGES) + "SELECT date, relationship, count(*) AS n FROM edges GROUP BY 1, 2",
     "stream_dedupe": with_(EDGES) + "SELECT DISTINCT url FROM edges",
     "sentiment_relationship": with_(EDGES)

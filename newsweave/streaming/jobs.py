@@ -6,6 +6,7 @@ each batch counts once.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,3 +120,70 @@ def daily_means(stream: DataFrame, time: str, value: str, sink: str, checkpoint:
 
 def total_means(written: DataFrame) -> DataFrame:
     return written.groupBy("date").agg((F.sum("total") / F.nullif(F.sum("n"), F.lit(0))).alias("mean"))
+
+
+def latest(rows: DataFrame, keys: list[str], time: str) -> DataFrame:
+    """The row of the latest time per key, rows without a time first; of rows alike in time the greatest in the other columns."""
+    rest = [c for c in rows.columns if c not in keys]
+    last = F.max(F.struct(F.col(time).isNotNull().alias("there"), F.col(time), *[F.col(c) for c in rest if c != time])).alias("last")
+    return rows.groupBy(*keys).agg(last).select(*[F.col(c) if c in keys else F.col(f"last.{c}") for c in rows.columns])
+
+
+class Generations:
+    """Partial results of micro-batches that can be reduced again, in folders ``span=<first>-<last>`` of batches.
+
+    Each batch writes a span of its own; whenever ``fan`` spans of one size are complete they are reduced to one of the next
+    size. So after n batches a reader finds about fan * log(n) folders and a row was written log(n) times. A span counts
+    once it is whole, and hides the spans within it, so a run that ends anywhere leaves a readable sink, and a repeated
+    batch changes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str | StructType, reduce: Callable[[DataFrame], DataFrame], fan: int = 8):
+        self.spark, self.path, self.schema, self.reduce, self.fan = spark, path, schema, reduce, fan
+        jvm = spark.sparkContext._jvm
+        self._location = lambda below: jvm.org.apache.hadoop.fs.Path(f"{path}/{below}" if below else path)
+        self._files = self._location("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def spans(self) -> list[tuple[int, int]]:
+        """The whole spans that are not within another."""
+        if not self._files.exists(self._location("")):
+            return []
+        named = (re.fullmatch(r"span=(\d+)-(\d+)", entry.getPath().getName()) for entry in self._files.listStatus(self._location("")))
+        whole = [(int(m[1]), int(m[2])) for m in named if m and self._files.exists(self._location(f"{m[0]}/_SUCCESS"))]
+        return sorted(s for s in whole if not any(o != s and o[0] <= s[0] and s[1] <= o[1] for o in whole))
+
+    def _read(self, spans: list[tuple[int, int]]) -> DataFrame:
+        if not spans:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/span={a}-{b}" for a, b in spans])
+
+    def read(self) -> DataFrame:
+        """The result of all batches so far."""
+        return self.reduce(self._read(self.spans()))
+
+    def write(self, batch: DataFrame, number: int) -> None:
+        self.reduce(batch).write.mode("overwrite").parquet(f"{self.path}/span={number}-{number}")
+        size = self.fan
+        while (number + 1) % size == 0:
+            first = number + 1 - size
+            parts = [s for s in self.spans() if first <= s[0] and s[1] <= number]
+            if len(parts) > 1:
+                self.reduce(self._read(parts)).write.mode("overwrite").parquet(f"{self.path}/span={first}-{number}")
+                for a, b in parts:
+                    self._files.delete(self._location(f"span={a}-{b}"), True)
+            size *= self.fan
+
+
+def reduced(stream: DataFrame, sink: Generations, checkpoint: str) -> StreamingQuery:
+    """Keep the sink reduced as batches arrive, until the available input is used up."""
+    return (
+        stream.writeStream.foreachBatch(lambda batch, number: sink.write(batch, number))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def last_arrivals(stream: DataFrame, keys: list[str], time: str, sink: str, fan: int = 8) -> Generations:
+    """Sink for the latest row per key, whatever the order of the files; a changed row takes the place of an older one."""
+    return Generations(stream.sparkSession, sink, stream.schema, lambda rows: latest(rows, keys, time), fan)

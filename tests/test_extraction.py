@@ -1,6 +1,8 @@
 import datetime as dt
 import json
+import time
 
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -154,6 +156,39 @@ def test_first_arrivals(spark):
     assert found == {(u, t, n) for u, (t, n) in first.items()} | {("v", None, 61)}
 
 
+def test_latest_rows_whatever_the_order_of_files(spark):
+    """A hundred small files in any order, nine at a time; spans are merged and the result is that of the batch form."""
+    generator = np.random.default_rng(1)
+    rows = [(f"u{generator.integers(40)}", dt.datetime(2024, 1, 1) + dt.timedelta(hours=int(h)), i) for i, h in enumerate(generator.integers(0, 500, 1500))]
+    rows += [("u0", None, -1), ("only", None, -2), (None, dt.datetime(2025, 1, 1), -3)]
+    batch = spark.createDataFrame(rows, "url string, ts timestamp, n bigint")
+    source = work_path(spark, "shuffled")
+    batch.repartition(100).write.parquet(source)
+    stream = jobs.stream_parquet(spark, source, batch.schema, files_per_batch=9)
+    sink = jobs.last_arrivals(stream, ["url"], "ts", work_path(spark, "latest"), fan=3)
+    jobs.reduced(stream, sink, work_path(spark, "state")).awaitTermination()
+    assert sink.spans() == [(0, 8), (9, 11)]
+    expected = sorted(map(tuple, jobs.latest(batch, ["url"], "ts").collect()), key=str)
+    assert len(expected) == 42 and sorted(map(tuple, sink.read().collect()), key=str) == expected
+    # a batch repeated after its span was merged, and a merge that did not end
+    sink.write(batch.limit(0), 4)
+    batch.limit(5).write.parquet(f"{sink.path}/span=9-17")
+    sink._files.delete(sink._location("span=9-17/_SUCCESS"), False)
+    assert sink.spans() == [(0, 8), (9, 11)] and sorted(map(tuple, sink.read().collect()), key=str) == expected
+
+
+def test_taggers_start_once_a_worker(spark):
+    df = articles(spark, [(i, "u", "Runs is\nRUNS" if i % 3 else None) for i in range(50)]).repartition(4)
+
+    def start():
+        time.sleep(0.01)
+        return lambda texts: [["VERB" if t.lower() == "runs" else "X" for t in text.split()] for text in texts]
+
+    found = {r["seq"]: r["count"] for r in ex.count_tags(df, "runs", start, texts_per_batch=7).collect()}
+    assert found == {i: 2 if i % 3 else 0 for i in range(50)}
+    assert ex.count_tags(df.limit(0), "runs", start).count() == 0
+
+
 def test_pending(spark):
     df = articles(spark, [(1, "a", "x"), (2, "b", "y")])
     assert [r["url"] for r in pending(df, spark.createDataFrame([("a",), ("a",)], "url string")).collect()] == ["b"]
