@@ -6,15 +6,16 @@ weight of a self loop, so that row sums are weighted degrees and contraction is
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsweave.session import cut, scalar
 
-MIN_GAIN = 1e-7
-# a pass that gains less than this ends its level: contraction then moves whole groups at once
-PASS_GAIN = 1e-3
-PARTS = 8
+#: A pass over the nodes, or a level, that raises modularity by less than this is the last one. Every other raises it by as
+#: much, and modularity is at most 1, so the loops end.
+TOLERANCE = 1e-4
 
 
 def symmetric(graph: DataFrame) -> DataFrame:
@@ -48,11 +49,13 @@ def _modularity(between: DataFrame, resolution: float) -> DataFrame:
     return per.agg(F.coalesce(F.sum(F.col("inside") / whole - resolution * share * share), F.lit(0.0)).alias("modularity"))
 
 
-def communities(graph: DataFrame, resolution: float = 1.0, max_levels: int = 10, max_passes: int = 10) -> DataFrame:
-    """Communities (node, community) by local moving and contraction; a community is named after one of its nodes.
+def communities(graph: DataFrame, resolution: float = 1.0, tolerance: float = TOLERANCE) -> DataFrame:
+    """Communities (node, community) by local moving and contraction; a community is named after its smallest node.
 
     Deterministic: in each round a hash-chosen half of the nodes moves at once, to the neighbouring community
-    of best gain, ties going to staying and then to the smallest name. Passes that lower modularity are undone.
+    of best gain, ties going to staying and then to the smallest name. After the first pass only nodes next to one that
+    moved are looked at. Passes that lower modularity are undone. Before contraction a community that its moves have torn
+    apart is divided into its connected pieces, which never lowers modularity, so every community is connected.
     """
     arcs = cut(symmetric(graph).groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
     members = cut(arcs.select(F.col("src").alias("node")).distinct().withColumn("community", F.col("node")))
@@ -60,60 +63,91 @@ def communities(graph: DataFrame, resolution: float = 1.0, max_levels: int = 10,
     if not whole:
         return members
     best = _modularity(arcs, resolution).first()[0]
-    for _ in range(max_levels):
-        moved, score = _local_moves(arcs, best, whole, resolution, max_passes)
+    while True:
+        moved = _local_moves(arcs, best, whole, resolution, tolerance)
         if moved is None:
             break
+        moved = connected_pieces(arcs, moved)
         step = moved.select(F.col("node").alias("community"), F.col("community").alias("_next"))
         members = cut(members.join(step, "community").select("node", F.col("_next").alias("community")))
         arcs = cut(_by_community(arcs, moved))
+        score = _modularity(arcs, resolution).first()[0]
         gained, best = score - best, score
-        if gained < MIN_GAIN:
+        if gained < tolerance:
             break
     # name each community after its smallest node
     names = cut(members.groupBy("community").agg(F.min("node").alias("_name")))
     return cut(members.join(names, "community").select("node", F.col("_name").alias("community")))
 
 
-def _local_moves(arcs: DataFrame, score: float, whole: float, resolution: float, max_passes: int):
-    """Best partition reached at one level and its modularity; (None, score) when nothing improved."""
-    state = cut(
-        arcs.groupBy(F.col("src").alias("node")).agg(F.sum("weight").alias("k")).withColumn("community", F.col("node"))
-    )
+def connected_pieces(arcs: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, community) with each community divided into its connected pieces, named after their smallest nodes.
+
+    Every node takes the least name among its neighbours within the community, then the name of the node so named, until
+    nothing changes: names spread twice as far with each round.
+    """
+    home = cut(members)
+    inner = arcs.filter("src <> dst").select("src", "dst")
+    inner = inner.join(home.select(F.col("node").alias("src"), F.col("community").alias("a")), "src")
+    inner = cut(inner.join(home.select(F.col("node").alias("dst"), F.col("community").alias("b")), "dst").filter("a = b").select("src", "dst"))
+    names = cut(home.select("node", F.col("node").alias("name")))
+    while True:
+        near = inner.join(names.select(F.col("node").alias("dst"), "name"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("name").alias("near"))
+        least = cut(names.join(near, "node", "left").select("node", F.col("name").alias("old"), F.least("name", "near").alias("name")))
+        ahead = least.select(F.col("node").alias("name"), F.col("name").alias("further"))
+        found = cut(least.join(ahead, "name").select("node", "old", F.col("further").alias("name")))
+        if found.filter("name <> old").isEmpty():
+            return found.select("node", F.col("name").alias("community"))
+        names = found.select("node", "name")
+
+
+def alone(arcs: DataFrame) -> DataFrame:
+    """(node, k, community): every node in a community of its own, with its weighted degree."""
+    return arcs.groupBy(F.col("src").alias("node")).agg(F.sum("weight").alias("k")).withColumn("community", F.col("node"))
+
+
+def _local_moves(arcs: DataFrame, score: float, whole: float, resolution: float, tolerance: float) -> DataFrame | None:
+    """The best partition (node, community) reached at one level, None if nothing improved."""
+    state = cut(alone(arcs))
     between_nodes = arcs.filter("src <> dst")
-    kept = None
-    for step in range(max_passes):
-        for half in (0, 1):
-            active = F.pmod(F.xxhash64("node", F.lit(step)), F.lit(2)) == half
-            state = cut(_round(between_nodes, state, whole, resolution, active))
+    kept, work = None, None
+    for step in count():
+        before = state
+        state = move_pass(between_nodes, state, whole, resolution, step, work)
         reached = _modularity(_by_community(arcs, state), resolution).first()[0]
-        if reached < score + MIN_GAIN:
-            break
-        gained, kept, score = reached - score, state, reached
-        if gained < PASS_GAIN:
+        gained = reached - score
+        if gained > 0:
+            kept, score = state, reached
+        if gained < tolerance:
             break
-    return (kept.select("node", "community") if kept is not None else None), score
+        changed = state.join(before.select("node", F.col("community").alias("_old")), "node").filter("community <> _old").select("node")
+        changed = cut(changed)
+        work = cut(changed.unionByName(between_nodes.join(changed.toDF("src"), "src", "left_semi").select(F.col("dst").alias("node"))).distinct())
+    return kept.select("node", "community") if kept is not None else None
 
 
-def _round(arcs: DataFrame, state: DataFrame, whole: float, resolution: float, active) -> DataFrame:
-    movers = state.filter(active).select(F.col("node").alias("src"))
+def move_pass(arcs: DataFrame, state: DataFrame, whole: float, resolution: float, step: int, work: DataFrame | None = None) -> DataFrame:
+    """One half of the nodes moves, then the other; of ``work`` (node) only, if given."""
+    for half in (0, 1):
+        draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(step), "node")), 1, 8), 16, 10).cast("bigint")
+        movers = state.filter(draw % 2 == half).select("node", "community")
+        if work is not None:
+            movers = movers.join(work, "node", "left_semi")
+        state = cut(_round(arcs, state, cut(movers), whole, resolution))
+    return state
+
+
+def _round(arcs: DataFrame, state: DataFrame, movers: DataFrame, whole: float, resolution: float) -> DataFrame:
     seen = state.select(F.col("node").alias("dst"), "community")
     links = (
-        arcs.join(movers, "src", "left_semi").join(seen, "dst").groupBy(F.col("src").alias("node"), "community")
+        arcs.join(movers.select(F.col("node").alias("src")), "src", "left_semi").join(seen, "dst").groupBy(F.col("src").alias("node"), "community")
         .agg(F.sum("weight").alias("w"))
     )
-    # a community may hold much of the graph: its total is repeated per part, its options are spread over the parts
-    totals = (
-        state.groupBy("community").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("members"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    )
+    # written, so that the options of a community that holds much of the graph can be split
+    totals = cut(state.groupBy("community").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("members")))
     own = state.select("node", "k", F.col("community").alias("own"))
-    stay = state.filter(active).select("node", "community", F.lit(0.0).alias("w"))
-    options = (
-        links.unionByName(stay).groupBy("node", "community").agg(F.sum("w").alias("w"))
-        .withColumn("part", F.pmod(F.hash("node"), F.lit(PARTS)))
-        .join(totals, ["community", "part"]).join(own, "node")
-    )
+    stay = movers.select("node", "community", F.lit(0.0).alias("w"))
+    options = cut(links.unionByName(stay).groupBy("node", "community").agg(F.sum("w").alias("w"))).join(totals, "community").join(own, "node")
     home = F.col("community") == F.col("own")
     others = F.col("total") - F.when(home, F.col("k")).otherwise(0.0)
     gain = F.round(F.col("w") - resolution * F.col("k") * others / whole, 9)

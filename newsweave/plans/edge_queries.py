@@ -17,7 +17,7 @@ from newsweave.operators import resolution as rs
 from newsweave.operators.distribution import exact_percentiles
 from newsweave.plans import views
 from newsweave.plans.fixture_sql import EDGES, ENTITIES, with_
-from newsweave.session import work_path
+from newsweave.session import cut, work_path
 from newsweave.sources import fixtures as fx
 from newsweave.sources import tables as tb
 from newsweave.streaming import jobs
@@ -140,6 +140,35 @@ def explorer(spark, sf):
     return views.explorer_graph(fx.edges(spark, sf), views.Filters(sentiment="FRIENDLY", relationship="endorses", search=TERM))
 
 
+def moved_once(spark, sf):
+    """Communities after the first pass of moves, each node alone before."""
+    arcs = cut(co.symmetric(weighted(spark, sf)).groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
+    whole = arcs.agg(F.sum("weight")).first()[0] or 0.0
+    return co.move_pass(arcs.filter("src <> dst"), cut(co.alone(arcs)), whole, 1.0, 0).select("node", "community")
+
+
+def moves_sql(before, after, step, half):
+    """One half of the nodes moving, from a state to the next (node, k, community)."""
+    active = f"CAST('0x' || md5('{step}:' || node)[1:8] AS BIGINT) % 2 = {half}"
+    return f""", options_{after} AS (
+  SELECT node, community, sum(w) AS w FROM (
+    SELECT a.src AS node, s.community, a.weight AS w FROM arcs a JOIN {before} s ON s.node = a.dst WHERE a.src <> a.dst
+    UNION ALL SELECT node, community, 0 FROM {before}) WHERE {active} GROUP BY 1, 2
+), totals_{after} AS (SELECT community, sum(k) AS total, count(*) AS members FROM {before} GROUP BY 1
+), scored_{after} AS (
+  SELECT o.node, o.community, s.community AS own, members, o.community = s.community AS home,
+    round(w - k * (total - CASE WHEN o.community = s.community THEN k ELSE 0 END) / (SELECT sum(weight) FROM arcs), 9) AS gain
+  FROM options_{after} o JOIN totals_{after} t ON t.community = o.community JOIN {before} s ON s.node = o.node
+), chosen_{after} AS (
+  SELECT node, first(community ORDER BY gain DESC, NOT home, community) AS best,
+    first(community ORDER BY gain DESC, NOT home, community) FILTER (home OR members > 1 OR community < own) AS safe,
+    max(members) FILTER (home) AS size
+  FROM scored_{after} GROUP BY node
+), {after} AS (
+  SELECT s.node, k, coalesce(CASE WHEN size > 1 THEN best ELSE safe END, s.community) AS community FROM {before} s LEFT JOIN chosen_{after} c ON c.node = s.node
+)"""
+
+
 def bipartite(spark, sf):
     return gr.undirected_weighted(fx.bipartite_edges(spark, sf))
 
@@ -259,6 +288,7 @@ QUERIES = {
         brokers(s, d).select(F.col("node").alias("entity"), F.round("betweenness", 6).alias("betweenness"))
     ),
     "node_metrics": metrics,
+    "communities_first_pass": moved_once,
     "communities": lambda s, d: co.communities(weighted(s, d)),
     "community_sizes": lambda s, d: co.community_sizes(co.communities(weighted(s, d))),
     "bipartite_weights": lambda s, d: gr.edge_weights(fx.bipartite_edges(s, d)),
@@ -458,6 +488,12 @@ FROM ranked""",
     "in_out_centrality": with_(EDGES, LAST_DIRECTED.format("edges"), DEGREES.format("directed"))
     + """SELECT node, in_degree, out_degree, degree, round(in_centrality, 6) AS in_centrality,
   round(out_centrality, 6) AS out_centrality, round(degree_centrality, 6) AS degree_centrality FROM central""",
+    "communities_first_pass": BASE
+    + """, arcs AS (SELECT src, dst, sum(weight)::DOUBLE AS weight FROM (SELECT src, dst, weight FROM graph UNION ALL SELECT dst, src, weight FROM graph) GROUP BY 1, 2
+), alone AS (SELECT src AS node, sum(weight) AS k, src AS community FROM arcs GROUP BY src)"""
+    + moves_sql("alone", "halfway", 0, 0)
+    + moves_sql("halfway", "moved", 0, 1)
+    + "SELECT node, community FROM moved",
     "modularity": BASE
     + """, arcs AS (SELECT src, dst, weight FROM graph UNION ALL SELECT dst, src, weight FROM graph
 ), placed AS (

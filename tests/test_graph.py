@@ -145,6 +145,13 @@ def test_communities_of_two_cliques(spark):
     assert sorted(r["members"] for r in co.community_sizes(found).collect()) == [5, 5]
 
 
+def test_communities_are_connected_pieces(spark):
+    graph = graph_of(spark, [("a", "b"), ("b", "c"), ("x", "y"), ("c", "x"), ("p", "q")])
+    torn = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "2"), ("x", "1"), ("y", "1"), ("p", "3"), ("q", "3")], "node string, community string")
+    found = {r["node"]: r["community"] for r in co.connected_pieces(co.symmetric(graph), torn).collect()}
+    assert found == {"a": "a", "b": "a", "c": "c", "x": "x", "y": "x", "p": "p", "q": "p"}
+
+
 def test_communities_cover_every_node_once(spark):
     graph = graph_of(spark, [*random_edges(5, 20, 25), ("p", "q")])
     found = co.communities(graph).collect()
