@@ -287,7 +287,7 @@ def gazetteer_extractor(gazetteer: Sequence[tuple[str, str]]) -> Callable[[DataF
     def run(articles: DataFrame) -> DataFrame:
         kept = nonblank_text(articles)
         found = gazetteer_entities(kept, gazetteer).groupBy("url", "seq", "entity_type").agg(F.sort_array(F.collect_set("entity")).alias("names"))
-        entities = found.groupBy("url", "seq").agg(F.map_from_entries(F.collect_list(F.struct("entity_type", "names"))).alias("entities"))
+        entities = found.groupBy("url", "seq").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("entity_type", "names")))).alias("entities"))
         linked = cooccurrence_edges(kept, gazetteer)
         relations = linked.groupBy("url", "seq").agg(
             F.sort_array(F.collect_list(F.struct("source", "target", "relationship", "sentiment"))).alias("entity_relationships")

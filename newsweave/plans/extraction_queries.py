@@ -8,12 +8,15 @@ from newsweave.functions import text as tx
 from newsweave.operators import aggregates as ag
 from newsweave.operators import extraction as ex
 from newsweave.operators import filters as fl
+from newsweave.operators import resolution as rs
 from newsweave.operators.joins import join_on_key
+from newsweave.operators.numbering import numbered
 from newsweave.operators.ordering import keep_one
 from newsweave.plans import views
 from newsweave.plans.article_queries import MENTION_TYPE, MENTIONED, SENTENCES
-from newsweave.plans.fixture_sql import CATEGORIES, RELATIONS, RESPONSES_SQL, with_
-from newsweave.session import work_path
+from newsweave.plans.fixture_sql import ARTICLES, CATEGORIES, RELATIONS, RESPONSES_SQL, with_
+from newsweave.plans.name_queries import CHAIN
+from newsweave.session import cut, work_path
 from newsweave.sources import fixtures as fx
 from newsweave.sources.tables import stack_tables
 from newsweave.streaming import jobs
@@ -92,7 +95,30 @@ def run_stream(spark, sf):
     return stack_tables(rows).select("url", "what", "one", "other")
 
 
+def graph_from_texts(spark, sf):
+    """The whole way from the texts of the articles: extractor, replies, graph tables, names resolved by their letters."""
+    one = cut(keep_one(fx.articles(spark, sf, heavy=True), ["url"], "seq", "last"))
+    replies = ex.extraction_results(ex.parse_responses(ex.gazetteer_extractor(fx.GAZETTEER)(one)))
+    features = one.select("seq", "url", F.to_date("datetime").alias("date"), "relevance_text")
+    tables = views.build_graph_tables(features, cut(replies))
+    edges, entities = (numbered(t.withColumnRenamed("seq", "at"), "seq", F.asc("at")).drop("at") for t in tables)
+    nothing = spark.createDataFrame([], "alias string, canonical string")
+    return views.resolve_names(edges, entities, nothing, rs.letter_embedding)
+
+
+def failed_replies(spark, sf):
+    """Replies of which some failed outright, a part of these at a rate limit."""
+    doc = F.col("seq")
+    error = F.when(doc % 13 == 0, F.lit("HTTP 429: Rate Limit reached")).when(doc % 13 == 5, F.lit("Quota exceeded")).when(doc % 13 == 7, F.lit("no such model"))
+    found = fx.responses(spark, sf).withColumn("error", error)
+    return ex.parse_responses(found.withColumn("response_text", F.when(error.isNull(), F.col("response_text"))))
+
+
 QUERIES = {
+    "graph_from_texts": lambda s, d: graph_from_texts(s, d)[0],
+    "entities_from_texts": lambda s, d: graph_from_texts(s, d)[1].select("url", "date", "entity", "entity_type"),
+    "failed_results": lambda s, d: ex.extraction_results(failed_replies(s, d)),
+    "failed_errors": lambda s, d: ex.extraction_errors(failed_replies(s, d)),
     "json_block": lambda s, d: fx.responses(s, d).select("seq", tx.json_block(F.col("response_text")).alias("block")),
     "parse_responses": parsed,
     "parse_nested": nested_profile,
@@ -126,7 +152,41 @@ GRAPH_KEPT = f"""features AS (
 EDGE_ROWS = "SELECT source, target, relationship, sentiment, url, date, seq AS article, position FROM relations"
 ENTITY_ROWS = "SELECT seq AS article, url, date, entity, entity_type FROM names"
 
+FAILED = (
+    RESPONSES_SQL
+    + """, failed AS (
+  SELECT url, CASE WHEN seq % 13 IN (0, 5, 7) THEN '{}' ELSE extracted_entities END AS extracted_entities,
+    CASE WHEN seq % 13 IN (0, 5, 7) THEN '[]' ELSE entity_relationships END AS entity_relationships,
+    CASE seq % 13 WHEN 0 THEN 'HTTP 429: Rate Limit reached' WHEN 5 THEN 'Quota exceeded' WHEN 7 THEN 'no such model' ELSE error END AS error
+  FROM parsed)"""
+)
+FROM_TEXTS = (
+    ARTICLES.replace("articles AS (", "every AS (", 1).replace("FROM articles WHERE", "FROM every WHERE", 1)
+    + ", articles AS (SELECT * FROM every QUALIFY row_number() OVER (PARTITION BY url ORDER BY seq DESC) = 1), "
+    + SENTENCES
+    + MENTIONED
+    + f""", stepped AS (
+  SELECT DISTINCT seq, names[i] AS source, names[i + 1] AS target FROM (SELECT *, unnest(range(1, len(names))) AS i FROM named)
+), linked AS (SELECT * FROM stepped WHERE source <> target
+), kept AS (SELECT seq, url, CAST(datetime AS DATE) AS date FROM articles WHERE relevance_text = 1 AND seq IN (SELECT seq FROM linked)
+), raw_edges AS (
+  SELECT row_number() OVER (ORDER BY seq, source, target) AS seq, source, target, 'partners with' AS relationship, 'NEUTRAL' AS sentiment, url, date
+  FROM kept JOIN linked USING (seq)
+), listed AS (
+  SELECT DISTINCT seq, url, date, entity, {MENTION_TYPE} AS entity_type FROM kept JOIN (SELECT seq, unnest(names) AS entity FROM named) USING (seq)
+), raw_entities AS (SELECT row_number() OVER (ORDER BY seq, entity_type, entity) AS seq, url, date, entity, entity_type FROM listed
+), """
+    + CHAIN
+)
+
 ORACLE = {
+    "graph_from_texts": with_(FROM_TEXTS, recursive=True)
+    + "SELECT DISTINCT source, target, relationship, sentiment, url, date FROM edges WHERE source <> target",
+    "entities_from_texts": with_(FROM_TEXTS, recursive=True)
+    + "SELECT url, date, entity, entity_type FROM entities QUALIFY row_number() OVER (PARTITION BY url, entity ORDER BY seq) = 1",
+    "failed_results": with_(FAILED) + "SELECT url, extracted_entities, entity_relationships FROM failed",
+    "failed_errors": with_(FAILED)
+    + "SELECT url, error, regexp_matches(lower(error), 'rate limit|quota|429') AS rate_limited FROM failed WHERE error IS NOT NULL",
     "json_block": with_(RESPONSES_SQL) + "SELECT seq, block FROM blocks",
     "parse_responses": with_(RESPONSES_SQL)
     + "SELECT seq, url, date, relevance_text, extracted_entities, entity_relationships, error FROM parsed",

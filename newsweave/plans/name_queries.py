@@ -101,11 +101,8 @@ RESOLVED = (
 
 TITLE_CASE = "CASE seq % 10 " + " ".join(f"WHEN {i} THEN {quote(t) if chr(9) not in t else quote(t.strip()) + ' || chr(9)'}" for i, t in enumerate(fx.TITLES)) + " END"
 LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
-FROM_NAMES = (
-    edges("E", "plain_edges")
-    + f""", raw_edges AS (SELECT * REPLACE ({TITLE_CASE} || source AS source) FROM plain_edges), """
-    + entities("E", "raw_entities")
-    + rf""", sightings AS (
+#: From raw_edges and raw_entities to the resolved ones.
+CHAIN = rf"""sightings AS (
   SELECT source AS name, 0 AS part, seq FROM raw_edges UNION ALL SELECT target, 1, seq FROM raw_edges UNION ALL SELECT entity, 2, seq FROM raw_entities
 ), firsts AS (
   SELECT regexp_replace(regexp_replace(name, '\b(Mr|Ms|Mrs|Dr|Prof|President|Chancellor|Prime Minister)\.?\s+', '', 'g'), '^\s+|\s+$', '', 'g') AS name,
@@ -140,6 +137,13 @@ FROM_NAMES = (
 ), entities AS (
   SELECT e.* REPLACE (coalesce(m.canonical, e.entity) AS entity) FROM raw_entities e LEFT JOIN mapping m ON m.alias = e.entity
 )"""
+
+FROM_NAMES = (
+    edges("E", "plain_edges")
+    + f""", raw_edges AS (SELECT * REPLACE ({TITLE_CASE} || source AS source) FROM plain_edges), """
+    + entities("E", "raw_entities")
+    + ", "
+    + CHAIN
 )
 
 ORACLE = {
@@ -148,7 +152,7 @@ ORACLE = {
     "resolved_entities_from_names": with_(FROM_NAMES, recursive=True)
     + "SELECT seq, url, entity, entity_type FROM entities QUALIFY row_number() OVER (PARTITION BY url, entity ORDER BY seq) = 1",
     "resolution_totals": with_(FROM_NAMES, recursive=True)
-    + "SELECT count(*) AS names, count(DISTINCT canonical) AS canonicals, count_if(alias <> canonical) AS merged FROM mapping",
+    + "SELECT count(*) AS names, count(DISTINCT canonical) AS canonicals, count(*) FILTER (alias <> canonical) AS merged FROM mapping",
     "cosine": with_(VECTORS)
     + """SELECT a.seq, round(list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))), 6) AS cosine
 FROM vectors a JOIN vectors b ON b.seq = a.seq + 1""",
