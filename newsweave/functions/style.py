@@ -65,11 +65,15 @@ def two_places(value: Column) -> Column:
     return F.format_string("%.2f", value)
 
 
-def hover(name: Column, entity_type: Column, incoming: Column, outgoing: Column, total: Column) -> Column:
-    return F.concat_ws(
-        "; ",
-        F.concat(name, F.lit(" ("), entity_type, F.lit(")")),
-        F.concat(F.lit("incoming "), two_places(incoming)),
-        F.concat(F.lit("outgoing "), two_places(outgoing)),
-        F.concat(F.lit("total "), two_places(total)),
-    )
+def hover(name: Column, entity_type: Column, incoming: Column, outgoing: Column, total: Column, community: Column | None = None) -> Column:
+    lines = [F.concat(name, F.lit(" ("), entity_type, F.lit(")"))]
+    if community is not None:
+        lines.append(F.concat(F.lit("community "), community))
+    lines += [F.concat(F.lit(f"{what} "), two_places(value)) for what, value in (("incoming", incoming), ("outgoing", outgoing), ("total", total))]
+    return F.concat_ws("; ", *lines)
+
+
+def edge_hover(source: Column, target: Column, relationship: Column, sentiment: Column, date: Column) -> Column:
+    """What is not known is left out."""
+    named = (("from", source), ("to", target), ("relationship", relationship), ("sentiment", sentiment), ("date", date.cast("string")))
+    return F.concat_ws("; ", *[F.concat(F.lit(f"{name} "), value) for name, value in named])

@@ -281,6 +281,7 @@ QUERIES = {
     "graph_view_domains": lambda s, d: view(s, d, 2).withColumn("relationship_types", F.array_join("relationship_types", ",")),
     "graph_view_documents": lambda s, d: views.graph_documents(*views.graph_view(fx.edges(s, d), fx.entities(s, d), VIEW)),
     "explorer_edges": lambda s, d: views.explorer_edges(explorer(s, d)),
+    "explorer_edge_titles": lambda s, d: views.edge_titles(explorer(s, d)).select("src", "dst", "title"),
     "explorer_nodes": explorer_nodes,
     "pagerank": lambda s, d: ranked(weighted(s, d)),
     "betweenness": lambda s, d: brokers(s, d).select("node", F.round("betweenness", 6).alias("betweenness")),
@@ -539,6 +540,9 @@ FROM central JOIN types ON entity = node""",
   CAST(min(date) AS VARCHAR) AS min_date, CAST(max(date) AS VARCHAR) AS max_date FROM shown""",
     "explorer_edges": with_(EDGES, EXPLORER)
     + f"SELECT src, dst, sentiment, relationship, url, date, {SENTIMENT_CASE} AS color FROM directed",
+    "explorer_edge_titles": with_(EDGES, EXPLORER)
+    + """SELECT src, dst, concat_ws('; ', 'from ' || src, 'to ' || dst, 'relationship ' || relationship, 'sentiment ' || sentiment,
+  'date ' || CAST(date AS VARCHAR)) AS title FROM directed""",
     "pagerank": pagerank_sql(BASE) + "SELECT node, round(rank, 6) AS pagerank FROM ranked",
     "betweenness": paths_sql(BASE) + "SELECT node, round(betweenness, 6) AS betweenness FROM between_all",
     "top_brokers": paths_sql(BASE)

@@ -120,8 +120,17 @@ def explorer_edges(graph: DataFrame) -> DataFrame:
     )
 
 
-def node_style(graph: DataFrame, entities: DataFrame, term: str = "", n_top: int = 20) -> DataFrame:
-    """Nodes with type, centralities, size, colour, label and hover text; untyped nodes are ``unknown``."""
+def edge_titles(graph: DataFrame) -> DataFrame:
+    """``explorer_edges`` with hover text."""
+    title = style.edge_hover(*[F.col(c) for c in ("src", "dst", "relationship", "sentiment", "date")])
+    return explorer_edges(graph).withColumn("title", title)
+
+
+def node_style(graph: DataFrame, entities: DataFrame, term: str = "", n_top: int = 20, groups: DataFrame | None = None) -> DataFrame:
+    """Nodes with type, centralities, size, colour, label and hover text; untyped nodes are ``unknown``.
+
+    ``groups`` (node, community) adds the community as a column and to the hover text.
+    """
     degrees = gr.degree_centrality(graph)
     ends = F.array(
         F.struct(F.col("src").alias("node"), F.struct("seq", F.lit(0)).alias("at")),
@@ -130,6 +139,9 @@ def node_style(graph: DataFrame, entities: DataFrame, term: str = "", n_top: int
     seen = graph.select(F.explode(ends).alias("e")).select("e.*").groupBy("node").agg(F.min("at").alias("at"))
     top = degrees.join(seen, "node").orderBy(F.desc("degree"), "at").limit(n_top).select("node", F.lit(True).alias("is_top"))
     typed = add_entity_type(degrees.join(F.broadcast(top), "node", "left"), entities)
+    community = []
+    if groups is not None:
+        typed, community = typed.join(groups, "node", "left"), [F.col("community")]
     matched = style.matches(F.col("node"), term)
     total = F.col("degree_centrality")
     return typed.select(
@@ -141,7 +153,8 @@ def node_style(graph: DataFrame, entities: DataFrame, term: str = "", n_top: int
         style.explorer_size(total, matched).alias("size"),
         F.when(matched, F.lit(style.MATCH_COLOR)).otherwise(style.type_color(F.col("entity_type"))).alias("color"),
         F.when(F.coalesce("is_top", F.lit(False)) | matched, F.col("node")).otherwise(F.lit("")).alias("label"),
-        style.hover(F.col("node"), F.col("entity_type"), F.col("in_centrality"), F.col("out_centrality"), total).alias("title"),
+        style.hover(F.col("node"), F.col("entity_type"), F.col("in_centrality"), F.col("out_centrality"), total, *community).alias("title"),
+        *community,
     )
 
 
@@ -149,8 +162,7 @@ def explorer_view(edges: DataFrame, entities: DataFrame, by: Filters = Filters()
     """(nodes, edges) of the explorer page, nodes with their community."""
     graph = explorer_graph(edges, by)
     groups = communities(gr.to_undirected(graph))
-    nodes = node_style(graph, entities, by.search).join(groups, "node", "left")
-    return nodes, explorer_edges(graph)
+    return node_style(graph, entities, by.search, groups=groups), edge_titles(graph)
 
 
 def article_features(

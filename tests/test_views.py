@@ -59,7 +59,9 @@ def test_explorer_keeps_untyped_nodes(tables):
     assert set(found) == {"Ann", "Bob"}
     assert found["Ann"]["color"] == "#ff0000" and found["Ann"]["size"] == 165.0
     assert found["Ann"]["community"] == found["Bob"]["community"]
+    assert f"; community {found['Ann']['community']}; incoming " in found["Ann"]["title"]
     assert [(r["sentiment"], r["color"]) for r in edges.collect()] == [("HOSTILE", "red")]
+    assert edges.first()["title"].startswith("from Ann; to Bob; relationship ")
     everything = views.explorer_view(*tables)[0]
     assert {r["node"]: r["entity_type"] for r in everything.collect()}["Eve"] == "unknown"
 
