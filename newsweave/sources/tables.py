@@ -6,11 +6,12 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 INDEX_NAMES = ("", "_c0", "Unnamed: 0")
+EMPTY = "\ue000"  # a private-use character stands for the quoted empty cell while reading
 CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
 
 EDGE_SCHEMA = T.StructType(
@@ -50,13 +51,21 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, keep_empty: bool = False) -> DataFrame:
     """CSV with a header whose quoted cells may hold line breaks; any path Spark's file systems can open.
 
     Without a schema the column types are inferred, which reads the data twice. A first column with a blank
-    name is a row index some writer added, and is dropped.
+    name is a row index some writer added, and is dropped. Empty cells are null, quoted or not, unless ``keep_empty`` makes
+    the quoted ones empty strings, as ``write_csv`` writes them.
     """
-    reader = spark.read.options(**CSV_OPTIONS)
+    if keep_empty:
+        df = _read_csv(spark.read.options(**CSV_OPTIONS, emptyValue=EMPTY), path, schema)
+        strings = {f.name: F.when(F.col(f"`{f.name}`") == EMPTY, F.lit("")).otherwise(F.col(f"`{f.name}`")) for f in df.schema if f.dataType == T.StringType()}
+        return df.withColumns(strings)
+    return _read_csv(spark.read.options(**CSV_OPTIONS), path, schema)
+
+
+def _read_csv(reader: DataFrameReader, path: str, schema: T.StructType | str | None) -> DataFrame:
     if schema is None:
         df = reader.option("inferSchema", True).csv(path)
         return df.drop(df.columns[0]) if df.columns[0].strip() in INDEX_NAMES else df
@@ -68,7 +77,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """White space at the edges of cells is kept; nulls and empty cells are written alike."""
+    """White space at the edges of cells is kept; a null is a blank cell, an empty string a quoted one."""
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     df.write.mode("overwrite").options(header=True, quote='"', escape='"', **keep).csv(path)
 

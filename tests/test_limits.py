@@ -71,3 +71,13 @@ def test_csv_keeps_edges_and_drops_an_index(spark):
     for schema in (None, "source string, target string"):
         row = tb.read_csv(spark, path, schema).first()
         assert (row.source, row.target) == ("  lead trail  ", "x\n")
+
+
+def test_csv_tells_null_from_empty(spark):
+    path = work_path(spark, "csv")
+    rows = [(1, None, "a"), (2, "", "b"), (3, "  x ", ""), (4, 'q"uo\nte', None), (5, '""', "\\N")]
+    tb.write_csv(spark.createDataFrame(rows, "i int, t string, u string"), path)
+    kept = tb.read_csv(spark, path, "i int, t string, u string", keep_empty=True)
+    assert sorted(map(tuple, kept.collect())) == rows
+    alike = tb.read_csv(spark, path, "i int, t string, u string").filter("i IN (1, 2)").collect()
+    assert [r.t for r in alike] == [None, None]
