@@ -50,8 +50,8 @@ class Encoder:
     """
 
     #: The splitting rule within lower-cased Latin-1 (fixed values: contractions, letters, numbers).
-    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\sa-z0-9ªµºß-öø-ÿ²³¹¼½¾]+")
-    ODD = re.compile(r"[\x1c-\x1f]|<\|")  # separators that are no white space to the vocabulary; special strings
+    PIECE = re.compile(r"[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|'s|'t|'re|'ve|'m|'ll|'d|[^\sa-z0-9ªµºß-öø-ÿ²³¹¼½¾]+")
+    ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")  # separators that are no white space to the vocabulary; special strings
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # executors already use every core
@@ -64,7 +64,7 @@ class Encoder:
 
     def pieces(self, text: str) -> tuple[list[str], bool]:
         """Pieces whose ids stand alone, and whether they are merged as they are."""
-        if self.ODD.search(text) is None:
+        if not any(mark in text for mark in self.ODD):
             try:
                 text.encode("latin-1")
                 return self.PIECE.findall(text.lower()), True
