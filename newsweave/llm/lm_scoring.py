@@ -2,15 +2,23 @@
 
 Tokens are lower-cased (A-Z) words and one end per document; both the counts and the model learn from the training
 documents only. The base is exact: counts of all distinct tokens stay distributed. The counts of the most frequent
-ones (at most ``FREQUENT``, a few MB) travel to the scan, where most occurrences find theirs; the rest are joined.
-
-The model factors a token's probability into its class given the history and the token given class and history. The
-``CLASSES * SLOTS`` most frequent tokens are dealt to classes by rank; one more class holds all others, with their add-one
-shares of it. Both factors are softmaxes over sums of weight rows; the rows are picked by hashing the features (the
-token before, the two tokens before, and the token before the last by skipping) and, for the second factor, the class.
-Weights start at the unigram shares. Each partition of the training documents makes adaptive gradient updates over its
-minibatches of sparse rows; the rows it touched are averaged over the partitions, weighted by how often each used
-them, and the next round starts from there.
+ones (at most ``FREQUENT``, some 30 MB with their classes) travel to the scan, where most occurrences find theirs; the
+rest are joined.
+
+The model factors a token's probability over a tree of classes: every node has up to ``SLOTS`` children of about the same
+share of the training tokens, so frequent tokens have short paths. All tokens seen at least ``LEAST`` times whose counts
+travel are leaves. One more leaf stands for the others; they have their add-one shares of it, one share going to the
+unseen, and what is seen too seldom teaches when to expect it. Each step of a path is a softmax over a sum of weight rows on
+top of the unigram shares; the rows are picked by hashing the node with each feature (the token before, the two tokens
+before, and the token before the last by skipping).
+
+Sizes follow the data: the tree has as many leaves as there are such tokens, the number of weight rows grows with the square
+root of the training tokens (``ROWS`` times it; at most ``MOST_ROWS``, 143 MB, the bound of what is broadcast, reached at
+about a thousand million tokens). Training goes once over the training documents in ``ROUNDS`` parts chosen by hash. In a round each
+learner makes adaptive gradient updates over its minibatches of sparse rows; the rows it touched are averaged over the
+learners, weighted by how often each used them, and the next round starts from there. There are as many learners as
+partitions, but no more than leaves each ``TOKENS_PER_ROW`` tokens a weight row, so what they send stays in proportion to
+the input. The model's score therefore depends on how the documents are partitioned; the base does not.
 
 Edge cases: null and empty texts are the end alone; with no training tokens every score is 0 (one empty outcome);
 rows with a null doc_id are training rows; repeated rows count and are scored each.
@@ -27,17 +35,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsweave.llm.language_id import held_out
-from newsweave.llm.texts import NOT_SPACE, Words, mix, objects, plain, slabs, small_batches
+from newsweave.llm.texts import NOT_SPACE, Words, mix, plain, slabs, small_batches
 from newsweave.session import cut
 
-FREQUENT = 1 << 19
-CLASSES, SLOTS = 31, 32
-BUCKETS = 1 << 13
-ROUNDS = 1
-RATE, MINIBATCH = 0.15, 8192
+FREQUENT = 1 << 20
+LEAST, SLOTS = 2, 16
+ROWS, MOST_ROWS = 64, 1 << 21
+ROUNDS, TOKENS_PER_ROW = 3, 8
+RATE, MINIBATCH = 0.4, 4096  # tokens; each has a decision per step of its path
 END, NONE = np.uint64(0x656E6400), np.uint64(0x6E6F6E65)
-_CHUNK = 256  # weight rows averaged together
-_ROW = "part int, salt int, row int, uses double, weights binary"
+_CHUNK = 1024  # weight rows averaged together
+_FAN = 64  # learners averaged by one task
+_EXTREME, _ONES = 80.0, np.ones(SLOTS, np.float32)
+_PART = "part int, learner int, uses binary, weights binary"
 
 
 def tokens(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -60,36 +70,89 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInPandas(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def class_tree(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Node and slot of each outcome, node and slot above each node (-1 above the root), log shares of the slots.
+
+    ``mass`` is in descending order. A node deals its outcomes to its slots by the middle of their share, so two
+    neighbours never stay together at all levels; a slot with one outcome is a leaf.
+    """
+    node, slot = np.full(len(mass), -1, np.int32), np.zeros(len(mass), np.int8)
+    bounds = np.concatenate([[0.0], np.cumsum(mass, dtype=np.float64)])
+    middle = (bounds[1:] + bounds[:-1]) / 2
+    up, up_slot, shares, made = [], [], [], 0
+    lo, hi = np.array([0]), np.array([len(mass)])
+    above, above_slot = np.array([-1]), np.array([0])
+    while len(lo) and len(mass) > 1:
+        up.append(above)
+        up_slot.append(above_slot)
+        size = hi - lo
+        group = np.repeat(np.arange(len(lo)), size)
+        item = np.arange(size.sum()) + np.repeat(lo - np.cumsum(size) + size, size)
+        bottom, width = bounds[lo][group], (bounds[hi] - bounds[lo])[group]
+        own = np.minimum((SLOTS * (middle[item] - bottom) / width).astype(np.int64), SLOTS - 1)
+        key = group * SLOTS + own
+        with np.errstate(divide="ignore"):
+            share = np.log(np.bincount(key, mass[item] / width, len(lo) * SLOTS)).reshape(-1, SLOTS)
+        shares.append(np.maximum(share, -1e4).astype(np.float32))
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        held = np.diff(np.append(first, len(key)))
+        alone, more = first[held == 1], first[held > 1]
+        node[item[alone]], slot[item[alone]] = made + group[alone], own[alone]
+        above, above_slot = made + group[more], own[more]
+        made += len(lo)
+        lo = item[more]
+        hi = lo + held[held > 1]
+    if not up:
+        return node, slot, np.zeros(0, np.int32), np.zeros(0, np.int8), np.zeros((0, SLOTS), np.float32)
+    return node, slot, np.concatenate(up).astype(np.int32), np.concatenate(up_slot).astype(np.int8), np.concatenate(shares)
+
+
 class Vocabulary:
-    """Frequent tokens with counts, the totals, and the classes of the most frequent ones."""
+    """Frequent tokens with counts, the totals, and the tree of classes."""
 
     def __init__(self, found: np.ndarray, counts: np.ndarray, total: int, distinct: int):
-        """found: hashes; the classes take the most frequent, ties by hash."""
-        rank = np.lexsort((found, -counts))[: CLASSES * SLOTS]
+        """found: hashes, each once; the last entry of the sorted tables stands for the tokens that are no leaves."""
         order = np.argsort(found)
-        self.tokens, self.counts = found[order], counts[order]
-        place = np.full(len(found), -1, np.int32)
-        place[rank] = np.arange(len(rank))
-        self.place = place[order]  # class and slot of a token as one number, -1 for the rest
-        self.total, self.distinct = total, distinct
-        modelled = counts[rank]
-        self.rest_total, self.rest_distinct = total - int(modelled.sum()), distinct - len(rank)
-        shares = np.zeros(CLASSES * SLOTS)
-        shares[: len(rank)] = modelled
-        self.slots = len(rank)
-        by_class = shares.reshape(CLASSES, SLOTS)
-        with np.errstate(divide="ignore"):
-            heads = np.log(np.append(by_class.sum(1), self.rest_total + 1.0) / (total + 1.0))
-            within = np.log(by_class / np.maximum(by_class.sum(1, keepdims=True), 1.0))
-        self.class_bias = np.maximum(heads, -1e4).astype(np.float32)
-        self.slot_bias = np.maximum(within, -1e4).astype(np.float32)
+        found, counts = found[order], counts[order]
+        self.size, self.total, self.distinct = len(found), total, distinct
+        leaves = np.flatnonzero(counts >= LEAST)
+        self.rest_total, self.rest_distinct = total - int(counts[leaves].sum()), distinct - len(leaves)
+        mass = np.append(counts[leaves], self.rest_total + 1)
+        rank = np.lexsort((np.append(leaves, len(found)), -mass))
+        node, slot, self.up, self.up_slot, self.shares = class_tree(mass[rank])
+        self.tokens = np.append(found, np.uint64(2**64 - 1))
+        self.counts = np.append(counts, 0)
+        self.is_leaf = np.append(counts >= LEAST, False)
+        self.node, self.slot = np.zeros(len(found) + 1, np.int32), np.zeros(len(found) + 1, np.int8)
+        at = np.append(leaves, len(found))[rank]
+        self.node[at], self.slot[at] = node, slot
+        seldom = np.flatnonzero(~self.is_leaf)
+        self.node[seldom], self.slot[seldom] = self.node[-1], self.slot[-1]
+        self.shift = np.uint64(64 - max(1, len(found).bit_length()))
+        firsts = np.arange(1 << int(64 - self.shift), dtype=np.uint64) << self.shift
+        self.first = np.searchsorted(found, firsts).astype(np.int32)
 
     def look_up(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place in the table, and whether the token is there."""
-        if not len(self.tokens):
-            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-        at = np.minimum(np.searchsorted(self.tokens, wanted), len(self.tokens) - 1)
-        return at, self.tokens[at] == wanted
+        """Place in the tables (the last one for tokens that are not there), and whether the token is there."""
+        at = self.first[wanted >> self.shift]
+        behind = np.flatnonzero(self.tokens[at] < wanted)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.tokens[at[behind]] < wanted[behind]]
+        known = (self.tokens[at] == wanted) & (at < self.size)
+        return np.where(known, at, self.size), known
+
+    def path(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All steps of the tokens' paths: which token, the node, the slot taken there."""
+        token, node, slot = np.arange(len(at)), self.node[at], self.slot[at]
+        found = []
+        while True:
+            going = node >= 0
+            token, node, slot = token[going], node[going], slot[going]
+            found.append((token, node, slot))
+            if not len(node):
+                return tuple(np.concatenate(parts) for parts in zip(*found, strict=True))
+            node, slot = self.up[node], self.up_slot[node]
 
 
 def vocabulary(counts: DataFrame, most: int = FREQUENT) -> Vocabulary:
@@ -119,100 +182,109 @@ def features(found: np.ndarray, text: np.ndarray) -> np.ndarray:
     return np.stack([mix(one + np.uint64(1)), mix(mix(two + np.uint64(2)) ^ one), mix(two + np.uint64(3))], 1)
 
 
+def weight_rows(total: int) -> int:
+    """Rows of weights for so many training tokens, in whole chunks."""
+    return min(MOST_ROWS, _CHUNK * -(-int(ROWS * np.sqrt(max(total, 1))) // _CHUNK))
+
+
 class Model:
-    """Weight rows of both factors; ``look`` gives class and slot of tokens."""
+    """Weight rows, one per hashed node and feature, and the sums of their squared gradients."""
 
-    def __init__(self, words: Vocabulary, weights: np.ndarray | None = None):
+    def __init__(self, words: Vocabulary, weights: np.ndarray | None = None, squares: np.ndarray | None = None):
         self.words = words
-        # rows [0, BUCKETS) for classes, [BUCKETS, 2 * BUCKETS) for slots; the class weights use CLASSES + 1 columns
-        self.weights = np.zeros((2 * BUCKETS, SLOTS), np.float32) if weights is None else weights
-
-    def rows(self, hashed: np.ndarray, group: np.ndarray | None = None) -> np.ndarray:
-        if group is None:
-            return (hashed & np.uint64(BUCKETS - 1)).astype(np.int64)
-        salted = mix(hashed ^ (group.astype(np.uint64) + np.uint64(11))[:, None])
-        return BUCKETS + (salted & np.uint64(BUCKETS - 1)).astype(np.int64)
-
-    def softmax(self, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
-        logits = self.weights[rows[:, 0]] + self.weights[rows[:, 1]] + self.weights[rows[:, 2]] + bias
-        logits -= logits.max(1, keepdims=True)
-        np.exp(logits, out=logits)
-        logits /= logits.sum(1, keepdims=True)
-        return logits
-
-    def split(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Class (the last one for tokens without a place) and slot."""
-        return np.where(place < 0, CLASSES, place // SLOTS), np.where(place < 0, 0, place % SLOTS)
-
-    def log10(self, place: np.ndarray, hashed: np.ndarray) -> np.ndarray:
-        """log10 of the class, and of the slot for tokens that have one."""
-        group, slot = self.split(place)
-        out = np.zeros(len(place))
-        for lo in range(0, len(place), MINIBATCH):
-            part = slice(lo, lo + MINIBATCH)
-            chance = self.softmax(self.rows(hashed[part]), self.words.class_bias)
-            own = np.log10(np.maximum(chance[np.arange(len(chance)), group[part]], 1e-30), dtype=np.float64)
-            has = np.flatnonzero(place[part] >= 0)
-            within = self.softmax(self.rows(hashed[part][has], group[part][has]), self.words.slot_bias[group[part][has]])
-            own[has] += np.log10(np.maximum(within[np.arange(len(has)), slot[part][has]], 1e-30), dtype=np.float64)
-            out[part] = own
+        self.weights = np.zeros((weight_rows(words.total), SLOTS), np.float32) if weights is None else weights
+        self.squares = np.ones(len(self.weights), np.float32) if squares is None else squares
+
+    def rows(self, hashed: np.ndarray, node: np.ndarray) -> np.ndarray:
+        salted = mix(hashed ^ ((node.astype(np.uint64) + np.uint64(11)) * np.uint64(0x9E3779B97F4A7C15))[:, None])
+        return (((salted >> np.uint64(32)) * np.uint64(len(self.weights))) >> np.uint64(32)).astype(np.int64)
+
+    def logits(self, rows: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Unscaled, within what an exponential can take."""
+        out = self.words.shares.take(node, 0)
+        for column in rows.T:
+            out += self.weights.take(column, 0)
+        return np.clip(out, -_EXTREME, _EXTREME, out=out)
+
+    def log10(self, at: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+        """log10 of each token's leaf, given its history."""
+        out = np.zeros(len(at))
+        for lo in range(0, len(at), MINIBATCH):
+            token, node, slot = self.words.path(at[lo : lo + MINIBATCH])
+            logits = self.logits(self.rows(hashed[lo + token], node), node)
+            own = logits[np.arange(len(node)), slot].astype(np.float64)
+            own -= np.log(np.exp(logits, out=logits) @ _ONES)
+            out[lo : lo + MINIBATCH] = np.bincount(token, own, len(out[lo : lo + MINIBATCH])) / np.log(10)
         return out
 
 
 class Trainer:
-    """Adaptive gradient updates of a partition's own copy of the weights."""
+    """Adaptive gradient updates of a learner's own copy of the weights."""
 
     def __init__(self, model: Model):
-        self.model = Model(model.words, model.weights.copy())
-        self.squares = np.full_like(self.model.weights, 1.0)
-        self.uses = np.zeros(2 * BUCKETS)
-
-    def update(self, rows: np.ndarray, slope: np.ndarray) -> None:
-        flat = rows.T.reshape(-1)
-        uses = np.bincount(flat, minlength=2 * BUCKETS)
-        touched = np.flatnonzero(uses)
-        number = (np.cumsum(uses > 0) - 1)[flat]
-        columns = slope.T.astype(np.float64)
-        summed = [np.bincount(number, np.tile(column, rows.shape[1]), len(touched)) for column in columns]
-        gradient = np.stack(summed, 1).astype(np.float32)
-        self.uses[touched] += uses[touched]
-        self.squares[touched] += gradient * gradient
-        self.model.weights[touched] -= RATE * gradient / np.sqrt(self.squares[touched])
-
-    def learn(self, place: np.ndarray, hashed: np.ndarray) -> None:
+        self.model = Model(model.words, model.weights.copy(), model.squares.copy())
+        self.uses = np.zeros(len(model.weights), np.float32)
+
+    def learn(self, at: np.ndarray, hashed: np.ndarray) -> None:
         model = self.model
-        group, slot = model.split(place)
-        for lo in range(0, len(place), MINIBATCH):
-            part = slice(lo, lo + MINIBATCH)
-            rows = model.rows(hashed[part])
-            slope = model.softmax(rows, model.words.class_bias)
-            slope[np.arange(len(slope)), group[part]] -= 1
-            self.update(rows, slope)
-            has = np.flatnonzero(place[part] >= 0)
-            if len(has):
-                rows = model.rows(hashed[part][has], group[part][has])
-                slope = model.softmax(rows, model.words.slot_bias[group[part][has]])
-                slope[np.arange(len(has)), slot[part][has]] -= 1
-                self.update(rows, slope)
-
-
-def _weighted(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, total uses and mean weights of the same rows from several partitions."""
-    ids, inverse = np.unique(rows["row"].to_numpy(), return_inverse=True)
-    uses = rows["uses"].to_numpy()
-    weights = np.frombuffer(b"".join(rows["weights"]), np.float32).reshape(len(rows), SLOTS)
-    total, summed = np.bincount(inverse, uses, len(ids)), np.zeros((len(ids), SLOTS))
-    np.add.at(summed, inverse, weights * uses[:, None])
-    return ids, total, (summed / total[:, None]).astype(np.float32)
+        for lo in range(0, len(at), MINIBATCH):
+            token, node, slot = model.words.path(at[lo : lo + MINIBATCH])
+            if not len(node):
+                continue
+            rows = model.rows(hashed[lo + token], node)
+            slope = model.logits(rows, node)
+            np.exp(slope, out=slope)
+            slope *= (1 / (slope @ _ONES))[:, None]
+            slope[np.arange(len(node)), slot] -= 1
+            # one sort of row and decision together; equal rows' slopes are summed
+            flat = np.sort((rows << 32 | np.arange(len(node))[:, None]).reshape(-1))
+            step, flat = flat & 0xFFFFFFFF, flat >> 32
+            first = np.flatnonzero(np.diff(flat, prepend=-1))
+            touched = flat[first]
+            times = np.diff(np.append(first, len(flat)))
+            gradient = slope.take(step[first], 0)
+            if (again := times > 1).any():
+                ends = np.cumsum(times[again])
+                gradient[again] = np.add.reduceat(slope.take(step[np.repeat(again, times)], 0), ends - times[again], axis=0)
+            self.uses[touched] += times
+            squares = model.squares[touched] + np.einsum("ij,ij->i", gradient, gradient)
+            model.squares[touched] = squares
+            gradient *= (RATE / np.sqrt(squares))[:, None]
+            model.weights[touched] = model.weights.take(touched, 0) - gradient
+
+
+def _chunks(trainer: Trainer, learner: int, parts: range) -> pd.DataFrame:
+    """The chunks of weight rows that were used."""
+    out = []
+    for p in parts:
+        part = slice(p * _CHUNK, (p + 1) * _CHUNK)
+        if trainer.uses[part].any():
+            weights = np.column_stack([trainer.model.weights[part], trainer.model.squares[part]])
+            out.append((p, learner, trainer.uses[part].astype(np.float64).tobytes(), weights.tobytes()))
+    return pd.DataFrame(out, columns=["part", "learner", "uses", "weights"])
+
+
+def _mean(rows: pd.DataFrame) -> pd.DataFrame:
+    """Mean of one chunk over its learners, weighted by their uses of each row; unused rows keep the first one's values."""
+    uses, summed = np.zeros(_CHUNK), np.zeros((_CHUNK, SLOTS + 1))
+    for own, weights in zip(rows["uses"], rows["weights"], strict=True):
+        own = np.frombuffer(own, np.float64)
+        uses += own
+        summed += own[:, None] * np.frombuffer(weights, np.float32).reshape(-1, SLOTS + 1)
+    start = np.frombuffer(rows["weights"].iloc[0], np.float32).reshape(-1, SLOTS + 1)
+    mean = np.where(uses[:, None] > 0, summed / np.maximum(uses, 1)[:, None], start).astype(np.float32)
+    return pd.DataFrame([(rows["part"].iloc[0], rows["learner"].iloc[0] // _FAN, uses.tobytes(), mean.tobytes())], columns=rows.columns)
 
 
 def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Model:
-    """Rounds of local updates on every partition and a weighted mean of what they touched."""
+    """Rounds of local updates by the learners and a weighted mean of what they touched."""
     spark = docs.sparkSession
     model = Model(words)
     if not words.total:
         return model
-    for _ in range(rounds):
+    size = len(model.weights)
+    learners = max(1, words.total // (rounds * size * TOKENS_PER_ROW))
+    for number in range(rounds):
         sent = spark.sparkContext.broadcast(model)
 
         def local(batches: Iterator[pd.DataFrame], sent: Broadcast = sent) -> Iterator[pd.DataFrame]:
@@ -221,24 +293,19 @@ def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Model:
                 raw = plain(batch["text"])
                 for lo, hi in slabs(raw):
                     found, text = tokens(raw[lo:hi])
-                    at, known = trainer.model.words.look_up(found)
-                    trainer.learn(np.where(known, trainer.model.words.place[at], -1), features(found, text))
-            used = np.flatnonzero(trainer.uses)
-            salt = TaskContext.get().partitionId() % 64
-            yield pd.DataFrame({
-                "part": used // _CHUNK, "salt": salt, "row": used, "uses": trainer.uses[used], "weights": objects(w.tobytes() for w in trainer.model.weights[used]),
-            })
-
-        def mean(rows: pd.DataFrame) -> pd.DataFrame:
-            ids, total, weights = _weighted(rows)
-            return pd.DataFrame({"part": rows["part"].iloc[0], "salt": 0, "row": ids, "uses": total, "weights": objects(w.tobytes() for w in weights)})
-
-        found = docs.select("text").mapInPandas(local, _ROW)
-        found = found.groupBy("part", "salt").applyInPandas(mean, _ROW).groupBy("part").applyInPandas(mean, _ROW)
-        weights = model.weights.copy()
+                    trainer.learn(trainer.model.words.look_up(found)[0], features(found, text))
+            for lo in range(0, size // _CHUNK, 64):
+                yield _chunks(trainer, TaskContext.get().partitionId(), range(lo, min(lo + 64, size // _CHUNK)))
+
+        own = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == number).select("text").coalesce(learners)
+        found, left = own.mapInPandas(local, _PART), learners
+        while left > 1:  # at most _FAN copies of a chunk meet in a task
+            found, left = found.groupBy("part", F.floor(F.col("learner") / _FAN)).applyInPandas(_mean, _PART), -(-left // _FAN)
+        model = Model(words, model.weights.copy(), model.squares.copy())
         for row in found.toLocalIterator():
-            weights[row["row"]] = np.frombuffer(row["weights"], np.float32)
-        model = Model(words, weights)
+            part, learned = slice(row["part"] * _CHUNK, (row["part"] + 1) * _CHUNK), np.frombuffer(row["weights"], np.float32).reshape(-1, SLOTS + 1)
+            model.weights[part], model.squares[part] = learned[:, :SLOTS], learned[:, SLOTS]
+        sent.unpersist()
     return model
 
 
@@ -252,18 +319,14 @@ def _scan(model: Broadcast):
     def scan(texts: pd.Series) -> pd.DataFrame:
         own, raw, out = model.value, plain(texts), []
         words = own.words
-        floor = words.total + words.distinct + 1
-        share = np.log10((words.counts + 1) / floor)
-        rest_share = np.log10((words.counts + 1) / (words.rest_total + words.rest_distinct + 1))
+        share = np.log10((words.counts + 1) / (words.total + words.distinct + 1))
+        rest_share = np.where(words.is_leaf, 0.0, np.log10((words.counts + 1) / (words.rest_total + words.rest_distinct + 1)))
         for lo, hi in slabs(raw):
             found, text = tokens(raw[lo:hi])
             size = hi - lo
             at, known = words.look_up(found)
-            place = np.where(known, words.place[at], -1) if len(words.tokens) else np.full(len(found), -1)
-            base = np.where(known, share[at], 0.0) if len(words.tokens) else np.zeros(len(found))
-            chance = own.log10(place, features(found, text)) if words.total else np.zeros(len(found))
-            if len(words.tokens):
-                chance += np.where(known & (place < 0), rest_share[at], 0.0)
+            base = np.where(known, share[at], 0.0)
+            chance = own.log10(at, features(found, text)) + np.where(known, rest_share[at], 0.0)
             sums = [np.bincount(text, w, size) for w in (known, base, chance)]
             counts = np.bincount(text, minlength=size)
             rare = np.flatnonzero(~known)

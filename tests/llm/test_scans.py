@@ -8,11 +8,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 from newsweave.llm import decontamination, language_id, lm_scoring, packing, secret_scan, token_counts
+from newsweave.llm.texts import mix
 
 BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -240,7 +242,7 @@ def test_clean_documents_stay(spark, docs_of):
     assert decontamination.contamination(docs_of([]), items).count() == 0
 
 
-@pytest.mark.parametrize("frequent", [1 << 19, 40])
+@pytest.mark.parametrize("frequent", [1 << 20, 40])
 def test_base_scores_are_exact(spark, sf_dir, frequent):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     docs = docs.unionByName(spark.createDataFrame([(None, "no id"), (9001, None), (9002, ""), (9003, "never-seen-word")], "doc_id bigint, text string"))
@@ -259,13 +261,96 @@ def test_base_scores_are_exact(spark, sf_dir, frequent):
 
 
 def test_model_sums_to_one():
-    found = np.arange(1, 1200, dtype=np.uint64)
-    words = lm_scoring.Vocabulary(found, np.arange(1200, 1, -1), int(np.arange(1200, 1, -1).sum()), len(found))
-    model = lm_scoring.Model(words, np.random.default_rng(1).normal(size=(2 * lm_scoring.BUCKETS, lm_scoring.SLOTS)).astype(np.float32))
-    hashed = np.repeat(lm_scoring.features(found[:3], np.zeros(3, np.int64))[-1:], words.slots, 0)
-    places = np.arange(words.slots)
-    rest = model.log10(np.array([-1]), hashed[:1])
-    assert (10 ** model.log10(places, hashed)).sum() + 10 ** rest[0] == pytest.approx(1, abs=1e-3)
+    rng = np.random.default_rng(1)
+    found, counts = mix(np.arange(1, 3000, dtype=np.uint64)), np.sort(rng.zipf(1.4, 2999))
+    words = lm_scoring.Vocabulary(found, counts, int(counts.sum()) + 9, len(found) + 9)
+    model = lm_scoring.Model(words, rng.normal(size=(4096, lm_scoring.SLOTS)).astype(np.float32))
+    leaves = np.append(np.flatnonzero(words.is_leaf), words.size)  # the last entry is the leaf of all others
+    assert counts.min() == 1 and len(leaves) == (counts > 1).sum() + 1
+    hashed = np.repeat(lm_scoring.features(found[:3], np.zeros(3, np.int64))[-1:], len(leaves), 0)
+    assert (10 ** model.log10(leaves, hashed)).sum() == pytest.approx(1, abs=1e-4)
+    # without weights a leaf has its share of the training tokens
+    plain = lm_scoring.Model(words).log10(leaves, hashed)
+    mass = np.append(words.counts[leaves[:-1]], words.rest_total + 1)
+    assert np.allclose(10**plain, mass / mass.sum(), rtol=1e-4)
+
+
+@pytest.mark.parametrize("mass", [[1], [5, 5], [10**12, 1, 1], [3] * 40, [2**k for k in range(40, 0, -1)] + [1] * 300])
+def test_class_tree_gives_each_outcome_a_leaf(mass):
+    node, slot, up, up_slot, shares = lm_scoring.class_tree(np.array(mass, float))
+    taken = list(zip(node, slot, strict=True)) + list(zip(up, up_slot, strict=True))
+    assert len(set(taken)) == len(taken)  # no slot holds both a leaf and a node, or two of either
+    assert len(mass) == 1 or np.allclose(np.exp(shares.astype(float)).sum(1), 1, rtol=1e-5)
+
+
+def test_tree_and_weights_grow_with_the_tokens():
+    assert lm_scoring.weight_rows(0) > 0 and lm_scoring.weight_rows(4_000_000) > 1.9 * lm_scoring.weight_rows(1_000_000)
+    sizes = [len(lm_scoring.Vocabulary(mix(np.arange(n, dtype=np.uint64)), np.full(n, 3), 3 * n, n).up) for n in (1000, 10000)]
+    assert sizes[1] > 8 * sizes[0]
+
+
+def test_look_up_finds_every_token():
+    found = np.unique(np.concatenate([mix(np.arange(5000, dtype=np.uint64)), np.array([0, 5, lm_scoring.END, 2**64 - 1], np.uint64)]))
+    words = lm_scoring.Vocabulary(found, np.arange(2, len(found) + 2), 10**9, 10**6)
+    at, known = words.look_up(found)
+    assert known.all() and (at == np.arange(len(found))).all()
+    at, known = words.look_up(mix(np.arange(10**6, 10**6 + 3000, dtype=np.uint64)))
+    assert not known.any() and (at == words.size).all()
+
+
+def test_training_matches_a_plain_loop(spark):
+    """One learner: the same updates made decision by decision with dictionaries."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(list("abcdefghijklmnopqrstuvw"), 60, p=np.arange(23, 0, -1) / 276)) for _ in range(40)]
+    raw = [t.encode() for t in texts]
+    found, text = lm_scoring.tokens(raw)
+    kinds, counts = np.unique(found, return_counts=True)
+    words = lm_scoring.Vocabulary(kinds, counts, int(counts.sum()), len(kinds))
+    model = lm_scoring.train(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1), words, rounds=1)
+
+    plain = lm_scoring.Model(words)
+    at, hashed = words.look_up(found)[0], lm_scoring.features(found, text)
+    weights, squares = {}, {}
+    zero = [0.0] * lm_scoring.SLOTS
+    for lo in range(0, len(at), lm_scoring.MINIBATCH):
+        slopes = {}
+        for i in range(lo, min(lo + lm_scoring.MINIBATCH, len(at))):
+            node, slot = int(words.node[at[i]]), int(words.slot[at[i]])
+            while node >= 0:
+                rows = plain.rows(hashed[i : i + 1], np.array([node]))[0].tolist()
+                logits = [max(-80.0, b + sum(weights.get(r, zero)[k] for r in rows)) for k, b in enumerate(words.shares[node].tolist())]
+                total = sum(math.exp(x) for x in logits)
+                slope = [math.exp(x) / total - (k == slot) for k, x in enumerate(logits)]
+                for r in rows:
+                    slopes[r] = [x + y for x, y in zip(slopes.get(r, zero), slope, strict=True)]
+                node, slot = int(words.up[node]), int(words.up_slot[node])
+        for r, slope in slopes.items():
+            squares[r] = squares.get(r, 1.0) + sum(x * x for x in slope)
+            weights[r] = [w - lm_scoring.RATE * x / math.sqrt(squares[r]) for w, x in zip(weights.get(r, zero), slope, strict=True)]
+    assert set(np.flatnonzero(model.weights.any(1)).tolist()) == set(weights)
+    for r, own in weights.items():
+        assert np.allclose(model.weights[r], own, atol=1e-3), r
+
+
+def test_learners_are_averaged_by_use():
+    def copy(part, learner, uses, value):
+        own = np.zeros(lm_scoring._CHUNK)
+        own[: len(uses)] = uses
+        return part, learner, own.tobytes(), np.full((lm_scoring._CHUNK, lm_scoring.SLOTS + 1), value, np.float32).tobytes()
+
+    rows = pd.DataFrame([copy(4, 64, [3, 0, 2], 1.0), copy(4, 70, [1, 0, 0], 5.0)], columns=["part", "learner", "uses", "weights"])
+    (found,) = lm_scoring._mean(rows).itertuples(index=False)
+    mean = np.frombuffer(found.weights, np.float32).reshape(-1, lm_scoring.SLOTS + 1)
+    assert (found.part, found.learner) == (4, 1) and np.frombuffer(found.uses)[:3].tolist() == [4, 0, 2]
+    assert mean[:3, 0].tolist() == [2.0, 1.0, 1.0]
+
+
+def test_several_learners_and_rounds_learn(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "TOKENS_PER_ROW", 1)
+    monkeypatch.setattr(lm_scoring, "ROWS", 8)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").repartition(5)
+    unseen = [r for r in lm_scoring.score(docs).collect() if r.held_out]
+    assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
 def test_scores_without_training_rows(docs_of):
