@@ -177,20 +177,26 @@ def _stretch_table(docs: DataFrame, wanted: Broadcast, length: int, gram: int) -
     return rows_of(docs).mapInPandas(read, _STRETCH)
 
 
-def _window_table(docs: DataFrame, wanted: Broadcast, length: int, gram: int) -> DataFrame:
-    """Stretches with the hashes of all their windows, for the places that may be asked for."""
+def _window_table(docs: DataFrame, single: Broadcast, several: Broadcast, length: int, gram: int) -> DataFrame:
+    """Stretches with the hashes of all their windows, for the places that may be asked for.
+
+    A bitmap may let other places in. They are places of the table too, so what they add to a count is there.
+    """
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             key = frame["row_key"].to_numpy()
             for found, text, place in _scan(plain(frame["text"]), length, gram):
                 stretch = found.stretch.view(np.int64)
-                hit = np.flatnonzero(holds(wanted.value, (stretch ^ key[text] ^ place).view(np.uint64)))
+                asked = (stretch ^ key[text] ^ place).view(np.uint64)
+                alone = holds(single.value, asked)
+                hit = np.flatnonzero(alone | holds(several.value, asked))
                 yield pd.DataFrame({
-                    "stretch": stretch[hit], "row_key": key[text[hit]], "first": place[hit], "windows": objects(found.window_hashes(i) for i in hit),
+                    "beginning": found.beginning[hit].view(np.int64), "single": alone[hit], "row_key": key[text[hit]], "first": place[hit],
+                    "windows": objects(found.window_hashes(i) for i in hit),
                 })
 
-    return rows_of(docs).mapInPandas(read, "stretch bigint, row_key bigint, first bigint, windows binary")
+    return rows_of(docs).mapInPandas(read, "beginning bigint, single boolean, row_key bigint, first bigint, windows binary")
 
 
 def _edge_spans(docs: DataFrame, kinds: DataFrame, length: int, gram: int) -> DataFrame:
@@ -201,10 +207,9 @@ def _edge_spans(docs: DataFrame, kinds: DataFrame, length: int, gram: int) -> Da
     """
     mixed = kinds.groupBy("beginning").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1")
     asked = cut(kinds.join(mixed.select("beginning"), "beginning", "left_semi"))
-    rows = asked.select("beginning", "stretch", "n", F.col("at.row_key").alias("row_key"), F.col("at.first").alias("first"))
-    place = F.col("stretch").bitwiseXOR(F.col("row_key")).bitwiseXOR(F.col("first"))
-    windows = _window_table(docs, bitmap(rows.select(place.alias("place")), "place"), length, gram)
-    rows = cut(windows.join(rows, ["stretch", "row_key", "first"]).select("beginning", "n", "row_key", "first", "windows"))
+    places = asked.select("n", F.col("stretch").bitwiseXOR(F.col("at.row_key")).bitwiseXOR(F.col("at.first")).alias("place"))
+    single, several = (bitmap(places.where(which).select("place"), "place") for which in ("n = 1", "n > 1"))
+    rows = cut(_window_table(docs, single, several, length, gram))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -217,14 +222,14 @@ def _edge_spans(docs: DataFrame, kinds: DataFrame, length: int, gram: int) -> Da
     both = F.col("beginning").bitwiseXOR(F.col("window"))
     wanted = bitmap(again.select(both.alias("both")), "both")
 
-    def single(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def repeating(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             beginning, window, at = _exploded(frame)
             hit = np.flatnonzero(holds(wanted.value, (beginning ^ window).view(np.uint64)))
             yield pd.DataFrame({"beginning": beginning[hit], "window": window[hit], "row_key": frame["row_key"].to_numpy()[at[0][hit]], "start": at[1][hit]})
 
-    alone = rows.where("n = 1").select("beginning", "row_key", "first", "windows")
-    alone = alone.mapInPandas(single, "beginning bigint, window bigint, row_key bigint, start bigint")
+    alone = rows.where("single").select("beginning", "row_key", "first", "windows")
+    alone = alone.mapInPandas(repeating, "beginning bigint, window bigint, row_key bigint, start bigint")
     hits = alone.join(again, ["beginning", "window"], "left_semi")
     # runs of neighbouring windows are put together in bounded stretches of a text
     hits = hits.groupBy("row_key", F.floor(F.col("start") / GROUP).alias("part")).agg(F.collect_set("start").alias("starts"))
