@@ -12,7 +12,8 @@ Training takes at most about ``per_language`` labelled documents of each languag
 a bound that keeps the collected counts small. Whole texts are scored, whatever their length.
 
 Edge cases: null texts and texts without a letter get ``und`` and score 0; without training rows every text does. Ties
-go to the first language in alphabetical order. Rows with null ``lang`` or ``doc_id`` are scored but never learned from.
+go to the first language in alphabetical order. Rows with null ``lang`` are scored but never learned from. Rows with a
+null ``doc_id`` are not held out and are learned from; sampling by the id takes all of them.
 """
 
 from __future__ import annotations
