@@ -2,8 +2,8 @@
 
 A table of more than ``2 * rows_per_block`` rows is divided among pivots sampled from it, at most about ``FAN``; the cells
 that come out are divided again down to ``rows_per_cell`` rows, so the number of cells follows from the number of rows, and
-neither pivots nor sizes of a level pass the driver. A division is taken back where it does not at least halve the pairs to
-compare. ``home`` rows lie in the cell of their nearest pivot. ``guests`` come with a ``limit`` and descend into every cell
+neither pivots nor sizes of a level pass the driver. What a division would give is counted before any guest is copied; it is
+left where it does not at least halve the pairs to compare, or copies the guests oftener than blocks would. ``home`` rows lie in the cell of their nearest pivot. ``guests`` come with a ``limit`` and descend into every cell
 that may hold a row within it; for a pivot at distance d, a cell is skipped if
 
 * d is beyond the cell's radius plus the limit, or short of its least distance by more than the limit, or
@@ -28,7 +28,10 @@ from pyspark.sql import functions as F
 from newsweave.session import cut
 
 ROWS_PER_BLOCK = 2048
-ROWS_PER_TASK = 20_000
+#: Rows that meet the pivots of a cell at once: a task holds their distances to at most about ``FAN`` pivots.
+ROWS_PER_TASK = 512
+#: Cells a guest may visit on average, or as many as there would be blocks.
+VISITS = 32
 FAN = 1024
 ROUNDING = 1e-6
 _HASH_RANGE = 1 << 30
@@ -106,13 +109,21 @@ def cells(home: DataFrame, guests: DataFrame, metric: Metric, rows_per_block: in
         cell = found.argmin(axis=1)
         return rows[["id", "embedding", "node"]].assign(cell=pivots["id"].to_numpy()[cell], far=found[np.arange(len(rows)), cell])
 
-    def descend(rows: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty or pivots.empty:
-            return pd.DataFrame()
+    def visits(rows: pd.DataFrame, pivots: pd.DataFrame) -> np.ndarray:
         found, limit = metric(rows["embedding"], pivots["embedding"]), rows["limit"].to_numpy()[:, None] + ROUNDING
         near = (found <= pivots["radius"].to_numpy() + limit) & (found >= pivots["least"].to_numpy() - limit)
         near &= found - found.min(axis=1, keepdims=True) <= 2 * limit
-        row, cell = np.nonzero(near)
+        return near
+
+    def tally(rows: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or pivots.empty:
+            return pd.DataFrame()
+        return pivots[["node"]].assign(cell=pivots["id"], g=visits(rows, pivots).sum(axis=0))
+
+    def descend(rows: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or pivots.empty:
+            return pd.DataFrame()
+        row, cell = np.nonzero(visits(rows, pivots))
         return rows[["id", "embedding", "limit", "node"]].iloc[row].assign(cell=pivots["id"].to_numpy()[cell])
 
     own, visiting, total = home.select("id", "embedding"), guests.select("id", "embedding", "limit"), home.count()
@@ -147,17 +158,21 @@ def cells(home: DataFrame, guests: DataFrame, metric: Metric, rows_per_block: in
         placed = cut(together(own, pivots, ["node"], ROWS_PER_TASK, place, f"{kind}, node bigint, cell bigint, far double"))
         inside = placed.groupBy("node", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("radius"), F.min("far").alias("least"))
         known = cut(pivots.withColumnRenamed("id", "cell").join(inside, ["node", "cell"]).withColumnRenamed("cell", "id"))
-        descended = cut(together(visiting, known, ["node"], ROWS_PER_TASK, descend, f"{kind}, limit double, node bigint, cell bigint"))
-        # pairs to compare in each cell as it was, and in what came out of it
+        # pairs to compare in each cell as it is, and in what would come out of it
         before = visiting.groupBy("node").agg(F.count(F.lit(1)).alias("g"))
-        after = descended.groupBy("node", "cell").agg(F.count(F.lit(1)).alias("g")).join(known.select("node", F.col("id").alias("cell"), "n"), ["node", "cell"])
-        after = after.groupBy("node").agg(F.sum(F.col("g") * F.col("n")).alias("after"))
-        gain = divided.join(before, "node", "left").join(after, "node", "left")
-        gain = cut(gain.select("node", "n", (F.coalesce("after", F.lit(0)) <= 0.5 * F.col("n") * F.coalesce("g", F.lit(0))).alias("good")))
+        tallied = together(visiting, known, ["node"], ROWS_PER_TASK, tally, "node bigint, cell bigint, g bigint")
+        after = tallied.join(known.select("node", F.col("id").alias("cell"), "n"), ["node", "cell"])
+        after = after.groupBy("node").agg(F.sum(F.col("g") * F.col("n")).alias("after"), F.sum("g").alias("copies"))
+        gain = divided.join(before, "node", "left").join(after, "node", "left").fillna(0, ["g", "after", "copies"])
+        halved = F.col("after") <= 0.5 * F.col("n") * F.col("g")
+        few = F.col("copies") <= F.col("g") * F.greatest(F.lit(VISITS), F.ceil(F.col("n") / rows_per_block))
+        gain = cut(gain.select("node", "n", (halved & few).alias("good")))
         settle(own, visiting, gain.where("NOT good"), level)
         good = gain.where("good").select("node")
         own = placed.join(good, "node", "left_semi").select("id", "embedding", F.col("cell").alias("node"))
-        visiting = descended.join(good, "node", "left_semi").select("id", "embedding", "limit", F.col("cell").alias("node"))
+        descending, known = (rows.join(good, "node", "left_semi") for rows in (visiting, known))
+        descended = cut(together(descending, known, ["node"], ROWS_PER_TASK, descend, f"{kind}, limit double, node bigint, cell bigint"))
+        visiting = descended.select("id", "embedding", "limit", F.col("cell").alias("node"))
 
 
 def meet(pool: DataFrame, guests: DataFrame, match: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:

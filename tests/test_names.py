@@ -103,6 +103,18 @@ def test_rows_that_division_cannot_part(spark):
     assert pool.count() == 1003 and pool.groupBy("block").count().agg(F.max("count")).first()[0] <= 40
 
 
+def test_guests_are_not_copied_into_cells_that_cannot_be_pruned(spark, monkeypatch):
+    """Random directions and a wide angle: every vector may lie near any cell, so the division is given up before copies are made."""
+    rows = vectors_of(spark, np.random.default_rng(9).normal(size=(300, 48))).select(F.col("seq").alias("id"), "embedding")
+    made, original = [], cells.together
+    monkeypatch.setattr(cells, "together", lambda *a: made.append(a[-1]) or original(*a))
+    written, cut = [], cells.cut
+    monkeypatch.setattr(cells, "cut", lambda df: written.append(cut(df)) or written[-1])
+    pool, guests = cells.cells(rows, cells.constant_limit(rows, similarity.reach(0.35)), cells.angles, 64, rows_per_cell=4)
+    assert pool.count() == 300 and guests.count() == 300 * 5
+    assert made and max(df.count() for df in written) == 300
+
+
 def test_copies_add_no_pairs(spark, monkeypatch):
     seen = []
     original = rs.pairs_above
