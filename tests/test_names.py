@@ -115,6 +115,16 @@ def test_guests_are_not_copied_into_cells_that_cannot_be_pruned(spark, monkeypat
     assert made and max(df.count() for df in written) == 300
 
 
+def test_few_rows_meet_the_pivots_at_once(spark):
+    def bounded(left, right):
+        assert len(left) <= 1000
+        return cells.angles(left, right)
+
+    rows = vectors_of(spark, np.abs(np.random.default_rng(2).normal(size=(3000, 3)))).select(F.col("seq").alias("id"), "embedding")
+    pool, guests = cells.cells(rows, cells.constant_limit(rows, 0.01), bounded, 64)
+    assert pool.count() == 3000 and guests.select("id").distinct().count() == 3000
+
+
 def test_copies_add_no_pairs(spark, monkeypatch):
     seen = []
     original = rs.pairs_above
