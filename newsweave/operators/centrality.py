@@ -1,6 +1,6 @@
-"""PageRank and betweenness by joins and aggregates.
+"""PageRank by joins and aggregates, betweenness by tiles.
 
-Hub nodes: the edges of one node are divided into parts of bounded size (``part``), and the node's own row is
+Hub nodes in PageRank: the edges of one node are divided into parts of bounded size (``part``), and the node's own row is
 repeated once per part, so that no join partition holds all the edges of a hub. A node of ordinary degree
 has a single part. Sums per target are combined before the shuffle.
 """
@@ -8,16 +8,25 @@ has a single part. Sums per target are combined before the shuffle.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsweave.operators.graph import degree_centrality
+from newsweave.operators.numbering import numbered
 from newsweave.session import cut, discarding, partitions
 
 EDGES_PER_PART = 100_000
 STATE_ROWS = 200_000_000
+#: Nodes and roots of a tile of the betweenness state, entries of one group, and arcs added up at once.
+NODES_PER_TILE = 4096
+ROOTS_PER_TILE = 128
+COLUMN_ENTRIES = 4_000_000
+ARCS_AT_ONCE = 8192
 
 
 def both_ways(graph: DataFrame) -> DataFrame:
@@ -130,79 +139,137 @@ def pagerank(
 def betweenness(graph: DataFrame, state_rows: int = STATE_ROWS, edges_per_part: int = EDGES_PER_PART) -> DataFrame:
     """Normalised shortest-path betweenness of an undirected, unweighted graph, all roots, exact.
 
-    Level-synchronous search keyed by (root, node), then dependency sums from the deepest level back. The
-    state has one row per reached (root, node), so a root has at most one per node; the roots go in batches whose
-    state is at most about ``state_rows``. A batch leaves one row per node, and its levels are deleted.
+    Level-synchronous search of all roots, then dependency sums from the deepest level back. The state has one entry per
+    reached (root, node), so a root has at most one per node; the roots go in batches whose state is at most about
+    ``state_rows``. A batch leaves one row per node, and its levels are deleted.
+
+    Nodes are numbered. A level is a table of tiles: the entries of ``NODES_PER_TILE`` nodes and some roots as arrays. Arcs
+    are grouped by the tiles of their ends, in lists of about ``edges_per_part``, and added up array-wise, all the roots of
+    a tile at a time; a group holds the entries of all nodes for its roots, which are as few as ``COLUMN_ENTRIES`` asks for.
     """
     graph = cut(graph.select("src", "dst"))
     simple = graph.filter("src <> dst").select("src", "dst", F.lit(1).alias("weight"))
-    placed, _ = spread_arcs(both_ways(simple), edges_per_part)
-    all_nodes = cut(graph.select(F.explode(F.array("src", "dst")).alias("node")).distinct())
-    sizes = placed.select(F.col("src").alias("node"), "parts").distinct()
-    nodes = cut(all_nodes.join(sizes, "node", "left").fillna({"parts": 1}))
-    links = (
-        placed.select(F.col("src").alias("node"), "part", F.col("dst").alias("other"))
-        .repartition(partitions(graph.sparkSession), "node", "part")
-        .sortWithinPartitions("node", "part")
-        .persist()
-    )
-    node_parts = nodes.select("node", "parts")
-    try:
-        # filled now: only a filled cache tells the planner of the rounds how it is partitioned and sorted
-        links.count()
-        n = nodes.count()
-        batches = max(1, math.ceil(n * n / state_rows))
-        totals = []
-        for batch in range(batches):
-            with discarding(graph.sparkSession) as keep:
-                roots = nodes.filter(F.pmod(F.xxhash64("node"), F.lit(batches)) == batch)
-                totals.append(keep(_dependencies(roots, node_parts, links).groupBy("node").agg(F.sum("delta").alias("delta"))))
-        partial = reduce(DataFrame.unionByName, totals)
-        scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
-        summed = partial.groupBy("node").agg(F.sum("delta").alias("delta"))
-        result = nodes.join(summed, "node", "left").select(
-            "node", (F.coalesce("delta", F.lit(0.0)) * scale).alias("betweenness")
-        )
-        return cut(result)
-    finally:
-        links.unpersist()
+    nodes = cut(numbered(graph.select(F.explode(F.array("src", "dst")).alias("node")).distinct(), "at", F.asc("node")))
+    n = nodes.count()
+    lists = _arc_lists(both_ways(simple), nodes, edges_per_part)
+    batches = max(1, math.ceil(n * n / state_rows))
+    roots_per_tile = max(1, min(ROOTS_PER_TILE, COLUMN_ENTRIES // max(n, 1)))
+    totals = []
+    for batch in range(batches):
+        with discarding(graph.sparkSession) as keep:
+            roots = nodes.filter(F.col("at") % batches == batch).select("at", F.expr(f"at div {batches}").alias("place"))
+            totals.append(keep(_dependencies(roots, lists, roots_per_tile).groupBy("at").agg(F.sum("delta").alias("delta"))))
+    partial = reduce(DataFrame.unionByName, totals)
+    scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
+    summed = partial.groupBy("at").agg(F.sum("delta").alias("delta"))
+    return cut(nodes.join(summed, "at", "left").select("node", (F.coalesce("delta", F.lit(0.0)) * scale).alias("betweenness")))
+
+
+def _arc_lists(arcs: DataFrame, nodes: DataFrame, edges_per_part: int) -> DataFrame:
+    """(origin, part, src, dst): places within their tiles of the ends of arcs from the tile ``origin`` to the tile ``part``."""
+    ends = arcs.join(nodes.toDF("src", "from"), "src").join(nodes.toDF("dst", "to"), "dst")
+    tile, place = (lambda c: F.floor(F.col(c) / NODES_PER_TILE)), (lambda c: (F.col(c) % NODES_PER_TILE).cast("int"))
+    ends = cut(ends.select(tile("from").alias("origin"), tile("to").alias("part"), place("from").alias("src"), place("to").alias("dst")))
+    lists = ends.groupBy("origin", "part").agg(F.ceil(F.count(F.lit(1)) / edges_per_part).alias("lists"))
+    dealt = ends.join(cut(lists), ["origin", "part"]).withColumn("list", F.pmod(F.xxhash64("src", "dst"), "lists"))
+    ordered = F.sort_array(F.collect_list(F.struct("dst", "src")))
+    found = dealt.groupBy("origin", "part", "list").agg(ordered.alias("arcs"))
+    return cut(found.select("origin", "part", F.col("arcs.src").alias("src"), F.col("arcs.dst").alias("dst")))
+
 
+_TILE = "part bigint, block bigint, node binary, root binary, value binary"
 
-def _dependencies(roots: DataFrame, node_parts: DataFrame, links: DataFrame) -> DataFrame:
-    """Sum of the dependencies of the given roots, per node."""
 
-    def neighbours(state: DataFrame) -> DataFrame:
-        return repeat_per_part(state).join(links, ["node", "part"])
+def _entries(tile) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.frombuffer(tile.node, np.uint16), np.frombuffer(tile.root, np.uint16), np.frombuffer(tile.value, np.float64)
 
-    level = roots.select(F.col("node").alias("root"), "node", "parts", F.lit(1.0).alias("sigma"))
-    levels = [level]
+
+def _tile(key: tuple, node: np.ndarray, root: np.ndarray, value: np.ndarray, **more) -> pd.DataFrame:
+    row = {"part": key[0], "block": key[1], "node": node.astype(np.uint16).tobytes(), "root": root.astype(np.uint16).tobytes(), "value": value.tobytes()}
+    return pd.DataFrame([row | more])
+
+
+def _arriving(asking: pd.DataFrame, lists: pd.DataFrame, roots_per_tile: int, invert: bool) -> np.ndarray:
+    """Sums over the arcs, for every node of a tile and root of a block, of the values where the arcs begin."""
+    sums, by_origin = np.zeros((NODES_PER_TILE, roots_per_tile)), dict(list(lists.groupby("origin")))
+    for tile in asking.itertuples():
+        if tile.origin not in by_origin:
+            continue
+        node, root, value = _entries(tile)
+        values = np.zeros((NODES_PER_TILE, roots_per_tile))
+        values[node, root] = 1.0 / value if invert else value
+        active = np.zeros(NODES_PER_TILE, dtype=bool)
+        active[node] = True
+        for arcs in by_origin[tile.origin].itertuples():
+            used = active[arcs.src]
+            src, dst = arcs.src[used], arcs.dst[used]
+            for first in range(0, len(src), ARCS_AT_ONCE):
+                some = dst[first : first + ARCS_AT_ONCE]
+                starts = np.flatnonzero(np.diff(some, prepend=-1))  # sorted by dst
+                sums[some[starts]] += np.add.reduceat(values[src[first : first + ARCS_AT_ONCE]], starts, axis=0)
+    return sums
+
+
+def _step(asking: DataFrame, known: DataFrame, lists: DataFrame, blocks: DataFrame, use: Callable, schema: str) -> DataFrame:
+    """``use(key, asking tiles, known tiles, arc lists)`` for the nodes of a tile and the roots of a block."""
+
+    def both(key: tuple, tiles: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
+        asked = tiles["origin"] >= 0
+        return use(key, tiles[asked], tiles[~asked], arcs)
+
+    reach = lists.select("origin", "part").distinct()
+    asked = asking.select(F.col("part").alias("origin"), "block", "node", "root", "value").join(reach, "origin")
+    columns = ["origin", "part", "block", "node", "root", "value"]
+    tiles = asked.select(*columns).unionByName(known.withColumn("origin", F.lit(-1).cast("bigint")).select(*columns))
+    arcs = lists.crossJoin(F.broadcast(blocks)).toDF(*lists.columns, "block")  # columns of its own, as both sides come from the lists
+    return tiles.groupBy("part", "block").cogroup(arcs.groupBy("part", "block")).applyInPandas(both, schema)
+
+
+def _dependencies(roots: DataFrame, lists: DataFrame, roots_per_tile: int) -> DataFrame:
+    """Sums of the dependencies of the given roots (at, place): (at, delta), a row per tile and node."""
+
+    def begin(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return _tile(key, rows["at"].to_numpy() % NODES_PER_TILE, rows["place"].to_numpy() % roots_per_tile, np.ones(len(rows)))
+
+    def further(key: tuple, asking: pd.DataFrame, known: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
+        if asking.empty or arcs.empty:
+            return pd.DataFrame()
+        sums = _arriving(asking, arcs, roots_per_tile, False)
+        for tile in known.itertuples():
+            sums[_entries(tile)[:2]] = 0.0
+        node, root = np.nonzero(sums)
+        return _tile(key, node, root, sums[node, root]) if len(node) else pd.DataFrame()
+
+    def back(invert: bool):
+        def nearer(key: tuple, asking: pd.DataFrame, upper: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
+            if upper.empty:
+                return pd.DataFrame()
+            arriving = _arriving(asking, arcs, roots_per_tile, invert)
+            node, root, sigma = _entries(next(upper.itertuples()))
+            delta = sigma * arriving[node, root]
+            return _tile(key, node, root, (1.0 + delta) / sigma, sums=np.bincount(node, delta, NODES_PER_TILE))
+
+        return nearer
+
+    placed = roots.withColumns({"part": F.floor(F.col("at") / NODES_PER_TILE), "block": F.floor(F.col("place") / roots_per_tile)})
+    levels = [cut(placed.groupBy("part", "block").applyInPandas(begin, _TILE))]
+    blocks = cut(levels[0].select("block").distinct())
     # Neighbours of a level lie in it, in the level before or in the next, so two levels are all that need checking.
     while True:
-        reached = neighbours(level).groupBy("root", F.col("other").alias("node")).agg(F.sum("sigma").alias("sigma"))
-        for known in levels[-2:]:
-            reached = reached.join(known.select("root", "node"), ["root", "node"], "left_anti")
-        level = cut(reached.join(node_parts, "node").select("root", "node", "parts", "sigma"))
+        known = reduce(DataFrame.unionByName, levels[-2:])
+        level = cut(_step(levels[-1], known, lists, blocks, further, _TILE))
         if level.isEmpty():
             break
         levels.append(level)
     found = []
-    below = levels[-1].withColumn("delta", F.lit(0.0))
+    below = levels[-1]
     for upper in reversed(levels[1:-1]):
-        ratio = (1 + F.col("delta")) / F.col("sigma")
-        arriving = (
-            neighbours(below.select("root", "node", "parts", ratio.alias("ratio")))
-            .groupBy("root", F.col("other").alias("node"))
-            .agg(F.sum("ratio").alias("ratio"))
-        )
-        joined = upper.join(arriving, ["root", "node"], "left")
-        below = cut(joined.withColumn("delta", F.coalesce(F.col("sigma") * F.col("ratio"), F.lit(0.0))).drop("ratio"))
-        found.append(below.groupBy("node").agg(F.sum("delta").alias("delta")))
+        below = cut(_step(below, upper, lists, blocks, back(not found), f"{_TILE}, sums array<double>"))
+        found.append(below.select("part", F.posexplode("sums").alias("node", "delta")))
     if not found:
-        return roots.select("node", F.lit(0.0).alias("delta")).limit(0)
-    total = found[0]
-    for more in found[1:]:
-        total = total.unionByName(more)
-    return total
+        return roots.select("at", F.lit(0.0).alias("delta")).limit(0)
+    total = reduce(DataFrame.unionByName, found).filter("delta <> 0")
+    return total.select((F.col("part") * NODES_PER_TILE + F.col("node")).alias("at"), "delta")
 
 
 def node_metrics(graph: DataFrame) -> DataFrame:

@@ -126,6 +126,26 @@ def test_betweenness(spark, monkeypatch, state_rows, edges_per_part):
     assert levels and not any(os.path.exists(f.removeprefix("file://")) for f in levels)  # no batch leaves its levels
 
 
+def test_levels_of_betweenness_are_tiles(spark, monkeypatch):
+    """60 nodes in tiles of 16 nodes and 8 roots: a level has at most 4 x 8 rows, not one per root and node."""
+    edges = random_edges(5, 60, 90)
+    rows, inner, original = [], [], ce._dependencies
+    monkeypatch.setattr(ce, "NODES_PER_TILE", 16, raising=False)
+    monkeypatch.setattr(ce, "ROOTS_PER_TILE", 8, raising=False)
+    monkeypatch.setattr(ce, "_dependencies", lambda *a: inner.append(True) or original(*a))
+
+    def cut(df):
+        found = session.cut(df)
+        if inner and "root" in found.columns:
+            rows.append(found.count())
+        return found
+
+    monkeypatch.setattr(ce, "cut", cut)
+    found = {r[0]: r[1] for r in ce.betweenness(graph_of(spark, edges), edges_per_part=5).collect()}
+    assert found == pytest.approx(brute_betweenness(edges))
+    assert rows and max(rows) <= 32
+
+
 def test_betweenness_of_tiny_graphs(spark):
     assert {r[1] for r in ce.betweenness(graph_of(spark, [("a", "b")])).collect()} == {0.0}
     assert {r[1] for r in ce.betweenness(graph_of(spark, [("a", "a")])).collect()} == {0.0}
