@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from newsweave.functions import text as tx
@@ -75,6 +77,10 @@ def flat_edges(edges):
     return edges.select("*", F.col("seq.article").alias("article"), F.col("seq.position").alias("position")).drop("seq")
 
 
+#: Characters of text in an arriving file of ``run_stream``, about.
+CHARS_PER_FILE = 16_000_000
+
+
 def run_stream(spark, sf):
     """Extraction over the documents arriving as files, in several batches and two runs, the second of which brings all of them again.
 
@@ -82,10 +88,13 @@ def run_stream(spark, sf):
     """
     folder, sink, errors, state = (work_path(spark, name) for name in ("arrivals", "results", "errors", "extract-state"))
     url = F.format_string("https://%s.example.com/%s/%d", "source", "lang", F.col("n_chars") % 97)
-    documents = fx.table(spark, sf, "documents").select(F.col("doc_id").alias("seq"), url.alias("url"), "text").repartition(4, "url")
+    documents = fx.table(spark, sf, "documents").select(F.col("doc_id").alias("seq"), url.alias("url"), "text")
+    # as many files as the texts ask for; all articles of an address arrive in one
+    files = max(4, math.ceil((documents.agg(F.sum(F.length("text"))).first()[0] or 0) / CHARS_PER_FILE))
+    documents = documents.repartition(files, "url")
     for _ in range(2):
         documents.write.mode("append").parquet(folder)
-        stream = jobs.stream_parquet(spark, folder, documents.schema, files_per_batch=2)
+        stream = jobs.stream_parquet(spark, folder, documents.schema, files_per_batch=math.ceil(files / 2))
         jobs.incremental_extract(stream, ex.gazetteer_extractor(fx.GAZETTEER), sink, errors, state).awaitTermination()
     found = ex.parse_nested(jobs.read_sink(spark, sink, jobs.RESULTS).drop("batch"))
     names = found.select("url", F.explode_outer("entities").alias("what", "names")).select("url", "what", F.explode("names").alias("one"))

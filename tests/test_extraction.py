@@ -8,7 +8,7 @@ import pytest
 
 from newsweave.operators import extraction as ex
 from newsweave.operators.joins import pending
-from newsweave.plans import views
+from newsweave.plans import extraction_queries, views
 from newsweave.session import work_path
 from newsweave.streaming import jobs
 
@@ -117,6 +117,23 @@ def test_incremental_runs_resume(spark):
     assert run().count() == 2
 
 
+def test_arriving_files_follow_the_texts(spark, monkeypatch):
+    """40 texts of 1,000 characters, 2,000 in a file: 20 files at least, taken in two batches a run."""
+    sf, batches, original = work_path(spark, "sf"), [], jobs.stream_parquet
+
+    def arrived(session, folder, schema, files_per_batch):
+        batches.append((len(session.read.parquet(folder).inputFiles()), files_per_batch))
+        return original(session, folder, schema, files_per_batch)
+
+    rows = [(i, "Ann saw " + "x" * 992, "en", f"s{i}", i) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars int").write.parquet(f"{sf}/documents.parquet")
+    monkeypatch.setattr(extraction_queries, "CHARS_PER_FILE", 2000, raising=False)
+    monkeypatch.setattr(jobs, "stream_parquet", arrived)
+    found = extraction_queries.run_stream(spark, sf)
+    assert found.filter("what = 'article'").count() == 40
+    assert batches[0][0] > 4 and batches[0][1] == 10
+
+
 def test_streamed_days_equal_the_batch(spark):
     """Days far apart in any order of files, so that most rows come late; rows without a day or value too."""
     rows = [(dt.datetime(2024, 1 + i % 11, 1 + i % 5, i % 24), f"k{i % 2}", float(i)) for i in range(200)]
