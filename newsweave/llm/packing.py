@@ -18,8 +18,9 @@ from __future__ import annotations
 import bisect
 import os
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -36,11 +37,32 @@ END_ID = 0
 DISTRICT = 4000
 ISLANDS, EPOCHS, POPULATION, GENERATIONS = 2, 2, 5, 8
 FULL = 0.998  # bins filled to this share are not packed again
-CACHE = 300_000  # pieces whose ids a worker keeps
+CACHE = 600_000  # pieces of a kind whose ids a worker keeps, about 110 MB
 #: Ids pass pandas as text, which holds nulls beside large numbers.
 _PIECE = "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
+class _Ids(dict):
+    """Ids of pieces as bytes, made when first asked for; when full, the half that was not asked for lately goes."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.older.get(piece)
+        if found is None:
+            found = self.make(piece)
+        self.keep(piece, found)
+        return found
+
+    def keep(self, piece: str, found: bytes) -> None:
+        if len(self) >= CACHE // 2:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = found
+
+
 class Encoder:
     """Ids of whole texts from the cached ids of their pieces.
 
@@ -60,40 +82,36 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         letter = {b: c for c, b in byte_letters().items()}
         self.letters = {p: "".join(letter[b] for b in chr(p).encode()) for p in range(256)}
-        self.known: dict[str, bytes] = {}
-
-    def pieces(self, text: str) -> tuple[list[str], bool]:
-        """Pieces whose ids stand alone, and whether they are merged as they are."""
-        if not any(mark in text for mark in self.ODD):
-            try:
-                text.encode("latin-1")
-                return self.PIECE.findall(text.lower()), True
-            except UnicodeEncodeError:
-                pass
-        return text.replace("\n", " ").split(" "), False
-
-    def learn(self, new: list[str], merged: bool) -> None:
-        if len(self.known) > CACHE:
-            self.known = {}
-        if merged:
-            merge = self.tokenizer.model.tokenize
-            for piece in new:
-                self.known[piece] = np.array([t.id for t in merge(piece.translate(self.letters))], "<u4").tobytes()
-        else:
-            for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.known[piece] = np.array(found.ids, "<u4").tobytes()
+        self.merge = self.tokenizer.model.tokenize
+        self.merged, self.chunks = _Ids(self.learn), _Ids(lambda chunk: self.encoded([chunk])[0])
+
+    def learn(self, piece: str) -> bytes:
+        return _packed([t.id for t in self.merge(piece.translate(self.letters))])
+
+    def encoded(self, chunks: list[str]) -> list[bytes]:
+        return [_packed(found.ids) for found in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        found, merged = self.pieces(text)
-        try:
-            return b"".join(map(self.known.__getitem__, found))
-        except KeyError:
-            self.learn(list({p for p in found if p not in self.known}), merged)
-        missing = [p for p in set(found) if p not in self.known]  # what a full cache forgot
-        if missing:
-            self.learn(missing, merged)
-        return b"".join(map(self.known.__getitem__, found))
+        if _latin(text) and not any(mark in text for mark in self.ODD):
+            return b"".join(map(self.merged.__getitem__, self.PIECE.findall(text.lower())))
+        chunks, known = text.replace("\n", " ").split(" "), self.chunks
+        new = [c for c in set(chunks) if c not in known and c not in known.older]
+        for chunk, found in zip(new, self.encoded(new), strict=True):
+            known.keep(chunk, found)
+        return b"".join(map(known.__getitem__, chunks))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 @lru_cache(maxsize=2)

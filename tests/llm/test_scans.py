@@ -142,6 +142,20 @@ def check_packed(found, texts, capacity):
     return len(sequences), -(-sum(r.length for r in found) // capacity)
 
 
+def test_a_full_cache_keeps_the_pieces_that_return(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 20)
+    make, merged = packing.Encoder(WORD_BPE), []
+    make.merge = lambda piece: merged.append(piece) or make.tokenizer.model.tokenize(piece)
+    make.merged.make = make.learn
+    texts = [f"the {chr(97 + i)}x{chr(97 + j)}x of" for i in range(10) for j in range(10)]
+    library = Tokenizer.from_file(WORD_BPE)
+    for text in texts + odd_texts(200):
+        assert np.frombuffer(make.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(make.merged) + len(make.merged.older) <= 20 and len(make.chunks) + len(make.chunks.older) <= 20
+    asked = Counter(merged)
+    assert asked["the"] < 10 and asked["of"] < 10
+
+
 def test_packing_is_whole_and_tight(docs_of):
     rng = random.Random(6)
     rows = [(i, t) for i, t in enumerate(odd_texts(150, 3, 60))] + [(500 + i, " ".join(rng.choice(["the", "cat", "zürich", "x9"]) for _ in range(rng.randint(0, 200)))) for i in range(60)]
