@@ -179,6 +179,29 @@ def test_communities_cover_every_node_once(spark):
     assert len(found) == len(nodes) and {r["node"] for r in found} == nodes
 
 
+def test_rounds_of_communities_leave_the_arcs_where_they_are(spark):
+    arcs = session.cut(co.symmetric(graph_of(spark, random_edges(5, 20, 60))))
+    state = session.cut(co.alone(arcs))
+    between = co._Arcs(arcs)
+    try:
+        links = between.links(session.cut(state.select("node", "k", F.col("community").alias("own"))), state)
+        links.collect()
+        assert "hashpartitioning" not in links._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    finally:
+        between.free()
+
+
+def test_hubs_of_communities_are_added_up_by_all_tasks(spark, monkeypatch):
+    arcs = session.cut(co.symmetric(graph_of(spark, random_edges(5, 20, 40))))
+    state, between = session.cut(co.alone(arcs)), arcs.filter("src <> dst")
+    whole = sorted(map(tuple, co.move_pass(between, state, 200.0, 1.0, 0).collect()))
+    monkeypatch.setattr(co, "HUB_ARCS", 10)
+    divided = co._Arcs(arcs)
+    divided.free()
+    assert divided.hubs.filter("src = 'hub'").count() == 13 and divided.plain.filter("src = 'hub'").isEmpty()
+    assert sorted(map(tuple, co.move_pass(between, state, 200.0, 1.0, 0).collect())) == whole
+
+
 def test_neighbourhoods(spark):
     graph = graph_of(spark, [("a", "b"), ("b", "c"), ("c", "d"), ("a", "c"), ("d", "e")])
     rings = {r["node"]: r["hop"] for r in gr.khop(graph, spark.createDataFrame([("a",)], "n string"), 2).collect()}
