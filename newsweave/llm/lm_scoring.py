@@ -26,7 +26,8 @@ rows with a null doc_id are training rows; repeated rows count and are scored ea
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -47,6 +48,7 @@ END, NONE = np.uint64(0x656E6400), np.uint64(0x6E6F6E65)
 _CHUNK = 1024  # weight rows averaged together
 _FAN = 64  # learners averaged by one task
 _EXTREME, _ONES = 80.0, np.ones(SLOTS, np.float32)
+_LINE = 16  # numbers in a line of the processor's cache
 _PART = "part int, learner int, uses binary, weights binary"
 
 
@@ -132,6 +134,12 @@ class Vocabulary:
         firsts = np.arange(1 << int(64 - self.shift), dtype=np.uint64) << self.shift
         self.first = np.searchsorted(found, firsts).astype(np.int32)
 
+    @cached_property
+    def logs(self) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of each token's add-one share of all, and of the rest (0 for leaves)."""
+        share = np.log10((self.counts + 1) / (self.total + self.distinct + 1))
+        return share, np.where(self.is_leaf, 0.0, np.log10((self.counts + 1) / (self.rest_total + self.rest_distinct + 1)))
+
     def look_up(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place in the tables (the last one for tokens that are not there), and whether the token is there."""
         at = self.first[wanted >> self.shift]
@@ -144,15 +152,15 @@ class Vocabulary:
 
     def path(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All steps of the tokens' paths: which token, the node, the slot taken there."""
-        token, node, slot = np.arange(len(at)), self.node[at], self.slot[at]
+        token, node, slot = np.arange(len(at)), self.node.take(at), self.slot.take(at)
         found = []
         while True:
-            going = node >= 0
-            token, node, slot = token[going], node[going], slot[going]
+            going = np.flatnonzero(node >= 0)
+            token, node, slot = token.take(going), node.take(going), slot.take(going)
             found.append((token, node, slot))
             if not len(node):
                 return tuple(np.concatenate(parts) for parts in zip(*found, strict=True))
-            node, slot = self.up[node], self.up_slot[node]
+            node, slot = self.up.take(node), self.up_slot.take(node)
 
 
 def vocabulary(counts: DataFrame, most: int = FREQUENT) -> Vocabulary:
@@ -179,7 +187,8 @@ def features(found: np.ndarray, text: np.ndarray) -> np.ndarray:
         shifted[back:][same] = found[:-back][same] if len(found) > back else 0
         before.append(shifted)
     one, two = before
-    return np.stack([mix(one + np.uint64(1)), mix(mix(two + np.uint64(2)) ^ one), mix(two + np.uint64(3))], 1)
+    # each feature of all tokens in one piece of memory
+    return np.stack([mix(one + np.uint64(1)), mix(mix(two + np.uint64(2)) ^ one), mix(two + np.uint64(3))]).T
 
 
 def weight_rows(total: int) -> int:
@@ -187,6 +196,15 @@ def weight_rows(total: int) -> int:
     return min(MOST_ROWS, _CHUNK * -(-int(ROWS * np.sqrt(max(total, 1))) // _CHUNK))
 
 
+def in_lines(weights: np.ndarray) -> np.ndarray:
+    """A copy whose rows each fill one line of the processor's cache."""
+    room = np.empty(weights.size + _LINE, weights.dtype)
+    skip = -room.ctypes.data // room.itemsize % _LINE
+    out = room[skip : skip + weights.size].reshape(weights.shape)
+    out[:] = weights
+    return out
+
+
 class Model:
     """Weight rows, one per hashed node and feature, and the sums of their squared gradients."""
 
@@ -195,15 +213,23 @@ class Model:
         self.weights = np.zeros((weight_rows(words.total), SLOTS), np.float32) if weights is None else weights
         self.squares = np.ones(len(self.weights), np.float32) if squares is None else squares
 
-    def rows(self, hashed: np.ndarray, node: np.ndarray) -> np.ndarray:
-        salted = mix(hashed ^ ((node.astype(np.uint64) + np.uint64(11)) * np.uint64(0x9E3779B97F4A7C15))[:, None])
-        return (((salted >> np.uint64(32)) * np.uint64(len(self.weights))) >> np.uint64(32)).astype(np.int64)
+    def __setstate__(self, state: dict) -> None:
+        """What comes from a broadcast is laid out anew for reading rows at random."""
+        self.__dict__ |= state | {"weights": in_lines(state["weights"])}
+        self.words.shares = in_lines(self.words.shares)
 
-    def logits(self, rows: np.ndarray, node: np.ndarray) -> np.ndarray:
-        """Unscaled, within what an exponential can take."""
+    def rows(self, hashed: np.ndarray, node: np.ndarray) -> np.ndarray:
+        salted = mix(hashed.T ^ (node.astype(np.uint64) + np.uint64(11)) * np.uint64(0x9E3779B97F4A7C15))
+        salted >>= np.uint64(32)
+        salted *= np.uint64(len(self.weights))
+        salted >>= np.uint64(32)
+        return salted.view(np.int64).T
+
+    def logits(self, picked: Iterable[np.ndarray], node: np.ndarray) -> np.ndarray:
+        """Unscaled sums of the weights picked for each feature, within what an exponential can take."""
         out = self.words.shares.take(node, 0)
-        for column in rows.T:
-            out += self.weights.take(column, 0)
+        for weights in picked:
+            out += weights
         return np.clip(out, -_EXTREME, _EXTREME, out=out)
 
     def log10(self, at: np.ndarray, hashed: np.ndarray) -> np.ndarray:
@@ -211,46 +237,67 @@ class Model:
         out = np.zeros(len(at))
         for lo in range(0, len(at), MINIBATCH):
             token, node, slot = self.words.path(at[lo : lo + MINIBATCH])
-            logits = self.logits(self.rows(hashed[lo + token], node), node)
-            own = logits[np.arange(len(node)), slot].astype(np.float64)
+            rows = self.rows(hashed.T.take(lo + token, 1).T, node)
+            logits = self.logits((self.weights.take(column, 0) for column in rows.T), node)
+            own = logits.reshape(-1).take(np.arange(len(node)) * SLOTS + slot).astype(np.float64)
             own -= np.log(np.exp(logits, out=logits) @ _ONES)
             out[lo : lo + MINIBATCH] = np.bincount(token, own, len(out[lo : lo + MINIBATCH])) / np.log(10)
         return out
 
 
 class Trainer:
-    """Adaptive gradient updates of a learner's own copy of the weights."""
+    """Adaptive gradient updates of a learner's own copy of the weights.
+
+    ``state`` has two numbers a weight row that are read and written together: the sum of squares, and (imaginary) the uses.
+    """
 
     def __init__(self, model: Model):
-        self.model = Model(model.words, model.weights.copy(), model.squares.copy())
-        self.uses = np.zeros(len(model.weights), np.float32)
+        self.model = Model(model.words, in_lines(model.weights), model.squares)
+        self.state = model.squares.astype(np.complex64)
+        self.last = np.zeros(len(model.weights), np.int32)
+
+    def shared(self, rows: np.ndarray, slope: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows that several of the decisions use: the rows, their summed slopes, and the number of uses."""
+        place = np.arange(len(rows), dtype=np.int32)
+        self.last[rows] = place
+        several = self.last.take(rows) != place
+        several[self.last.take(rows.compress(several))] = True
+        place = np.flatnonzero(several)
+        # one sort of row and decision together
+        flat = np.sort(rows.take(place) << 32 | place % len(slope))
+        step, flat = flat & 0xFFFFFFFF, flat >> 32
+        first = np.flatnonzero(np.diff(flat, prepend=-1))
+        # summed as pairs of numbers, which takes half as many steps
+        summed = np.add.reduceat(slope.take(step, 0).view(np.complex64), first, axis=0).view(np.float32) if len(first) else slope[:0]
+        return flat[first], summed, np.diff(np.append(first, len(flat)))
 
     def learn(self, at: np.ndarray, hashed: np.ndarray) -> None:
         model = self.model
+        whole = model.weights.view(f"V{model.weights.strides[0]}")[:, 0]  # a row as one item, which is quicker to write
         for lo in range(0, len(at), MINIBATCH):
             token, node, slot = model.words.path(at[lo : lo + MINIBATCH])
             if not len(node):
                 continue
-            rows = model.rows(hashed[lo + token], node)
-            slope = model.logits(rows, node)
+            rows = model.rows(hashed.T.take(lo + token, 1).T, node)
+            old = [model.weights.take(column, 0) for column in rows.T]
+            slope = model.logits(old, node)
             np.exp(slope, out=slope)
             slope *= (1 / (slope @ _ONES))[:, None]
-            slope[np.arange(len(node)), slot] -= 1
-            # one sort of row and decision together; equal rows' slopes are summed
-            flat = np.sort((rows << 32 | np.arange(len(node))[:, None]).reshape(-1))
-            step, flat = flat & 0xFFFFFFFF, flat >> 32
-            first = np.flatnonzero(np.diff(flat, prepend=-1))
-            touched = flat[first]
-            times = np.diff(np.append(first, len(flat)))
-            gradient = slope.take(step[first], 0)
-            if (again := times > 1).any():
-                ends = np.cumsum(times[again])
-                gradient[again] = np.add.reduceat(slope.take(step[np.repeat(again, times)], 0), ends - times[again], axis=0)
-            self.uses[touched] += times
-            squares = model.squares[touched] + np.einsum("ij,ij->i", gradient, gradient)
-            model.squares[touched] = squares
-            gradient *= (RATE / np.sqrt(squares))[:, None]
-            model.weights[touched] = model.weights.take(touched, 0) - gradient
+            slope.reshape(-1)[np.arange(len(node)) * SLOTS + slot] -= 1
+            again, summed, times = self.shared(rows.T.reshape(-1), slope)
+            both = self.state.take(again)
+            both += np.einsum("ij,ij->i", summed, summed) + 1j * times
+            summed *= (RATE / np.sqrt(both.real))[:, None]
+            summed = model.weights.take(again, 0) - summed
+            # every row as if it were used once, then those used oftener
+            once = np.einsum("ij,ij->i", slope, slope) + np.complex64(1j)
+            for column, weights in zip(rows.T, old, strict=True):
+                state = self.state.take(column)
+                state += once
+                self.state[column] = state
+                weights -= slope * (RATE / np.sqrt(state.real))[:, None]
+                whole.put(column, weights.view(whole.dtype))
+            self.state[again], model.weights[again] = both, summed
 
 
 def _chunks(trainer: Trainer, learner: int, parts: range) -> pd.DataFrame:
@@ -258,9 +305,10 @@ def _chunks(trainer: Trainer, learner: int, parts: range) -> pd.DataFrame:
     out = []
     for p in parts:
         part = slice(p * _CHUNK, (p + 1) * _CHUNK)
-        if trainer.uses[part].any():
-            weights = np.column_stack([trainer.model.weights[part], trainer.model.squares[part]])
-            out.append((p, learner, trainer.uses[part].astype(np.float64).tobytes(), weights.tobytes()))
+        state = trainer.state[part]
+        if state.imag.any():
+            weights = np.column_stack([trainer.model.weights[part], state.real])
+            out.append((p, learner, state.imag.astype(np.float64).tobytes(), weights.tobytes()))
     return pd.DataFrame(out, columns=["part", "learner", "uses", "weights"])
 
 
@@ -319,8 +367,7 @@ def _scan(model: Broadcast):
     def scan(texts: pd.Series) -> pd.DataFrame:
         own, raw, out = model.value, plain(texts), []
         words = own.words
-        share = np.log10((words.counts + 1) / (words.total + words.distinct + 1))
-        rest_share = np.where(words.is_leaf, 0.0, np.log10((words.counts + 1) / (words.rest_total + words.rest_distinct + 1)))
+        share, rest_share = words.logs
         for lo, hi in slabs(raw):
             found, text = tokens(raw[lo:hi])
             size = hi - lo

@@ -53,9 +53,12 @@ def slabs(raw: list[bytes], limit: int = SLAB) -> Iterator[tuple[int, int]]:
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every input bit (the splitmix finaliser)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))  # a copy, which the rest changes in place
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +77,12 @@ def prefix_hashes(symbols: np.ndarray, values: np.ndarray | None = None) -> np.n
     """Running hash, one longer than ``symbols``; ``span_hash`` reads the hash of any span from it."""
     up, _ = powers(len(symbols))
     out = np.zeros(len(symbols) + 1, np.uint64)
-    np.cumsum((_VALUES[symbols] if values is None else values) * up, out=out[1:])
+    if values is None:
+        values = _VALUES.take(symbols)
+        values *= up
+    else:
+        values = values * up
+    np.cumsum(values, out=out[1:])
     return out
 
 
@@ -103,8 +111,8 @@ class Words:
         self.text_ends = np.cumsum([len(t) + 1 for t in raw])
         edges = np.flatnonzero(np.diff(inside[self.buffer], prepend=False))
         self.starts, self.ends = edges[0::2], edges[1::2]
-        self.text = np.searchsorted(self.text_ends, self.starts, side="right")
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.text, minlength=self.count))])
+        self.first = np.concatenate([[0], np.searchsorted(self.starts, self.text_ends)])
+        self.text = np.repeat(np.arange(self.count), np.diff(self.first))
         self.hashes = span_hash(prefix_hashes(self.buffer), self.starts, self.ends)
 
     def string(self, i: int) -> str:

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pickle
 import random
 import re
 import zlib
@@ -14,7 +15,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from newsweave.llm import decontamination, language_id, lm_scoring, packing, secret_scan, token_counts
-from newsweave.llm.texts import mix
+from newsweave.llm.texts import NOT_SPACE, Words, mix
 
 BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -346,6 +347,48 @@ def test_training_matches_a_plain_loop(spark):
         assert np.allclose(model.weights[r], own, atol=1e-3), r
 
 
+def test_learning_reads_a_weight_row_once():
+    """Rows that one decision uses are not read again to be changed; the copy of a learner lies in whole cache lines."""
+
+    class Counted(np.ndarray):
+        def take(self, indices, axis=None, out=None, mode="raise"):
+            taken.append(len(indices))
+            return np.asarray(self).take(indices, axis)
+
+    rng, taken = np.random.default_rng(5), []
+    found = mix(np.arange(3000, dtype=np.uint64))
+    counts = rng.integers(2, 9, len(found))
+    words = lm_scoring.Vocabulary(found, counts, int(counts.sum()), len(found))
+    own = mix(rng.integers(0, 3000, 2000).astype(np.uint64))
+    at, hashed = words.look_up(own)[0], lm_scoring.features(own, np.zeros(2000, np.int64))
+    trainer = lm_scoring.Trainer(lm_scoring.Model(words, np.zeros((1 << 20, lm_scoring.SLOTS), np.float32)))
+    assert trainer.model.weights.ctypes.data % 64 == 0
+    trainer.model.weights = trainer.model.weights.view(Counted)
+    trainer.learn(at, hashed)
+    decisions = len(words.path(at)[0])
+    assert trainer.model.weights.any() and 3 * decisions <= sum(taken) < 4.5 * decisions
+
+
+def test_models_from_a_broadcast_and_shares_of_counts_are_prepared_once():
+    found = mix(np.arange(100, dtype=np.uint64))
+    words = lm_scoring.Vocabulary(found, np.arange(1, 101), 5050, 100)
+    share, rest = words.logs
+    assert words.logs[0] is share and rest[words.is_leaf].any() == 0
+    assert np.allclose(10**share, (words.counts + 1) / 5151)
+    model = lm_scoring.Model(words, np.random.default_rng(2).normal(size=(1024, lm_scoring.SLOTS)).astype(np.float32))
+    again = pickle.loads(pickle.dumps(model))
+    assert again.weights.ctypes.data % 64 == 0 == again.words.shares.ctypes.data % 64
+    assert (again.weights == model.weights).all() and (again.words.shares == words.shares).all() and (again.squares == model.squares).all()
+
+
+def test_words_belong_to_their_texts():
+    raw = [b"", b" A  b\n", b"\t", b"c", b"", b"d e f"]
+    words = Words(raw, NOT_SPACE)
+    assert words.text.tolist() == [1, 1, 3, 5, 5, 5] and words.first.tolist() == [0, 0, 2, 2, 3, 3, 6]
+    none = Words([b"", b" "], NOT_SPACE)
+    assert none.text.tolist() == [] and none.first.tolist() == [0, 0, 0]
+
+
 def test_learners_are_averaged_by_use():
     def copy(part, learner, uses, value):
         own = np.zeros(lm_scoring._CHUNK)
