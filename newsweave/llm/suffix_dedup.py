@@ -24,7 +24,8 @@ handled whole, in slices that overlap by a window.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -40,6 +41,8 @@ LENGTH, GRAM = 200, 100
 BATCHES = 4
 _PLACE_BITS = np.uint64(22)
 _SLICE = 1 << 18  # windows of one text handled at once
+_SLAB = 1 << 16  # bytes of short texts handled at once, so that work arrays stay in the cache of a core
+_TOGETHER = 8  # slabs whose results are sent together
 GROUP = 5000  # neighbouring places of a text whose windows are put together at once
 _STRETCH = "beginning bigint, stretch bigint, row_key bigint, first bigint, n_windows int"
 
@@ -59,36 +62,46 @@ class Stretches:
         self.running = prefix_hashes(buffer)
         grams = len(buffer) - gram + 1
         _, down = powers(len(self.running))
-        hashes = mix((self.running[gram:] - self.running[:-gram]) * down[:grams])
+        # hashes that only rank the beginnings; those of anchors are mixed below
+        raw_hashes = self.running[gram:] - self.running[:-gram]
+        raw_hashes *= down[:grams]
         low = (np.uint64(1) << _PLACE_BITS) - np.uint64(1)
-        least = hashes & ~low | np.arange(grams, dtype=np.uint64)
+        least = raw_hashes & ~low
+        least |= np.arange(grams, dtype=np.uint64)
         width, size = length - gram + 1, 1
         while size * 2 <= width:
             least = np.minimum(least[:-size], least[size:])
             size *= 2
         if size < width:
             least = np.minimum(least[: size - width], least[width - size :])
-        anchor = (least & low).astype(np.int64)
-        start = np.arange(len(anchor))
-        text = np.searchsorted(ends, start, side="right")
-        inside = start + length <= ends[np.minimum(text, len(ends) - 1)]
-        start, anchor, text = start[inside], anchor[inside], text[inside]
-        if not len(start):
+        # a stretch begins where the anchor changes, and at the first window of a text; it ends with the last one
+        sizes = np.array([len(t) for t in raw])
+        begin = (ends - sizes)[sizes >= length]
+        after = ends[sizes >= length] - (length - 1)
+        edge = np.zeros(len(least) + 1, bool)
+        np.not_equal(least[1:], least[:-1], out=edge[1:-1])
+        edge[begin] = edge[after] = True
+        edge = np.flatnonzero(edge)
+        text = np.searchsorted(ends, edge, side="right")
+        inside = np.flatnonzero(edge + length <= np.append(ends, 0)[text])
+        if not len(inside):
             return
-        fresh = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])]))
-        last = start[np.append(fresh[1:], len(start)) - 1]
-        self.first, self.anchor, self.text = start[fresh], anchor[fresh], text[fresh]
-        self.windows = last - self.first + 1
-        self.offset = self.first - (ends - [len(t) for t in raw])[self.text]  # place in the text
-        self.beginning = hashes[self.anchor]
+        self.first, self.text = edge[inside], text[inside]
+        self.windows = edge[inside + 1] - self.first
+        self.anchor = (least[self.first] & low).astype(np.int64)
+        self.offset = self.first - (ends - sizes)[self.text]  # place in the text
+        self.beginning = mix(raw_hashes[self.anchor])
         ahead = (self.anchor - self.first).astype(np.uint64)
-        self.stretch = mix(span_hash(self.running, self.first, last + length) ^ mix(ahead))
+        self.stretch = mix(span_hash(self.running, self.first, self.first + (self.windows + (length - 1))) ^ mix(ahead))
 
-    def window_hashes(self, i: int) -> bytes:
-        """Hashes of the windows of stretch ``i``, each with its distance from the anchor."""
-        start = np.arange(self.first[i], self.first[i] + self.windows[i])
-        ahead = (self.anchor[i] - start).astype(np.uint64)
-        return mix(span_hash(self.running, start, start + self.length) ^ mix(ahead + np.uint64(7))).tobytes()
+    def window_hashes(self, chosen: np.ndarray) -> list[bytes]:
+        """Hashes of the windows of each chosen stretch, each with its distance from the anchor."""
+        sizes = self.windows[chosen]
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        start = np.arange(bounds[-1]) + np.repeat(self.first[chosen] - bounds[:-1], sizes)
+        ahead = (np.repeat(self.anchor[chosen], sizes) - start).astype(np.uint64)
+        hashes = mix(span_hash(self.running, start, start + self.length) ^ mix(ahead + np.uint64(7))).tobytes() if len(chosen) else b""
+        return [hashes[8 * a : 8 * b] for a, b in pairwise(bounds.tolist())]
 
 
 def _slices(raw: list[bytes], length: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -105,11 +118,23 @@ def _slices(raw: list[bytes], length: int) -> tuple[list[bytes], np.ndarray, np.
 def _scan(raw: list[bytes], length: int, gram: int) -> Iterator[tuple[Stretches, np.ndarray, np.ndarray]]:
     """The stretches of all texts, with the number of the text and the place in it of each."""
     parts, owner, place = _slices(raw, length)
-    for lo, hi in slabs(parts):
+    for lo, hi in slabs(parts, _SLAB):
         found = Stretches(parts[lo:hi], length, gram)
         yield found, owner[lo + found.text], place[lo + found.text] + found.offset
 
 
+def _together(parts: Iterable[dict[str, np.ndarray | pd.Series]]) -> Iterator[pd.DataFrame]:
+    """The results of several slabs in one frame; many small ones cost more to send than to make."""
+    held: list[dict] = []
+    for part in parts:
+        held.append(part)
+        if len(held) == _TOGETHER:
+            yield pd.DataFrame({name: np.concatenate([h[name] for h in held]) for name in part})
+            held = []
+    if held:
+        yield pd.DataFrame({name: np.concatenate([h[name] for h in held]) for name in held[0]})
+
+
 def rows_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.xxhash64("doc_id", "text").alias("row_key"), "text")
 
@@ -126,11 +151,14 @@ class SuffixIndex:
         length, gram = self.length, self.gram
         small_batches(self.spark)
 
-        def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def beginnings(frames: Iterator[pd.DataFrame]) -> Iterator[dict]:
             for frame in frames:
                 batch = frame["batch"].to_numpy()
                 for found, text, _ in _scan(plain(frame["text"]), length, gram):
-                    yield pd.DataFrame({"batch": batch[text], "beginning": found.beginning.view(np.int64)})
+                    yield {"batch": batch[text], "beginning": found.beginning.view(np.int64)}
+
+        def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            return _together(beginnings(frames))
 
         rows = rows_of(docs).select(F.pmod("row_key", F.lit(batches)).cast("int").alias("batch"), "text")
         arrays = rows.mapInPandas(read, "batch int, beginning bigint").groupBy("batch", "beginning").agg(F.count(F.lit(1)).alias("n"))
@@ -164,15 +192,18 @@ class SuffixIndex:
 def _stretch_table(docs: DataFrame, wanted: Broadcast, length: int, gram: int) -> DataFrame:
     """Stretches whose beginning may repeat."""
 
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def stretches(frames: Iterator[pd.DataFrame]) -> Iterator[dict]:
         for frame in frames:
             key = frame["row_key"].to_numpy()
             for found, text, place in _scan(plain(frame["text"]), length, gram):
                 hit = np.flatnonzero(holds(wanted.value, found.beginning))
-                yield pd.DataFrame({
+                yield {
                     "beginning": found.beginning[hit].view(np.int64), "stretch": found.stretch[hit].view(np.int64), "row_key": key[text[hit]],
                     "first": place[hit], "n_windows": found.windows[hit],
-                })
+                }
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _together(stretches(frames))
 
     return rows_of(docs).mapInPandas(read, _STRETCH)
 
@@ -180,15 +211,16 @@ def _stretch_table(docs: DataFrame, wanted: Broadcast, length: int, gram: int) -
 def _window_table(docs: DataFrame, wanted: Broadcast, length: int, gram: int) -> DataFrame:
     """Stretches with the hashes of all their windows, for the places that may be asked for."""
 
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def windows(frames: Iterator[pd.DataFrame]) -> Iterator[dict]:
         for frame in frames:
             key = frame["row_key"].to_numpy()
             for found, text, place in _scan(plain(frame["text"]), length, gram):
                 stretch = found.stretch.view(np.int64)
                 hit = np.flatnonzero(holds(wanted.value, (stretch ^ key[text] ^ place).view(np.uint64)))
-                yield pd.DataFrame({
-                    "stretch": stretch[hit], "row_key": key[text[hit]], "first": place[hit], "windows": objects(found.window_hashes(i) for i in hit),
-                })
+                yield {"stretch": stretch[hit], "row_key": key[text[hit]], "first": place[hit], "windows": objects(found.window_hashes(hit))}
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _together(windows(frames))
 
     return rows_of(docs).mapInPandas(read, "stretch bigint, row_key bigint, first bigint, windows binary")
 

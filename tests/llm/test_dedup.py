@@ -129,6 +129,46 @@ def test_suffix_dedup_like_brute_force(docs_of, batches):
     assert all(len(r.kept) + r.n_removed == len(texts[r.doc_id]) for r in found)
 
 
+def test_stretches_cover_every_window_once_wherever_texts_lie():
+    """Against a plain search for anchors; texts handled together or alone give the same stretches."""
+    length, gram = 40, 16
+    raw = [(t or "").encode() for _, t in repeated_texts()]
+    found = suffix_dedup.Stretches(raw, length, gram)
+    assert (found.windows > 0).all()
+    windows, anchors = [], {}
+    hashes = found.window_hashes(np.arange(len(found.first)))
+    assert [len(h) // 8 for h in hashes] == found.windows.tolist()
+    for text, offset, n, ahead, own in zip(found.text, found.offset, found.windows, found.anchor - found.first, hashes, strict=True):
+        for k, h in enumerate(np.frombuffer(own, np.int64).tolist()):
+            windows.append((text, offset + k))
+            string = raw[text][offset + k : offset + k + length]
+            # equal windows have equal anchors and hashes, different ones different hashes
+            assert anchors.setdefault(string, (ahead - k, h)) == (ahead - k, h)
+    assert sorted(windows) == [(i, s) for i, t in enumerate(raw) for s in range(len(t) - length + 1)]
+    assert len({h for _, h in anchors.values()}) == len(anchors)
+    alone = [suffix_dedup.Stretches([t], length, gram) for t in raw]
+    for name in ("offset", "windows", "beginning", "stretch"):
+        assert getattr(found, name).tolist() == [x for one in alone for x in getattr(one, name).tolist()]
+    some = np.array([0, 3, 4])
+    assert found.window_hashes(some) == [hashes[i] for i in some] and found.window_hashes(some[:0]) == []
+
+
+def test_slabs_stay_small_and_are_sent_together(monkeypatch):
+    rows = [t.encode() for _, t in repeated_texts() if t] * 3000
+    sizes, stretches = [], suffix_dedup.Stretches
+
+    def watched(raw, length, gram):
+        sizes.append(sum(map(len, raw)))
+        return stretches(raw, length, gram)
+
+    monkeypatch.setattr(suffix_dedup, "Stretches", watched)
+    parts = [{"text": text, "place": place} for _, text, place in suffix_dedup._scan(rows, 40, 16)]
+    assert sum(sizes) == sum(map(len, rows)) and max(sizes) <= 1 << 16
+    frames = list(suffix_dedup._together(iter(parts)))
+    assert sum(map(len, frames)) == sum(len(p["text"]) for p in parts) and len(frames) == -(-len(parts) // 8)
+    assert list(suffix_dedup._together(iter([]))) == []
+
+
 def test_suffix_groups_are_divided_and_texts_sliced(docs_of, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "GROUP", 2)
     monkeypatch.setattr(suffix_dedup, "_SLICE", 64)
