@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from newsweave.llm.bitmaps import bitmap, holds
 from newsweave.llm.texts import mix, objects, plain, powers, prefix_hashes, slabs, small_batches, span_hash
-from newsweave.session import cut, work_path
+from newsweave.session import cut, discarding, work_path
 
 LENGTH, GRAM = 200, 100
 BATCHES = 4
@@ -287,19 +287,26 @@ def _exploded(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, tuple[np.ndar
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
-    """(row_key, spans): for each row of ``docs`` with any, spans (first, end) whose bytes are in repeated strings."""
+    """(row_key, spans): for each row of ``docs`` with any, spans (first, end) whose bytes are in repeated strings.
+
+    Tables that were made on the way go as soon as what follows from them is written.
+    """
     spark = docs.sparkSession
     small_batches(spark)
-    index = SuffixIndex(spark, length, gram)
-    index.add(docs, batches)
-    repeated = index.repeated()
-    found = _stretch_table(docs, bitmap(repeated, "beginning"), length, gram)
-    found = cut(found.join(repeated, "beginning", "left_semi"))
-    kinds = cut(found.groupBy("beginning", "stretch").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "first")).alias("at")))
-    whole = found.join(kinds.where("n > 1").select("beginning", "stretch"), ["beginning", "stretch"], "left_semi")
-    whole = whole.select("row_key", "first", (F.col("first") + F.col("n_windows") + (length - 1)).alias("end"))
-    spans = whole.unionByName(_edge_spans(docs, kinds, length, gram))
-    return cut(spans.groupBy("row_key").agg(F.collect_set(F.struct("first", "end")).alias("spans")))
+    with discarding(spark) as keep_spans:
+        with discarding(spark) as keep:
+            index = SuffixIndex(spark, length, gram)
+            index.add(docs, batches)
+            repeated = keep(index.repeated())
+        found = _stretch_table(docs, bitmap(repeated, "beginning"), length, gram)
+        found = cut(found.join(repeated, "beginning", "left_semi"))
+        kinds = cut(found.groupBy("beginning", "stretch").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "first")).alias("at")))
+        with discarding(spark) as keep:
+            whole = found.join(kinds.where("n > 1").select("beginning", "stretch"), ["beginning", "stretch"], "left_semi")
+            whole = whole.select("row_key", "first", (F.col("first") + F.col("n_windows") + (length - 1)).alias("end"))
+            edges = keep(_edge_spans(docs, kinds, length, gram))
+        spans = whole.unionByName(edges)
+        return keep_spans(spans.groupBy("row_key").agg(F.collect_set(F.struct("first", "end")).alias("spans")))
 
 
 def covered(spans, size: int) -> np.ndarray:
