@@ -1,4 +1,4 @@
-"""PageRank by joins and aggregates, betweenness by tiles.
+"""PageRank by joins and aggregates, betweenness by searches in memory or by tiles.
 
 Hub nodes in PageRank: the edges of one node are divided into parts of bounded size (``part``), and the node's own row is
 repeated once per part, so that no join partition holds all the edges of a hub. A node of ordinary degree
@@ -8,20 +8,25 @@ has a single part. Sums per target are combined before the shuffle.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsweave.operators.graph import degree_centrality
 from newsweave.operators.numbering import numbered
+from newsweave.operators.paths import dependencies
 from newsweave.session import cut, discarding, partitions
 
 EDGES_PER_PART = 100_000
 STATE_ROWS = 200_000_000
+#: Arcs of a graph that workers hold whole (four bytes each), and entries of a batch whose state stays in its tasks.
+ARCS_HELD = 100_000_000
+HELD_STATE_ROWS = 10_000_000_000
 #: Nodes and roots of a tile of the betweenness state, entries of one group, and arcs added up at once.
 NODES_PER_TILE = 4096
 ROOTS_PER_TILE = 128
@@ -136,33 +141,70 @@ def pagerank(
         links.unpersist()
 
 
-def betweenness(graph: DataFrame, state_rows: int = STATE_ROWS, edges_per_part: int = EDGES_PER_PART) -> DataFrame:
+def betweenness(graph: DataFrame, state_rows: int | None = None, edges_per_part: int = EDGES_PER_PART) -> DataFrame:
     """Normalised shortest-path betweenness of an undirected, unweighted graph, all roots, exact.
 
     Level-synchronous search of all roots, then dependency sums from the deepest level back. The state has one entry per
     reached (root, node), so a root has at most one per node; the roots go in batches whose state is at most about
-    ``state_rows``. A batch leaves one row per node, and its levels are deleted.
+    ``state_rows``. A batch leaves one row per node, and its tables are deleted.
 
-    Nodes are numbered. A level is a table of tiles: the entries of ``NODES_PER_TILE`` nodes and some roots as arrays. Arcs
+    Nodes are numbered. Up to ``ARCS_HELD`` arcs are sent to every worker, and a task searches from its roots in arrays; it
+    gives one sum per node, so neither state nor arcs are shuffled.
+
+    Beyond that a level is a table of tiles: the entries of ``NODES_PER_TILE`` nodes and some roots as arrays. Arcs
     are grouped by the tiles of their ends, in lists of about ``edges_per_part``, and added up array-wise, all the roots of
     a tile at a time; a group holds the entries of all nodes for its roots, which are as few as ``COLUMN_ENTRIES`` asks for.
     """
-    graph = cut(graph.select("src", "dst"))
-    simple = graph.filter("src <> dst").select("src", "dst", F.lit(1).alias("weight"))
-    nodes = cut(numbered(graph.select(F.explode(F.array("src", "dst")).alias("node")).distinct(), "at", F.asc("node")))
-    n = nodes.count()
-    lists = _arc_lists(both_ways(simple), nodes, edges_per_part)
-    batches = max(1, math.ceil(n * n / state_rows))
-    roots_per_tile = max(1, min(ROOTS_PER_TILE, COLUMN_ENTRIES // max(n, 1)))
-    totals = []
-    for batch in range(batches):
-        with discarding(graph.sparkSession) as keep:
-            roots = nodes.filter(F.col("at") % batches == batch).select("at", F.expr(f"at div {batches}").alias("place"))
-            totals.append(keep(_dependencies(roots, lists, roots_per_tile).groupBy("at").agg(F.sum("delta").alias("delta"))))
-    partial = reduce(DataFrame.unionByName, totals)
-    scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
-    summed = partial.groupBy("at").agg(F.sum("delta").alias("delta"))
-    return cut(nodes.join(summed, "at", "left").select("node", (F.coalesce("delta", F.lit(0.0)) * scale).alias("betweenness")))
+    spark = graph.sparkSession
+    with discarding(spark) as keep:
+        graph = cut(graph.select("src", "dst"))
+        simple = graph.filter("src <> dst").select("src", "dst", F.lit(1).alias("weight"))
+        nodes = cut(numbered(graph.select(F.explode(F.array("src", "dst")).alias("node")).distinct(), "at", F.asc("node")))
+        n = nodes.count()
+        held = _held(simple, nodes, n) if 2 * simple.count() <= ARCS_HELD else None
+        lists = _arc_lists(both_ways(simple), nodes, edges_per_part) if held is None else None
+        batches = max(1, math.ceil(n * n / (state_rows or (STATE_ROWS if held is None else HELD_STATE_ROWS))))
+        roots_per_tile = max(1, min(ROOTS_PER_TILE, COLUMN_ENTRIES // max(n, 1)))
+        totals = []
+        try:
+            for batch in range(batches):
+                with discarding(spark) as keep_total:
+                    roots = nodes.filter(F.col("at") % batches == batch).select("at", F.expr(f"at div {batches}").alias("place"))
+                    found = _dependencies(roots, lists if held is None else held, roots_per_tile)
+                    totals.append(keep_total(found.groupBy("at").agg(F.sum("delta").alias("delta"))))
+        finally:
+            if held is not None:
+                held.destroy()
+        partial = reduce(DataFrame.unionByName, totals)
+        scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
+        summed = partial.groupBy("at").agg(F.sum("delta").alias("delta"))
+        return keep(nodes.join(summed, "at", "left").select("node", (F.coalesce("delta", F.lit(0.0)) * scale).alias("betweenness")))
+
+
+def _held(simple: DataFrame, nodes: DataFrame, n: int) -> Broadcast:
+    """The arcs as arrays for every worker (see ``paths``), filled on the driver a partition at a time."""
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            ends = [np.asarray(found, np.int32) for found in frame["ends"]]
+            sizes = np.array([len(found) for found in ends], np.int64)
+            yield pd.DataFrame([{"node": frame["node"].to_numpy(np.int64).tobytes(), "size": sizes.tobytes(), "ends": np.concatenate(ends).tobytes()}])
+
+    numbers = simple.join(nodes.toDF("src", "one"), "src").join(nodes.toDF("dst", "other"), "dst")
+    pair = lambda a, b: F.struct(F.col(a).alias("node"), F.col(b).cast("int").alias("end"))
+    arcs = numbers.select(F.explode(F.array(pair("one", "other"), pair("other", "one"))).alias("arc")).select("arc.*")
+    ends = arcs.groupBy("node").agg(F.sort_array(F.collect_list("end")).alias("ends"))
+    packed = cut(ends.mapInPandas(pack, "node binary, size binary, ends binary"))
+    sizes = np.zeros(n + 1, np.int64)
+    for row in packed.select("node", "size").toLocalIterator():
+        sizes[np.frombuffer(row["node"], np.int64) + 1] = np.frombuffer(row["size"], np.int64)
+    first = np.cumsum(sizes)
+    filled = np.empty(first[-1], np.int32)
+    for row in packed.toLocalIterator():
+        node, size = np.frombuffer(row["node"], np.int64), np.frombuffer(row["size"], np.int64)
+        place = np.repeat(first[node] - (np.cumsum(size) - size), size)
+        filled[place + np.arange(len(place))] = np.frombuffer(row["ends"], np.int32)
+    return simple.sparkSession.sparkContext.broadcast((first, filled))
 
 
 def _arc_lists(arcs: DataFrame, nodes: DataFrame, edges_per_part: int) -> DataFrame:
@@ -225,7 +267,30 @@ def _step(asking: DataFrame, known: DataFrame, lists: DataFrame, blocks: DataFra
     return tiles.groupBy("part", "block").cogroup(arcs.groupBy("part", "block")).applyInPandas(both, schema)
 
 
-def _dependencies(roots: DataFrame, lists: DataFrame, roots_per_tile: int) -> DataFrame:
+def _searched(roots: DataFrame, held: Broadcast, roots_per_tile: int) -> DataFrame:
+    """Sums of the dependencies of the given roots (at, place): (at, delta), a row per task and node."""
+
+    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first, ends = held.value
+        sums = np.zeros(len(first) - 1)
+        for frame in frames:
+            for some in frame["root"]:
+                sums += dependencies(first, ends, np.asarray(some, np.int64))
+        at = np.flatnonzero(sums)
+        yield pd.DataFrame({"at": at, "delta": sums[at]})
+
+    block = F.floor(F.col("place") / roots_per_tile).alias("block")
+    tiles = cut(roots.groupBy(block).agg(F.sort_array(F.collect_list("at")).alias("root")))
+    tasks = 3 * roots.sparkSession.sparkContext.defaultParallelism  # equal work each, and one row per node
+    return tiles.repartition(tasks).mapInPandas(search, "at bigint, delta double")
+
+
+def _dependencies(roots: DataFrame, arcs: Broadcast | DataFrame, roots_per_tile: int) -> DataFrame:
+    """Sums of the dependencies of the given roots (at, place): (at, delta), by arcs held whole or by lists of them."""
+    return (_searched if isinstance(arcs, Broadcast) else _tiled)(roots, arcs, roots_per_tile)
+
+
+def _tiled(roots: DataFrame, lists: DataFrame, roots_per_tile: int) -> DataFrame:
     """Sums of the dependencies of the given roots (at, place): (at, delta), a row per tile and node."""
 
     def begin(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

@@ -4,6 +4,7 @@ from collections import deque
 
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from newsweave import session
 from newsweave.operators import centrality as ce
 from newsweave.operators import communities as co
 from newsweave.operators import graph as gr
+from newsweave.operators import paths
 
 
 def graph_of(spark, edges):
@@ -151,6 +153,37 @@ def test_betweenness_of_tiny_graphs(spark):
     assert {r[1] for r in ce.betweenness(graph_of(spark, [("a", "a")])).collect()} == {0.0}
 
 
+@pytest.mark.parametrize(("entries", "arcs", "kept"), [(1 << 18, 1 << 17, 1 << 23), (1, 3, 0), (70, 5, 40)])
+def test_dependencies_in_arrays(monkeypatch, entries, arcs, kept):
+    """Levels found from either side, some roots at once, arcs in pieces: a hub, a path, nodes without arcs, two components."""
+    monkeypatch.setattr(paths, "ENTRIES_AT_ONCE", entries)
+    monkeypatch.setattr(paths, "ARCS_AT_ONCE", arcs)
+    monkeypatch.setattr(paths, "ARCS_KEPT", kept)
+    star, path = [(0, i) for i in range(1, 9)], [(i, i + 1) for i in range(8, 14)]
+    for edges in (star + path + [(3, 5), (20, 21), (21, 22)], random_edges(7, 23, 40), [(i, j) for i in range(6) for j in range(i)]):
+        pairs = [(str(a), str(b)) for a, b, *_ in edges if a != b]
+        wanted = brute_betweenness(pairs)
+        names = sorted(wanted) + ["without arcs"]
+        both = sorted((names.index(a), names.index(b)) for pair in pairs for a, b in (pair, pair[::-1]))
+        first = np.searchsorted([a for a, _ in both], np.arange(len(names) + 1))
+        found = paths.dependencies(first, np.array([b for _, b in both], np.int32), np.arange(len(names)))
+        scale = (len(wanted) - 1) * (len(wanted) - 2)
+        assert dict(zip(names, found / scale)) == pytest.approx(wanted | {"without arcs": 0.0})
+
+
+@pytest.mark.parametrize("held", [0, 10**8])
+def test_neither_arcs_nor_state_of_betweenness_are_shuffled(spark, monkeypatch, held):
+    """Arcs that workers can hold are sent once; only a larger graph goes by lists of arcs repeated per roots, with the same result."""
+    edges, tiled, original = [*random_edges(5, 60, 90), ("x", "y"), ("q", "q")], [], ce._arc_lists
+    monkeypatch.setattr(ce, "ARCS_HELD", held, raising=False)
+    monkeypatch.setattr(ce, "NODES_PER_TILE", 16)
+    monkeypatch.setattr(ce, "ROOTS_PER_TILE", 8)
+    monkeypatch.setattr(ce, "_arc_lists", lambda *a: tiled.append(True) or original(*a))
+    found = {r[0]: r[1] for r in ce.betweenness(graph_of(spark, edges), edges_per_part=5).collect()}
+    assert found == pytest.approx(brute_betweenness(edges))
+    assert bool(tiled) == (held == 0)
+
+
 def test_communities_of_two_cliques(spark):
     cliques = [(f"{c}{i}", f"{c}{j}") for c in "ab" for i in range(5) for j in range(i)]
     graph = graph_of(spark, [*cliques, ("a0", "b0")])
