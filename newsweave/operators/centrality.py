@@ -339,10 +339,13 @@ def _tiled(roots: DataFrame, lists: DataFrame, roots_per_tile: int) -> DataFrame
 
 def node_metrics(graph: DataFrame) -> DataFrame:
     """entity, degree, pagerank, betweenness of an undirected weighted graph."""
-    degrees = degree_centrality(graph).select("node", F.col("degree_centrality").alias("degree"))
-    ranks = pagerank(graph)
-    brokers = betweenness(graph)
-    return degrees.join(ranks, "node").join(brokers, "node").withColumnRenamed("node", "entity")
+    with discarding(graph.sparkSession) as keep:
+        graph = cut(graph.select("src", "dst", "weight"))
+        degrees = degree_centrality(graph).select("node", F.col("degree_centrality").alias("degree"))
+        with discarding(graph.sparkSession) as keep_ranks:
+            ranks = keep_ranks(pagerank(graph))
+        brokers = betweenness(graph)
+        return keep(degrees.join(ranks, "node").join(brokers, "node").withColumnRenamed("node", "entity"))
 
 
 def top_brokers(metrics: DataFrame, n: int = 5) -> DataFrame:

@@ -184,6 +184,18 @@ def test_neither_arcs_nor_state_of_betweenness_are_shuffled(spark, monkeypatch,
     assert bool(tiled) == (held == 0)
 
 
+def test_node_metrics_leave_one_table(spark, monkeypatch):
+    """Rounds of PageRank and the tables of betweenness go before the result is returned."""
+    written = []
+    monkeypatch.setattr(ce, "cut", lambda df: written.append(session.cut(df)) or written[-1])
+    edges = random_edges(4, 12, 20)
+    found = {r["entity"]: r for r in ce.node_metrics(graph_of(spark, edges)).collect()}
+    assert {k: r["betweenness"] for k, r in found.items()} == pytest.approx(brute_betweenness(edges))
+    assert sum(r["pagerank"] for r in found.values()) == pytest.approx(1.0)
+    files = [f for df in written for f in df.inputFiles()]
+    assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)
+
+
 def test_communities_of_two_cliques(spark):
     cliques = [(f"{c}{i}", f"{c}{j}") for c in "ab" for i in range(5) for j in range(i)]
     graph = graph_of(spark, [*cliques, ("a0", "b0")])
