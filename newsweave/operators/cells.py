@@ -10,13 +10,14 @@ that may hold a row within it; for a pivot at distance d, a cell is skipped if
 * d is beyond the distance of the nearest pivot by more than twice the limit (rows of a cell are nearest to its pivot).
 
 Cells of equal vectors, or of vectors that cannot be pruned, are dealt to blocks by hash instead, so no task holds more than
-a bounded number of rows, and nothing is lost.
+a bounded number of rows, and nothing is lost. As every guest is copied into each of these blocks, a large cell makes few and
+wide ones; rows meet a slab at a time, so what a task computes and returns at once does not grow with the block.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import count
 
@@ -30,6 +31,11 @@ from newsweave.session import cut
 ROWS_PER_BLOCK = 2048
 #: Rows that meet the pivots of a cell at once: a task holds their distances to at most about ``FAN`` pivots.
 ROWS_PER_TASK = 512
+#: A cell of more than ``WIDE_PARTS * ROWS_PER_BLOCK`` rows that is not divided makes that many blocks, or more of this many rows.
+WIDE_PARTS = 8
+ROWS_PER_WIDE_BLOCK = 1 << 15
+#: Pairs compared at once.
+PAIRS_AT_ONCE = ROWS_PER_BLOCK * ROWS_PER_BLOCK
 #: Cells a guest may visit on average, or as many as there would be blocks.
 VISITS = 32
 FAN = 1024
@@ -37,8 +43,8 @@ ROUNDING = 1e-6
 _HASH_RANGE = 1 << 30
 
 
-def matrix(column: pd.Series) -> np.ndarray:
-    return np.array(column.tolist(), dtype=np.float64)
+def matrix(column: pd.Series | np.ndarray) -> np.ndarray:
+    return column if isinstance(column, np.ndarray) else np.array(column.tolist(), dtype=np.float64)
 
 
 def unit_rows(column: pd.Series) -> np.ndarray:
@@ -52,7 +58,7 @@ def angles(left: pd.Series, right: pd.Series) -> np.ndarray:
     return np.arccos(np.clip(unit_rows(left) @ unit_rows(right).T, -1.0, 1.0))
 
 
-def euclidean(left: pd.Series, right: pd.Series) -> np.ndarray:
+def euclidean(left: pd.Series, right: pd.Series | np.ndarray) -> np.ndarray:
     one, two = matrix(left), matrix(right)
     squared = (one * one).sum(1)[:, None] + (two * two).sum(1)[None, :] - 2.0 * (one @ two.T)
     return np.sqrt(np.maximum(squared, 0.0))
@@ -82,6 +88,13 @@ def together(dealt: DataFrame, repeated: DataFrame, keys: list[str], size: int,
     return left.cogroup(right).applyInPandas(use, schema)
 
 
+def _blocks(rows_per_block: int) -> Column:
+    """Into how many blocks a cell of ``n`` rows is dealt."""
+    n = F.col("n")
+    wide = F.when(n > WIDE_PARTS * ROWS_PER_BLOCK, F.least(n / WIDE_PARTS, F.lit(float(ROWS_PER_WIDE_BLOCK)))).otherwise(0.0)
+    return F.ceil(n / F.greatest(F.lit(float(rows_per_block)), wide))
+
+
 def _of(rows: DataFrame, *columns: str) -> str:
     return ", ".join(f"{c} {t}" for c, t in rows.dtypes if c in columns)
 
@@ -97,17 +110,19 @@ def _pivots(rows: DataFrame, wanted: DataFrame, level: int) -> DataFrame:
 def cells(home: DataFrame, guests: DataFrame, metric: Metric, rows_per_block: int = ROWS_PER_BLOCK, rows_per_cell: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(home rows with their ``block``, guests with each ``block`` they have to meet).
 
-    ``home``: id (unique), embedding; ``guests``: id, embedding, limit. Blocks hold about ``rows_per_block`` rows of ``home`` at most.
+    ``home``: id (unique), embedding; ``guests``: id, embedding, limit; other columns of ``home`` that guests share go along.
+    Blocks hold about ``rows_per_block`` rows of ``home`` at most, or ``ROWS_PER_WIDE_BLOCK`` in large cells that are not divided.
     """
     rows_per_cell = rows_per_cell or max(4, rows_per_block // 256)
-    kind = _of(home, "id", "embedding")
+    kept = ["id", "embedding", *(c for c in home.columns if c in guests.columns and c not in ("id", "embedding", "limit"))]
+    kind = _of(home, *kept)
 
     def place(rows: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or pivots.empty:
             return pd.DataFrame()
         found = metric(rows["embedding"], pivots["embedding"])
         cell = found.argmin(axis=1)
-        return rows[["id", "embedding", "node"]].assign(cell=pivots["id"].to_numpy()[cell], far=found[np.arange(len(rows)), cell])
+        return rows[[*kept, "node"]].assign(cell=pivots["id"].to_numpy()[cell], far=found[np.arange(len(rows)), cell])
 
     def visits(rows: pd.DataFrame, pivots: pd.DataFrame) -> np.ndarray:
         found, limit = metric(rows["embedding"], pivots["embedding"]), rows["limit"].to_numpy()[:, None] + ROUNDING
@@ -124,24 +139,24 @@ def cells(home: DataFrame, guests: DataFrame, metric: Metric, rows_per_block: in
         if rows.empty or pivots.empty:
             return pd.DataFrame()
         row, cell = np.nonzero(visits(rows, pivots))
-        return rows[["id", "embedding", "limit", "node"]].iloc[row].assign(cell=pivots["id"].to_numpy()[cell])
+        return rows[[*kept, "limit", "node"]].iloc[row].assign(cell=pivots["id"].to_numpy()[cell])
 
-    own, visiting, total = home.select("id", "embedding"), guests.select("id", "embedding", "limit"), home.count()
+    own, visiting, total = home.select(*kept), guests.select(*kept, "limit"), home.count()
     if total <= 2 * rows_per_block:  # a single cell
         parts = max(1, math.ceil(total / rows_per_block))
         name = lambda part: F.concat_ws(":", F.lit(0), part)
         numbers = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
         dealt = own.withColumn("block", name(F.pmod(F.xxhash64("id"), F.lit(parts))))
-        return dealt, visiting.withColumn("part", numbers).select("id", "embedding", "limit", name(F.col("part")).alias("block"))
+        return dealt, visiting.withColumn("part", numbers).select(*kept, "limit", name(F.col("part")).alias("block"))
 
     whole, asked = [], []
 
     def settle(rows: DataFrame, asking: DataFrame, nodes: DataFrame, level: int) -> None:
         """Cells that stay as they are: blocks, and their guests."""
-        parts = nodes.select("node", F.ceil(F.col("n") / rows_per_block).alias("parts"))
+        parts = nodes.select("node", _blocks(rows_per_block).alias("parts"))
         name = F.concat_ws(":", F.lit(level), "node", "part")
-        whole.append(_dealt(rows, parts, ["node"]).select("id", "embedding", name.alias("block")))
-        asked.append(_repeated(asking, parts, ["node"]).select("id", "embedding", "limit", name.alias("block")))
+        whole.append(_dealt(rows, parts, ["node"]).select(*kept, name.alias("block")))
+        asked.append(_repeated(asking, parts, ["node"]).select(*kept, "limit", name.alias("block")))
 
     root = F.lit(0).cast("bigint")
     own, visiting = cut(own.withColumn("node", root)), cut(visiting.withColumn("node", root))
@@ -165,25 +180,39 @@ def cells(home: DataFrame, guests: DataFrame, metric: Metric, rows_per_block: in
         after = after.groupBy("node").agg(F.sum(F.col("g") * F.col("n")).alias("after"), F.sum("g").alias("copies"))
         gain = divided.join(before, "node", "left").join(after, "node", "left").fillna(0, ["g", "after", "copies"])
         halved = F.col("after") <= 0.5 * F.col("n") * F.col("g")
-        few = F.col("copies") <= F.col("g") * F.greatest(F.lit(VISITS), F.ceil(F.col("n") / rows_per_block))
+        few = F.col("copies") <= F.col("g") * F.greatest(F.lit(VISITS), _blocks(rows_per_block))
         gain = cut(gain.select("node", "n", (halved & few).alias("good")))
         settle(own, visiting, gain.where("NOT good"), level)
         good = gain.where("good").select("node")
-        own = placed.join(good, "node", "left_semi").select("id", "embedding", F.col("cell").alias("node"))
+        own = placed.join(good, "node", "left_semi").select(*kept, F.col("cell").alias("node"))
         descending, known = (rows.join(good, "node", "left_semi") for rows in (visiting, known))
         descended = cut(together(descending, known, ["node"], ROWS_PER_TASK, descend, f"{kind}, limit double, node bigint, cell bigint"))
-        visiting = descended.select("id", "embedding", "limit", F.col("cell").alias("node"))
+        visiting = descended.select(*kept, "limit", F.col("cell").alias("node"))
 
 
-def meet(pool: DataFrame, guests: DataFrame, match: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """``match(guests, pool)`` for every block, its guests dealt to tasks."""
+#: From the rows of a block to what they give for some guests.
+Match = Callable[[pd.DataFrame], Callable[[pd.DataFrame], pd.DataFrame]]
 
-    def use(asking: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
-        if asking.empty or there.empty:
-            return pd.DataFrame()
-        return match(asking, there)
 
-    return together(guests, pool, ["block"], rows_per_block, use, schema)
+def meet(pool: DataFrame, guests: DataFrame, match: Match, schema: str, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """``match(pool)(guests)`` for every block, its guests dealt to tasks that hold as many of them as of the block, and met in slabs."""
+
+    def use(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(frames), ignore_index=True)
+        there, asking = rows[rows["home"]], rows[~rows["home"]]
+        if there.empty or asking.empty:
+            return
+        found, slab = match(there), max(1, PAIRS_AT_ONCE // len(there))
+        for begin in range(0, len(asking), slab):
+            yield found(asking.iloc[begin : begin + slab])
+
+    columns = [c for c in pool.columns if c in guests.columns]
+    here = pool.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    asked = guests.groupBy("block").agg(F.count(F.lit(1)).alias("g"))
+    parts = cut(asked.join(here, "block").select("block", F.ceil(F.col("g") / F.greatest(F.col("n"), F.lit(rows_per_block))).alias("parts")))
+    dealt = _dealt(guests.select(*columns), parts, ["block"]).withColumn("home", F.lit(False))
+    repeated = _repeated(pool.select(*columns), parts, ["block"]).withColumn("home", F.lit(True))
+    return dealt.unionByName(repeated).groupBy("block", "part").applyInPandas(use, schema)
 
 
 def compared(pool: DataFrame, guests: DataFrame) -> int:
@@ -193,4 +222,4 @@ def compared(pool: DataFrame, guests: DataFrame) -> int:
 
 
 def constant_limit(rows: DataFrame, limit: float | Column) -> DataFrame:
-    return rows.select("id", "embedding", F.lit(limit).cast("double").alias("limit"))
+    return rows.withColumn("limit", F.lit(limit).cast("double"))

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +116,41 @@ def test_guests_are_not_copied_into_cells_that_cannot_be_pruned(spark, monkeypat
     assert made and max(df.count() for df in written) == 300
 
 
+@pytest.mark.parametrize(("widest", "blocks"), [(1 << 15, 8), (20, 15)])
+def test_large_cells_that_cannot_be_pruned_make_few_blocks(spark, monkeypatch, widest, blocks):
+    """Every vector is copied into every block, so blocks of ten would make thirty copies of each."""
+    monkeypatch.setattr(cells, "ROWS_PER_BLOCK", 10)
+    monkeypatch.setattr(cells, "ROWS_PER_WIDE_BLOCK", widest, raising=False)
+    matrix = np.random.default_rng(9).normal(size=(300, 48))
+    rows = vectors_of(spark, matrix)
+    vectors = rows.select(F.col("seq").alias("id"), "embedding")
+    pool, guests = cells.cells(vectors, cells.constant_limit(vectors, similarity.reach(0.35)), cells.angles, 10, rows_per_cell=4)
+    assert pool.count() == 300 and guests.count() == 300 * blocks
+    near = np.triu(cosines(matrix), 1) > 0.35
+    found = similar_pairs(rows, 0.35, 10).collect()
+    assert sorted((r["left_seq"], r["right_seq"]) for r in found) == [(i, j) for i, j in np.argwhere(near)]
+    assert all((r["left"], r["right"]) == (f"v{r['left_seq']}", f"v{r['right_seq']}") for r in found)
+
+
+def test_wide_blocks_are_met_in_slabs(spark, monkeypatch):
+    monkeypatch.setattr(cells, "PAIRS_AT_ONCE", 1000, raising=False)
+
+    def match(there):
+        def few(asking):
+            assert len(asking) * len(there) <= 1000
+            return pd.DataFrame({"pairs": [len(asking) * len(there)]})
+
+        return few
+
+    rows = vectors_of(spark, np.ones((300, 3))).select(F.col("seq").alias("id"), "embedding", F.lit("x").alias("block"))
+    assert cells.meet(rows, rows, match, "pairs bigint").agg(F.sum("pairs")).first()[0] == 300 * 300
+
+
+def test_pairs_are_not_joined_with_names(spark):
+    plan = similar_pairs(vectors_of(spark, sample(1)), 0.2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan.split("FlatMapGroupsInPandas")[0]
+
+
 def test_few_rows_meet_the_pivots_at_once(spark):
     def bounded(left, right):
         assert len(left) <= 1000
