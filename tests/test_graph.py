@@ -184,6 +184,17 @@ def test_neither_arcs_nor_state_of_betweenness_are_shuffled(spark, monkeypatch,
     assert bool(tiled) == (held == 0)
 
 
+def test_top_brokers_come_without_lists_of_arcs(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("arcs are not to be repeated for the roots")
+
+    monkeypatch.setattr(ce, "_arc_lists", refuse)
+    edges = random_edges(6, 15, 20)
+    found = ce.betweenness(graph_of(spark, edges)).select(F.col("node").alias("entity"), F.round("betweenness", 6).alias("betweenness"))
+    wanted = sorted((-round(value, 6), node) for node, value in brute_betweenness(edges).items())[:5]
+    assert [r["entity"] for r in ce.top_brokers(found).collect()] == [node for _, node in wanted]
+
+
 def test_node_metrics_leave_one_table(spark, monkeypatch):
     """Rounds of PageRank and the tables of betweenness go before the result is returned."""
     written = []
